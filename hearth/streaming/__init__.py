@@ -1,0 +1,7 @@
+"""Streaming.
+
+The programme this library re-expresses is batch only: it has no stream
+sources, watermarks, event-time windows or stateful operators. Nothing is
+built here on purpose; every job in ``hearth.plans`` is a batch DataFrame
+plan. The package exists so a future incremental ingest has a home.
+"""
