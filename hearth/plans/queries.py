@@ -46,3 +46,40 @@ def q_unmatched_keys(spark, sf_dir):
 @register("top_area_trend")
 def q_top_area_trend(spark, sf_dir):
     return gold.top_area_trend(spark, sf_dir)
+
+
+# ---------------------------------------------------------------- retrofit
+from . import retrofit as R  # noqa: E402
+
+
+def _with_areas(fn):
+    def run(spark, sf_dir):
+        silver_df, joined = R.enriched(spark, sf_dir)
+        return fn(joined, R.priority_areas(spark, sf_dir, silver_df))
+    return run
+
+
+def _joined(fn):
+    def run(spark, sf_dir):
+        return fn(R.enriched(spark, sf_dir)[1])
+    return run
+
+
+register("retrofit_costs")(_joined(R.retrofit_costs))
+register("retrofit_scenarios")(_joined(R.retrofit_scenarios))
+register("wall_split")(_joined(R.wall_split))
+register("common_types")(_joined(R.common_types))
+register("expensive_types")(_joined(R.expensive_types))
+register("cost_range_by_type")(_joined(R.cost_range_by_type))
+register("wall_share_by_area")(_joined(R.wall_share_by_area))
+register("priority_scenarios")(_with_areas(R.priority_scenarios))
+register("category_costs")(_joined(R.category_costs))
+register("area_category_costs")(_with_areas(R.area_category_costs))
+register("work_tiers")(_joined(R.work_tiers))
+register("tier_share_by_area")(_joined(R.tier_share_by_area))
+register("quick_win_detail")(_with_areas(R.quick_win_detail))
+register("first_ranked_types")(_joined(R.first_ranked_types))
+register("top3_first_ranked")(_with_areas(R.top3_first_ranked))
+register("cost_by_position")(_joined(R.cost_by_position))
+register("avg_cost_priority")(_with_areas(R.avg_cost_priority))
+register("top5_types_per_area")(_with_areas(R.top5_types_per_area))

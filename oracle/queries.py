@@ -83,3 +83,135 @@ FROM cert_silver
 WHERE inspection_year BETWEEN {fixed.TREND_YEARS[0]} AND {fixed.TREND_YEARS[1]}
   AND borough IN (SELECT borough FROM top_n)
 GROUP BY borough, inspection_year""")
+
+
+# ---------------------------------------------------------------- retrofit
+from .views import categorise_sql  # noqa: E402
+
+ENRICHED = f"""
+, jx AS (
+  SELECT *, {categorise_sql('improvement_type')} AS category,
+         CASE WHEN cost_mid <= {fixed.QUICK_WIN_MAX} THEN {q(fixed.QUICK_WIN)} ELSE {q(fixed.MAJOR_WORKS)} END AS work_tier
+  FROM joined
+)"""
+AREAS = PRIORITY + f"""
+, areas AS (SELECT borough FROM priority ORDER BY priority_rank, borough LIMIT {fixed.TOP_AREAS})
+, jp AS (SELECT * FROM jx WHERE borough IN (SELECT borough FROM areas))"""
+
+
+def retro(name: str, body: str, areas: bool = False) -> None:
+    oracle(name, ENRICHED + (AREAS if areas else "") + "\n" + body)
+
+
+retro("retrofit_costs", """
+SELECT borough, count(certificate_id) AS total_recommendations,
+       round(avg(cost_mid), 0) AS avg_cost_per_recommendation,
+       round(sum(cost_mid) / 1e6, 2) AS total_indicative_cost_m
+FROM jx GROUP BY borough""")
+
+retro("retrofit_scenarios", """
+SELECT borough, count(certificate_id) AS total_recommendations,
+       count(DISTINCT certificate_id) AS properties_with_recs,
+       round(sum(cost_low) / 1e6, 2) AS total_optimistic_m,
+       round(sum(cost_mid) / 1e6, 2) AS total_central_m,
+       round(sum(cost_high) / 1e6, 2) AS total_pessimistic_m,
+       round(sum(cost_low) / count(DISTINCT certificate_id), 0) AS per_home_optimistic,
+       round(sum(cost_mid) / count(DISTINCT certificate_id), 0) AS per_home_central,
+       round(sum(cost_high) / count(DISTINCT certificate_id), 0) AS per_home_pessimistic,
+       round((sum(cost_high) - sum(cost_low)) / nullif(sum(cost_mid), 0) * 100, 1) AS uncertainty_pct
+FROM jx GROUP BY borough""")
+
+retro("wall_split", f"""
+, agg AS (
+  SELECT borough, count(certificate_id) AS total_recs,
+         CAST(sum(CASE WHEN improvement_id = {fixed.CAVITY_WALL_ID} THEN 1 ELSE 0 END) AS BIGINT) AS cavity_wall_recs,
+         CAST(sum(CASE WHEN improvement_id = {fixed.SOLID_WALL_ID} THEN 1 ELSE 0 END) AS BIGINT) AS solid_wall_recs
+  FROM jx GROUP BY borough)
+SELECT *, cavity_wall_recs + solid_wall_recs AS total_wall_recs,
+       round(solid_wall_recs / nullif(cavity_wall_recs + solid_wall_recs, 0) * 100, 1) AS pct_solid_wall,
+       round(cavity_wall_recs / nullif(cavity_wall_recs + solid_wall_recs, 0) * 100, 1) AS pct_cavity_wall
+FROM agg WHERE cavity_wall_recs + solid_wall_recs > 0""")
+
+retro("common_types", """
+SELECT improvement_type, count(*) AS times_recommended, round(avg(cost_mid), 0) AS avg_cost
+FROM jx GROUP BY improvement_type ORDER BY times_recommended DESC, improvement_type ASC NULLS LAST LIMIT 20""")
+
+retro("expensive_types", """
+SELECT * FROM (SELECT improvement_type, count(*) AS times_recommended, round(avg(cost_mid), 0) AS avg_cost
+               FROM jx GROUP BY improvement_type) WHERE times_recommended > 100
+ORDER BY avg_cost DESC, improvement_type ASC NULLS LAST LIMIT 15""")
+
+retro("cost_range_by_type", """
+SELECT * FROM (SELECT improvement_type, count(*) AS times_recommended, round(avg(cost_low), 0) AS avg_low,
+                      round(avg(cost_mid), 0) AS avg_mid, round(avg(cost_high), 0) AS avg_high
+               FROM jx GROUP BY improvement_type) WHERE times_recommended > 100
+ORDER BY avg_mid DESC, improvement_type ASC NULLS LAST LIMIT 20""")
+
+retro("wall_share_by_area", """
+SELECT borough, count(certificate_id) AS total_recs,
+       CAST(sum(CASE WHEN regexp_matches(improvement_type, 'wall insulation', 'i') THEN 1 ELSE 0 END) AS BIGINT) AS wall_insulation_recs,
+       round(sum(CASE WHEN regexp_matches(improvement_type, 'wall insulation', 'i') THEN 1 ELSE 0 END)
+             / count(certificate_id) * 100, 1) AS pct_needing_wall_insulation
+FROM jx GROUP BY borough""")
+
+retro("priority_scenarios", """
+SELECT borough, count(DISTINCT certificate_id) AS properties,
+       round(sum(cost_low) / count(DISTINCT certificate_id), 0) AS per_home_low,
+       round(sum(cost_mid) / count(DISTINCT certificate_id), 0) AS per_home_mid,
+       round(sum(cost_high) / count(DISTINCT certificate_id), 0) AS per_home_high,
+       round(sum(cost_low) / 1e6, 2) AS total_low_m,
+       round(sum(cost_mid) / 1e6, 2) AS total_mid_m,
+       round(sum(cost_high) / 1e6, 2) AS total_high_m
+FROM jp GROUP BY borough""", areas=True)
+
+retro("category_costs", """
+SELECT category, count(*) AS recommendations, round(avg(cost_mid), 0) AS avg_cost_per_rec,
+       round(sum(cost_mid) / 1e6, 1) AS total_cost_m, round(sum(cost_low) / 1e6, 1) AS total_low_m,
+       round(sum(cost_high) / 1e6, 1) AS total_high_m
+FROM jx GROUP BY category""")
+
+retro("area_category_costs", """
+SELECT borough, category, count(*) AS recs, round(sum(cost_mid) / 1e6, 2) AS cost_m
+FROM jp GROUP BY borough, category""", areas=True)
+
+retro("work_tiers", """
+SELECT work_tier, count(*) AS recommendations, round(avg(cost_mid), 0) AS avg_cost,
+       round(sum(cost_mid) / 1e6, 1) AS total_cost_m
+FROM jx GROUP BY work_tier""")
+
+retro("tier_share_by_area", f"""
+SELECT borough, count(*) AS total_recs,
+       round(sum(CASE WHEN work_tier = {q(fixed.QUICK_WIN)} THEN 1 ELSE 0 END) / count(*) * 100, 1) AS pct_quick_wins,
+       round(sum(CASE WHEN work_tier = {q(fixed.MAJOR_WORKS)} THEN 1 ELSE 0 END) / count(*) * 100, 1) AS pct_major_works,
+       round(sum(cost_mid) / count(DISTINCT certificate_id), 0) AS cost_per_home
+FROM jx GROUP BY borough""")
+
+retro("quick_win_detail", f"""
+SELECT borough, work_tier, improvement_type, count(*) AS recs, round(avg(cost_mid), 0) AS avg_cost
+FROM jp WHERE work_tier = {q(fixed.QUICK_WIN)} GROUP BY borough, work_tier, improvement_type""", areas=True)
+
+retro("first_ranked_types", """
+SELECT improvement_type, category, count(*) AS times_top_priority, round(avg(cost_mid), 0) AS avg_cost
+FROM jx WHERE priority = 1 GROUP BY improvement_type, category
+ORDER BY times_top_priority DESC, improvement_type ASC NULLS LAST LIMIT 15""")
+
+retro("top3_first_ranked", """
+SELECT * FROM (
+  SELECT borough, improvement_type, category, count(*) AS times_top,
+         CAST(rank() OVER (PARTITION BY borough ORDER BY count(*) DESC) AS INTEGER) AS rnk
+  FROM jp WHERE priority = 1 GROUP BY borough, improvement_type, category)
+WHERE rnk <= 3""", areas=True)
+
+retro("cost_by_position", """
+SELECT priority, count(*) AS recommendations, round(avg(cost_mid), 0) AS avg_cost
+FROM jx GROUP BY priority HAVING priority <= 10""")
+
+retro("avg_cost_priority", """
+SELECT borough, round(avg(cost_mid), 0) AS avg_cost_per_rec FROM jp GROUP BY borough""", areas=True)
+
+retro("top5_types_per_area", """
+SELECT * FROM (
+  SELECT borough, improvement_type, count(*) AS times_recommended, round(avg(cost_mid), 0) AS avg_cost,
+         CAST(rank() OVER (PARTITION BY borough ORDER BY count(*) DESC) AS INTEGER) AS rnk
+  FROM jp GROUP BY borough, improvement_type)
+WHERE rnk <= 5""", areas=True)
