@@ -83,3 +83,55 @@ register("top3_first_ranked")(_with_areas(R.top3_first_ranked))
 register("cost_by_position")(_joined(R.cost_by_position))
 register("avg_cost_priority")(_with_areas(R.avg_cost_priority))
 register("top5_types_per_area")(_with_areas(R.top5_types_per_area))
+
+
+# ---------------------------------------------------------------- lettings
+from . import lettings as L  # noqa: E402
+from ..sources.readers import column_availability, list_files  # noqa: E402
+
+LETTINGS_OUT = ["year", "let_type", "tenancy_type", "household_size", "bedroom_standard", "bedrooms_vs_need",
+                "previous_tenure", "reason_for_letting", "weekly_income_band", "weekly_rent_band",
+                "rent_shortfall_band", "ethnicity", "tenancy_length_band", "employment_status", "region_code",
+                "weekly_income_est", "weekly_rent_est", "rent_shortfall_est", "rent_to_income_pct", "overcrowded"]
+
+
+@register("lettings_silver")
+def q_lettings_silver(spark, sf_dir):
+    return L.lettings_silver(spark, sf_dir).select(*LETTINGS_OUT)
+
+
+@register("affordability_trend")
+def q_affordability_trend(spark, sf_dir):
+    return L.affordability_trend(L.lettings_silver(spark, sf_dir))
+
+
+@register("lettings_sanity")
+def q_lettings_sanity(spark, sf_dir):
+    return L.lettings_sanity(L.lettings_silver(spark, sf_dir))
+
+
+@register("rows_by_source")
+def q_rows_by_source(spark, sf_dir):
+    return L.rows_by_source(spark, sf_dir)
+
+
+@register("column_availability")
+def q_column_availability(spark, sf_dir):
+    root = L.write_lettings_bronze(spark, sf_dir)
+    files = list_files(spark, root, ".csv")
+    return column_availability(spark, files, "\t", lambda p: p.rsplit("/", 2)[-2])
+
+
+@register("band_midpoint_table")
+def q_band_midpoint_table(spark, sf_dir):
+    s = L.lettings_silver(spark, sf_dir)
+    parts = [s.select(F.col(b).alias("band"), F.col(e).alias("midpoint"))
+             for b, e in (("weekly_income_band", "weekly_income_est"), ("weekly_rent_band", "weekly_rent_est"),
+                          ("rent_shortfall_band", "rent_shortfall_est"))]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2]).distinct()
+
+
+@register("cost_bounds_table")
+def q_cost_bounds_table(spark, sf_dir):
+    return (silver.recommendations(spark, sf_dir)
+            .select("indicative_cost", "cost_low", "cost_mid", "cost_high").distinct())

@@ -215,3 +215,49 @@ SELECT * FROM (
          CAST(rank() OVER (PARTITION BY borough ORDER BY count(*) DESC) AS INTEGER) AS rnk
   FROM jp GROUP BY borough, improvement_type)
 WHERE rnk <= 5""", areas=True)
+
+
+# ---------------------------------------------------------------- lettings
+from hearth.sources import bronze as _B  # noqa: E402
+
+oracle("lettings_silver", """
+SELECT year, let_type, tenancy_type, household_size, bedroom_standard, bedrooms_vs_need, previous_tenure,
+       reason_for_letting, weekly_income_band, weekly_rent_band, rent_shortfall_band, ethnicity,
+       tenancy_length_band, employment_status, region_code, weekly_income_est, weekly_rent_est,
+       rent_shortfall_est, rent_to_income_pct, overcrowded
+FROM lettings_silver""")
+
+oracle("affordability_trend", """
+SELECT year, count(*) AS lettings, round(avg(weekly_rent_est), 2) AS avg_weekly_rent,
+       round(avg(weekly_income_est), 2) AS avg_weekly_income,
+       round(avg(rent_to_income_pct), 1) AS avg_rent_to_income_pct,
+       round(sum(CASE WHEN rent_to_income_pct > 50 THEN 1 ELSE 0 END) / count(*) * 100, 1) AS pct_spending_over_50pct_on_rent,
+       round(sum(CASE WHEN overcrowded THEN 1 ELSE 0 END) / count(*) * 100, 1) AS pct_overcrowded
+FROM lettings_silver WHERE weekly_rent_est IS NOT NULL AND weekly_income_est IS NOT NULL
+GROUP BY year""")
+
+oracle("lettings_sanity", """
+SELECT count(*) AS lettings, count(weekly_rent_est) AS with_rent,
+       round(avg(weekly_rent_est), 2) AS avg_weekly_rent, round(avg(weekly_income_est), 2) AS avg_weekly_income,
+       round(avg(rent_to_income_pct), 1) AS avg_rent_to_income_pct
+FROM lettings_silver""")
+
+oracle("rows_by_source", """
+SELECT variant AS source, count(*) AS rows_in_scope FROM let_std GROUP BY variant""")
+
+_pairs = ", ".join(f"({q(v)}, {q(c)})" for v, cols in _B.LETTINGS_VARIANTS.items() for c in cols)
+_variants = sorted(_B.LETTINGS_VARIANTS)
+oracle("column_availability", f"""
+, hdr(source, column_name) AS (VALUES {_pairs})
+, present AS (SELECT h.* FROM hdr h WHERE h.source IN (SELECT DISTINCT event_type FROM events))
+SELECT column_name, {", ".join(f"CAST(count(*) FILTER (WHERE source = {q(v)}) AS BIGINT) AS {v}" for v in _variants)}
+FROM present GROUP BY column_name""")
+
+oracle("band_midpoint_table", """
+SELECT DISTINCT band, midpoint FROM (
+  SELECT weekly_income_band AS band, weekly_income_est AS midpoint FROM lettings_silver
+  UNION ALL SELECT weekly_rent_band, weekly_rent_est FROM lettings_silver
+  UNION ALL SELECT rent_shortfall_band, rent_shortfall_est FROM lettings_silver)""")
+
+oracle("cost_bounds_table", """
+SELECT DISTINCT indicative_cost, cost_low, cost_mid, cost_high FROM recs""")

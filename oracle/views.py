@@ -203,3 +203,81 @@ def sql(body: str) -> str:
     if body.startswith(","):
         return "WITH " + BASE + body
     return "WITH " + BASE + "\n" + body
+
+
+def _band_sql(x: str, width: int, top: int, e: str, missing: str) -> str:
+    lo = f"(CAST(floor({x} / {width}) AS BIGINT) * {width} + 1)"
+    return (f"CASE WHEN {e} % 29 = 0 THEN {q(missing)} WHEN {e} % 37 = 0 THEN '' "
+            f"WHEN {x} >= {top} THEN 'More than ' || format('{{:,}}', {top}) "
+            f"WHEN {x} < {width} THEN 'Less than {width}' "
+            f"WHEN {e} % 41 = 0 THEN CAST(floor({x}) AS BIGINT)::VARCHAR "
+            f"ELSE format('{{:,}}', {lo}) || ' to ' || format('{{:,}}', {lo} + {width - 1}) END")
+
+
+RAW_LETTINGS = f"""
+raw_lettings AS (
+  SELECT event_type AS variant,
+         CASE WHEN event_type = 'error' OR user_id % 10 = 0 THEN 'E12000002'
+              WHEN 2007 + event_id % 16 < 2012 THEN '7' ELSE 'E12000007' END
+           || CASE WHEN event_id % 17 = 0 THEN ' ' ELSE '' END AS GOVREG,
+         (2007 + event_id % 16)::VARCHAR AS YEAR,
+         {lst(B.LET_TYPES)}[event_id % 2 + 1] AS LETTYPE,
+         {lst(B.TENANCIES)}[user_id % 4 + 1] AS TENANCY,
+         CASE WHEN event_id % 31 = 0 THEN '' ELSE (1 + user_id % 6)::VARCHAR END AS HHMEMBT,
+         (1 + user_id % 4)::VARCHAR || CASE WHEN event_id % 13 = 0 THEN '.0' ELSE '' END AS BEDST,
+         CASE WHEN event_id % 23 = 0 THEN ' ' ELSE (event_id % 5 - 2)::VARCHAR END AS BED_MINUS_BEDSTANDARD,
+         {lst(B.PREV_TENURES)}[user_id % 5 + 1] AS PREVTEN_R,
+         {lst(B.REASONS)}[event_id % 5 + 1] AS REASON_R,
+         {_band_sql('value * 3', 50, 1000, 'event_id', 'Missing')} AS WEEKINC_T_Bands,
+         {_band_sql('value * 1.5', 25, 500, '(event_id + 7)', 'R')} AS WRENT_Bands,
+         {_band_sql('value / 2', 10, 100, '(event_id + 11)', 'Refused')} AS WTSHORTFALLHB_Bands,
+         {lst(B.ETHNICITIES)}[user_id % 6 + 1] AS ETHNIC_Bands,
+         {lst(B.TENANCY_LENGTHS)}[event_id % 4 + 1] AS TENANCYLENGTH_Bands,
+         {lst(B.EMPLOYMENT)}[(event_id + user_id) % 6 + 1] AS econstat_imputed_R
+  FROM events
+)"""
+
+
+def band_mid_sql(col: str) -> str:
+    s = f"regexp_replace({col}, '^\\s+|\\s+$', '', 'g')"
+    num = lambda t: f"TRY_CAST(replace({t}, ',', '') AS DOUBLE)"
+    first = f"regexp_extract({s}, '[\\d,]+')"
+    part = lambda i: f"regexp_replace(split_part({s}, ' to ', {i}), '^\\s+|\\s+$', '', 'g')"
+    return (f"(CASE WHEN {col} IS NULL OR {s} IN {inlist(fixed.BAND_SENTINELS)} THEN NULL "
+            f"WHEN contains({s}, 'More than') OR contains({s}, 'more than') THEN {num(first)} "
+            f"WHEN contains({s}, 'Less than') OR contains({s}, 'less than') THEN {num(first)} / 2 "
+            f"WHEN contains({s}, ' to ') THEN ({num(part(1))} + {num(part(2))}) / 2 "
+            f"ELSE {num(s)} END)")
+
+
+def _sint(c: str) -> str:
+    return f"TRY_CAST(TRY_CAST(nullif(trim({c}), '') AS DOUBLE) AS INTEGER)"
+
+
+LETTINGS_SILVER = f"""
+let_std AS (
+  SELECT variant, {_sint('YEAR')} AS year, nullif(trim(LETTYPE), '') AS let_type, nullif(trim(TENANCY), '') AS tenancy_type,
+         {_sint('HHMEMBT')} AS household_size, {_sint('BEDST')} AS bedroom_standard,
+         CASE WHEN variant = 'click' THEN NULL ELSE {_sint('BED_MINUS_BEDSTANDARD')} END AS bedrooms_vs_need,
+         nullif(trim(PREVTEN_R), '') AS previous_tenure, nullif(trim(REASON_R), '') AS reason_for_letting,
+         nullif(trim(WEEKINC_T_Bands), '') AS weekly_income_band, nullif(trim(WRENT_Bands), '') AS weekly_rent_band,
+         nullif(trim(WTSHORTFALLHB_Bands), '') AS rent_shortfall_band, nullif(trim(ETHNIC_Bands), '') AS ethnicity,
+         CASE WHEN variant = 'click' THEN NULL ELSE trim(TENANCYLENGTH_Bands) END AS tenancy_length_band,
+         CASE WHEN variant = 'click' THEN NULL ELSE trim(econstat_imputed_R) END AS employment_status
+  FROM raw_lettings WHERE trim(GOVREG) IN {inlist(fixed.LETTINGS_REGION_CODES)}
+),
+let_est AS (
+  SELECT *, '{fixed.TARGET_REGION}' AS region_code,
+         {band_mid_sql('weekly_income_band')} AS weekly_income_est,
+         {band_mid_sql('weekly_rent_band')} AS weekly_rent_est,
+         {band_mid_sql('rent_shortfall_band')} AS rent_shortfall_est
+  FROM let_std
+),
+lettings_silver AS (
+  SELECT *, CASE WHEN weekly_income_est > 0 AND weekly_rent_est IS NOT NULL
+                 THEN weekly_rent_est / weekly_income_est * 100 END AS rent_to_income_pct,
+         CASE WHEN bedrooms_vs_need < 0 THEN TRUE ELSE FALSE END AS overcrowded
+  FROM let_est
+)"""
+
+BASE = ",\n".join([RAW_CERT, RAW_REC, RAW_IMD, CERT_SILVER, RECS, RAW_LETTINGS, LETTINGS_SILVER])
