@@ -135,3 +135,117 @@ def q_band_midpoint_table(spark, sf_dir):
 def q_cost_bounds_table(spark, sf_dir):
     return (silver.recommendations(spark, sf_dir)
             .select("indicative_cost", "cost_low", "cost_mid", "cost_high").distinct())
+
+
+# ---------------------------------------------------------------- profiling
+from ..functions import columns as C  # noqa: E402
+from ..operators import profile as P  # noqa: E402
+
+CERT_AUDIT_COLUMNS = ["uprn", "postcode", "address1", "local_authority_label", "tenure", "property_type",
+                      "construction_age_band", "current_energy_rating", "current_energy_efficiency",
+                      "total_floor_area", "main_fuel", "inspection_date", "mains_gas_flag"]
+
+
+@register("tenure_counts")
+def q_tenure_counts(spark, sf_dir):
+    return P.value_counts(bronze.raw_certificates(spark, sf_dir), "tenure")
+
+
+@register("silver_value_counts")
+def q_silver_value_counts(spark, sf_dir):
+    return P.multi_value_counts(silver.certificates_silver(spark, sf_dir),
+                                ["property_type", "built_form", "construction_age_band", "fuel_category",
+                                 "epc_rating"])
+
+
+@register("raw_cost_counts")
+def q_raw_cost_counts(spark, sf_dir):
+    return P.value_counts(R.enriched(spark, sf_dir)[1], "indicative_cost", 20)
+
+
+@register("rating_distribution")
+def q_rating_distribution(spark, sf_dir):
+    vc = (silver.certificates_silver(spark, sf_dir).groupBy("epc_rating")
+          .agg(F.count(F.lit(1)).alias("count")))
+    return P.share_of_total(vc).withColumn("below_c", C.below_c_flag("epc_rating"))
+
+
+@register("score_stats")
+def q_score_stats(spark, sf_dir):
+    return silver.certificates_silver(spark, sf_dir).agg(
+        F.round(F.avg("epc_score"), 1).alias("mean_score"),
+        F.min("epc_score").alias("min_score"), F.max("epc_score").alias("max_score"))
+
+
+@register("area_breakdown")
+def q_area_breakdown(spark, sf_dir):
+    proj = silver.project_certificates(bronze.raw_certificates(spark, sf_dir))
+    return (proj.filter(F.col("borough").isNotNull()).groupBy("borough").agg(
+        F.count(F.lit(1)).alias("properties"),
+        F.round(F.avg("epc_score"), 1).alias("avg_epc_score"),
+        F.sum(F.when(C.below_c_flag("epc_rating"), 1).otherwise(0)).alias("below_c_count"))
+        .withColumn("pct_below_c", F.round(F.col("below_c_count") / F.col("properties") * 100, 1)))
+
+
+@register("year_histogram")
+def q_year_histogram(spark, sf_dir):
+    return (silver.certificates_silver(spark, sf_dir).groupBy("inspection_year")
+            .agg(F.count(F.lit(1)).alias("count")))
+
+
+@register("null_audit")
+def q_null_audit(spark, sf_dir):
+    return P.null_audit(silver.certificates_silver(spark, sf_dir))
+
+
+@register("blank_audit")
+def q_blank_audit(spark, sf_dir):
+    return P.blank_audit(bronze.raw_certificates(spark, sf_dir), CERT_AUDIT_COLUMNS)
+
+
+@register("lettings_blank_audit")
+def q_lettings_blank_audit(spark, sf_dir):
+    raw = bronze.raw_lettings(spark, sf_dir)
+    london = raw.filter(F.trim("GOVREG").isin(*fixed.LETTINGS_REGION_CODES))
+    return P.blank_audit(london, ["HHMEMBT", "BEDST", "BED_MINUS_BEDSTANDARD", "YEAR"])
+
+
+@register("coverage")
+def q_coverage(spark, sf_dir):
+    s = silver.certificates_silver(spark, sf_dir).select("certificate_id")
+    with_recs = s.join(silver.recommendations(spark, sf_dir).select("certificate_id").distinct(),
+                       "certificate_id", "left_semi")
+    total = s.agg(F.count(F.lit(1)).alias("total_certs"))
+    covered = with_recs.agg(F.count(F.lit(1)).alias("certs_with_recs"))
+    return (total.crossJoin(covered)   # 1 x 1 rows
+            .withColumn("pct_with_recs",
+                        F.round(F.try_divide(F.col("certs_with_recs"), F.col("total_certs")) * 100, 1)))
+
+
+@register("carbon_rank")
+def q_carbon_rank(spark, sf_dir):
+    from ..operators.ranking import rank_desc
+    pr = gold.composite_priority(spark, sf_dir).select("priority_rank", "borough", "avg_co2_per_m2",
+                                                       "pct_below_epc_c")
+    return rank_desc(pr, "avg_co2_per_m2", "carbon_rank")
+
+
+@register("carbon_summary")
+def q_carbon_summary(spark, sf_dir):
+    pr = gold.composite_priority(spark, sf_dir)
+    return pr.agg(F.round(F.avg("avg_co2_per_m2"), 2).alias("area_avg"),
+                  F.min("avg_co2_per_m2").alias("area_min"), F.max("avg_co2_per_m2").alias("area_max"))
+
+
+@register("scope_share")
+def q_scope_share(spark, sf_dir):
+    raw = bronze.raw_certificates(spark, sf_dir)
+    scope = C.tenure_in_scope(F.trim("tenure")) & (F.trim("region") == fixed.TARGET_REGION)
+    return raw.agg(
+        F.count(F.lit(1)).alias("all_rows"),
+        F.count_if(scope).alias("in_scope_rows"),
+        F.round(F.count_if(scope) / F.count(F.lit(1)) * 100, 1).alias("pct_in_scope"),
+        F.count_distinct(F.when(scope, F.trim("uprn"))).alias("distinct_uprn"),
+        F.count_distinct(F.when(scope, F.trim("local_authority_label"))).alias("areas"),
+        F.count_distinct(F.when(scope, F.trim("property_type"))).alias("property_types"),
+    )

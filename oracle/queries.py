@@ -261,3 +261,86 @@ SELECT DISTINCT band, midpoint FROM (
 
 oracle("cost_bounds_table", """
 SELECT DISTINCT indicative_cost, cost_low, cost_mid, cost_high FROM recs""")
+
+
+# ---------------------------------------------------------------- profiling
+oracle("tenure_counts", "SELECT tenure AS value, count(*) AS count FROM raw_cert GROUP BY tenure")
+
+oracle("silver_value_counts", """
+SELECT column_name, value, count(*) AS count FROM (
+  SELECT 'property_type' AS column_name, property_type AS value FROM cert_silver
+  UNION ALL SELECT 'built_form', built_form FROM cert_silver
+  UNION ALL SELECT 'construction_age_band', construction_age_band FROM cert_silver
+  UNION ALL SELECT 'fuel_category', fuel_category FROM cert_silver
+  UNION ALL SELECT 'epc_rating', epc_rating FROM cert_silver)
+GROUP BY column_name, value""")
+
+oracle("raw_cost_counts", """
+SELECT indicative_cost AS value, count(*) AS count FROM joined
+GROUP BY indicative_cost ORDER BY count DESC, value ASC NULLS LAST LIMIT 20""")
+
+oracle("rating_distribution", f"""
+SELECT epc_rating, count(*) AS count, round(count(*) / sum(count(*)) OVER () * 100, 1) AS pct_of_total,
+       CASE WHEN epc_rating IN {inlist(fixed.BELOW_C_RATINGS)} THEN TRUE ELSE FALSE END AS below_c
+FROM cert_silver GROUP BY epc_rating""")
+
+oracle("score_stats", """
+SELECT round(avg(epc_score), 1) AS mean_score, min(epc_score) AS min_score, max(epc_score) AS max_score
+FROM cert_silver""")
+
+oracle("area_breakdown", f"""
+SELECT borough, count(*) AS properties, round(avg(epc_score), 1) AS avg_epc_score,
+       CAST(sum(CASE WHEN epc_rating IN {inlist(fixed.BELOW_C_RATINGS)} THEN 1 ELSE 0 END) AS BIGINT) AS below_c_count,
+       round(sum(CASE WHEN epc_rating IN {inlist(fixed.BELOW_C_RATINGS)} THEN 1 ELSE 0 END) / count(*) * 100, 1) AS pct_below_c
+FROM cert_proj WHERE borough IS NOT NULL GROUP BY borough""")
+
+oracle("year_histogram", "SELECT inspection_year, count(*) AS count FROM cert_silver GROUP BY inspection_year")
+
+_SILVER_COLS = ["certificate_id", "uprn", "postcode", "address1", "local_authority_code", "borough", "tenure",
+                "property_type", "built_form", "construction_age_band", "epc_rating", "epc_score",
+                "floor_area_m2", "co2_emissions", "energy_consumption", "heating_cost", "epc_potential",
+                "main_fuel", "walls_energy_eff", "roof_energy_eff", "windows_energy_eff", "mains_gas_flag",
+                "inspection_date", "region_code", "below_epc_c", "inspection_year", "fuel_category"]
+_FLOATS = {"epc_score", "floor_area_m2", "co2_emissions", "energy_consumption", "heating_cost", "epc_potential"}
+oracle("null_audit", " UNION ALL ".join(
+    f"SELECT {q(c)} AS column_name, count(*) FILTER (WHERE {c} IS NULL"
+    + (f" OR isnan({c})" if c in _FLOATS else "") + ") AS nulls FROM cert_silver" for c in _SILVER_COLS))
+
+_AUDIT = ["uprn", "postcode", "address1", "local_authority_label", "tenure", "property_type",
+          "construction_age_band", "current_energy_rating", "current_energy_efficiency", "total_floor_area",
+          "main_fuel", "inspection_date", "mains_gas_flag"]
+oracle("blank_audit", " UNION ALL ".join(
+    f"SELECT {q(c)} AS column_name, count(*) FILTER (WHERE {c} IS NULL OR trim({c}) = '') AS blanks, "
+    f"round(count(*) FILTER (WHERE {c} IS NULL OR trim({c}) = '') / count(*) * 100, 1) AS pct_blank FROM raw_cert"
+    for c in _AUDIT))
+
+oracle("lettings_blank_audit", " UNION ALL ".join(
+    f"SELECT {q(c)} AS column_name, count(*) FILTER (WHERE {c} IS NULL OR trim({c}) = '') AS blanks, "
+    f"round(count(*) FILTER (WHERE {c} IS NULL OR trim({c}) = '') / count(*) * 100, 1) AS pct_blank "
+    f"FROM raw_lettings WHERE trim(GOVREG) IN {inlist(fixed.LETTINGS_REGION_CODES)}"
+    for c in ["HHMEMBT", "BEDST", "BED_MINUS_BEDSTANDARD", "YEAR"]))
+
+oracle("coverage", """
+SELECT count(*) AS total_certs,
+       count(*) FILTER (WHERE certificate_id IN (SELECT certificate_id FROM recs)) AS certs_with_recs,
+       round(count(*) FILTER (WHERE certificate_id IN (SELECT certificate_id FROM recs)) / count(*) * 100, 1) AS pct_with_recs
+FROM cert_silver""")
+
+oracle("carbon_rank", PRIORITY + """
+SELECT priority_rank, borough, avg_co2_per_m2, pct_below_epc_c,
+       CAST(rank() OVER (ORDER BY avg_co2_per_m2 DESC NULLS LAST) AS INTEGER) AS carbon_rank
+FROM priority""")
+
+oracle("carbon_summary", PRIORITY + """
+SELECT round(avg(avg_co2_per_m2), 2) AS area_avg, min(avg_co2_per_m2) AS area_min, max(avg_co2_per_m2) AS area_max
+FROM priority""")
+
+oracle("scope_share", f"""
+, sc AS (SELECT *, upper(trim(tenure)) IN {inlist(fixed.SOCIAL_TENURES)} AND trim(region) = '{fixed.TARGET_REGION}' AS scope
+         FROM raw_cert)
+SELECT count(*) AS all_rows, count(*) FILTER (WHERE scope) AS in_scope_rows,
+       round(count(*) FILTER (WHERE scope) / count(*) * 100, 1) AS pct_in_scope,
+       count(DISTINCT CASE WHEN scope THEN trim(uprn) END) AS distinct_uprn,
+       count(DISTINCT CASE WHEN scope THEN trim(local_authority_label) END) AS areas,
+       count(DISTINCT CASE WHEN scope THEN trim(property_type) END) AS property_types
+FROM sc""")
