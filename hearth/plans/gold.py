@@ -9,7 +9,7 @@ from ..functions import columns as C
 from ..functions import fixed
 from ..operators.ranking import composite_rank
 from ..sources import bronze
-from .silver import certificates_silver
+from . import layers
 
 
 def area_quality(silver: DataFrame) -> DataFrame:
@@ -68,14 +68,14 @@ def composite_priority_from(quality: DataFrame, deprivation: DataFrame) -> DataF
 
 
 def composite_priority(spark: SparkSession, sf_dir: str, silver: DataFrame | None = None) -> DataFrame:
-    silver = silver if silver is not None else certificates_silver(spark, sf_dir)
+    silver = silver if silver is not None else layers.certificates(spark, sf_dir)
     return composite_priority_from(area_quality(silver),
                                    area_deprivation(bronze.raw_deprivation(spark, sf_dir)))
 
 
 def unmatched_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Areas of the certificates with no deprivation match."""
-    q, d = _keyed(area_quality(certificates_silver(spark, sf_dir)),
+    q, d = _keyed(area_quality(layers.certificates(spark, sf_dir)),
                   area_deprivation(bronze.raw_deprivation(spark, sf_dir)))
     return q.join(d, "area_key", "left_anti").select("borough", "social_properties")
 
@@ -89,7 +89,7 @@ def top_area_trend(spark: SparkSession, sf_dir: str, top: int = fixed.TOP_AREAS)
     Spark broadcasts it and can prune partitions of a borough-partitioned
     silver table at run time.
     """
-    silver = certificates_silver(spark, sf_dir)
+    silver = layers.certificates(spark, sf_dir)
     priority = composite_priority(spark, sf_dir, silver)
     top_n = priority.orderBy("priority_rank", "borough").limit(top).select("borough")
     lo, hi = fixed.TREND_YEARS

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import fixed
 from ..operators.dedup import dedup_stats, property_key
 from ..sources import bronze
-from . import gold, silver
+from . import gold, layers, silver
 from .catalog import register
 
 
@@ -25,7 +25,7 @@ def q_dedup_stats(spark, sf_dir):
 
 @register("area_quality")
 def q_area_quality(spark, sf_dir):
-    return gold.area_quality(silver.certificates_silver(spark, sf_dir))
+    return gold.area_quality(layers.certificates(spark, sf_dir))
 
 
 @register("area_deprivation")
@@ -102,12 +102,12 @@ def q_lettings_silver(spark, sf_dir):
 
 @register("affordability_trend")
 def q_affordability_trend(spark, sf_dir):
-    return L.affordability_trend(L.lettings_silver(spark, sf_dir))
+    return L.affordability_trend(layers.lettings(spark, sf_dir))
 
 
 @register("lettings_sanity")
 def q_lettings_sanity(spark, sf_dir):
-    return L.lettings_sanity(L.lettings_silver(spark, sf_dir))
+    return L.lettings_sanity(layers.lettings(spark, sf_dir))
 
 
 @register("rows_by_source")
@@ -124,7 +124,7 @@ def q_column_availability(spark, sf_dir):
 
 @register("band_midpoint_table")
 def q_band_midpoint_table(spark, sf_dir):
-    s = L.lettings_silver(spark, sf_dir)
+    s = layers.lettings(spark, sf_dir)
     parts = [s.select(F.col(b).alias("band"), F.col(e).alias("midpoint"))
              for b, e in (("weekly_income_band", "weekly_income_est"), ("weekly_rent_band", "weekly_rent_est"),
                           ("rent_shortfall_band", "rent_shortfall_est"))]
@@ -153,7 +153,7 @@ def q_tenure_counts(spark, sf_dir):
 
 @register("silver_value_counts")
 def q_silver_value_counts(spark, sf_dir):
-    return P.multi_value_counts(silver.certificates_silver(spark, sf_dir),
+    return P.multi_value_counts(layers.certificates(spark, sf_dir),
                                 ["property_type", "built_form", "construction_age_band", "fuel_category",
                                  "epc_rating"])
 
@@ -165,14 +165,14 @@ def q_raw_cost_counts(spark, sf_dir):
 
 @register("rating_distribution")
 def q_rating_distribution(spark, sf_dir):
-    vc = (silver.certificates_silver(spark, sf_dir).groupBy("epc_rating")
+    vc = (layers.certificates(spark, sf_dir).groupBy("epc_rating")
           .agg(F.count(F.lit(1)).alias("count")))
     return P.share_of_total(vc).withColumn("below_c", C.below_c_flag("epc_rating"))
 
 
 @register("score_stats")
 def q_score_stats(spark, sf_dir):
-    return silver.certificates_silver(spark, sf_dir).agg(
+    return layers.certificates(spark, sf_dir).agg(
         F.round(F.avg("epc_score"), 1).alias("mean_score"),
         F.min("epc_score").alias("min_score"), F.max("epc_score").alias("max_score"))
 
@@ -189,13 +189,13 @@ def q_area_breakdown(spark, sf_dir):
 
 @register("year_histogram")
 def q_year_histogram(spark, sf_dir):
-    return (silver.certificates_silver(spark, sf_dir).groupBy("inspection_year")
+    return (layers.certificates(spark, sf_dir).groupBy("inspection_year")
             .agg(F.count(F.lit(1)).alias("count")))
 
 
 @register("null_audit")
 def q_null_audit(spark, sf_dir):
-    return P.null_audit(silver.certificates_silver(spark, sf_dir))
+    return P.null_audit(layers.certificates(spark, sf_dir))
 
 
 @register("blank_audit")
@@ -212,14 +212,16 @@ def q_lettings_blank_audit(spark, sf_dir):
 
 @register("coverage")
 def q_coverage(spark, sf_dir):
-    s = silver.certificates_silver(spark, sf_dir).select("certificate_id")
-    with_recs = s.join(silver.recommendations(spark, sf_dir).select("certificate_id").distinct(),
-                       "certificate_id", "left_semi")
-    total = s.agg(F.count(F.lit(1)).alias("total_certs"))
-    covered = with_recs.agg(F.count(F.lit(1)).alias("certs_with_recs"))
-    return (total.crossJoin(covered)   # 1 x 1 rows
-            .withColumn("pct_with_recs",
-                        F.round(F.try_divide(F.col("certs_with_recs"), F.col("total_certs")) * 100, 1)))
+    # Membership flag (J8): left join to the distinct recommendation keys.
+    s = layers.certificates(spark, sf_dir).select("certificate_id")
+    keys = (silver.recommendations(spark, sf_dir).select("certificate_id").distinct()
+            .withColumn("has_recs", F.lit(True)))
+    flagged = s.join(keys, "certificate_id", "left")
+    return flagged.agg(
+        F.count(F.lit(1)).alias("total_certs"),
+        F.count_if(F.col("has_recs").isNotNull()).alias("certs_with_recs"),
+        F.round(F.try_divide(F.count_if(F.col("has_recs").isNotNull()), F.count(F.lit(1))) * 100, 1)
+        .alias("pct_with_recs"))
 
 
 @register("carbon_rank")
@@ -249,3 +251,70 @@ def q_scope_share(spark, sf_dir):
         F.count_distinct(F.when(scope, F.trim("local_authority_label"))).alias("areas"),
         F.count_distinct(F.when(scope, F.trim("property_type"))).alias("property_types"),
     )
+
+
+# ---------------------------------------------------------------- reachability and greedy cover
+from . import reach as RC  # noqa: E402
+
+
+def _scored_silver(fn):
+    def run(spark, sf_dir):
+        return fn(layers.certificates(spark, sf_dir))
+    return run
+
+
+register("funnel")(_scored_silver(RC.funnel))
+register("gap_percentiles")(_scored_silver(RC.gap_percentiles))
+register("age_distribution")(_scored_silver(RC.age_distribution))
+register("reachability_shares")(_scored_silver(RC.reachability_shares))
+
+
+@register("frequent_types")
+def q_frequent_types(spark, sf_dir):
+    return RC.frequent_types(RC.scored_recs(spark, sf_dir))
+
+
+@register("type_property_counts")
+def q_type_property_counts(spark, sf_dir):
+    return RC.type_property_counts(RC.scored_recs(spark, sf_dir))
+
+
+@register("attribution_by_age")
+def q_attribution_by_age(spark, sf_dir):
+    s = layers.certificates(spark, sf_dir)
+    recs = RC.scored_recs(spark, sf_dir)
+    return RC.attribution_table(RC.uplift_attribution(recs, s), recs)
+
+
+@register("cost_efficiency")
+def q_cost_efficiency(spark, sf_dir):
+    s = layers.certificates(spark, sf_dir)
+    recs = RC.scored_recs(spark, sf_dir)
+    return RC.cost_efficiency(RC.attribution_table(RC.uplift_attribution(recs, s), recs), recs)
+
+
+@register("greedy_cover")
+def q_greedy_cover(spark, sf_dir):
+    return RC.pipeline(spark, sf_dir)[4]
+
+
+@register("greedy_headline")
+def q_greedy_headline(spark, sf_dir):
+    return RC.greedy_headline(RC.pipeline(spark, sf_dir)[4])
+
+
+@register("property_class_counts")
+def q_property_class_counts(spark, sf_dir):
+    props = RC.pipeline(spark, sf_dir)[5]
+    return props.groupBy(F.col("category").alias("value")).agg(F.count(F.lit(1)).alias("count"))
+
+
+@register("area_greedy_summary")
+def q_area_greedy_summary(spark, sf_dir):
+    s, *_, props = RC.pipeline(spark, sf_dir)
+    return RC.area_greedy_summary(s, props)
+
+
+@register("age_cost_stats")
+def q_age_cost_stats(spark, sf_dir):
+    return RC.age_cost_stats(RC.pipeline(spark, sf_dir)[5])

@@ -9,18 +9,14 @@ from ..functions import columns as C
 from ..functions import fixed
 from ..operators.ranking import top_k, top_n_per_group
 from . import gold
-from .silver import certificates_silver, joined_recommendations
+from . import layers
 
 M = 1_000_000
 
 
 def enriched(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """(silver certificates, recommendations ⋈ certificates with category and tier)."""
-    silver = certificates_silver(spark, sf_dir)
-    joined = (joined_recommendations(spark, sf_dir, silver)
-              .withColumn("category", C.category("improvement_type"))
-              .withColumn("work_tier", C.work_tier("cost_mid")))
-    return silver, joined
+    """(silver certificates, recommendations ⋈ certificates with category, tier, age group) from the silver layer."""
+    return layers.certificates(spark, sf_dir), layers.retrofit_base(spark, sf_dir)
 
 
 def priority_areas(spark: SparkSession, sf_dir: str, silver: DataFrame, n: int = fixed.TOP_AREAS) -> DataFrame:

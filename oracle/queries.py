@@ -344,3 +344,172 @@ SELECT count(*) AS all_rows, count(*) FILTER (WHERE scope) AS in_scope_rows,
        count(DISTINCT CASE WHEN scope THEN trim(local_authority_label) END) AS areas,
        count(DISTINCT CASE WHEN scope THEN trim(property_type) END) AS property_types
 FROM sc""")
+
+
+# ---------------------------------------------------------------- reachability and greedy cover
+from hearth.plans.reach import age_column  # noqa: E402
+
+from .views import age_group_sql  # noqa: E402
+
+_T, _CAP = fixed.TARGET_SCORE, fixed.EXEMPT_CAP
+_ORDER = "CASE age_group " + " ".join(f"WHEN {q(g)} THEN {i}" for i, g in enumerate(fixed.AGE_ORDER)) \
+    + f" ELSE {len(fixed.AGE_ORDER)} END"
+
+
+def _money(x: str) -> str:
+    return f"('£' || format('{{:,}}', CAST(round({x}) AS BIGINT)))"
+
+
+def money_range_sql(m: str, lo: str, hi: str) -> str:
+    return (f"CASE WHEN {m} IS NULL OR {lo} IS NULL OR {hi} IS NULL OR isnan({m}) OR isnan({lo}) OR isnan({hi}) "
+            f"THEN '' ELSE {_money(m)} || ' (' || {_money(lo)} || '–' || {_money(hi)} || ')' END")
+
+
+SCORED = f"""
+, scored AS (
+  SELECT *, {age_group_sql('construction_age_band')} AS age_group, epc_score < {_T} AS below_target,
+         CASE WHEN epc_score < {_T} THEN {_T} - epc_score END AS gap,
+         (epc_potential IS NOT NULL AND epc_potential >= {_T}) AS epc_reachable
+  FROM cert_silver WHERE epc_score IS NOT NULL)
+, below AS (SELECT * FROM scored WHERE below_target)"""
+
+oracle("funnel", SCORED + """
+SELECT count(*) AS total, count(*) FILTER (WHERE NOT below_target) AS at_target,
+       count(*) FILTER (WHERE below_target) AS below,
+       count(*) FILTER (WHERE below_target AND epc_reachable) AS reachable,
+       count(*) FILTER (WHERE below_target AND NOT epc_reachable) AS not_reachable,
+       round(count(*) FILTER (WHERE NOT below_target) / count(*) * 100, 1) AS pct_at_target,
+       round(count(*) FILTER (WHERE below_target) / count(*) * 100, 1) AS pct_below,
+       round(count(*) FILTER (WHERE below_target AND epc_reachable)
+             / nullif(count(*) FILTER (WHERE below_target), 0) * 100, 1) AS pct_reachable
+FROM scored""")
+
+oracle("gap_percentiles", SCORED + """
+SELECT count(*) AS n, round(avg(gap), 1) AS mean_gap, round(quantile_cont(gap, 0.5), 2) AS median_gap,
+       round(quantile_cont(gap, 0.9), 2) AS p90_gap
+FROM below""")
+
+oracle("age_distribution", SCORED + f"""
+SELECT age_group, count(*) AS n_properties,
+       round(avg(CASE WHEN epc_reachable THEN 1.0 ELSE 0.0 END) * 100, 1) AS pct_reachable,
+       round(avg(gap), 1) AS avg_gap, CAST({_ORDER} AS INTEGER) AS display_order
+FROM below GROUP BY age_group""")
+
+oracle("reachability_shares", SCORED + """
+SELECT borough, count(*) FILTER (WHERE NOT below_target) AS already_c,
+       count(*) FILTER (WHERE below_target AND epc_reachable) AS can_reach,
+       count(*) FILTER (WHERE below_target AND NOT epc_reachable) AS cannot_reach, count(*) AS total,
+       count(*) FILTER (WHERE NOT below_target) / count(*) * 100 AS pct_already_c,
+       count(*) FILTER (WHERE below_target AND epc_reachable) / count(*) * 100 AS pct_can_reach,
+       count(*) FILTER (WHERE below_target AND NOT epc_reachable) / count(*) * 100 AS pct_cannot_reach
+FROM scored GROUP BY borough""")
+
+ATTR = SCORED + f"""
+, srecs AS (SELECT *, {age_group_sql('construction_age_band')} AS age_group FROM joined)
+, freq AS (SELECT improvement_type, count(*) AS n_rows FROM srecs WHERE improvement_type IS NOT NULL
+           GROUP BY improvement_type HAVING count(*) >= {fixed.MIN_TYPE_FREQ})
+, tpc AS (SELECT improvement_type, count(DISTINCT certificate_id) AS n_properties FROM srecs
+          WHERE epc_score < {_T} AND improvement_type IS NOT NULL GROUP BY improvement_type)
+, pres AS (SELECT DISTINCT certificate_id, improvement_type FROM srecs
+           WHERE improvement_type IN (SELECT improvement_type FROM freq))
+, kk AS (SELECT certificate_id, count(*) AS k FROM pres GROUP BY certificate_id)
+, ucerts AS (SELECT certificate_id, epc_potential - epc_score AS uplift,
+                    {age_group_sql('construction_age_band')} AS age_group
+             FROM cert_silver WHERE epc_score IS NOT NULL AND epc_potential IS NOT NULL
+               AND epc_potential - epc_score >= 0)
+, shares AS (SELECT p.improvement_type, u.age_group, CAST(round(u.uplift * 100 / kk.k, 0) AS BIGINT) AS share_c
+             FROM pres p JOIN kk ON p.certificate_id = kk.certificate_id
+             JOIN ucerts u ON p.certificate_id = u.certificate_id)
+, by_age AS (SELECT improvement_type, age_group, sum(share_c) AS s, count(*) AS c FROM shares
+             GROUP BY improvement_type, age_group)
+, overall AS (SELECT improvement_type, round(sum(s) / sum(c), 0) / 100 AS overall_avg_pts,
+                     CAST(sum(c) AS BIGINT) AS n_present
+              FROM by_age GROUP BY improvement_type HAVING sum(c) >= {fixed.MIN_PRESENT_ROWS})
+, attr AS (SELECT b.improvement_type, b.age_group, round(b.s / b.c, 0) / 100 AS avg_pts, o.overall_avg_pts
+           FROM by_age b JOIN overall o ON b.improvement_type = o.improvement_type)
+, attr_wide AS (
+  SELECT a.improvement_type, a.overall_avg_pts, coalesce(t.n_properties, 0) AS n_properties,
+         {", ".join(f"max(CASE WHEN a.age_group = {q(g)} THEN a.avg_pts END) AS {age_column(g)}" for g in fixed.AGE_ORDER)}
+  FROM attr a LEFT JOIN tpc t ON a.improvement_type = t.improvement_type
+  GROUP BY a.improvement_type, a.overall_avg_pts, t.n_properties)"""
+
+oracle("frequent_types", ATTR + "\nSELECT * FROM freq")
+oracle("type_property_counts", ATTR + "\nSELECT * FROM tpc")
+oracle("attribution_by_age", ATTR + "\nSELECT * FROM attr_wide")
+oracle("cost_efficiency", ATTR + f"""
+, costs AS (SELECT improvement_type, avg(cost_low) AS cost_low, avg(cost_mid) AS cost_mid, avg(cost_high) AS cost_high
+            FROM srecs GROUP BY improvement_type)
+, ce AS (SELECT w.improvement_type, w.overall_avg_pts, w.n_properties, c.cost_low, c.cost_mid, c.cost_high,
+                round(c.cost_mid / w.overall_avg_pts, 0) AS per_point_mid,
+                round(c.cost_low / w.overall_avg_pts, 0) AS per_point_low,
+                round(c.cost_high / w.overall_avg_pts, 0) AS per_point_high
+         FROM attr_wide w LEFT JOIN costs c ON w.improvement_type = c.improvement_type
+         WHERE w.overall_avg_pts > 0)
+SELECT improvement_type, overall_avg_pts, n_properties, round(cost_low, 2) AS cost_low,
+       round(cost_mid, 2) AS cost_mid, round(cost_high, 2) AS cost_high, per_point_mid, per_point_low,
+       per_point_high, {money_range_sql('cost_mid', 'cost_low', 'cost_high')} AS cost_range,
+       {money_range_sql('per_point_mid', 'per_point_low', 'per_point_high')} AS per_point_range
+FROM ce WHERE per_point_mid IS NOT NULL ORDER BY per_point_mid, improvement_type LIMIT 20""")
+
+_CLS = [q(c) for c in fixed.PROPERTY_CLASSES]
+GREEDY = ATTR + f"""
+, lk_age AS (SELECT improvement_type, age_group, avg_pts AS u_age FROM attr WHERE avg_pts > 0)
+, types AS (SELECT DISTINCT improvement_type, overall_avg_pts FROM attr)
+, lk_type AS (SELECT improvement_type, overall_avg_pts AS u_type FROM types WHERE overall_avg_pts > 0)
+, glob_med AS (SELECT quantile_cont(overall_avg_pts, 0.5) AS u_global FROM types)
+, cand AS (SELECT *, {_T} - epc_score AS gap FROM srecs WHERE epc_score < {_T} AND epc_potential >= {_T})
+, est AS (SELECT c.*, coalesce(a.u_age, t.u_type, (SELECT u_global FROM glob_med)) AS est_uplift
+          FROM cand c
+          LEFT JOIN lk_age a ON c.improvement_type = a.improvement_type AND c.age_group = a.age_group
+          LEFT JOIN lk_type t ON c.improvement_type = t.improvement_type)
+, est2 AS (SELECT *, CAST(round(est_uplift * 100) AS BIGINT) AS est_c,
+                  CASE WHEN est_uplift > 0 AND cost_mid IS NOT NULL THEN cost_mid / est_uplift
+                       ELSE CAST('inf' AS DOUBLE) END AS cost_per_pt
+           FROM est)
+, ranked AS (SELECT *, sum(est_c) OVER w AS cum_c, row_number() OVER w - 1 AS row_rank FROM est2
+             WINDOW w AS (PARTITION BY certificate_id ORDER BY cost_per_pt ASC, improvement_type ASC NULLS LAST,
+                          priority ASC NULLS LAST, cost_low ASC NULLS LAST, cost_high ASC NULLS LAST
+                          ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))
+, covered AS (SELECT *, min(CASE WHEN cum_c >= gap * 100 THEN row_rank END)
+                         OVER (PARTITION BY certificate_id) AS cover_rank FROM ranked)
+, grows AS (SELECT *, coalesce(row_rank <= cover_rank, false) AS selected FROM covered)
+, greedy AS (SELECT certificate_id, coalesce(sum(cost_low), 0) AS greedy_cost_low,
+                    coalesce(sum(cost_mid), 0) AS greedy_cost_mid, coalesce(sum(cost_high), 0) AS greedy_cost_high,
+                    count(improvement_type) AS n_recs_needed
+             FROM grows WHERE selected GROUP BY certificate_id)
+, hasr AS (SELECT DISTINCT certificate_id FROM grows)
+, props AS (
+  SELECT b.*, g.greedy_cost_low, g.greedy_cost_mid, g.greedy_cost_high, g.n_recs_needed,
+         g.certificate_id IS NOT NULL AS has_greedy, h.certificate_id IS NOT NULL AS has_recs,
+         CASE WHEN NOT b.epc_reachable THEN {_CLS[0]} WHEN h.certificate_id IS NULL THEN {_CLS[1]}
+              WHEN g.certificate_id IS NULL THEN {_CLS[2]} WHEN g.greedy_cost_mid > {_CAP} THEN {_CLS[3]}
+              ELSE {_CLS[4]} END AS category
+  FROM below b LEFT JOIN greedy g ON b.certificate_id = g.certificate_id
+  LEFT JOIN hasr h ON b.certificate_id = h.certificate_id)"""
+
+oracle("greedy_cover", GREEDY + "\nSELECT * FROM greedy")
+oracle("greedy_headline", GREEDY + f"""
+SELECT count(*) AS n_covered, round(avg(greedy_cost_mid), 0) AS mean_cost_mid,
+       round(count(*) FILTER (WHERE greedy_cost_mid > {_CAP}) / count(*) * 100, 1) AS pct_over_cap,
+       round(avg(n_recs_needed), 1) AS avg_recs, round(quantile_cont(greedy_cost_mid, 0.5), 0) AS median_cost_mid
+FROM greedy""")
+oracle("property_class_counts", GREEDY + "\nSELECT category AS value, count(*) AS count FROM props GROUP BY category")
+oracle("area_greedy_summary", GREEDY + f"""
+, at_c AS (SELECT borough, count(*) AS already_at_c FROM scored WHERE NOT below_target GROUP BY borough)
+, summ AS (
+  SELECT borough, count(*) AS below_c, count(*) FILTER (WHERE epc_reachable) AS n_epc_reachable,
+         count(*) FILTER (WHERE greedy_cost_mid > {_CAP}) AS n_over_10k, round(avg(gap), 1) AS avg_gap,
+         round(avg(n_recs_needed), 1) AS avg_recs_to_c,
+         round(quantile_cont(greedy_cost_low, 0.5), 0) AS median_cost_low,
+         round(quantile_cont(greedy_cost_mid, 0.5), 0) AS median_cost_mid,
+         round(quantile_cont(greedy_cost_high, 0.5), 0) AS median_cost_high
+  FROM props GROUP BY borough)
+SELECT s.*, a.already_at_c, round(s.n_epc_reachable / s.below_c * 100, 1) AS pct_reachable,
+       round(s.n_over_10k / nullif(s.n_epc_reachable, 0) * 100, 1) AS pct_over_10k,
+       {money_range_sql('s.median_cost_mid', 's.median_cost_low', 's.median_cost_high')} AS cost_range
+FROM summ s LEFT JOIN at_c a ON s.borough = a.borough""")
+oracle("age_cost_stats", GREEDY + f"""
+SELECT age_group, round(avg(CASE WHEN greedy_cost_mid <= {_CAP} THEN 1.0 ELSE 0.0 END) * 100, 1) AS pct_within_10k,
+       round(quantile_cont(greedy_cost_mid, 0.5), 2) AS median_cost_mid, CAST({_ORDER} AS INTEGER) AS display_order
+FROM props WHERE epc_reachable AND has_greedy AND age_group IN {inlist(fixed.AGE_ORDER)}
+GROUP BY age_group""")
