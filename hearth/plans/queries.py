@@ -318,3 +318,9 @@ def q_area_greedy_summary(spark, sf_dir):
 @register("age_cost_stats")
 def q_age_cost_stats(spark, sf_dir):
     return RC.age_cost_stats(RC.pipeline(spark, sf_dir)[5])
+
+
+# ---------------------------------------------------------------- data quality (Q1-Q7)
+from .quality_report import quality_report  # noqa: E402
+
+register("quality_report")(quality_report)

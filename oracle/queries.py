@@ -513,3 +513,59 @@ SELECT age_group, round(avg(CASE WHEN greedy_cost_mid <= {_CAP} THEN 1.0 ELSE 0.
        round(quantile_cont(greedy_cost_mid, 0.5), 2) AS median_cost_mid, CAST({_ORDER} AS INTEGER) AS display_order
 FROM props WHERE epc_reachable AND has_greedy AND age_group IN {inlist(fixed.AGE_ORDER)}
 GROUP BY age_group""")
+
+
+# ---------------------------------------------------------------- data quality
+from hearth.plans.quality_report import RULES  # noqa: E402
+
+
+def _viol(spec) -> tuple[str, str, str]:
+    kind, *a = spec
+    if kind == "not_null":
+        return kind, a[0], f"count(*) FILTER (WHERE {a[0]} IS NULL)"
+    if kind == "unique":
+        return kind, a[0], f"count({a[0]}) - count(DISTINCT {a[0]})"
+    if kind == "accepted_range":
+        c, lo, hi = a
+        conds = ["false"] + ([f"{c} < {lo}"] if lo is not None else []) + ([f"{c} > {hi}"] if hi is not None else [])
+        return kind, c, f"count(*) FILTER (WHERE coalesce({' OR '.join(conds)}, false))"
+    if kind == "ordered":
+        conds = " OR ".join(f"{x} > {y}" for x, y in zip(a, a[1:]))
+        return kind, "<=".join(a), f"count(*) FILTER (WHERE coalesce(false OR {conds}, false))"
+    if kind == "sums_to":
+        cols, total = a
+        s = " + ".join(f"coalesce({c}, 0.0)" for c in cols)
+        return kind, "+".join(cols), f"count(*) FILTER (WHERE abs({s} - {total}) > 0.15)"
+    raise ValueError(kind)
+
+
+_QTABLES = {
+    "certificates": "cert_silver", "area_deprivation": "area_deprivation", "area_priority": "priority",
+    "retrofit_scenarios": "q_scen", "wall_split": "q_wall", "reachability_shares": "q_reach",
+}
+_checks = []
+for _t, _rules in RULES.items():
+    for _r in _rules:
+        _k, _c, _v = _viol(_r)
+        _checks.append(f"SELECT {q(_t)} AS table_name, {q(_k)} AS rule, {q(_c)} AS column_name, "
+                       f"count(*) AS n_rows, CAST({_v} AS BIGINT) AS n_violations, "
+                       f"CAST({_v} AS BIGINT) = 0 AS passed FROM {_QTABLES[_t]}")
+oracle("quality_report", ENRICHED + PRIORITY + SCORED + """
+, q_scen AS (
+  SELECT borough, round(sum(cost_low) / 1e6, 2) AS total_optimistic_m, round(sum(cost_mid) / 1e6, 2) AS total_central_m,
+         round(sum(cost_high) / 1e6, 2) AS total_pessimistic_m,
+         round(sum(cost_low) / count(DISTINCT certificate_id), 0) AS per_home_optimistic,
+         round(sum(cost_mid) / count(DISTINCT certificate_id), 0) AS per_home_central,
+         round(sum(cost_high) / count(DISTINCT certificate_id), 0) AS per_home_pessimistic,
+         round((sum(cost_high) - sum(cost_low)) / nullif(sum(cost_mid), 0) * 100, 1) AS uncertainty_pct
+  FROM jx GROUP BY borough)
+, q_wall0 AS (SELECT borough, sum(CASE WHEN improvement_id = 6 THEN 1 ELSE 0 END) AS cav,
+                     sum(CASE WHEN improvement_id = 7 THEN 1 ELSE 0 END) AS sol FROM jx GROUP BY borough)
+, q_wall AS (SELECT borough, round(sol / nullif(cav + sol, 0) * 100, 1) AS pct_solid_wall,
+                    round(cav / nullif(cav + sol, 0) * 100, 1) AS pct_cavity_wall FROM q_wall0 WHERE cav + sol > 0)
+, q_reach AS (
+  SELECT borough, count(*) FILTER (WHERE NOT below_target) / count(*) * 100 AS pct_already_c,
+         count(*) FILTER (WHERE below_target AND epc_reachable) / count(*) * 100 AS pct_can_reach,
+         count(*) FILTER (WHERE below_target AND NOT epc_reachable) / count(*) * 100 AS pct_cannot_reach
+  FROM scored GROUP BY borough)
+""" + "\nUNION ALL\n".join(_checks))
