@@ -324,3 +324,18 @@ def q_age_cost_stats(spark, sf_dir):
 from .quality_report import quality_report  # noqa: E402
 
 register("quality_report")(quality_report)
+
+
+# ---------------------------------------------------------------- statistics and models
+from . import analytics as AN  # noqa: E402
+
+for _name in ("corr_matrix", "regression_line", "standardised", "pca_rank", "pca_components", "kmeans_sweep",
+              "kmeans_tiers", "cluster_profile", "bisecting_tiers", "method_agreement", "uplift_model_metrics",
+              "path_attribution", "attribution_by_age_model", "greedy_model_summary"):
+    register(_name)(getattr(AN, _name))
+
+
+@register("multi_hot")
+def q_multi_hot(spark, sf_dir):
+    recs = layers.retrofit_base(spark, sf_dir)
+    return AN.multi_hot(recs, AN.frequent_type_names(recs))

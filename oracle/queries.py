@@ -569,3 +569,38 @@ oracle("quality_report", ENRICHED + PRIORITY + SCORED + """
          count(*) FILTER (WHERE below_target AND NOT epc_reachable) / count(*) * 100 AS pct_cannot_reach
   FROM scored GROUP BY borough)
 """ + "\nUNION ALL\n".join(_checks))
+
+
+# ---------------------------------------------------------------- area statistics (M1-M3)
+AREA_FEAT = AREAS + """
+, wall_a AS (
+  SELECT borough, round(sol / nullif(cav + sol, 0) * 100, 1) AS pct_solid_wall FROM (
+    SELECT borough, sum(CASE WHEN improvement_id = 6 THEN 1 ELSE 0 END) AS cav,
+           sum(CASE WHEN improvement_id = 7 THEN 1 ELSE 0 END) AS sol FROM jx GROUP BY borough)
+  WHERE cav + sol > 0)
+, af AS (SELECT p.*, w.pct_solid_wall FROM priority p LEFT JOIN wall_a w ON p.borough = w.borough
+         WHERE p.pct_below_epc_c IS NOT NULL AND p.income_deprivation_rate IS NOT NULL
+           AND w.pct_solid_wall IS NOT NULL)"""
+_AF = ["pct_below_epc_c", "income_deprivation_rate", "pct_solid_wall"]
+oracle("corr_matrix", ENRICHED + AREA_FEAT + "\n" + " UNION ALL ".join(
+    [f"SELECT {q(a)} AS x, {q(b)} AS y, round(corr({a}, {b}), 6) AS r FROM af" for a in _AF for b in _AF]
+    + ["SELECT 'pct_below_epc_c' AS x, 'pct_pre_1950' AS y, round(corr(pct_below_epc_c, pct_pre_1950), 6) AS r FROM af"]))
+oracle("regression_line", ENRICHED + AREA_FEAT + """
+SELECT round(regr_slope(pct_below_epc_c, pct_solid_wall), 6) AS slope,
+       round(regr_intercept(pct_below_epc_c, pct_solid_wall), 6) AS intercept,
+       round(corr(pct_solid_wall, pct_below_epc_c), 6) AS r,
+       CAST(regr_count(pct_below_epc_c, pct_solid_wall) AS BIGINT) AS n
+FROM af""")
+oracle("standardised", ENRICHED + AREA_FEAT + "\nSELECT borough, " + ", ".join(
+    f"round(({c} - avg({c}) OVER ()) / stddev_pop({c}) OVER (), 6) AS {c}_z" for c in _AF) + " FROM af")
+
+
+# ---------------------------------------------------------------- multi-hot (A38): dynamic pivot
+oracle("multi_hot", ATTR + """
+, slugs AS (
+  SELECT improvement_type,
+         're' || lpad(CAST(row_number() OVER (ORDER BY n_rows DESC, improvement_type) - 1 AS VARCHAR), 2, '0')
+           || '_' || left(regexp_replace(lower(trim(improvement_type)), '[^a-z0-9]+', '_', 'g'), 25) AS slug
+  FROM freq)
+, pres_s AS (SELECT DISTINCT s.certificate_id, g.slug FROM srecs s JOIN slugs g ON s.improvement_type = g.improvement_type)
+SELECT * FROM (PIVOT pres_s ON slug USING count(*) GROUP BY certificate_id)""")
