@@ -339,3 +339,18 @@ for _name in ("corr_matrix", "regression_line", "standardised", "pca_rank", "pca
 def q_multi_hot(spark, sf_dir):
     recs = layers.retrofit_base(spark, sf_dir)
     return AN.multi_hot(recs, AN.frequent_type_names(recs))
+
+
+# ---------------------------------------------------------------- raw-file ingest and exports
+from . import ingest as IG  # noqa: E402
+
+
+@register("certificates_from_csv")
+def q_certificates_from_csv(spark, sf_dir):
+    return IG.certificates_from_csv(spark, sf_dir).select(
+        "certificate_id", "uprn", "borough", "epc_rating", "epc_score", "inspection_date",
+        "inspection_year", "below_epc_c", "fuel_category", "construction_age_band")
+
+
+register("export_roundtrip")(IG.export_roundtrip)
+register("retrofit_costs_sql")(IG.retrofit_costs_sql)

@@ -604,3 +604,12 @@ oracle("multi_hot", ATTR + """
   FROM freq)
 , pres_s AS (SELECT DISTINCT s.certificate_id, g.slug FROM srecs s JOIN slugs g ON s.improvement_type = g.improvement_type)
 SELECT * FROM (PIVOT pres_s ON slug USING count(*) GROUP BY certificate_id)""")
+
+
+# ---------------------------------------------------------------- raw-file ingest and exports
+oracle("certificates_from_csv", """
+SELECT certificate_id, nullif(uprn, '') AS uprn, borough, epc_rating, epc_score, inspection_date, inspection_year,
+       below_epc_c, fuel_category, construction_age_band
+FROM cert_silver""")
+ORACLE["export_roundtrip"] = ORACLE["retrofit_costs"]
+ORACLE["retrofit_costs_sql"] = ORACLE["retrofit_costs"]
