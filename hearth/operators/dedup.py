@@ -57,6 +57,6 @@ def dedup_stats(df: DataFrame, key: Column | str) -> DataFrame:
     ).select(
         "rows_before", "rows_after",
         (F.col("rows_before") - F.col("rows_after")).alias("rows_removed"),
-        F.round((F.col("rows_before") - F.col("rows_after")) / F.col("rows_before") * 100, 1)
+        F.round(F.try_divide(F.col("rows_before") - F.col("rows_after"), F.col("rows_before")) * 100, 1)
         .alias("pct_removed"),
     )

@@ -25,8 +25,11 @@ def exact_quantiles(df: DataFrame, groups: list[str], value: str, probs: dict[st
     in so that every join stays an equi-join on one row.
     """
     if not groups:
-        out = exact_quantiles(df.withColumn("_g", F.lit(0)), ["_g"], value, probs, extra)
-        return out.drop("_g")
+        # A global aggregate has exactly one row, even over empty input.
+        q = exact_quantiles(df.withColumn("_g", F.lit(0)), ["_g"], value, probs)
+        base = df.agg(*(extra or [F.count(F.lit(1)).alias("_n")])).withColumn("_g", F.lit(0))
+        out = base.join(q, "_g", "left").drop("_g")
+        return out if extra else out.drop("_n")
     hist = (df.filter(F.col(value).isNotNull() & ~F.isnan(F.col(value)))
             .groupBy(*groups, F.col(value).alias("_v")).agg(F.count(F.lit(1)).alias("_c")))
     w_run = Window.partitionBy(*groups).orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)

@@ -246,7 +246,7 @@ def q_scope_share(spark, sf_dir):
     return raw.agg(
         F.count(F.lit(1)).alias("all_rows"),
         F.count_if(scope).alias("in_scope_rows"),
-        F.round(F.count_if(scope) / F.count(F.lit(1)) * 100, 1).alias("pct_in_scope"),
+        F.round(F.try_divide(F.count_if(scope), F.count(F.lit(1))) * 100, 1).alias("pct_in_scope"),
         F.count_distinct(F.when(scope, F.trim("uprn"))).alias("distinct_uprn"),
         F.count_distinct(F.when(scope, F.trim("local_authority_label"))).alias("areas"),
         F.count_distinct(F.when(scope, F.trim("property_type"))).alias("property_types"),

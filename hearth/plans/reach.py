@@ -61,8 +61,8 @@ def funnel(silver: DataFrame) -> DataFrame:
         F.count_if(below).alias("below"),
         F.count_if(reach).alias("reachable"),
         F.count_if(below & ~F.col("epc_reachable")).alias("not_reachable"),
-        F.round(F.count_if(~below) / n * 100, 1).alias("pct_at_target"),
-        F.round(F.count_if(below) / n * 100, 1).alias("pct_below"),
+        F.round(F.try_divide(F.count_if(~below), n) * 100, 1).alias("pct_at_target"),
+        F.round(F.try_divide(F.count_if(below), n) * 100, 1).alias("pct_below"),
         F.round(F.try_divide(F.count_if(reach), F.count_if(below)) * 100, 1).alias("pct_reachable"),
     )
 
@@ -242,7 +242,8 @@ def greedy_headline(greedy: DataFrame) -> DataFrame:
     q = exact_quantiles(greedy, [], "greedy_cost_mid", {"median_cost_mid": 0.5}, extra=[
         F.count(F.lit(1)).alias("n_covered"),
         F.round(F.avg("greedy_cost_mid"), 0).alias("mean_cost_mid"),
-        F.round(F.count_if(F.col("greedy_cost_mid") > CAP) / F.count(F.lit(1)) * 100, 1).alias("pct_over_cap"),
+        F.round(F.try_divide(F.count_if(F.col("greedy_cost_mid") > CAP), F.count(F.lit(1))) * 100, 1)
+        .alias("pct_over_cap"),
         F.round(F.avg("n_recs_needed"), 1).alias("avg_recs")])
     return q.withColumn("median_cost_mid", F.round("median_cost_mid", 0))
 

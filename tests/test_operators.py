@@ -55,7 +55,8 @@ def test_composite_rank(spark):
     out = {r["borough"]: r for r in composite_rank(df, {"ra": "a", "rb": "b", "rc": "c"}).collect()}
     assert (out["x"]["ra"], out["x"]["rb"], out["x"]["rc"]) == (1, 2, 1)
     assert out["x"]["priority_score"] == 1.3 and out["x"]["priority_rank"] == 1
-    assert out["z"]["priority_score"] == 2.7 and out["z"]["priority_rank"] == 3
+    assert out["y"]["priority_score"] == 1.3 and out["y"]["priority_rank"] == 1   # tie shares the rank
+    assert out["z"]["priority_score"] == 2.3 and out["z"]["priority_rank"] == 2
 
 
 def test_silhouette_closed_form_matches_pairwise(spark):
