@@ -9,6 +9,7 @@ the model's size, never by the data.
 from __future__ import annotations
 
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
 import pandas as pd
@@ -55,14 +56,21 @@ def pca(df: DataFrame, cols: list[str], k: int, anchor: F.Column | None = None):
 
 # ------------------------------------------------------------------ k-means
 
+def _fit_kmeans(df: DataFrame, features: str, k: int, seed: int, max_iter: int):
+    return KMeans(k=k, seed=seed, maxIter=max_iter, featuresCol=features, predictionCol="cluster").fit(df)
+
+
 def kmeans_best(df: DataFrame, features: str, k: int, seeds=range(42, 52), max_iter: int = 50):
-    """Best of several seeded k-means|| fits (lowest within-cluster cost)."""
-    best = None
-    for s in seeds:
-        m = KMeans(k=k, seed=s, maxIter=max_iter, featuresCol=features, predictionCol="cluster").fit(df)
-        if best is None or m.summary.trainingCost < best.summary.trainingCost:
-            best = m
-    return best
+    """Best of several seeded k-means|| fits (lowest within-cluster cost, ties -> lowest seed).
+
+    The fits are independent Spark jobs, submitted concurrently from a small
+    thread pool so the scheduler can interleave them (each fit alone is a
+    chain of small jobs that leaves most cores idle).
+    """
+    seeds = list(seeds)
+    with ThreadPoolExecutor(max_workers=min(len(seeds), 8)) as pool:
+        models = list(pool.map(lambda s: _fit_kmeans(df, features, k, s, max_iter), seeds))
+    return min(zip(models, seeds), key=lambda ms: (ms[0].summary.trainingCost, ms[1]))[0]
 
 
 def kmeans_sweep(df: DataFrame, features: str, ks=range(2, 8), seeds=range(42, 52)) -> list[tuple]:
