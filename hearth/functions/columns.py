@@ -179,3 +179,9 @@ def money_range(mid: ColumnOrName, low: ColumnOrName, high: ColumnOrName) -> Col
     return F.when(m.isNull() | lo.isNull() | hi.isNull() | F.isnan(m) | F.isnan(lo) | F.isnan(hi),
                   F.lit("")).otherwise(
         F.concat(money(m), F.lit(" ("), money(lo), F.lit("–"), money(hi), F.lit(")")))
+
+
+def region_name(code: ColumnOrName) -> Column:
+    """Region code -> name, unknown codes -> 'Unknown' (C12). A literal map: no join needed."""
+    m = F.create_map(*[F.lit(x) for kv in fixed.REGION_NAMES.items() for x in kv])
+    return F.coalesce(m[_c(code)], F.lit(fixed.UNKNOWN))

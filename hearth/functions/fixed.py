@@ -83,3 +83,21 @@ PROPERTY_CLASSES = (
     "Can reach C — over £10k cap",
     "Can reach C — within £10k cap",
 )
+
+# --- fixed values: region code -> name ------------------------------------
+REGION_NAMES = {
+    "E12000001": "North East",
+    "E12000002": "North West",
+    "E12000003": "Yorkshire and The Humber",
+    "E12000004": "East Midlands",
+    "E12000005": "West Midlands",
+    "E12000006": "East of England",
+    "E12000007": "London",
+    "E12000008": "South East",
+    "E12000009": "South West",
+    "W99999999": "Wales",
+    "L99999999": "Channel Islands",
+    "M99999999": "Isle of Man",
+    "N99999999": "Northern Ireland",
+    "S99999999": "Scotland",
+}

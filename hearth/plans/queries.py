@@ -354,3 +354,25 @@ def q_certificates_from_csv(spark, sf_dir):
 
 register("export_roundtrip")(IG.export_roundtrip)
 register("retrofit_costs_sql")(IG.retrofit_costs_sql)
+
+
+# ---------------------------------------------------------------- region lookup, semi-join scope, recent periods
+@register("region_counts")
+def q_region_counts(spark, sf_dir):
+    """Rows by region with region names (A21, C12), top 10."""
+    vc = P.value_counts(bronze.raw_certificates(spark, sf_dir), "region", 10)
+    return vc.withColumn("region_name", C.region_name("value"))
+
+
+@register("scoped_recommendations")
+def q_scoped_recommendations(spark, sf_dir):
+    """Recommendations of in-scope certificates only, as a left-semi join."""
+    certs = layers.certificates(spark, sf_dir).select("certificate_id")
+    return (silver.recommendations(spark, sf_dir).join(certs, "certificate_id", "left_semi")
+            .select("certificate_id", "priority", "improvement_type", "indicative_cost"))
+
+
+@register("recent_affordability")
+def q_recent_affordability(spark, sf_dir):
+    """The most recent three years of the affordability trend (O3)."""
+    return L.affordability_trend(layers.lettings(spark, sf_dir)).orderBy(F.desc("year")).limit(3)

@@ -613,3 +613,23 @@ SELECT certificate_id, nullif(uprn, '') AS uprn, borough, epc_rating, epc_score,
 FROM cert_silver""")
 ORACLE["export_roundtrip"] = ORACLE["retrofit_costs"]
 ORACLE["retrofit_costs_sql"] = ORACLE["retrofit_costs"]
+
+
+# ---------------------------------------------------------------- region lookup, semi-join scope, recent periods
+_RN = " ".join(f"WHEN {q(k)} THEN {q(v)}" for k, v in fixed.REGION_NAMES.items())
+oracle("region_counts", f"""
+SELECT value, count, CASE value {_RN} ELSE 'Unknown' END AS region_name FROM (
+  SELECT region AS value, count(*) AS count FROM raw_cert GROUP BY region
+  ORDER BY count DESC, value ASC NULLS LAST LIMIT 10)""")
+oracle("scoped_recommendations", """
+SELECT certificate_id, priority, improvement_type, indicative_cost FROM recs
+WHERE certificate_id IN (SELECT certificate_id FROM cert_silver)""")
+oracle("recent_affordability", """
+SELECT * FROM (
+  SELECT year, count(*) AS lettings, round(avg(weekly_rent_est), 2) AS avg_weekly_rent,
+         round(avg(weekly_income_est), 2) AS avg_weekly_income,
+         round(avg(rent_to_income_pct), 1) AS avg_rent_to_income_pct,
+         round(sum(CASE WHEN rent_to_income_pct > 50 THEN 1 ELSE 0 END) / count(*) * 100, 1) AS pct_spending_over_50pct_on_rent,
+         round(sum(CASE WHEN overcrowded THEN 1 ELSE 0 END) / count(*) * 100, 1) AS pct_overcrowded
+  FROM lettings_silver WHERE weekly_rent_est IS NOT NULL AND weekly_income_est IS NOT NULL
+  GROUP BY year) ORDER BY year DESC LIMIT 3""")
