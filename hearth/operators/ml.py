@@ -102,30 +102,32 @@ def silhouette_rows(df: DataFrame, features: list[str], cluster: str, out: str =
     """Per-row silhouette with squared-Euclidean distance (M8), in closed form.
 
     Mean squared distance from x to the members of cluster C is
-    |x|^2 - 2 x·mean(C) + mean(|y|^2 over C), so per-cluster sums (k rows,
-    broadcast) replace the all-pairs distance matrix. For x's own cluster the
-    mean excludes x itself.
+    |x|^2 - 2 x·mean(C) + mean(|y|^2 over C), so k per-cluster sums replace
+    the all-pairs distance matrix. The k sums (bounded by k, like the
+    centroids) are fetched once and applied as literals: one map-side
+    projection, no join. For x's own cluster the mean excludes x itself.
     """
     sq = sum((F.col(c) * F.col(c) for c in features[1:]), F.col(features[0]) * F.col(features[0]))
-    base = df.withColumn("_sq", sq)
-    stats = base.groupBy(F.col(cluster).alias("_c")).agg(
-        F.count(F.lit(1)).alias("_n"), F.sum("_sq").alias("_ssq"),
-        *[F.sum(c).alias(f"_s_{c}") for c in features])
-    # one struct per cluster, collected into an array on every row via a k-row broadcast join
-    packed = stats.select(F.lit(0).alias("_j"), F.struct(*stats.columns).alias("st"))
-    arr = packed.groupBy("_j").agg(F.collect_list("st").alias("_clusters"))
-    joined = base.withColumn("_j", F.lit(0)).join(F.broadcast(arr), "_j").drop("_j")
+    stats = df.groupBy(F.col(cluster).alias("_c")).agg(
+        F.count(F.lit(1)).alias("_n"), F.sum(sq).alias("_ssq"),
+        *[F.sum(c).alias(f"_s_{c}") for c in features]).collect()
 
     def mean_d(st):
-        dot = sum((F.col(c) * st[f"_s_{c}"] for c in features[1:]), F.col(features[0]) * st[f"_s_{features[0]}"])
-        return F.col("_sq") - 2 * dot / st["_n"] + st["_ssq"] / st["_n"]
-
-    own = F.filter("_clusters", lambda st: st["_c"] == F.col(cluster))[0]
-    a = F.when(own["_n"] > 1, mean_d(own) * own["_n"] / (own["_n"] - 1))
-    others = F.transform(F.filter("_clusters", lambda st: st["_c"] != F.col(cluster)), mean_d)
-    b = F.array_min(others)
-    s = F.when(a.isNull(), F.lit(0.0)).otherwise((b - a) / F.greatest(a, b))
-    return joined.withColumn(out, s).drop("_clusters", "_sq")
+        dot = sum((F.col(c) * F.lit(st[f"_s_{c}"]) for c in features[1:]),
+                  F.col(features[0]) * F.lit(st[f"_s_{features[0]}"]))
+        return sq - 2 * dot / st["_n"] + F.lit(st["_ssq"]) / st["_n"]
+
+    own = None
+    for st in stats:
+        n = st["_n"]
+        a_c = mean_d(st) * n / (n - 1) if n > 1 else F.lit(None).cast("double")
+        own = (F.when(F.col(cluster) == st["_c"], a_c) if own is None
+               else own.when(F.col(cluster) == st["_c"], a_c))
+    others = [F.when(F.col(cluster) != st["_c"], mean_d(st)) for st in stats]
+    a = own if own is not None else F.lit(None).cast("double")
+    b = F.least(*others) if len(others) > 1 else others[0]
+    s = F.when(a.isNull() | b.isNull(), F.lit(0.0)).otherwise((b - a) / F.greatest(a, b))
+    return df.withColumn(out, s)
 
 
 # ------------------------------------------------------------------ forest

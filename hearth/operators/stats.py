@@ -25,10 +25,16 @@ def exact_quantiles(df: DataFrame, groups: list[str], value: str, probs: dict[st
     in so that every join stays an equi-join on one row.
     """
     if not groups:
-        # A global aggregate has exactly one row, even over empty input.
-        q = exact_quantiles(df.withColumn("_g", F.lit(0)), ["_g"], value, probs)
-        base = df.agg(*(extra or [F.count(F.lit(1)).alias("_n")])).withColumn("_g", F.lit(0))
-        out = base.join(q, "_g", "left").drop("_g")
+        # A global aggregate has exactly one row, even over empty input. The
+        # quantile row (0 or 1 rows) and the extra aggregates (1 row) are
+        # combined by a union and one more global aggregate — no join.
+        q = exact_quantiles(df.withColumn("_g", F.lit(0)), ["_g"], value, probs).drop("_g")
+        base = df.agg(*(extra or [F.count(F.lit(1)).alias("_n")]))
+        qt, bt = dict(q.dtypes), dict(base.dtypes)
+        left = base.select(*base.columns, *[F.lit(None).cast(qt[c]).alias(c) for c in q.columns])
+        right = q.select(*[F.lit(None).cast(bt[c]).alias(c) for c in base.columns], *q.columns)
+        cols = base.columns + q.columns
+        out = left.unionByName(right).agg(*[F.max(c).alias(c) for c in cols])
         return out if extra else out.drop("_n")
     hist = (df.filter(F.col(value).isNotNull() & ~F.isnan(F.col(value)))
             .groupBy(*groups, F.col(value).alias("_v")).agg(F.count(F.lit(1)).alias("_c")))

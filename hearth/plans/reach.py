@@ -193,7 +193,7 @@ def uplift_lookup(long: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     types = long.select("improvement_type", "overall_avg_pts").distinct()
     by_type = (types.filter(F.col("overall_avg_pts") > 0)
                .select("improvement_type", F.col("overall_avg_pts").alias("u_type")))
-    glob = exact_quantiles(types.withColumn("_g", F.lit(0)), ["_g"], "overall_avg_pts", {"u_global": 0.5})
+    glob = exact_quantiles(types, [], "overall_avg_pts", {"u_global": 0.5})
     return by_age, by_type, glob
 
 
@@ -204,12 +204,13 @@ def greedy_rows(recs: DataFrame, long: DataFrame) -> DataFrame:
     they are broadcast; the window is partitioned by certificate.
     """
     by_age, by_type, glob = uplift_lookup(long)
+    # The global fallback is one number (median over the type vocabulary): fetched once.
+    u_global = glob.first()["u_global"]
     cand = (recs.filter((F.col("epc_score") < T) & (F.col("epc_potential") >= T))
             .withColumn("gap", F.lit(T) - F.col("epc_score")))
     est = (cand.join(F.broadcast(by_age), ["improvement_type", "age_group"], "left")
            .join(F.broadcast(by_type), "improvement_type", "left")
-           .withColumn("_g", F.lit(0)).join(F.broadcast(glob), "_g", "left").drop("_g")
-           .withColumn("est_uplift", F.coalesce("u_age", "u_type", "u_global"))
+           .withColumn("est_uplift", F.coalesce("u_age", "u_type", F.lit(u_global).cast("double")))
            .withColumn("est_c", F.round(F.col("est_uplift") * 100).cast("long"))
            .withColumn("cost_per_pt",
                        F.when((F.col("est_uplift") > 0) & F.col("cost_mid").isNotNull(),
