@@ -48,11 +48,6 @@ def _fingerprint(spark: SparkSession, sf_dir: str, tag: str) -> str:
     return h.hexdigest()[:16]
 
 
-def _salted_partitions(spark: SparkSession) -> int:
-    """Files per partition value: splits a hot value over several writer tasks."""
-    return max(1, int(spark.conf.get("spark.sql.shuffle.partitions", "8")) // 8)
-
-
 def materialise(spark: SparkSession, sf_dir: str, name: str, build, partition_by: str | None = None,
                 tag: str = "") -> DataFrame:
     root = scratch_path(spark, f"silver/{_fingerprint(spark, sf_dir, tag)}")
@@ -61,12 +56,7 @@ def materialise(spark: SparkSession, sf_dir: str, name: str, build, partition_by
     if not fs.exists(fs.makeQualified(tpath).suffix("/_SUCCESS")):
         df: DataFrame = build()
         staging = f"{root}/_staging-{name}-{uuid.uuid4().hex[:8]}"
-        if partition_by:
-            salt = _salted_partitions(spark)
-            df = df.repartition(F.col(partition_by), F.pmod(F.xxhash64(*df.columns), F.lit(salt)))
-            df.write.mode("overwrite").partitionBy(partition_by).parquet(staging)
-        else:
-            write_parquet(df, staging)
+        write_parquet(df, staging, partition_by)
         _, spath = _fs(spark, staging)
         if not fs.exists(tpath):
             fs.rename(spath, tpath)

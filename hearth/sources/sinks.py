@@ -9,17 +9,16 @@ from pyspark.sql import functions as F
 def write_parquet(df: DataFrame, path: str, partition_by: str | list[str] | None = None) -> None:
     """Overwrite Parquet, optionally hive-partitioned (K1, K2).
 
-    Partitioned writes are repartitioned by the partition column first, so
-    each task writes few files per partition value instead of one per
-    (task, value) pair.
+    Partitioned writes go through a ``rebalance`` on the partition columns:
+    rows of one value meet in few tasks (few files per value instead of one
+    per task and value), while AQE splits a skewed value — one area holding
+    a third of the rows — over several tasks and coalesces small ones.
     """
-    w = df
     if partition_by:
         cols = [partition_by] if isinstance(partition_by, str) else list(partition_by)
-        w = df.repartition(*[F.col(c) for c in cols])
-        w.write.mode("overwrite").partitionBy(*cols).parquet(path)
+        df.hint("rebalance", *cols).write.mode("overwrite").partitionBy(*cols).parquet(path)
     else:
-        w.write.mode("overwrite").parquet(path)
+        df.write.mode("overwrite").parquet(path)
 
 
 def write_small_csv(df: DataFrame, path: str) -> None:
