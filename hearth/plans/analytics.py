@@ -199,7 +199,8 @@ def trained_forest(spark: SparkSession, sf_dir: str):
     table, prop_cols, rec_cols, types = ml_table(spark, sf_dir)
     feats = prop_cols + rec_cols
     data = ml.assemble(table, feats, "features").checkpoint()
-    path = scratch_path(spark, f"models/{_fingerprint(spark, sf_dir, 'forest')}")
+    # keyed by the input snapshot and the feature list, so a model is never reused for other features
+    path = scratch_path(spark, f"models/{_fingerprint(spark, sf_dir, 'forest|' + ','.join(feats))}")
     try:
         model = RandomForestRegressionModel.load(path)
     except Exception:  # noqa: BLE001 - not trained yet for this snapshot

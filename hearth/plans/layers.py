@@ -35,9 +35,17 @@ LETTINGS_PARTITION = "year"
 RUN_TAG = ""
 
 
-def _fingerprint(spark: SparkSession, sf_dir: str, tag: str) -> str:
+# Driver tables each layer is derived from (its fingerprint covers only these).
+SOURCES = {
+    "certificates": ("orders", "customer", "nation"),
+    "retrofit_base": ("orders", "customer", "nation", "lineitem"),
+    "lettings": ("events",),
+}
+
+
+def _fingerprint(spark: SparkSession, sf_dir: str, tag: str, tables=DRIVER_TABLES) -> str:
     h = hashlib.sha1(f"{sf_dir}|{tag}|{RUN_TAG}".encode())
-    for t in sorted(DRIVER_TABLES):
+    for t in sorted(tables):
         fs, path = _fs(spark, f"{sf_dir.rstrip('/')}/{t}.parquet")
         if not fs.exists(path):
             continue
@@ -50,7 +58,7 @@ def _fingerprint(spark: SparkSession, sf_dir: str, tag: str) -> str:
 
 def materialise(spark: SparkSession, sf_dir: str, name: str, build, partition_by: str | None = None,
                 tag: str = "") -> DataFrame:
-    root = scratch_path(spark, f"silver/{_fingerprint(spark, sf_dir, tag)}")
+    root = scratch_path(spark, f"silver/{_fingerprint(spark, sf_dir, f'{name}|{tag}', SOURCES.get(name, DRIVER_TABLES))}")
     target = f"{root}/{name}"
     fs, tpath = _fs(spark, target)
     if not fs.exists(fs.makeQualified(tpath).suffix("/_SUCCESS")):

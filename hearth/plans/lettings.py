@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import hashlib
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,7 +9,7 @@ from ..functions import columns as C
 from ..functions import fixed
 from ..session import scratch_path
 from ..sources import bronze
-from ..sources.readers import column_or_null, first_present, list_files, read_drifting
+from ..sources.readers import _fs, column_or_null, first_present, list_files, read_drifting
 from ..sources.sinks import write_tab_files
 
 # Target column -> source header names (first present wins) and type.
@@ -33,23 +31,28 @@ LETTINGS_COLUMNS = (
 
 
 def bronze_dir(spark: SparkSession, sf_dir: str) -> str:
-    tag = hashlib.sha1(sf_dir.encode()).hexdigest()[:10]
-    return scratch_path(spark, f"bronze/lettings-{tag}")
+    from .layers import _fingerprint
+    return scratch_path(spark, f"bronze/{_fingerprint(spark, sf_dir, 'lettings-tab', ('events',))}/lettings")
 
 
 def write_lettings_bronze(spark: SparkSession, sf_dir: str) -> str:
-    """Write the lettings as tab files, one folder per header layout.
+    """Write the lettings as tab files, one folder per header layout, once per input snapshot.
 
     This is the binding's stand-in for the shipped raw files: each event type
     gets its own header layout (renamed, missing, extra and reordered columns).
+    A marker written last tells later calls the file set is complete.
     """
     out = bronze_dir(spark, sf_dir)
+    fs, done = _fs(spark, f"{out}/_COMPLETE")
+    if fs.exists(done):
+        return out
     raw = bronze.raw_lettings(spark, sf_dir)
     renamed = {"BED_MINUS_BEDSTANDARD2": "BED_MINUS_BEDSTANDARD",
                "WTSHORTFALL_Bands": "WTSHORTFALLHB_Bands"}
     for variant, header in bronze.LETTINGS_VARIANTS.items():
         cols = [F.col(renamed.get(h, h)).alias(h) for h in header]
         write_tab_files(raw.filter(F.col("variant") == variant).select(*cols), f"{out}/{variant}")
+    fs.create(done, True).close()
     return out
 
 

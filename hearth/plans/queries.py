@@ -295,12 +295,12 @@ def q_cost_efficiency(spark, sf_dir):
 
 @register("greedy_cover")
 def q_greedy_cover(spark, sf_dir):
-    return RC.pipeline(spark, sf_dir)[4]
+    return RC.pipeline(spark, sf_dir, with_props=False)[4]
 
 
 @register("greedy_headline")
 def q_greedy_headline(spark, sf_dir):
-    return RC.greedy_headline(RC.pipeline(spark, sf_dir)[4])
+    return RC.greedy_headline(RC.pipeline(spark, sf_dir, with_props=False)[4])
 
 
 @register("property_class_counts")

@@ -319,18 +319,18 @@ def age_cost_stats(props: DataFrame) -> DataFrame:
             .withColumn("display_order", C.age_group_order("age_group")))
 
 
-def pipeline(spark: SparkSession, sf_dir: str):
-    """(silver, recs, attribution long, greedy rows, greedy per certificate, property classes).
+def pipeline(spark: SparkSession, sf_dir: str, with_props: bool = True):
+    """(silver, recs, attribution long, greedy rows, greedy per certificate, property classes or None).
 
-    The attribution table (bounded by types x age groups) and the property
-    table are checkpointed into the shared checkpoint folder: each is read
-    by several later steps, and the cut keeps those plans small and their
-    recovery cheap.
+    The attribution table (bounded by types x age groups) is checkpointed into
+    the shared checkpoint folder: three lookups read it. The property table
+    is built only when asked for and then checkpointed too, since the area
+    summary reads it four times.
     """
     silver = layers.certificates(spark, sf_dir)
     recs = scored_recs(spark, sf_dir)
     long = uplift_attribution(recs, silver).checkpoint()
     rows = greedy_rows(recs, long)
     greedy = greedy_cover(rows)
-    props = property_classes(silver, rows, greedy).checkpoint()
+    props = property_classes(silver, rows, greedy).checkpoint() if with_props else None
     return silver, recs, long, rows, greedy, props
