@@ -8,11 +8,13 @@ the model's size, never by the data.
 
 from __future__ import annotations
 
+import sys
 import uuid
 from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.ml.clustering import BisectingKMeans, KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PCA, VectorAssembler
@@ -218,6 +220,9 @@ def attribute(df: DataFrame, feature_cols: list[str], keep_cols: list[str], tree
     """
     out_cols = out_cols or feature_cols
     idx = [feature_cols.index(c) for c in out_cols]
+    # Ship this module's helpers with the task (by value), so Python workers
+    # need numpy and pandas only, not this package on their path.
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
     b_trees = spark.sparkContext.broadcast(trees)
     in_schema = {f.name: f.dataType for f in df.schema.fields}
     schema = T.StructType([T.StructField(c, in_schema[c]) for c in keep_cols]
