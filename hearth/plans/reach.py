@@ -319,7 +319,7 @@ def age_cost_stats(props: DataFrame) -> DataFrame:
             .withColumn("display_order", C.age_group_order("age_group")))
 
 
-def pipeline(spark: SparkSession, sf_dir: str, with_props: bool = True):
+def greedy_tables(spark: SparkSession, sf_dir: str, with_props: bool = True):
     """(silver, recs, attribution long, greedy rows, greedy per certificate, property classes or None).
 
     The attribution table (bounded by types x age groups) is checkpointed into
