@@ -197,28 +197,80 @@ def uplift_lookup(long: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     return by_age, by_type, glob
 
 
-def greedy_rows(recs: DataFrame, long: DataFrame) -> DataFrame:
-    """Reachable below-target recommendations with estimate, order and selection flag.
+def greedy_candidates(recs: DataFrame, long: DataFrame) -> DataFrame:
+    """Reachable below-target recommendations with estimated uplift and cost per point.
 
-    The three lookups are bounded by the type vocabulary (x age groups), so
-    they are broadcast; the window is partitioned by certificate.
+    The lookups are bounded by the type vocabulary (x age groups), so they
+    are broadcast; the global fallback is a single number.
     """
     by_age, by_type, glob = uplift_lookup(long)
     # The global fallback is one number (median over the type vocabulary): fetched once.
     u_global = glob.first()["u_global"]
     cand = (recs.filter((F.col("epc_score") < T) & (F.col("epc_potential") >= T))
             .withColumn("gap", F.lit(T) - F.col("epc_score")))
-    est = (cand.join(F.broadcast(by_age), ["improvement_type", "age_group"], "left")
-           .join(F.broadcast(by_type), "improvement_type", "left")
-           .withColumn("est_uplift", F.coalesce("u_age", "u_type", F.lit(u_global).cast("double")))
-           .withColumn("est_c", F.round(F.col("est_uplift") * 100).cast("long"))
-           .withColumn("cost_per_pt",
-                       F.when((F.col("est_uplift") > 0) & F.col("cost_mid").isNotNull(),
-                              F.col("cost_mid") / F.col("est_uplift"))
-                       .otherwise(F.lit(float("inf")))))
-    order = [F.asc("cost_per_pt"), F.asc_nulls_last("improvement_type"), F.asc_nulls_last("priority"),
-             F.asc_nulls_last("cost_low"), F.asc_nulls_last("cost_high")]
-    w = Window.partitionBy("certificate_id").orderBy(*order)
+    return (cand.join(F.broadcast(by_age), ["improvement_type", "age_group"], "left")
+            .join(F.broadcast(by_type), "improvement_type", "left")
+            .withColumn("est_uplift", F.coalesce("u_age", "u_type", F.lit(u_global).cast("double")))
+            .withColumn("est_c", F.round(F.col("est_uplift") * 100).cast("long"))
+            .withColumn("cost_per_pt",
+                        F.when((F.col("est_uplift") > 0) & F.col("cost_mid").isNotNull(),
+                               F.col("cost_mid") / F.col("est_uplift"))
+                        .otherwise(F.lit(float("inf")))))
+
+
+def greedy_order() -> list:
+    """Order of a certificate's recommendations: cheapest per point first, then fixed tie-breaks."""
+    return [F.asc("cost_per_pt"), F.asc_nulls_last("improvement_type"), F.asc_nulls_last("priority"),
+            F.asc_nulls_last("cost_low"), F.asc_nulls_last("cost_high")]
+
+
+def greedy_rows(recs: DataFrame, long: DataFrame, partitions: int | None = None) -> DataFrame:
+    """Greedy selection flags with a distributed, skew-safe running sum.
+
+    1. Range-partition the candidates by (certificate, greedy order, row hash)
+       and checkpoint them with their partition id. Partitions are contiguous
+       slices of that order, so a certificate with very many rows is spread
+       over several partitions instead of landing in one task.
+    2. Per (certificate, partition) uplift totals; a window over those few
+       rows per certificate gives each slice the uplift of all earlier slices.
+    3. Running sum inside each (certificate, partition) slice + its offset =
+       the certificate's running total at that row.
+    4. The cover point is the smallest (partition, row) whose running total
+       reaches the gap — a partial-aggregated min per certificate — and the
+       selection is every row up to it.
+    Rows identical in every sort column get an arbitrary but fixed order
+    from the row hash; they carry equal uplift and cost, so the selected
+    totals do not depend on it.
+    """
+    est = greedy_candidates(recs, long)
+    spark = est.sparkSession
+    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    tie = F.xxhash64(*[F.col(c) for c in est.columns])
+    ranged = (est.withColumn("_tie", tie)
+              .repartitionByRange(n, F.col("certificate_id"), *greedy_order(), F.col("_tie"))
+              .withColumn("_p", F.spark_partition_id())
+              .checkpoint())
+    slices = ranged.groupBy("certificate_id", "_p").agg(F.sum("est_c").alias("_slice_c"))
+    before = Window.partitionBy("certificate_id").orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = slices.select("certificate_id", "_p",
+                            F.coalesce(F.sum("_slice_c").over(before), F.lit(0)).alias("_off"))
+    w = Window.partitionBy("certificate_id", "_p").orderBy(*greedy_order(), F.asc("_tie"))
+    running = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    local = (ranged.join(offsets, ["certificate_id", "_p"])
+             .withColumn("cum_c", F.col("_off") + F.sum("est_c").over(running))
+             .withColumn("_rn", F.row_number().over(w)))
+    pos = F.struct(F.col("_p"), F.col("_rn"))
+    cover = (local.filter(F.col("cum_c") >= F.col("gap") * 100)
+             .groupBy("certificate_id").agg(F.min(pos).alias("_cover")))
+    return (local.join(cover, "certificate_id", "left")
+            .withColumn("selected", F.coalesce(pos <= F.col("_cover"), F.lit(False)))
+            .drop("_tie", "_off", "_cover"))
+
+
+def greedy_rows_window(recs: DataFrame, long: DataFrame) -> DataFrame:
+    """Reference form of ``greedy_rows``: one window per certificate (used by tests)."""
+    est = greedy_candidates(recs, long)
+    w = Window.partitionBy("certificate_id").orderBy(*greedy_order())
     running = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     ranked = (est.withColumn("cum_c", F.sum("est_c").over(running))
               .withColumn("row_rank", F.row_number().over(w) - 1))

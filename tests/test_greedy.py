@@ -57,3 +57,35 @@ def test_greedy_matches_brute_force(spark):
     assert set(got) == set(expected)
     for k, (cost, n) in expected.items():
         assert got[k][0] == pytest.approx(cost) and got[k][1] == n
+
+
+def test_skew_safe_cover_matches_window_on_a_hot_certificate(spark):
+    """One certificate holding most rows is split over partitions; the selection is unchanged."""
+    import random
+    rnd = random.Random(5)
+    types = [f"type {i}" for i in range(12)]
+    rows = []
+    for i in range(3000):   # the hot certificate, including exact duplicate rows
+        t = rnd.choice(types)
+        lo = float(rnd.randint(1, 40) * 25)
+        rows.append(("HOT", t, "Pre-1919", rnd.randint(1, 9), lo, lo + 50.0, lo + 100.0, 20.0, 80.0))
+    for c in range(40):
+        for i in range(rnd.randint(1, 6)):
+            lo = float(rnd.randint(1, 40) * 25)
+            rows.append((f"C{c}", rnd.choice(types + [None]), "2007+", i + 1, lo, lo + 50.0, lo + 100.0,
+                         float(rnd.randint(40, 68)), 75.0))
+    recs = spark.createDataFrame(rows, "certificate_id string, improvement_type string, age_group string, "
+                                       "priority int, cost_low double, cost_mid double, cost_high double, "
+                                       "epc_score double, epc_potential double")
+    long = spark.createDataFrame(
+        [(t, g, round(0.01 + (i % 5) * 0.37, 2), round(0.5 + (i % 3) * 0.25, 2), 100)
+         for i, t in enumerate(types[:10]) for g in ("Pre-1919", "2007+")],
+        "improvement_type string, age_group string, avg_pts double, overall_avg_pts double, n_present long")
+    skew = reach.greedy_rows(recs, long, partitions=16)
+    spans = skew.filter(F.col("certificate_id") == "HOT").select("_p").distinct().count()
+    assert spans > 4
+    got = {r["certificate_id"]: (r["greedy_cost_mid"], r["n_recs_needed"])
+           for r in reach.greedy_cover(skew).collect()}
+    want = {r["certificate_id"]: (r["greedy_cost_mid"], r["n_recs_needed"])
+            for r in reach.greedy_cover(reach.greedy_rows_window(recs, long)).collect()}
+    assert got == want and "HOT" in got
