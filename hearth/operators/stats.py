@@ -2,19 +2,22 @@
 
 ``exact_quantiles`` computes linear-interpolation quantiles (the default of
 pandas / numpy, ``percentile`` in Spark SQL, ``quantile_cont`` in DuckDB)
-without gathering a group's values into one buffer. It first counts each
-distinct (group, value) — a partial aggregate, so duplicates collapse on
-the map side — then walks the sorted distinct values of each group with a
-running count and picks the two order statistics around the target rank.
-Work per group is bounded by the number of *distinct* values, and the sort
-behind the window spills to disk instead of holding a hash map in memory.
+without gathering a group's values into one buffer or one task. It first
+counts each distinct (group, value) — a partial aggregate, so duplicates
+collapse on the map side — then takes a distributed running count over the
+sorted distinct values (``operators.prefix.running_sum``: range partitions
+and slice offsets, so a group with many distinct values spans many tasks)
+and picks the two order statistics around the target rank with a
+partial-aggregated max per group.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .prefix import running_sum
+
 
 def exact_quantiles(df: DataFrame, groups: list[str], value: str, probs: dict[str, float],
                     extra: list | None = None) -> DataFrame:
@@ -38,10 +41,9 @@ def exact_quantiles(df: DataFrame, groups: list[str], value: str, probs: dict[st
         return out if extra else out.drop("_n")
     hist = (df.filter(F.col(value).isNotNull() & ~F.isnan(F.col(value)))
             .groupBy(*groups, F.col(value).alias("_v")).agg(F.count(F.lit(1)).alias("_c")))
-    w_run = Window.partitionBy(*groups).orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    w_all = Window.partitionBy(*groups)
-    walked = (hist.withColumn("_cum", F.sum("_c").over(w_run))
-              .withColumn("_n", F.sum("_c").over(w_all))
+    cum = running_sum(hist, groups, [F.asc("_v")], "_c", "_cum")
+    totals = cum.groupBy(*groups).agg(F.max("_cum").alias("_n"))
+    walked = (cum.join(totals, groups)
               .withColumn("_prev", F.col("_cum") - F.col("_c")))
     aggs = []
     for name, p in probs.items():

@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from ..functions import columns as C
 from ..functions import fixed
+from ..operators.prefix import running_sum
 from ..operators.stats import exact_quantiles
 from . import layers
 
@@ -227,44 +228,22 @@ def greedy_order() -> list:
 def greedy_rows(recs: DataFrame, long: DataFrame, partitions: int | None = None) -> DataFrame:
     """Greedy selection flags with a distributed, skew-safe running sum.
 
-    1. Range-partition the candidates by (certificate, greedy order, row hash)
-       and checkpoint them with their partition id. Partitions are contiguous
-       slices of that order, so a certificate with very many rows is spread
-       over several partitions instead of landing in one task.
-    2. Per (certificate, partition) uplift totals; a window over those few
-       rows per certificate gives each slice the uplift of all earlier slices.
-    3. Running sum inside each (certificate, partition) slice + its offset =
-       the certificate's running total at that row.
-    4. The cover point is the smallest (partition, row) whose running total
-       reaches the gap — a partial-aggregated min per certificate — and the
-       selection is every row up to it.
-    Rows identical in every sort column get an arbitrary but fixed order
-    from the row hash; they carry equal uplift and cost, so the selected
-    totals do not depend on it.
+    The running uplift per certificate comes from ``running_sum`` (range
+    partitions + slice offsets), so a certificate with very many rows is
+    spread over several tasks. The cover point is the smallest (slice, row)
+    whose running total reaches the gap — a partial-aggregated min per
+    certificate — and the selection is every row up to it. Rows equal in
+    every sort column carry equal uplift and cost, so their relative order
+    does not change the selected totals.
     """
     est = greedy_candidates(recs, long)
-    spark = est.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    tie = F.xxhash64(*[F.col(c) for c in est.columns])
-    ranged = (est.withColumn("_tie", tie)
-              .repartitionByRange(n, F.col("certificate_id"), *greedy_order(), F.col("_tie"))
-              .withColumn("_p", F.spark_partition_id())
-              .checkpoint())
-    slices = ranged.groupBy("certificate_id", "_p").agg(F.sum("est_c").alias("_slice_c"))
-    before = Window.partitionBy("certificate_id").orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = slices.select("certificate_id", "_p",
-                            F.coalesce(F.sum("_slice_c").over(before), F.lit(0)).alias("_off"))
-    w = Window.partitionBy("certificate_id", "_p").orderBy(*greedy_order(), F.asc("_tie"))
-    running = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    local = (ranged.join(offsets, ["certificate_id", "_p"])
-             .withColumn("cum_c", F.col("_off") + F.sum("est_c").over(running))
-             .withColumn("_rn", F.row_number().over(w)))
+    local = running_sum(est, ["certificate_id"], greedy_order(), "est_c", "cum_c", partitions)
     pos = F.struct(F.col("_p"), F.col("_rn"))
     cover = (local.filter(F.col("cum_c") >= F.col("gap") * 100)
              .groupBy("certificate_id").agg(F.min(pos).alias("_cover")))
     return (local.join(cover, "certificate_id", "left")
             .withColumn("selected", F.coalesce(pos <= F.col("_cover"), F.lit(False)))
-            .drop("_tie", "_off", "_cover"))
+            .drop("_cover"))
 
 
 def greedy_rows_window(recs: DataFrame, long: DataFrame) -> DataFrame:
