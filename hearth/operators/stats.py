@@ -13,25 +13,28 @@ partial-aggregated max per group.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .prefix import running_sum
 
 
 def exact_quantiles(df: DataFrame, groups: list[str], value: str, probs: dict[str, float],
-                    extra: list | None = None) -> DataFrame:
+                    extra: list | None = None, bounded: bool = False) -> DataFrame:
     """One row per group with a column per named probability; NULL values ignored.
 
     ``extra`` aggregates (e.g. a mean) are computed per group in the same
-    call and joined on the group keys. With no groups, a constant key stands
-    in so that every join stays an equi-join on one row.
+    call and joined on the group keys. ``bounded=True`` states that the
+    number of distinct values per group is bounded by the domain (e.g. a
+    score from 0 to 100, or one value per type of a fixed vocabulary): the
+    running count then uses a plain window per group instead of the
+    range-partitioned running sum, saving a checkpoint and two shuffles.
     """
     if not groups:
         # A global aggregate has exactly one row, even over empty input. The
         # quantile row (0 or 1 rows) and the extra aggregates (1 row) are
         # combined by a union and one more global aggregate — no join.
-        q = exact_quantiles(df.withColumn("_g", F.lit(0)), ["_g"], value, probs).drop("_g")
+        q = exact_quantiles(df.withColumn("_g", F.lit(0)), ["_g"], value, probs, bounded=bounded).drop("_g")
         base = df.agg(*(extra or [F.count(F.lit(1)).alias("_n")]))
         qt, bt = dict(q.dtypes), dict(base.dtypes)
         left = base.select(*base.columns, *[F.lit(None).cast(qt[c]).alias(c) for c in q.columns])
@@ -41,10 +44,16 @@ def exact_quantiles(df: DataFrame, groups: list[str], value: str, probs: dict[st
         return out if extra else out.drop("_n")
     hist = (df.filter(F.col(value).isNotNull() & ~F.isnan(F.col(value)))
             .groupBy(*groups, F.col(value).alias("_v")).agg(F.count(F.lit(1)).alias("_c")))
-    cum = running_sum(hist, groups, [F.asc("_v")], "_c", "_cum")
-    totals = cum.groupBy(*groups).agg(F.max("_cum").alias("_n"))
-    walked = (cum.join(totals, groups)
-              .withColumn("_prev", F.col("_cum") - F.col("_c")))
+    if bounded:
+        w_run = Window.partitionBy(*groups).orderBy("_v").rowsBetween(Window.unboundedPreceding,
+                                                                      Window.currentRow)
+        walked = (hist.withColumn("_cum", F.sum("_c").over(w_run))
+                  .withColumn("_n", F.sum("_c").over(Window.partitionBy(*groups))))
+    else:
+        cum = running_sum(hist, groups, [F.asc("_v")], "_c", "_cum")
+        totals = cum.groupBy(*groups).agg(F.max("_cum").alias("_n"))
+        walked = cum.join(totals, groups)
+    walked = walked.withColumn("_prev", F.col("_cum") - F.col("_c"))
     aggs = []
     for name, p in probs.items():
         h = (F.col("_n") - 1) * F.lit(float(p))

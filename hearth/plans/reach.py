@@ -69,8 +69,10 @@ def funnel(silver: DataFrame) -> DataFrame:
 
 
 def gap_percentiles(silver: DataFrame) -> DataFrame:
+    # gaps are whole points below the target score: at most TARGET_SCORE distinct values
     q = exact_quantiles(below_target(silver), [], "gap", {"median_gap": 0.5, "p90_gap": 0.9},
-                        extra=[F.round(F.avg("gap"), 1).alias("mean_gap"), F.count(F.lit(1)).alias("n")])
+                        extra=[F.round(F.avg("gap"), 1).alias("mean_gap"), F.count(F.lit(1)).alias("n")],
+                        bounded=True)
     return q.select("n", "mean_gap", F.round("median_gap", 2).alias("median_gap"),
                     F.round("p90_gap", 2).alias("p90_gap"))
 
@@ -194,7 +196,7 @@ def uplift_lookup(long: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     types = long.select("improvement_type", "overall_avg_pts").distinct()
     by_type = (types.filter(F.col("overall_avg_pts") > 0)
                .select("improvement_type", F.col("overall_avg_pts").alias("u_type")))
-    glob = exact_quantiles(types, [], "overall_avg_pts", {"u_global": 0.5})
+    glob = exact_quantiles(types, [], "overall_avg_pts", {"u_global": 0.5}, bounded=True)  # one row per type
     return by_age, by_type, glob
 
 
@@ -304,10 +306,14 @@ def area_greedy_summary(silver: DataFrame, props: DataFrame) -> DataFrame:
         F.count_if(F.col("greedy_cost_mid") > CAP).alias("n_over_10k"),
         F.round(F.avg("gap"), 1).alias("avg_gap"),
         F.round(F.avg("n_recs_needed"), 1).alias("avg_recs_to_c"))
-    med = None
-    for c in ("low", "mid", "high"):
-        m = exact_quantiles(props, ["borough"], f"greedy_cost_{c}", {f"median_cost_{c}": 0.5})
-        med = m if med is None else med.join(m, "borough", "full")
+    # the three medians in one pass over (area, measure, value)
+    kinds = ("low", "mid", "high")
+    long = props.select("borough", F.explode(F.array(*[
+        F.struct(F.lit(c).alias("measure"), F.col(f"greedy_cost_{c}").alias("v")) for c in kinds])).alias("e")
+    ).select("borough", "e.*")
+    q = exact_quantiles(long, ["borough", "measure"], "v", {"median": 0.5})
+    med = (q.groupBy("borough").pivot("measure", list(kinds)).agg(F.first("median"))
+           .toDF("borough", *[f"median_cost_{c}" for c in kinds]))
     at_c = (scored(silver).filter(~F.col("below_target")).groupBy("borough")
             .agg(F.count(F.lit(1)).alias("already_at_c")))
     out = (agg.join(med, "borough", "left").join(at_c, "borough", "left")
