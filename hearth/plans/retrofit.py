@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import columns as C
 from ..functions import fixed
 from ..operators.ranking import top_k, top_n_per_group
 from . import gold
