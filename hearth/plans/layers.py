@@ -66,10 +66,14 @@ def materialise(spark: SparkSession, sf_dir: str, name: str, build, partition_by
         staging = f"{root}/_staging-{name}-{uuid.uuid4().hex[:8]}"
         write_parquet(df, staging, partition_by)
         _, spath = _fs(spark, staging)
-        if not fs.exists(tpath):
-            fs.rename(spath, tpath)
-        else:
+        # A concurrent writer may have published first: keep its table, drop ours.
+        # (On stores where renaming onto an existing folder nests the source in it,
+        # the nested copy is removed as well.)
+        if fs.exists(tpath) or not fs.rename(spath, tpath):
             fs.delete(spath, True)
+        nested = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(tpath, spath.getName())
+        if fs.exists(nested):
+            fs.delete(nested, True)
     out = spark.read.parquet(target)
     if partition_by:
         # Partition discovery infers types from folder names; pin the built type.
