@@ -35,6 +35,20 @@ LETTINGS_PARTITION = "year"
 RUN_TAG = ""
 
 
+def _code_version() -> str:
+    """Hash of this package's source: a code change never reuses tables built by older code."""
+    import pathlib
+    root = pathlib.Path(__file__).resolve().parents[1]
+    h = hashlib.sha1()
+    for f in sorted(root.rglob("*.py")):
+        h.update(f.relative_to(root).as_posix().encode())
+        h.update(f.read_bytes())
+    return h.hexdigest()[:12]
+
+
+CODE_VERSION = _code_version()
+
+
 # Driver tables each layer is derived from (its fingerprint covers only these).
 SOURCES = {
     "certificates": ("orders", "customer", "nation"),
@@ -44,7 +58,7 @@ SOURCES = {
 
 
 def _fingerprint(spark: SparkSession, sf_dir: str, tag: str, tables=DRIVER_TABLES) -> str:
-    h = hashlib.sha1(f"{sf_dir}|{tag}|{RUN_TAG}".encode())
+    h = hashlib.sha1(f"{sf_dir}|{tag}|{RUN_TAG}|{CODE_VERSION}".encode())
     for t in sorted(tables):
         fs, path = _fs(spark, f"{sf_dir.rstrip('/')}/{t}.parquet")
         if not fs.exists(path):
