@@ -6,11 +6,12 @@ reach it: look up an estimated uplift for each of its recommendations
 cost per point (cheapest first), accumulate uplift, and select up to the
 first recommendation at which the running total covers the gap.
 
-It is written as windows partitioned by certificate: a certificate lists a
-small, fixed number of recommendations, so each window partition is tiny
-and the work spreads over all certificates. Uplift is carried in exact
-integer hundredths (the estimates are rounded to 2 dp), so the running sum
-and the ``>= gap`` test are exact and independent of summation order.
+The running total is a distributed prefix sum (``operators.prefix``):
+range partitions over (certificate, greedy order) with per-slice offsets,
+so even a certificate with very many rows is spread over many tasks. Uplift
+is carried in exact integer hundredths (the estimates are rounded to 2 dp),
+so the running sum and the ``>= gap`` test are exact and independent of
+summation order.
 """
 
 from __future__ import annotations
