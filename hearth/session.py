@@ -38,6 +38,8 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions or int(cpus)))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.sql.autoBroadcastJoinThreshold", str(32 * 1024 * 1024))
+        # remove checkpoint files of intermediate tables once they are garbage collected
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     for k, v in _REQUIRED.items():
         builder = builder.config(k, v)
