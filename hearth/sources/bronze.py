@@ -226,3 +226,11 @@ def raw_lettings(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("M").alias("SEX1"),
         _s(18 + uid % 60).alias("AGE1"),
     )
+
+
+def imd_schema():
+    """Declared schema of the deprivation-index CSV (S6: no inference pass)."""
+    from pyspark.sql import types as T
+    return T.StructType([T.StructField(IMD_CODE, T.StringType()), T.StructField(IMD_NAME, T.StringType())]
+                        + [T.StructField(c, T.DoubleType())
+                           for c in (IMD_SCORE, IMD_INCOME, IMD_EMPLOY, IMD_HEALTH, IMD_LIVING)])
