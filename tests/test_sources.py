@@ -39,3 +39,25 @@ def test_scan_parallelism_floor(spark):
     small = table(spark, "/root/testdata/sf0.1", "nation")       # dimension: left alone
     assert big.rdd.getNumPartitions() >= floor
     assert small.rdd.getNumPartitions() == 1
+
+
+def test_deprivation_columns_bound_by_name(spark):
+    """A wide CSV with extra, reordered columns: read as strings, select the 7 by name, aggregate."""
+    from hearth.plans.gold import area_deprivation
+    from hearth.sources import bronze
+    from hearth.sources.readers import read_csv_strings
+    path = scratch_path(spark, f"test-imd-{uuid.uuid4().hex[:8]}")
+    cols = ["LSOA code", bronze.IMD_LIVING, bronze.IMD_NAME, "Other score", bronze.IMD_INCOME,
+            bronze.IMD_CODE, bronze.IMD_SCORE, bronze.IMD_HEALTH, bronze.IMD_EMPLOY]
+    rows = [("L1", "10", "Camden", "9", "0.2", "E09000007", "30", "1", "0.1"),
+            ("L2", "20", "Camden", "9", "0.4", "E09000007", "50", "-1", "0.3"),
+            ("L3", "5", "Elsewhere", "9", "0.9", "E07000001", "99", "0", "0.9")]
+    spark.createDataFrame(rows, ", ".join(f"`{c}` string" for c in cols)).coalesce(1) \
+        .write.option("header", True).csv(path)
+    raw = read_csv_strings(spark, path)
+    imd = raw.select(*[F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) for f in bronze.imd_schema()])
+    out = area_deprivation(imd).collect()
+    assert len(out) == 1
+    r = out[0]
+    assert (r["la_name"], r["imd_score"], r["income_deprivation_rate"], r["living_env_score"], r["lsoa_count"]) \
+        == ("Camden", 40.0, 0.3, 15.0, 2)
