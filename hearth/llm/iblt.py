@@ -29,8 +29,9 @@ from .common import by_value, map_rows
 #: Cells of a stored fingerprint, and how much larger each retry is.
 CELLS, GROWTH = 24, 4
 TABLES = 3
-#: Words of a stretch without a sentence end beyond which it is cut at words chosen by their hash.
-LONG_WORDS, CUT_EVERY = 32, 16
+#: Words of a stretch without a sentence end beyond which it is cut at words chosen by their hash, one in
+#: ``CUT_EVERY``, or after ``MOST_WORDS``.
+LONG_WORDS, CUT_EVERY, MOST_WORDS = 32, 16, 64
 _SENTENCE = re.compile(r"[^.!?\n]+[.!?]*|[.!?]+")
 _MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93], np.uint64)
 
@@ -43,7 +44,7 @@ def paragraphs(text: str) -> list[str]:
         if len(s) > 4 * LONG_WORDS and len(words := s.split()) > LONG_WORDS:
             begin = 0
             for i, w in enumerate(words, 1):
-                if i == len(words) or xxhash.xxh32_intdigest(w) % CUT_EVERY == 0:
+                if i in (len(words), begin + MOST_WORDS) or xxhash.xxh32_intdigest(w) % CUT_EVERY == 0:
                     out.append(" ".join(words[begin:i]))
                     begin = i
         elif s:

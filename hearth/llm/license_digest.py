@@ -39,6 +39,8 @@ KNOWN = (
 EQUIVALENT = (("licence", "license"), ("sub-license", "sublicense"), ("sub license", "sublicense"), ("non-commercial", "noncommercial"),
               ("neighbouring", "neighboring"), ("authorisation", "authorization"), ("favour", "favor"), ("organisation", "organization"),
               ("https://", "http://"), ("copyright owner", "copyright holder"), ("per cent", "percent"))
+#: Every known text holds one of these (checked); a text or line with none of them can match nothing and is not hashed.
+MARKS = ("licen", "permission", "copyright")
 #: Lines that name who holds the rights, not the terms.
 COPYRIGHT_LINE = r"(?m)^[ \t]*(?:copyright[ \t]+(?:\(c\)|©|[0-9])|\(c\)|©)[^\n]*$"
 
@@ -56,7 +58,14 @@ def digest(text: Column) -> Column:
     return F.when(form != "", F.sha2(form, 256))
 
 
+def marked(text: Column) -> Column:
+    low = F.lower(text)
+    return F.contains(low, F.lit(MARKS[0])) | F.contains(low, F.lit(MARKS[1])) | F.contains(low, F.lit(MARKS[2]))
+
+
 def known_digests(spark: SparkSession, known=KNOWN) -> DataFrame:
+    if odd := [t for _, t in known if not any(m in t.lower() for m in MARKS)]:
+        raise ValueError(f"known texts without a mark: {odd}")
     return spark.createDataFrame(list(known), "license string, known_text string").select(
         "license", digest(F.col("known_text")).alias("digest")).groupBy("digest").agg(F.min("license").alias("license"))
 
@@ -72,11 +81,12 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", known=
     table = F.broadcast(known_digests(spark, known))
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     key = F.md5(F.coalesce("text", F.lit("")))
-    lines = texts.select("doc_id", key.alias("key"), F.posexplode(F.split("text", "\n")).alias("at", "line"))
+    lines = texts.where(marked(F.col("text"))).select("doc_id", key.alias("key"), F.posexplode(F.split("text", "\n")).alias("at", "line")).where(
+        marked(F.col("line")))
     found = (lines.select("doc_id", "key", "at", digest(F.col("line")).alias("digest")).join(table, "digest")
              .groupBy("doc_id", "key", "at", "license").agg(F.lit(1).alias("n"))   # rows equal in id and text count once
              .groupBy("doc_id", "key").agg(F.sum("n").alias("n"), F.concat_ws(",", F.sort_array(F.collect_set("license"))).alias("licenses")))
-    whole = texts.select("doc_id", key.alias("key"), digest(F.col("text")).alias("digest")).join(
+    whole = texts.select("doc_id", key.alias("key"), F.when(marked(F.col("text")), digest(F.col("text"))).alias("digest")).join(
         table.withColumnRenamed("license", "text_license"), "digest", "left").drop("digest")
     notices = found.select(F.col("doc_id").alias("found_id"), F.col("key").alias("found_key"), "n", "licenses")
     return whole.join(notices, F.col("doc_id").eqNullSafe(F.col("found_id")) & (F.col("key") == F.col("found_key")), "left").select(

@@ -6,7 +6,8 @@ its own size, the excess going to the others by weight. A document is expected
 to a weight column). ``floor(e)`` copies are certain; the rest, ``e - floor(e)``,
 is its inclusion probability in a sample of fixed size: documents are ranked by
 random odds over inclusion odds (Pareto order sampling) and taken in that order
-until the source's words come nearest to its target.
+while the source's target holds them; a last document, the one whose size fits
+best, closes the gap.
 
 The random number of a document is a digest of its id, so reruns agree. Ranks are
 never laid out in one task: cell sums of the ranking variable give the cell in
@@ -124,19 +125,30 @@ def cuts(sized: DataFrame, weights: tuple[float, ...] = (1, 2, 3), cap: float =
     inner = (_on_source(_on_source(drawn, one.drop("rest")), two).where("c1 = c1_cut and c2 = c2_cut")
              .groupBy("source", "rest", "p").agg(F.sum("size").alias("size")))
     before = Window.partitionBy("source").orderBy("p").rowsBetween(Window.unboundedPreceding, -1)
-    last = (inner.withColumn("before", F.coalesce(F.sum("size").over(before), F.lit(0)))
-            .where(F.col("before") + F.col("size") / 2 <= F.col("rest"))
-            .groupBy("source").agg(F.max("p").alias("p_cut")))
-    return write_scratch(_on_source(_on_source(_on_source(sources, one.drop("rest")), two.drop("rest")), last), "cuts")
+    last = (inner.withColumn("upto", F.sum("size").over(Window.partitionBy("source").orderBy("p")))
+            .where(F.col("upto") <= F.col("rest"))
+            .groupBy("source").agg(F.max(F.struct("p", "upto")).alias("x")).select("source", "x.p", "x.upto")
+            .withColumnRenamed("p", "p_cut"))
+    cut = write_scratch(_on_source(_on_source(_on_source(sources, one.drop("rest")), two), last).withColumn(
+        "gap", F.col("rest") - F.coalesce("upto", F.lit(0))).drop("rest", "upto"), "cuts")
+    miss = F.abs(F.col("size") - F.col("gap"))
+    close = (_ranked(_on_source(sized, cut), cap).where(F.col("p").isNotNull() & ~_within_cut() & (miss < F.col("gap")))
+             .groupBy("source").agg(F.min(F.struct(miss.alias("miss"), F.col("p"))).alias("x")).select("source", F.col("x.p").alias("p_last")))
+    return write_scratch(_on_source(cut.drop("gap"), close), "cuts")
+
+
+def _within_cut() -> Column:
+    """Whether a ranked row comes before its source's cut; false where the source has none."""
+    at, end = F.struct("c1", "c2", "p"), F.struct(F.col("c1_cut"), F.col("c2_cut"), F.coalesce("p_cut", F.lit(-1.0)))
+    return F.coalesce(F.col("p").isNotNull() & F.col("c1_cut").isNotNull() & F.col("c2_cut").isNotNull() & (at <= end), F.lit(False))
 
 
 def allocate(sized: DataFrame, cut: DataFrame, cap: float = 3) -> DataFrame:
-    """``sized`` with ``source_size, target, copies, taken``: the certain copies, and one more up to the source's cut."""
-    at, end = F.struct("c1", "c2", "p"), F.struct(F.col("c1_cut"), F.col("c2_cut"), F.coalesce("p_cut", F.lit(-1.0)))
-    extra = F.when(F.col("p").isNotNull() & F.col("c1_cut").isNotNull() & F.col("c2_cut").isNotNull() & (at <= end), 1).otherwise(0)
+    """``sized`` with ``source_size, target, copies, taken``: the certain copies, and one more within the source's sample."""
+    extra = F.when(_within_cut() | F.coalesce(F.col("p") == F.col("p_last"), F.lit(False)), 1).otherwise(0)
     ranked = _ranked(_on_source(sized, cut), cap).withColumn("copies", F.col("certain") + extra)
     return ranked.withColumn("taken", F.col("copies") * F.col("size")).drop(
-        "rate", "certain", "lam", "p", "c1", "c2", "c1_cut", "c2_cut", "p_cut")
+        "rate", "certain", "lam", "p", "c1", "c2", "c1_cut", "c2_cut", "p_cut", "p_last")
 
 
 def sized_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
