@@ -1,8 +1,8 @@
 """Quality rules, line first: judge each line, drop the failing ones, reject texts that lose too much.
 
 A line fails if it is mostly symbols (punctuation), a row of separated short
-items (navigation), shouted, a stutter of one word, or text seen in an earlier
-line of the document or of a known kind of boilerplate. A text that keeps fewer
+items (navigation), shouted, a stutter of one word, of a known kind of boilerplate,
+or (from four words on) the same as an earlier line of the document. A text that keeps fewer
 than ``keep_share`` of its words, or that fails the base rules (too few words, or
 more than half of its words in repeated three-word windows), is rejected.
 """
@@ -39,6 +39,7 @@ class LineRules:
     shouted_share: float = 0.6
     stutter_words: int = 6
     stutter_share: float = 0.4
+    repeated_words: int = 4
     keep_share: float = 0.5
     least_words: int = 50
     repeat_percent: int = 50
@@ -91,7 +92,7 @@ def judge(text: str | None, rules: LineRules = LineRules()) -> dict:
         repeated = line in seen
         dup_lines += repeated
         seen.add(line)
-        why = "repeated" if repeated else line_fails(line, own, rules)
+        why = "repeated" if repeated and len(own) >= rules.repeated_words else line_fails(line, own, rules)
         if why:
             failed[why] += 1
         else:

@@ -38,7 +38,7 @@ _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DIGIT = re.compile(r"[0-9]")
 _TERM = re.compile(r"[^\W\d_]{3,40}")
 #: Terms on each side of an entity that form its window.
-WINDOW = 3
+WINDOW = 5
 #: Bits of the sieve that lets a term through to counting (fixed size, whatever the corpus).
 SIEVE_BITS = 1 << 20
 
