@@ -38,7 +38,8 @@ def pca(df: DataFrame, cols: list[str], k: int, anchor: F.Column | None = None):
 
     Returns (scored df with pc1..pck, loadings rows, explained variance list).
     With ``anchor`` (a boolean column selecting one row), PC1 is flipped so the
-    anchor row scores positive (M5).
+    anchor row scores positive (M5); every other component is flipped so that its
+    largest loading is positive.
     """
     feat = assemble(df, cols, "_x")
     model = PCA(k=k, inputCol="_x", outputCol="_pc").fit(feat)
@@ -52,6 +53,10 @@ def pca(df: DataFrame, cols: list[str], k: int, anchor: F.Column | None = None):
         if sign is not None and sign < 0:
             scored = scored.withColumn("pc1", -F.col("pc1"))
             pcs[:, 0] = -pcs[:, 0]
+    for i in range(0 if anchor is None else 1, k):   # the other signs are free: the largest loading is made positive
+        if pcs[np.abs(pcs[:, i]).argmax(), i] < 0:
+            scored = scored.withColumn(f"pc{i + 1}", -F.col(f"pc{i + 1}"))
+            pcs[:, i] = -pcs[:, i]
     loadings = [(c, *[float(pcs[j, i]) for i in range(k)]) for j, c in enumerate(cols)]
     return scored, loadings, [float(v) for v in model.explainedVariance.toArray()]
 
@@ -147,21 +152,28 @@ def fit_forest(train: DataFrame, features: str, label: str, seed: int = 42):
         checkpointInterval=10).fit(train)
 
 
-def forest_nodes(model, spark) -> pd.DataFrame:
+def forest_nodes(model, spark, path: str | None = None) -> pd.DataFrame:
     """Flatten the forest's nodes (tree, id, prediction, children, split) via its saved form.
 
-    The model is written to the shared checkpoint folder and its node table
-    read back; its size is bounded by numTrees x 2^(maxDepth+1) nodes.
+    ``path`` is where the model is saved already; without it the model is
+    written to the shared checkpoint folder. The table is bounded by numTrees x
+    2^(maxDepth+1) nodes. Splits on categories are refused: the walk compares
+    with thresholds only, so encoded columns must be assembled as plain numbers.
     """
-    path = scratch_path(spark, f"models/forest-{uuid.uuid4().hex[:8]}")
-    model.write().overwrite().save(path)
+    if path is None:
+        path = scratch_path(spark, f"models/forest-{uuid.uuid4().hex[:8]}")
+        model.write().overwrite().save(path)
     nodes = (spark.read.parquet(f"{path}/data")
              .select("treeID", F.col("nodeData.id").alias("id"),
                      F.col("nodeData.prediction").alias("prediction"),
                      F.col("nodeData.leftChild").alias("left"), F.col("nodeData.rightChild").alias("right"),
                      F.col("nodeData.split.featureIndex").alias("feature"),
-                     F.col("nodeData.split.leftCategoriesOrThreshold").alias("thr")))
+                     F.col("nodeData.split.leftCategoriesOrThreshold").alias("thr"),
+                     F.col("nodeData.split.numCategories").alias("categories")))
     pdf = nodes.toPandas()
+    if ((pdf["left"] >= 0) & (pdf["categories"] != -1)).any():
+        raise ValueError("the forest splits on categories; clear the columns' nominal metadata before assembling")
+    pdf = pdf.drop(columns=["categories"])
     pdf["threshold"] = pdf["thr"].map(lambda a: float(a[0]) if a is not None and len(a) else np.nan)
     return pdf.drop(columns=["thr"])
 
@@ -209,7 +221,7 @@ def path_contributions(X: np.ndarray, trees) -> tuple[np.ndarray, np.ndarray, np
             f = feat[cur]
             go_left = X[r, f] <= thr[cur]
             nxt = np.where(go_left, left[cur], right[cur])
-            np.add.at(contrib, (r, f), p[nxt] - p[cur])
+            contrib[r, f] += p[nxt] - p[cur]   # each row occurs once in r
             node[r] = nxt
             active = left[node] >= 0
         pred += p[node]

@@ -22,15 +22,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import durable
+
 
 def running_sum(df: DataFrame, groups: list[str], order: list, weight: str, out: str,
                 partitions: int | None = None) -> DataFrame:
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     tie = F.xxhash64(*[F.col(c) for c in df.columns])
-    ranked = (df.withColumn("_tie", tie)
-              .repartitionByRange(n, *[F.col(g) for g in groups], *order, F.col("_tie"))
-              .withColumn("_p", F.spark_partition_id())
-              .checkpoint())
+    ranked = durable(df.withColumn("_tie", tie)
+                     .repartitionByRange(n, *[F.col(g) for g in groups], *order, F.col("_tie"))
+                     .withColumn("_p", F.spark_partition_id()))
     slices = ranked.groupBy(*groups, "_p").agg(F.sum(weight).alias("_slice"))
     before = Window.partitionBy(*groups).orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
     offsets = slices.select(*groups, "_p", F.coalesce(F.sum("_slice").over(before), F.lit(0)).alias("_off"))

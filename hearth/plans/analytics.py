@@ -15,8 +15,6 @@ age group feeds the same greedy cover as the SQL-checked estimate.
 
 from __future__ import annotations
 
-import re
-
 from pyspark.ml.feature import StringIndexer
 from pyspark.ml.regression import RandomForestRegressionModel
 from pyspark.sql import DataFrame, SparkSession
@@ -27,7 +25,8 @@ from ..functions import fixed
 from ..operators import ml
 from ..operators.ranking import rank_desc
 from ..operators.stats import standardise
-from ..session import scratch_path
+from ..session import durable, scratch_path
+from ..sources.readers import _fs
 from . import gold, layers, reach, retrofit
 from .layers import _fingerprint
 
@@ -51,7 +50,7 @@ def area_scaled(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def area_components(spark: SparkSession, sf_dir: str):
     """(scored areas with pc1..pc3 and pca_rank, loadings, explained variance)."""
-    scaled = area_scaled(spark, sf_dir).checkpoint()
+    scaled = durable(area_scaled(spark, sf_dir))
     anchor_name = scaled.orderBy("priority_rank", "borough").select("borough").first()[0]
     scored, loadings, var = ml.pca(scaled, Z, 3, anchor=F.col("borough") == anchor_name)
     scored = rank_desc(scored, "pc1", "pca_rank")
@@ -76,13 +75,13 @@ def _with_vector(scored: DataFrame) -> DataFrame:
 
 def kmeans_sweep(spark, sf_dir) -> DataFrame:
     scored, _, _ = area_components(spark, sf_dir)
-    res = ml.kmeans_sweep(_with_vector(scored).checkpoint(), "zf")
+    res = ml.kmeans_sweep(durable(_with_vector(scored)), "zf")
     return spark.createDataFrame(res, ["k", "inertia", "silhouette"])
 
 
 def kmeans_tiers(spark, sf_dir, scored: DataFrame | None = None) -> DataFrame:
     scored = scored if scored is not None else area_components(spark, sf_dir)[0]
-    feat = _with_vector(scored).checkpoint()
+    feat = durable(_with_vector(scored))
     model = ml.kmeans_best(feat, "zf", 4)
     labelled = ml.relabel_by(model.transform(feat), "cluster", "pc1", "kmeans_tier_id")
     tiers = F.create_map(*[F.lit(x) for i, t in enumerate(TIER_LABELS) for x in (i, t)])
@@ -101,7 +100,7 @@ def cluster_profile(spark, sf_dir) -> DataFrame:
 
 def bisecting_tiers(spark, sf_dir, scored: DataFrame | None = None) -> DataFrame:
     scored = scored if scored is not None else area_components(spark, sf_dir)[0]
-    feat = _with_vector(scored).checkpoint()
+    feat = durable(_with_vector(scored))
     out = feat
     for k in (3, 4):
         m = ml.bisecting(feat, "zf", k)
@@ -112,7 +111,7 @@ def bisecting_tiers(spark, sf_dir, scored: DataFrame | None = None) -> DataFrame
 
 def method_agreement(spark, sf_dir) -> DataFrame:
     """Side-by-side methods and top-group agreement."""
-    scored = area_components(spark, sf_dir)[0].checkpoint()
+    scored = durable(area_components(spark, sf_dir)[0])
     km = kmeans_tiers(spark, sf_dir, scored).select("borough", "kmeans_tier", "kmeans_tier_id")
     hc = bisecting_tiers(spark, sf_dir, scored).select("borough", "hc_4")
     t = (scored.select("borough", "priority_rank", "pca_rank", "rank_shift", *AREA_FEATURES)
@@ -148,9 +147,9 @@ def standardised(spark, sf_dir) -> DataFrame:
 
 # ------------------------------------------------------------------ property model
 
-def slug(name: str, i: int) -> str:
-    """Unique feature column name for a type: 'reNN_' + first 25 chars of its slug."""
-    return f"re{i:02d}_" + re.sub(r"[^a-z0-9]+", "_", name.lower().strip())[:25]
+def type_column(i: int) -> str:
+    """Feature column of the i-th frequent type."""
+    return f"has_type_{i}"
 
 
 def frequent_type_names(recs: DataFrame, min_freq: int = fixed.MIN_TYPE_FREQ) -> list[str]:
@@ -161,7 +160,7 @@ def frequent_type_names(recs: DataFrame, min_freq: int = fixed.MIN_TYPE_FREQ) ->
 
 def multi_hot(recs: DataFrame, types: list[str]) -> DataFrame:
     """Certificate x frequent type presence, 1/0 (A38), pivoted over the known type list."""
-    names = [slug(t, i) for i, t in enumerate(types)]
+    names = [type_column(i) for i in range(len(types))]
     wide = (recs.filter(F.col("improvement_type").isin(*types))
             .groupBy("certificate_id").pivot("improvement_type", types).agg(F.max(F.lit(1).cast("long"))))
     # pivot output columns follow the given value order; rename positionally
@@ -173,7 +172,7 @@ def ml_table(spark: SparkSession, sf_dir: str, min_freq: int = fixed.MIN_TYPE_FR
     silver = layers.certificates(spark, sf_dir)
     recs = layers.retrofit_base(spark, sf_dir)
     types = frequent_type_names(recs, min_freq)
-    rec_cols = [slug(t, i) for i, t in enumerate(types)]
+    rec_cols = [type_column(i) for i in range(len(types))]
     certs = (silver.filter(F.col("epc_score").isNotNull() & F.col("epc_potential").isNotNull())
              .withColumn("uplift", F.col("epc_potential") - F.col("epc_score"))
              .filter(F.col("uplift") >= 0)
@@ -183,7 +182,9 @@ def ml_table(spark: SparkSession, sf_dir: str, min_freq: int = fixed.MIN_TYPE_FR
                      C.age_group("construction_age_band").alias("age_group")))
     enc = StringIndexer(inputCols=["age_band", "prop_type"], outputCols=["age_band_enc", "prop_type_enc"],
                         stringOrderType="alphabetAsc", handleInvalid="keep").fit(certs)
-    table = enc.transform(certs).join(multi_hot(recs, types), "certificate_id", "left").na.fill(0, subset=rec_cols)
+    # plain ordinal codes: with the encoder's nominal metadata the forest would split on categories
+    coded = enc.transform(certs).withMetadata("age_band_enc", {}).withMetadata("prop_type_enc", {})
+    table = coded.join(multi_hot(recs, types), "certificate_id", "left").na.fill(0, subset=rec_cols)
     prop_cols = ["epc_score", "age_band_enc", "prop_type_enc"]
     return table, prop_cols, rec_cols, types
 
@@ -195,19 +196,20 @@ def split(df: DataFrame):
 
 
 def trained_forest(spark: SparkSession, sf_dir: str):
-    """(model, assembled table, feature names, rec names, types); the model is cached per input snapshot."""
+    """(model, assembled table, feature names, rec names, types, path); the model is cached per input snapshot."""
     table, prop_cols, rec_cols, types = ml_table(spark, sf_dir)
     feats = prop_cols + rec_cols
-    data = ml.assemble(table, feats, "features").checkpoint()
+    data = durable(ml.assemble(table, feats, "features"))
     # keyed by the input snapshot and the feature list, so a model is never reused for other features
     path = scratch_path(spark, f"models/{_fingerprint(spark, sf_dir, 'forest|' + ','.join(feats))}")
-    try:
+    fs, saved = _fs(spark, f"{path}/data/_SUCCESS")   # written last
+    if fs.exists(saved):
         model = RandomForestRegressionModel.load(path)
-    except Exception:  # noqa: BLE001 - not trained yet for this snapshot
+    else:
         train, _ = split(data)
         model = ml.fit_forest(train, "features", "uplift")
         model.write().overwrite().save(path)
-    return model, data, feats, rec_cols, types
+    return model, data, feats, rec_cols, types, path
 
 
 def uplift_model_metrics(spark, sf_dir) -> DataFrame:
@@ -229,12 +231,24 @@ def uplift_model_metrics(spark, sf_dir) -> DataFrame:
 
 def path_attribution(spark, sf_dir) -> DataFrame:
     """Per-property path attribution of the forest's prediction, all properties."""
-    model, data, feats, rec_cols, _ = trained_forest(spark, sf_dir)
-    trees = ml._pack(ml.forest_nodes(model, spark))
+    model, data, feats, rec_cols, _, path = trained_forest(spark, sf_dir)
+    trees = ml._pack(ml.forest_nodes(model, spark, path))
     return ml.attribute(data, feats, ["certificate_id", "borough", "age_group", *rec_cols], trees, spark,
                         out_cols=rec_cols)
 
 
+def attribution_check(spark, sf_dir) -> DataFrame:
+    """Rows, rows whose bias and contributions miss the prediction, rows whose prediction misses the forest's own."""
+    model, data, feats, _, _, path = trained_forest(spark, sf_dir)
+    trees = ml._pack(ml.forest_nodes(model, spark, path))
+    own = model.transform(data).select("certificate_id", *feats, F.col("prediction").alias("own"))
+    att = ml.attribute(own, feats, ["certificate_id", "own"], trees, spark)
+    total = F.col("bias") + sum((F.col(f"c_{c}") for c in feats[1:]), F.col(f"c_{feats[0]}"))
+    wrong = lambda x, y: F.count_if(F.abs(x - y) > 1e-6)
+    return att.agg(F.count(F.lit(1)).alias("n_rows"), wrong(total, F.col("prediction")).alias("n_not_additive"),
+                   wrong(F.col("own"), F.col("prediction")).alias("n_not_the_forest"))
+
+
 def model_attribution_long(spark, sf_dir) -> DataFrame:
     """(improvement_type, age_group, avg_pts, overall_avg_pts, n_present) from the forest attribution.
 
@@ -242,7 +256,7 @@ def model_attribution_long(spark, sf_dir) -> DataFrame:
     present, by age group and overall, rounded to 2 dp; types present on
     fewer than 30 properties are dropped (A40, M18).
     """
-    model, data, feats, rec_cols, types = trained_forest(spark, sf_dir)
+    model, data, feats, rec_cols, types, _ = trained_forest(spark, sf_dir)
     att = path_attribution(spark, sf_dir)
     long = att.select("certificate_id", "age_group", F.explode(F.array(*[
         F.struct(F.lit(t).alias("improvement_type"), F.col(c).alias("present"), F.col(f"c_{c}").alias("contrib"))
@@ -252,9 +266,9 @@ def model_attribution_long(spark, sf_dir) -> DataFrame:
     overall = by_age.groupBy("improvement_type").agg(
         F.round(F.sum("s") / F.sum("c"), 2).alias("overall_avg_pts"),
         F.sum("c").alias("n_present")).filter(F.col("n_present") >= fixed.MIN_PRESENT_ROWS)
-    return by_age.join(overall, "improvement_type").select(
+    return durable(by_age.join(overall, "improvement_type").select(
         "improvement_type", "age_group", F.round(F.col("s") / F.col("c"), 2).alias("avg_pts"),
-        "overall_avg_pts", "n_present").checkpoint()
+        "overall_avg_pts", "n_present"))
 
 
 def attribution_by_age_model(spark, sf_dir) -> DataFrame:
@@ -269,5 +283,5 @@ def greedy_model_summary(spark, sf_dir) -> DataFrame:
     long = model_attribution_long(spark, sf_dir)
     rows = reach.greedy_rows(recs, long)
     greedy = reach.greedy_cover(rows)
-    props = reach.property_classes(silver, rows, greedy).checkpoint()
+    props = durable(reach.property_classes(silver, rows, greedy))
     return reach.area_greedy_summary(silver, props)

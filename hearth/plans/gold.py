@@ -46,7 +46,8 @@ def _keyed(quality: DataFrame, deprivation: DataFrame):
 
 PRIORITY_COLUMNS = (
     "priority_rank", "borough", "priority_score", "pct_below_epc_c", "income_deprivation_rate",
-    "pct_pre_1950", "avg_epc_score", "imd_score", "avg_co2_per_m2", "social_properties",
+    "pct_pre_1950", "avg_epc_score", "imd_score", "employment_deprivation_rate",
+    "health_deprivation_score", "living_env_score", "avg_co2_per_m2", "social_properties",
     "rank_epc", "rank_income", "rank_age",
 )
 

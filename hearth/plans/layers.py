@@ -19,7 +19,7 @@ import hashlib
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import columns as C
 from ..session import scratch_path
@@ -63,9 +63,10 @@ def _fingerprint(spark: SparkSession, sf_dir: str, tag: str, tables=DRIVER_TABLE
         fs, path = _fs(spark, f"{sf_dir.rstrip('/')}/{t}.parquet")
         if not fs.exists(path):
             continue
-        st = fs.getFileStatus(path)
-        sizes = [(s.getPath().getName(), s.getLen(), s.getModificationTime())
-                 for s in (fs.listStatus(path) if st.isDirectory() else [st])]
+        files, sizes = fs.listFiles(path, True), []   # all levels of a partitioned folder; a file lists itself
+        while files.hasNext():
+            f = files.next()
+            sizes.append((f.getPath().toString(), f.getLen(), f.getModificationTime()))
         h.update(repr((t, sorted(sizes))).encode())
     return h.hexdigest()[:16]
 
@@ -90,8 +91,10 @@ def materialise(spark: SparkSession, sf_dir: str, name: str, build, partition_by
             fs.delete(nested, True)
     out = spark.read.parquet(target)
     if partition_by:
-        # Partition discovery infers types from folder names; pin the built type.
-        out = out.withColumn(partition_by, F.col(partition_by).cast(PARTITION_TYPES[partition_by]))
+        # Discovery infers types from folder names ("007" -> 7); read again with the built type.
+        fields = [T.StructField(f.name, T.StringType() if PARTITION_TYPES[partition_by] == "string" else T.IntegerType())
+                  if f.name == partition_by else f for f in out.schema]
+        out = spark.read.schema(T.StructType(fields)).parquet(target)
     return out
 
 

@@ -51,7 +51,10 @@ def write_lettings_bronze(spark: SparkSession, sf_dir: str) -> str:
                "WTSHORTFALL_Bands": "WTSHORTFALLHB_Bands"}
     for variant, header in bronze.LETTINGS_VARIANTS.items():
         cols = [F.col(renamed.get(h, h)).alias(h) for h in header]
-        write_tab_files(raw.filter(F.col("variant") == variant).select(*cols), f"{out}/{variant}")
+        own = F.col("variant") == variant
+        if variant == bronze.DEFAULT_VARIANT:   # also holds event types that have no layout of their own
+            own = F.col("variant").isNull() | ~F.col("variant").isin(*(set(bronze.LETTINGS_VARIANTS) - {variant}))
+        write_tab_files(raw.filter(own).select(*cols), f"{out}/{variant}")
     fs.create(done, True).close()
     return out
 

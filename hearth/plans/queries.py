@@ -331,14 +331,21 @@ from . import analytics as AN  # noqa: E402
 
 for _name in ("corr_matrix", "regression_line", "standardised", "pca_rank", "pca_components", "kmeans_sweep",
               "kmeans_tiers", "cluster_profile", "bisecting_tiers", "method_agreement", "uplift_model_metrics",
-              "path_attribution", "attribution_by_age_model", "greedy_model_summary"):
+              "path_attribution", "attribution_check", "attribution_by_age_model", "greedy_model_summary"):
     register(_name)(getattr(AN, _name))
 
 
 @register("multi_hot")
 def q_multi_hot(spark, sf_dir):
     recs = layers.retrofit_base(spark, sf_dir)
-    return AN.multi_hot(recs, AN.frequent_type_names(recs))
+    types = AN.frequent_type_names(recs)
+    if not types:
+        return recs.select("certificate_id", "improvement_type").limit(0)
+    wide = AN.multi_hot(recs, types)
+    hot = F.array(*[F.struct(F.lit(t).alias("improvement_type"), F.col(AN.type_column(i)).alias("present"))
+                    for i, t in enumerate(types)])
+    return wide.select("certificate_id", F.explode(hot).alias("e")).where("e.present = 1").select(
+        "certificate_id", "e.improvement_type")
 
 
 # ---------------------------------------------------------------- raw-file ingest and exports

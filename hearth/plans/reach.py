@@ -25,6 +25,7 @@ from ..functions import columns as C
 from ..functions import fixed
 from ..operators.prefix import running_sum
 from ..operators.stats import exact_quantiles
+from ..session import durable
 from . import layers
 
 T = fixed.TARGET_SCORE
@@ -71,7 +72,8 @@ def funnel(silver: DataFrame) -> DataFrame:
 
 def gap_percentiles(silver: DataFrame) -> DataFrame:
     # gaps are whole points below the target score: at most TARGET_SCORE distinct values
-    q = exact_quantiles(below_target(silver), [], "gap", {"median_gap": 0.5, "p90_gap": 0.9},
+    below = below_target(silver).withColumn("gap", F.round("gap").cast("int"))
+    q = exact_quantiles(below, [], "gap", {"median_gap": 0.5, "p90_gap": 0.9},
                         extra=[F.round(F.avg("gap"), 1).alias("mean_gap"), F.count(F.lit(1)).alias("n")],
                         bounded=True)
     return q.select("n", "mean_gap", F.round("median_gap", 2).alias("median_gap"),
@@ -110,10 +112,9 @@ def type_property_counts(recs: DataFrame) -> DataFrame:
 def presence(recs: DataFrame, frequent: DataFrame) -> DataFrame:
     """Distinct (certificate, frequent type) pairs: the multi-hot matrix in long form.
 
-    ``frequent`` is one row per type — bounded by the type vocabulary — and
-    is broadcast.
+    ``frequent`` is one row per type; Spark broadcasts it by its size.
     """
-    return (recs.join(F.broadcast(frequent.select("improvement_type")), "improvement_type", "left_semi")
+    return (recs.join(frequent.select("improvement_type"), "improvement_type", "left_semi")
             .select("certificate_id", "improvement_type").distinct())
 
 
@@ -167,7 +168,7 @@ def attribution_table(long: DataFrame, recs: DataFrame) -> DataFrame:
                     F.coalesce("n_properties", F.lit(0)).alias("n_properties"), *AGE_COLUMNS))
 
 
-def cost_efficiency(attr_wide: DataFrame, recs: DataFrame, k: int = 20) -> DataFrame:
+def cost_efficiency(attr_wide: DataFrame, recs: DataFrame) -> DataFrame:
     """Attribution ⟕ mean costs -> £ per point (low/mid/high) and formatted ranges."""
     costs = recs.groupBy("improvement_type").agg(
         F.avg("cost_low").alias("cost_low"), F.avg("cost_mid").alias("cost_mid"),
@@ -184,8 +185,7 @@ def cost_efficiency(attr_wide: DataFrame, recs: DataFrame, k: int = 20) -> DataF
           .withColumn("cost_low", F.round("cost_low", 2))
           .withColumn("cost_mid", F.round("cost_mid", 2))
           .withColumn("cost_high", F.round("cost_high", 2)))
-    return (ce.filter(F.col("per_point_mid").isNotNull())
-            .orderBy(F.asc("per_point_mid"), F.asc("improvement_type")).limit(k))
+    return ce.orderBy(F.asc_nulls_last("per_point_mid"), F.asc("improvement_type"))
 
 
 # ------------------------------------------------------------------ greedy cover
@@ -204,16 +204,16 @@ def uplift_lookup(long: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
 def greedy_candidates(recs: DataFrame, long: DataFrame) -> DataFrame:
     """Reachable below-target recommendations with estimated uplift and cost per point.
 
-    The lookups are bounded by the type vocabulary (x age groups), so they
-    are broadcast; the global fallback is a single number.
+    The lookups hold a row per type (x age group); Spark broadcasts them by
+    their size. The global fallback is a single number.
     """
     by_age, by_type, glob = uplift_lookup(long)
     # The global fallback is one number (median over the type vocabulary): fetched once.
     u_global = glob.first()["u_global"]
     cand = (recs.filter((F.col("epc_score") < T) & (F.col("epc_potential") >= T))
             .withColumn("gap", F.lit(T) - F.col("epc_score")))
-    return (cand.join(F.broadcast(by_age), ["improvement_type", "age_group"], "left")
-            .join(F.broadcast(by_type), "improvement_type", "left")
+    return (cand.join(by_age, ["improvement_type", "age_group"], "left")
+            .join(by_type, "improvement_type", "left")
             .withColumn("est_uplift", F.coalesce("u_age", "u_type", F.lit(u_global).cast("double")))
             .withColumn("est_c", F.round(F.col("est_uplift") * 100).cast("long"))
             .withColumn("cost_per_pt",
@@ -367,8 +367,8 @@ def greedy_tables(spark: SparkSession, sf_dir: str, with_props: bool = True):
     """
     silver = layers.certificates(spark, sf_dir)
     recs = scored_recs(spark, sf_dir)
-    long = uplift_attribution(recs, silver).checkpoint()
+    long = durable(uplift_attribution(recs, silver))
     rows = greedy_rows(recs, long)
     greedy = greedy_cover(rows)
-    props = property_classes(silver, rows, greedy).checkpoint() if with_props else None
+    props = durable(property_classes(silver, rows, greedy)) if with_props else None
     return silver, recs, long, rows, greedy, props

@@ -8,9 +8,10 @@ and local runs, and only fills in settings that are unset.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings the library relies on for deterministic, ANSI-safe results.
 _REQUIRED = {
@@ -53,15 +54,20 @@ _LOCAL_CKPT: str | None = None
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
+    """Return the shared checkpoint folder: ``spark.checkpoint.dir``, or the one set on the context.
 
-    On a cluster that folder is configured by the operator and is shared
-    storage. Only when it is unset (local tests) do we create one.
+    Only a session in one JVM (``local[n]``, as in tests) gets a temporary folder of
+    its own where neither is set; on a cluster executors could not see it, so that
+    is an error there.
     """
     global _LOCAL_CKPT
     sc = spark.sparkContext
     path = sc.getConf().get("spark.checkpoint.dir", None)
     if not path:
+        path = os.path.dirname(sc.getCheckpointDir()) if sc.getCheckpointDir() else None   # Spark adds a folder of its own
+    if not path:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+            raise RuntimeError("spark.checkpoint.dir is not set: name a folder that the driver and all executors share")
         if _LOCAL_CKPT is None:
             _LOCAL_CKPT = tempfile.mkdtemp(prefix="hearth-ckpt-", dir="/tmp")
         path = _LOCAL_CKPT
@@ -70,6 +76,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
+def durable(df: DataFrame) -> DataFrame:
+    """``df.checkpoint()`` in the shared folder, which is set up first."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint()
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A sub-folder of the shared checkpoint folder for written intermediates."""
     base = ensure_checkpoint_dir(spark).rstrip("/")

@@ -74,6 +74,7 @@ LETTINGS_VARIANTS = {
     "signup": ("SEX1", "YEAR", "AGE1") + tuple(reversed([c for c in LETTINGS_MAIN if c != "YEAR"])),
     "error": LETTINGS_MAIN,
 }
+DEFAULT_VARIANT = "purchase"
 
 
 def pick(labels, idx: Column) -> Column:

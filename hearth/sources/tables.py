@@ -1,13 +1,7 @@
 """Driver table loader (Parquet scans, S8).
 
-A scan's parallelism comes from its files and row groups. Large inputs give
-thousands of splits; a small table stored as a single row group gives one
-task, which would serialise every operator pipelined after it. The loader
-therefore applies a parallelism floor: when a scan yields fewer partitions
-than the session's default parallelism, it is spread round-robin to that
-many. Above the floor (any realistically sized input) the scan is untouched
-— no extra shuffle. Filters and column pruning are still pushed through the
-repartition into the scan.
+A scan's parallelism comes from its files and row groups; sessions that read
+small files set ``spark.sql.files.maxPartitionBytes`` to cut them finer.
 """
 
 from __future__ import annotations
@@ -18,44 +12,7 @@ DRIVER_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "
                  "events", "documents", "embeddings", "pages", "benchmark", "labels",
                  "conversations")
 
-# Tables below this many rows are dimensions: never spread (they are broadcast).
-SPREAD_MIN_ROWS = 50_000
-
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Lazy Parquet scan; callers ``select`` what they need so Catalyst prunes columns."""
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    df = spark.read.parquet(path)
-    floor = spark.sparkContext.defaultParallelism
-    row_groups, rows = _footer_stats(spark, path)
-    if row_groups < floor and rows >= SPREAD_MIN_ROWS:
-        return df.repartition(floor)
-    return df
-
-
-_FOOTERS: dict[tuple, tuple[int, int]] = {}
-
-
-def _footer_stats(spark: SparkSession, path: str) -> tuple[int, int]:
-    """(row groups, rows) from the Parquet footers — metadata only, memoised per file version."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(conf)
-    st = fs.getFileStatus(hpath)
-    statuses = list(fs.listStatus(hpath)) if st.isDirectory() else [st]
-    key = tuple(sorted((s.getPath().toString(), s.getLen(), s.getModificationTime()) for s in statuses))
-    if key not in _FOOTERS:
-        groups = rows = 0
-        for s in statuses:
-            if s.getPath().getName().startswith(("_", ".")):
-                continue
-            reader = jvm.org.apache.parquet.hadoop.ParquetFileReader.open(
-                jvm.org.apache.parquet.hadoop.util.HadoopInputFile.fromPath(s.getPath(), conf))
-            try:
-                groups += reader.getRowGroups().size()
-                rows += reader.getRecordCount()
-            finally:
-                reader.close()
-        _FOOTERS[key] = (groups, rows)
-    return _FOOTERS[key]
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")

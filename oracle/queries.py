@@ -51,7 +51,7 @@ AREA_DEPRIVATION = """
 
 PRIORITY = AREA_QUALITY + AREA_DEPRIVATION + """
 , pj AS (
-  SELECT q.*, d.income_deprivation_rate, d.imd_score
+  SELECT q.*, d.income_deprivation_rate, d.imd_score, d.employment_deprivation_rate, d.health_deprivation_score, d.living_env_score
   FROM area_quality q JOIN area_deprivation d ON upper(trim(q.borough)) = upper(trim(d.la_name))
 ), pr AS (
   SELECT *, dense_rank() OVER (ORDER BY pct_below_epc_c DESC NULLS LAST) AS rank_epc,
@@ -63,7 +63,7 @@ PRIORITY = AREA_QUALITY + AREA_DEPRIVATION + """
 ), priority AS (
   SELECT CAST(dense_rank() OVER (ORDER BY priority_score ASC NULLS LAST) AS INTEGER) AS priority_rank,
          borough, priority_score, pct_below_epc_c, income_deprivation_rate, pct_pre_1950, avg_epc_score,
-         imd_score, avg_co2_per_m2, social_properties,
+         imd_score, employment_deprivation_rate, health_deprivation_score, living_env_score, avg_co2_per_m2, social_properties,
          CAST(rank_epc AS INTEGER) AS rank_epc, CAST(rank_income AS INTEGER) AS rank_income,
          CAST(rank_age AS INTEGER) AS rank_age
   FROM ps
@@ -449,7 +449,7 @@ SELECT improvement_type, overall_avg_pts, n_properties, round(cost_low, 2) AS co
        round(cost_mid, 2) AS cost_mid, round(cost_high, 2) AS cost_high, per_point_mid, per_point_low,
        per_point_high, {money_range_sql('cost_mid', 'cost_low', 'cost_high')} AS cost_range,
        {money_range_sql('per_point_mid', 'per_point_low', 'per_point_high')} AS per_point_range
-FROM ce WHERE per_point_mid IS NOT NULL ORDER BY per_point_mid, improvement_type LIMIT 20""")
+FROM ce""")
 
 _CLS = [q(c) for c in fixed.PROPERTY_CLASSES]
 GREEDY = ATTR + f"""
@@ -597,13 +597,11 @@ oracle("standardised", ENRICHED + AREA_FEAT + "\nSELECT borough, " + ", ".join(
 
 # ---------------------------------------------------------------- multi-hot (A38): dynamic pivot
 oracle("multi_hot", ATTR + """
-, slugs AS (
-  SELECT improvement_type,
-         're' || lpad(CAST(row_number() OVER (ORDER BY n_rows DESC, improvement_type) - 1 AS VARCHAR), 2, '0')
-           || '_' || left(regexp_replace(lower(trim(improvement_type)), '[^a-z0-9]+', '_', 'g'), 25) AS slug
-  FROM freq)
-, pres_s AS (SELECT DISTINCT s.certificate_id, g.slug FROM srecs s JOIN slugs g ON s.improvement_type = g.improvement_type)
-SELECT * FROM (PIVOT pres_s ON slug USING count(*) GROUP BY certificate_id)""")
+SELECT DISTINCT s.certificate_id, s.improvement_type FROM srecs s JOIN freq f ON s.improvement_type = f.improvement_type""")
+
+oracle("attribution_check", """
+SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS n_not_additive, CAST(0 AS BIGINT) AS n_not_the_forest
+FROM cert_silver WHERE epc_score IS NOT NULL AND epc_potential IS NOT NULL AND epc_potential - epc_score >= 0""")
 
 
 # ---------------------------------------------------------------- raw-file ingest and exports
