@@ -41,6 +41,8 @@ _TERM = re.compile(r"[^\W\d_]{3,40}")
 WINDOW = 5
 #: Bits of the sieve that lets a term through to counting (fixed size, whatever the corpus).
 SIEVE_BITS = 1 << 20
+#: Distinct terms whose counts a task holds before it gives them out.
+HELD_TERMS = 200_000
 
 
 def luhn(digits: str) -> bool:
@@ -103,14 +105,18 @@ def _encountered(docs: DataFrame) -> DataFrame:
 
 
 def _term_counts(docs: DataFrame, sieve: np.ndarray) -> DataFrame:
-    """``(term, n)``: partial document counts of the terms that pass the sieve, and of all documents (term '')."""
+    """``(term, n)``: document counts of the terms that pass the sieve, and of all documents (term '').
+
+    A task adds up its counts and gives them out when ``HELD_TERMS`` are at hand, and at its end.
+    """
     sent = docs.sparkSession.sparkContext.broadcast(sieve)
 
     def run(parts: Iterator[dict]) -> Iterator[dict]:
         bits = np.unpackbits(sent.value, bitorder="little")
         passes: dict[str, bool] = {}
+        counts: Counter = Counter()
         for p in parts:
-            counts = Counter({"": len(p["text"])})
+            counts[""] += len(p["text"])
             for text in p["text"]:
                 for t in set(_TERM.findall((text or "").lower())):
                     ok = passes.get(t)
@@ -120,7 +126,10 @@ def _term_counts(docs: DataFrame, sieve: np.ndarray) -> DataFrame:
                         ok = passes[t] = bool(bits[_hash(t) % SIEVE_BITS])
                     if ok:
                         counts[t] += 1
-            yield {"term": list(counts), "n": list(counts.values())}
+            if len(counts) >= HELD_TERMS:
+                yield {"term": list(counts), "n": list(counts.values())}
+                counts.clear()
+        yield {"term": list(counts), "n": list(counts.values())}
     return map_rows(docs, "term string, n long", run)
 
 
