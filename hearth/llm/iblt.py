@@ -16,6 +16,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -175,42 +176,48 @@ def version_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str
     next); null ids come last, and rows of one id are ordered by a hash of their text. Null texts count as empty;
     two texts without paragraphs are alike (1). Extra columns are not read; an empty table gives an empty result.
 
-    Ids are cut into ranges of equal count, a task each; every range also gets the first row of the one below
-    it, so each text is moved once and each task reads its rows in order. The driver sees a bound, a first id
-    and a hash for each range.
+    Ids are cut into ranges of equal count, a task each, and an id that fills several is cut by its texts' hashes;
+    every range also gets the first row of the one below it, so each text is moved once and each task reads its
+    rows in order. The driver sees a bound, a first id and a hash for each range.
     """
     spark = docs.sparkSession
     parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("h"))
     share = [i / parts for i in range(1, parts)]
-    found = rows.agg(F.percentile_approx("id", share, 10_000)).first()[0] if share else None
-    bounds = np.array(sorted(set(found or [])), np.int64)
-
-    def ranges(ids: pd.Series) -> np.ndarray:
-        """Number of the id's range, highest ids first; nulls are behind all."""
-        known = ids.notna().to_numpy()
-        out = np.full(len(ids), len(bounds) + 1)
-        out[known] = len(bounds) - np.searchsorted(bounds, ids[known].to_numpy(np.int64), side="left")
-        return out
+    found = (rows.agg(F.percentile_approx("id", share, 10_000)).first()[0] if share else None) or []
+    hot = [i for i, n in Counter(found).items() if n > 1]   # fewer than there are ranges
+    cuts = {r["id"]: np.array(sorted(set(r["cuts"])), np.int64) for r in rows.where(F.col("id").isin(hot)).groupBy("id").agg(
+        F.percentile_approx("h", share, 10_000).alias("cuts")).collect()} if hot else {}
+    bounds = np.array(sorted(i for i in set(found) for _ in range(1 + len(cuts.get(i, ())))), np.int64)
+
+    def ranges(ids: pd.Series, unknown: pd.Series, hashes: pd.Series) -> np.ndarray:
+        """Number of the row's range, highest ids (then hashes) first; rows without an id are behind all."""
+        i, h = ids.to_numpy(np.int64), hashes.to_numpy(np.int64)
+        at = np.searchsorted(bounds, i, side="left")
+        for one, own in cuts.items():
+            here = i == one
+            at[here] += np.searchsorted(own, h[here], side="left")
+        return np.where(unknown, len(bounds) + 1, len(bounds) - at)
+    key = (F.coalesce("id", F.lit(0)), F.col("id").isNull(), F.col("h"))   # a null would turn a batch's ids into doubles
 
     @F.pandas_udf("int")
-    def range_of(ids: pd.Series) -> pd.Series:
-        return pd.Series(ranges(ids))
-    firsts = {r["range"]: (r["first"]["id"], r["first"]["h"]) for r in rows.groupBy(range_of("id").alias("range")).agg(
+    def range_of(ids: pd.Series, unknown: pd.Series, hashes: pd.Series) -> pd.Series:
+        return pd.Series(ranges(ids, unknown, hashes))
+    firsts = {r["range"]: (r["first"]["id"], r["first"]["h"]) for r in rows.groupBy(range_of(*key).alias("range")).agg(
         F.max(F.struct("id", "h")).alias("first")).collect()}
     filled = sorted(firsts)
     before = {r: filled[i - 1] for i, r in enumerate(filled)}
 
     @F.pandas_udf("array<int>")
-    def goes_to(ids: pd.Series, hashes: pd.Series) -> pd.Series:
+    def goes_to(ids: pd.Series, unknown: pd.Series, hashes: pd.Series) -> pd.Series:
         """The row's range, and as (-1 - range) the range above if the row is the first of its own."""
         out = []
-        for r, i, h in zip(ranges(ids), ids, hashes, strict=True):
+        for r, i, h in zip(ranges(ids, unknown, hashes), ids, hashes, strict=True):
             first_id, first_h = firsts[r]
             is_first = h == first_h and (first_id is None or i == first_id)
             out.append([r, -1 - before[r]] if is_first else [r])
         return pd.Series(out)
-    dealt = rows.select("id", "text", "h", F.explode(goes_to("id", "h")).alias("to")).select(
+    dealt = rows.select("id", "text", "h", F.explode(goes_to(*key)).alias("to")).select(
         "id", "text", "h", F.when(F.col("to") < 0, -1 - F.col("to")).otherwise(F.col("to")).alias("range"), (F.col("to") < 0).alias("carried"))
     ordered = dealt.repartitionById(max(filled, default=0) + 1, F.col("range")).sortWithinPartitions(
         "range", "carried", F.col("id").desc_nulls_last(), F.col("h").desc())

@@ -1,0 +1,151 @@
+"""SQL of the text queries that SQL can express.
+
+Ids are taken to be distinct, as they are in the given tables: (doc_id, text) or page_id names a row.
+"""
+
+from __future__ import annotations
+
+from . import license_digest, line_rules, mixing, url_lm
+
+
+def _text(value: str) -> str:
+    return "'" + value.replace("'", "''") + "'"
+
+
+_WORD = _text(r"[^\x20\x09-\x0D]+")
+_LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+
+#: Water level over sources, then the documents in order of their ranking variable while the target holds them.
+MIXING = f"""
+WITH d AS (
+  SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), {_WORD})) AS BIGINT) AS size,
+         (CAST(CAST('0x' || substr(md5('{mixing._SEED}:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 13) AS BIGINT) AS DOUBLE) + 0.5e0)
+         / 4503599627370496e0 AS u
+  FROM documents)
+, s0 AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source)
+, s1 AS (SELECT *, CAST((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS DOUBLE) AS w FROM s0)
+, s2 AS (SELECT *, source_size * 3e0 / w AS full_at FROM s1)
+, s3 AS (SELECT *, (sum(source_size) OVER () - coalesce(sum(source_size * 3e0) OVER before, 0e0))
+                   / (sum(w) OVER () - coalesce(sum(w) OVER before, 0e0)) AS level
+         FROM s2 WINDOW before AS (ORDER BY full_at, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))
+, s4 AS (SELECT source, source_size, least(source_size * 3e0, w * max(CASE WHEN level <= full_at THEN level END) OVER ()) AS target FROM s3)
+, s5 AS (SELECT *, least(3e0, CASE WHEN source_size > 0 THEN target / source_size ELSE 0e0 END) AS expected FROM s4)
+, r0 AS (SELECT d.doc_id, d.source, d.size, d.u, s5.source_size, s5.target, CAST(floor(expected) AS BIGINT) AS certain, expected - floor(expected) AS lam
+         FROM d JOIN s5 ON d.source IS NOT DISTINCT FROM s5.source)
+, r1 AS (SELECT *, CASE WHEN lam > 0 THEN u / (1 - u) / (lam / (1 - lam)) END AS odds,
+                target - sum(certain * size) OVER (PARTITION BY source) AS rest FROM r0)
+, r2 AS (SELECT *, CASE WHEN lam > 0 THEN least(odds / (1 + odds), 1 - 1e-15) END AS p FROM r1)
+, r3 AS (SELECT *, CASE WHEN p IS NOT NULL THEN sum(size) OVER (PARTITION BY source, p IS NULL ORDER BY p) END AS upto FROM r2)
+, r4 AS (SELECT *, coalesce(upto <= rest, false) AS within,
+                rest - coalesce(max(CASE WHEN upto <= rest THEN upto END) OVER (PARTITION BY source), 0) AS gap FROM r3)
+, fit AS (SELECT source, min({{'miss': abs(size - gap), 'p': p}}) AS x FROM r4
+          WHERE p IS NOT NULL AND NOT within AND abs(size - gap) < gap GROUP BY source)
+SELECT doc_id, size, source_size, target,
+       CAST((certain + CASE WHEN within OR coalesce(r4.p = fit.x.p, false) THEN 1 ELSE 0 END) * size AS BIGINT) AS taken
+FROM r4 LEFT JOIN fit ON r4.source IS NOT DISTINCT FROM fit.source"""
+
+_R = line_rules.LineRules()
+
+#: Words by line and place; windows, stutters and capitals are counted on them, all else on lines.
+QUALITY_RULES = f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents)
+, l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS nr FROM d)
+, lw AS (SELECT doc_id, nr, line, regexp_extract_all(line, {_WORD}) AS ws FROM l)
+, w AS (SELECT doc_id, nr, unnest(ws) AS word, unnest(range(len(ws))) AS i FROM lw)
+, seq AS (SELECT doc_id, nr, i, word, lag(word) OVER (PARTITION BY doc_id, nr ORDER BY i) AS before, lead(word, 1) OVER p AS second, lead(word, 2) OVER p AS third
+          FROM w WINDOW p AS (PARTITION BY doc_id ORDER BY nr, i))
+, win AS (SELECT *, third IS NOT NULL AND count(*) OVER (PARTITION BY doc_id, word, second, third) > 1 AS again FROM seq)
+, marked AS (SELECT doc_id, nr, word, before, again OR lag(again, 1, false) OVER p OR lag(again, 2, false) OVER p AS repeats
+             FROM win WINDOW p AS (PARTITION BY doc_id ORDER BY nr, i))
+, counted AS (SELECT doc_id, nr, count(*) AS n, sum(length(word)) AS chars, count(*) FILTER (WHERE repeats) AS repeats,
+                     count(*) FILTER (WHERE word = before) AS stutter, count(*) FILTER (WHERE upper(word) = word AND lower(word) <> word) AS shouted
+              FROM marked GROUP BY doc_id, nr)
+, lines AS (SELECT c.*, lw.line, row_number() OVER (PARTITION BY c.doc_id, lw.line ORDER BY c.nr) > 1 AS again,
+                   len(regexp_extract_all(lw.line, '[#*$%&|<>]')) AS symbols,
+                   len(list_filter(regexp_split_to_array(lw.line, '[ \\t]'), lambda x: x IN ('|', '›', '»', '·', '•', '/', '>'))) AS separators
+            FROM counted c JOIN lw ON c.doc_id = lw.doc_id AND c.nr = lw.nr)
+, judged AS (SELECT *, (again AND n >= {_R.repeated_words})
+       OR (symbols > {_R.symbols_per_word} * n AND separators = 0)
+       OR (separators > {_R.separators_per_word} * n AND n >= 3)
+       OR (n >= {_R.shouted_words} AND shouted > {_R.shouted_share} * n)
+       OR (n >= {_R.stutter_words} AND stutter > {_R.stutter_share} * n)
+       OR (n <= 12 AND regexp_full_match(lower(regexp_replace(line, '^\\s+|\\s+$', '', 'g')), {_text(line_rules._BOILERPLATE.pattern)})) AS fails FROM lines)
+, sums AS (SELECT doc_id, sum(n) AS n_words, sum(chars) AS word_chars, count(*) FILTER (WHERE again) AS n_dup_lines, sum(repeats) AS n_repeat_words,
+                  sum(CASE WHEN fails THEN 0 ELSE n END) AS kept_words FROM judged GROUP BY doc_id)
+, base AS (SELECT d.doc_id, CAST(coalesce(n_words, 0) AS BIGINT) AS n_words, CAST(coalesce(word_chars, 0) AS BIGINT) AS word_chars,
+                  CAST(len(regexp_extract_all(text, '[#*$%&|<>]')) AS BIGINT) AS n_symbols, CAST(coalesce(n_dup_lines, 0) AS BIGINT) AS n_dup_lines,
+                  CAST(coalesce(n_repeat_words, 0) AS BIGINT) AS n_repeat_words, coalesce(kept_words, 0) AS kept_words
+           FROM d LEFT JOIN sums ON d.doc_id = sums.doc_id)
+, failed AS (SELECT *, n_words < {_R.least_words} OR 100 * n_repeat_words > {_R.repeat_percent} * n_words AS base_failed FROM base)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND kept_words >= {_R.keep_share} * n_words AS kept
+FROM failed"""
+
+
+def _rule_case(field: int) -> str:
+    """The name (0) or verdict (1) of the longest rule that fits."""
+    longest_first = sorted(url_lm.RULES, key=lambda r: -len(r[1] + r[2]))
+    return "CASE " + " ".join(
+        f"WHEN (host = {_text(h)} OR ends_with(host, {_text('.' + h)})) AND starts_with(path, {_text(p)}) THEN {_text((h + p, v)[field])}"
+        for v, h, p in longest_first) + " END"
+
+
+def _orders() -> str:
+    """One relation for each context length: both models' probabilities, interpolated with the order below."""
+    out = [f", q0 AS (SELECT DISTINCT g, 1e0 / {url_lm.SYMBOLS} AS a, 1e0 / {url_lm.SYMBOLS} AS r FROM wanted)"]
+    for k in range(url_lm.ORDER + 1):
+        mix = ", ".join(f"CASE WHEN t.{m} > 0 THEN (coalesce(o.{m}, 0) + t.{m}_kinds * q.{m}) / (t.{m} + t.{m}_kinds) ELSE q.{m} END AS {m}" for m in "ar")
+        ctx = f"substr(q.g, {url_lm.ORDER + 1 - k}, {k})"
+        out.append(f", q{k + 1} AS (SELECT q.g, {mix} FROM q{k} q LEFT JOIN totals t ON t.ctx = {ctx} "
+                   f"LEFT JOIN sums o ON o.ctx = {ctx} AND o.c = substr(q.g, {url_lm.ORDER + 1}, 1))")
+    return "\n".join(out)
+
+
+_GRAMS = (f"substr('{'^' * url_lm.ORDER}' || s || '$', CAST(unnest(range(1, length(s) + 2)) AS BIGINT), {url_lm.ORDER + 1}) AS g")
+
+#: Rules, then counts by context, one relation for each order, the score of each distinct URL, and the threshold.
+URL_FILTER = f"""
+WITH u AS (SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages)
+, hp AS (SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), {_LOWER}) AS host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM u)
+, parsed AS (SELECT *, {_rule_case(0)} AS rule, {_rule_case(1)} AS judged,
+                    regexp_replace(host || translate(path, {_LOWER}), '[^a-z0-9./_\\-]', '*', 'g') AS s FROM hp)
+, urls AS (SELECT s, count(*) FILTER (WHERE judged = 'allow') AS a, count(*) FILTER (WHERE judged = 'block') AS r,
+                  bool_or(rule IS NULL) AS open, substr(md5(s), 1, 1) < '4' AS held FROM parsed GROUP BY s)
+, counted AS (SELECT g, sum(a) AS a, sum(r) AS r FROM (SELECT a, r, {_GRAMS} FROM urls WHERE NOT held AND a + r > 0) GROUP BY g)
+, sums AS (SELECT substr(g, {url_lm.ORDER + 1} - k, k) AS ctx, substr(g, {url_lm.ORDER + 1}, 1) AS c, sum(a) AS a, sum(r) AS r
+           FROM counted, (SELECT CAST(unnest(range({url_lm.ORDER + 1})) AS BIGINT) AS k) GROUP BY 1, 2)
+, totals AS (SELECT ctx, sum(a) AS a, count(*) FILTER (WHERE a > 0) AS a_kinds, sum(r) AS r, count(*) FILTER (WHERE r > 0) AS r_kinds FROM sums GROUP BY ctx)
+, wanted AS (SELECT s, {_GRAMS} FROM urls WHERE open OR (held AND a + r > 0))
+{_orders()}
+, scores AS (SELECT s, avg(ln(q.a) - ln(q.r)) AS score FROM wanted w JOIN q{url_lm.ORDER + 1} q ON w.g = q.g GROUP BY s)
+, cells AS (SELECT least({url_lm.BINS - 1}, greatest(0, floor((score + {url_lm.SPAN}e0) * {url_lm.BINS / (2 * url_lm.SPAN)}e0))) AS x,
+                   count(*) FILTER (WHERE a > 0) AS a, count(*) FILTER (WHERE r > 0) AS r
+            FROM scores JOIN urls ON scores.s = urls.s WHERE held AND a + r > 0 GROUP BY 1)
+, edges AS (SELECT x, lag(x) OVER (ORDER BY x) AS low,
+                   coalesce(sum(a) OVER b, 0) / nullif(sum(a) OVER (), 0) + 1 - coalesce(sum(r) OVER b, 0) / nullif(sum(r) OVER (), 0) AS wrong
+            FROM cells WINDOW b AS (ORDER BY x ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))
+, cut AS (SELECT CASE WHEN low IS NULL THEN x ELSE (x + low + 1) / 2 END * {2 * url_lm.SPAN / url_lm.BINS}e0 - {url_lm.SPAN}e0 AS cut
+          FROM edges WHERE wrong IS NOT NULL ORDER BY wrong, x LIMIT 1)
+SELECT page_id, host, path, rule,
+       coalesce(judged, CASE WHEN coalesce(score, 0e0) >= coalesce((SELECT cut FROM cut), 0e0) THEN 'allow' ELSE 'block' END) AS verdict
+FROM parsed LEFT JOIN scores ON parsed.s = scores.s"""
+
+
+def _canonical(column: str) -> str:
+    form = f"regexp_replace(lower(coalesce({column}, '')), {_text(license_digest.COPYRIGHT_LINE)}, '', 'g')"
+    for a, b in license_digest.EQUIVALENT:
+        form = f"replace({form}, {_text(a)}, {_text(b)})"
+    return f"trim(regexp_replace({form}, {_text(r'[^\p{L}\p{N}]+')}, ' ', 'g'))"
+
+
+LICENSE_SCAN = f"""
+WITH known AS (SELECT {_canonical('t')} AS form, min(license) AS license
+               FROM (VALUES {', '.join(f'({_text(n)}, {_text(t)})' for n, t in license_digest.KNOWN)}) AS k(license, t) GROUP BY 1)
+, lines AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents)
+, found AS (SELECT l.doc_id, count(*) AS n, string_agg(DISTINCT k.license, ',' ORDER BY k.license) AS licenses
+            FROM (SELECT doc_id, {_canonical('line')} AS form FROM lines) l JOIN known k ON l.form = k.form GROUP BY l.doc_id)
+, whole AS (SELECT doc_id, {_canonical('text')} AS form FROM documents)
+SELECT w.doc_id, k.license AS text_license, CAST(coalesce(f.n, 0) AS BIGINT) AS n_notices, coalesce(f.licenses, '') AS notice_licenses
+FROM whole w LEFT JOIN known k ON w.form = k.form LEFT JOIN found f ON w.doc_id = f.doc_id"""
+
+ORACLE: dict[str, str] = {"op2_mixing": MIXING, "op5_quality_rules": QUALITY_RULES, "op8_url_filter": URL_FILTER, "op9_license_scan": LICENSE_SCAN}

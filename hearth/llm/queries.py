@@ -1,4 +1,4 @@
-"""Registered queries of the text operators, and their SQL where SQL can express them."""
+"""Registered queries of the text operators; their SQL, where SQL can express them, is in ``oracle``."""
 
 from __future__ import annotations
 
@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from . import iblt, license_digest, line_rules, mixing, pii, quality_gam, sentencepiece_codec, simhash, toxicity, url_lm
 from .common import held_out, table
+from .oracle import ORACLE  # noqa: F401  (read by the driver's entry)
 
 #: Score from which a document is predicted to be of class 1.
 PREDICTED_FROM = 0.7
@@ -82,29 +83,3 @@ def _scored(scores: DataFrame, modulus: int, remainder: int) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_simhash, op2_mixing, op3_quality, op4_fingerprints, op5_quality_rules, op6_toxicity, op7_pii,
                             op8_url_filter, op9_license_scan, op10_sentencepiece)}
-
-
-
-def _text(value: str) -> str:
-    return "'" + value.replace("'", "''") + "'"
-
-
-def _canonical_sql(column: str) -> str:
-    form = f"regexp_replace(lower(coalesce({column}, '')), {_text(license_digest.COPYRIGHT_LINE)}, '', 'g')"
-    for a, b in license_digest.EQUIVALENT:
-        form = f"replace({form}, {_text(a)}, {_text(b)})"
-    return f"trim(regexp_replace({form}, {_text(r'[^\p{L}\p{N}]+')}, ' ', 'g'))"
-
-
-ORACLE: dict[str, str] = {
-    # distinct ids are taken for granted: (doc_id, text) names a row of documents
-    "op9_license_scan": f"""
-WITH known AS (SELECT {_canonical_sql('t')} AS form, min(license) AS license
-               FROM (VALUES {', '.join(f'({_text(n)}, {_text(t)})' for n, t in license_digest.KNOWN)}) AS k(license, t) GROUP BY 1)
-, lines AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents)
-, found AS (SELECT l.doc_id, count(*) AS n, string_agg(DISTINCT k.license, ',' ORDER BY k.license) AS licenses
-            FROM (SELECT doc_id, {_canonical_sql('line')} AS form FROM lines) l JOIN known k ON l.form = k.form GROUP BY l.doc_id)
-, whole AS (SELECT doc_id, {_canonical_sql('text')} AS form FROM documents)
-SELECT w.doc_id, k.license AS text_license, CAST(coalesce(f.n, 0) AS BIGINT) AS n_notices, coalesce(f.licenses, '') AS notice_licenses
-FROM whole w LEFT JOIN known k ON w.form = k.form LEFT JOIN found f ON w.doc_id = f.doc_id""",
-}

@@ -28,7 +28,8 @@ ORDER = 4
 #: The models' symbols: these, one for any other character, and the end.
 KNOWN = "abcdefghijklmnopqrstuvwxyz0123456789./_-"
 SYMBOLS = len(KNOWN) + 2
-FOLDS, HELD_OUT = 4, 0
+#: URLs whose digest begins with a lower hex digit than this are kept out of the counts (a quarter).
+HELD_BELOW = "4"
 BINS, SPAN = 400, 4.0
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -97,8 +98,8 @@ def _threshold(scored: DataFrame) -> float:
         F.sum(F.when(F.col("judged") == "allow", 1).otherwise(0)).alias("a"),
         F.sum(F.when(F.col("judged") == "block", 1).otherwise(0)).alias("r"))   # BINS rows at most
     upto, every = Window.orderBy("x").rowsBetween(Window.unboundedPreceding, -1), Window.partitionBy(F.lit(0))
-    wrong = (F.coalesce(F.sum("a").over(upto), F.lit(0)) / F.sum("a").over(every)
-             + 1 - F.coalesce(F.sum("r").over(upto), F.lit(0)) / F.sum("r").over(every))
+    wrong = (F.try_divide(F.coalesce(F.sum("a").over(upto), F.lit(0)), F.sum("a").over(every))
+             + 1 - F.try_divide(F.coalesce(F.sum("r").over(upto), F.lit(0)), F.sum("r").over(every)))
     low = F.lag("x").over(Window.orderBy("x"))
     best = cells.select("x", low.alias("low"), wrong.alias("wrong")).where("wrong is not null").orderBy("wrong", "x").first()
     if best is None:
@@ -119,7 +120,7 @@ def judge(pages: DataFrame, rules=RULES, id_col: str = "page_id", url_col: str =
     rule, verdict = rule_for(F.col("host"), F.col("path"), rules)
     parsed = write_scratch(parsed.select("page_id", "host", "path", rule.alias("rule"), verdict.alias("judged"),
                                          _symbols(F.col("host"), F.col("path")).alias("s")), "urls")
-    fold = F.crc32(F.encode("s", "UTF-8")) % FOLDS == HELD_OUT
+    fold = F.substring(F.md5(F.encode("s", "UTF-8")), 1, 1) < HELD_BELOW
     urls = write_scratch(parsed.groupBy("s").agg(
         F.sum(F.when(F.col("judged") == "allow", 1).otherwise(0)).alias("a"),
         F.sum(F.when(F.col("judged") == "block", 1).otherwise(0)).alias("r"),

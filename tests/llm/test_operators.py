@@ -182,6 +182,22 @@ def test_fingerprints(odd, empty):
     assert alone["near_next"] == 1.0
 
 
+def test_fingerprints_of_a_hot_id(spark):
+    """One id holds most rows, ids beyond 2**53 and null ids stand beside it: neighbours are those of the whole order."""
+    rows = [(7, f"Note {i} of many. It says {i * i}.") for i in range(300)]
+    rows += [(i, f"Text {i}. {PROSE}") for i in (1, 2, 2**60, 2**60 + 1, 9)] + [(None, "No id."), (None, "None either.")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    order = docs.orderBy(F.col("doc_id").desc_nulls_last(), F.xxhash64("text").desc()).collect()
+    expected = []
+    for i, r in enumerate(order):
+        new = iblt.edited_text(r["text"], order[(i + 1) % len(order)]["text"])
+        expected.append((r["doc_id"], len(r["text"]), brute.sha(new)))
+    got = iblt.version_fingerprints(docs)
+    same([(r["doc_id"], r["n_chars"], r["edited_sha256"]) for r in got.collect()], expected)
+    sizes = got.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+    assert sizes < 150
+
+
 def test_sentencepiece(odd, empty, spark):
     import sentencepiece
     library = sentencepiece.SentencePieceProcessor(model_proto=model_bytes())
@@ -221,6 +237,9 @@ def test_url_filter(spark):
         assert r["verdict"] == rule[1] if rule else r["verdict"] in ("allow", "block")
     assert url_lm.judge(pages.limit(0)).count() == 0
     assert {r["verdict"] for r in url_lm.judge(pages.where("page_id < 4")).collect()} == {"allow"}
+    # rules of one verdict only: no threshold can be set
+    one = spark.createDataFrame([(i, f"https://h{i}.org/{i}") for i in range(60)], "page_id long, url string")
+    assert {r["verdict"] for r in url_lm.judge(one).collect()} == {"allow"}
 
 
 def test_url_ratio_is_the_interpolated_models(spark):
