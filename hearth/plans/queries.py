@@ -141,7 +141,7 @@ def q_cost_bounds_table(spark, sf_dir):
 from ..functions import columns as C  # noqa: E402
 from ..operators import profile as P  # noqa: E402
 
-CERT_AUDIT_COLUMNS = ["uprn", "postcode", "address1", "local_authority_label", "tenure", "property_type",
+CERT_AUDIT_COLUMNS = ["region", "postcode", "co2_emissions_current", "local_authority_label", "tenure", "property_type",
                       "construction_age_band", "current_energy_rating", "current_energy_efficiency",
                       "total_floor_area", "main_fuel", "inspection_date", "mains_gas_flag"]
 
@@ -172,14 +172,14 @@ def q_rating_distribution(spark, sf_dir):
 
 @register("score_stats")
 def q_score_stats(spark, sf_dir):
-    return layers.certificates(spark, sf_dir).agg(
+    return silver.in_scope_certificates(bronze.raw_certificates(spark, sf_dir)).agg(
         F.round(F.avg("epc_score"), 1).alias("mean_score"),
         F.min("epc_score").alias("min_score"), F.max("epc_score").alias("max_score"))
 
 
 @register("area_breakdown")
 def q_area_breakdown(spark, sf_dir):
-    proj = silver.project_certificates(bronze.raw_certificates(spark, sf_dir))
+    proj = silver.in_scope_certificates(bronze.raw_certificates(spark, sf_dir))
     return (proj.filter(F.col("borough").isNotNull()).groupBy("borough").agg(
         F.count(F.lit(1)).alias("properties"),
         F.round(F.avg("epc_score"), 1).alias("avg_epc_score"),
@@ -189,8 +189,8 @@ def q_area_breakdown(spark, sf_dir):
 
 @register("year_histogram")
 def q_year_histogram(spark, sf_dir):
-    return (layers.certificates(spark, sf_dir).groupBy("inspection_year")
-            .agg(F.count(F.lit(1)).alias("count")))
+    return (silver.in_scope_certificates(bronze.raw_certificates(spark, sf_dir))
+            .groupBy(F.year("inspection_date").alias("inspection_year")).agg(F.count(F.lit(1)).alias("count")))
 
 
 @register("null_audit")
@@ -200,7 +200,9 @@ def q_null_audit(spark, sf_dir):
 
 @register("blank_audit")
 def q_blank_audit(spark, sf_dir):
-    return P.blank_audit(bronze.raw_certificates(spark, sf_dir), CERT_AUDIT_COLUMNS)
+    raw = bronze.raw_certificates(spark, sf_dir)
+    scope = C.tenure_in_scope(F.trim("tenure")) & (F.trim("region") == fixed.TARGET_REGION)
+    return P.blank_audit(raw.filter(scope), CERT_AUDIT_COLUMNS)
 
 
 @register("lettings_blank_audit")

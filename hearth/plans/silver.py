@@ -34,8 +34,8 @@ _TRIMMED_TAIL = {
 }
 
 
-def project_certificates(raw: DataFrame) -> DataFrame:
-    """Trim + rename + cast (P1), then the scope filters."""
+def in_scope_certificates(raw: DataFrame) -> DataFrame:
+    """Trim + rename + cast (P1), then tenure and region (P5, P6); rows without a rating stay."""
     present = set(raw.columns)
     cols = [F.trim(F.col(s)).alias(t) for s, t in _TRIMMED.items()]
     cols += [C.to_double(s).alias(t) for s, t in _NUMERIC.items() if s in present]
@@ -46,10 +46,14 @@ def project_certificates(raw: DataFrame) -> DataFrame:
         raw.select(*cols)
         .filter(C.tenure_in_scope("tenure"))
         .filter(F.col("region_code") == fixed.TARGET_REGION)
-        .filter(F.col("epc_rating").isNotNull())
     )
 
 
+def project_certificates(raw: DataFrame) -> DataFrame:
+    """In-scope certificates that have a rating."""
+    return in_scope_certificates(raw).filter(F.col("epc_rating").isNotNull())
+
+
 def certificates_silver_from_raw(raw: DataFrame) -> DataFrame:
     """Bronze certificates -> silver (latest certificate per property + derived flags)."""
     projected = project_certificates(raw)

@@ -286,15 +286,15 @@ FROM cert_silver GROUP BY epc_rating""")
 
 oracle("score_stats", """
 SELECT round(avg(epc_score), 1) AS mean_score, min(epc_score) AS min_score, max(epc_score) AS max_score
-FROM cert_silver""")
+FROM cert_scope""")
 
 oracle("area_breakdown", f"""
 SELECT borough, count(*) AS properties, round(avg(epc_score), 1) AS avg_epc_score,
        CAST(sum(CASE WHEN epc_rating IN {inlist(fixed.BELOW_C_RATINGS)} THEN 1 ELSE 0 END) AS BIGINT) AS below_c_count,
        round(sum(CASE WHEN epc_rating IN {inlist(fixed.BELOW_C_RATINGS)} THEN 1 ELSE 0 END) / count(*) * 100, 1) AS pct_below_c
-FROM cert_proj WHERE borough IS NOT NULL GROUP BY borough""")
+FROM cert_scope WHERE borough IS NOT NULL GROUP BY borough""")
 
-oracle("year_histogram", "SELECT inspection_year, count(*) AS count FROM cert_silver GROUP BY inspection_year")
+oracle("year_histogram", "SELECT CAST(year(inspection_date) AS INTEGER) AS inspection_year, count(*) AS count FROM cert_scope GROUP BY 1")
 
 _SILVER_COLS = ["certificate_id", "uprn", "postcode", "address1", "local_authority_code", "borough", "tenure",
                 "property_type", "built_form", "construction_age_band", "epc_rating", "epc_score",
@@ -306,12 +306,13 @@ oracle("null_audit", " UNION ALL ".join(
     f"SELECT {q(c)} AS column_name, count(*) FILTER (WHERE {c} IS NULL"
     + (f" OR isnan({c})" if c in _FLOATS else "") + ") AS nulls FROM cert_silver" for c in _SILVER_COLS))
 
-_AUDIT = ["uprn", "postcode", "address1", "local_authority_label", "tenure", "property_type",
+_AUDIT = ["region", "postcode", "co2_emissions_current", "local_authority_label", "tenure", "property_type",
           "construction_age_band", "current_energy_rating", "current_energy_efficiency", "total_floor_area",
           "main_fuel", "inspection_date", "mains_gas_flag"]
 oracle("blank_audit", " UNION ALL ".join(
     f"SELECT {q(c)} AS column_name, count(*) FILTER (WHERE {c} IS NULL OR trim({c}) = '') AS blanks, "
-    f"round(count(*) FILTER (WHERE {c} IS NULL OR trim({c}) = '') / count(*) * 100, 1) AS pct_blank FROM raw_cert"
+    f"round(count(*) FILTER (WHERE {c} IS NULL OR trim({c}) = '') / count(*) * 100, 1) AS pct_blank FROM raw_cert "
+    f"WHERE upper(trim(tenure)) IN {inlist(fixed.SOCIAL_TENURES)} AND trim(region) = '{fixed.TARGET_REGION}'"
     for c in _AUDIT))
 
 oracle("lettings_blank_audit", " UNION ALL ".join(

@@ -108,7 +108,7 @@ raw_imd AS (
 )"""
 
 CERT_SILVER = f"""
-cert_proj AS (
+cert_scope AS (
   SELECT trim(certificate_number) AS certificate_id, trim(uprn) AS uprn, trim(postcode) AS postcode,
          trim(address1) AS address1, trim(local_authority) AS local_authority_code,
          trim(local_authority_label) AS borough, trim(tenure) AS tenure,
@@ -128,8 +128,8 @@ cert_proj AS (
   FROM raw_cert
   WHERE upper(trim(tenure)) IN {inlist(fixed.SOCIAL_TENURES)}
     AND trim(region) = '{fixed.TARGET_REGION}'
-    AND trim(current_energy_rating) IS NOT NULL
 ),
+cert_proj AS (SELECT * FROM cert_scope WHERE epc_rating IS NOT NULL),
 cert_keyed AS (
   SELECT *, COALESCE(
       CASE WHEN uprn IS NOT NULL AND uprn <> '' THEN uprn END,
