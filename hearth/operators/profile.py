@@ -49,10 +49,10 @@ def null_audit(df: DataFrame) -> DataFrame:
 
 
 def blank_audit(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """NULL-or-blank count and share per column in one pass."""
+    """NULL-or-blank count and share per column in one pass (A27); NULL for a column that is not there."""
     columns = columns or df.columns
     exprs = [F.count_if(F.col(f"`{c}`").isNull() | (F.trim(F.col(f"`{c}`").cast("string")) == "")).alias(c)
-             for c in columns]
+             if c in df.columns else F.lit(None).cast("long").alias(c) for c in columns]
     wide = df.agg(F.count(F.lit(1)).alias("_rows"), *exprs)
     long = wide.unpivot(["_rows"], columns, "column_name", "blanks")
     return long.select("column_name", "blanks",

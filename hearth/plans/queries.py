@@ -141,7 +141,7 @@ def q_cost_bounds_table(spark, sf_dir):
 from ..functions import columns as C  # noqa: E402
 from ..operators import profile as P  # noqa: E402
 
-CERT_AUDIT_COLUMNS = ["region", "postcode", "co2_emissions_current", "local_authority_label", "tenure", "property_type",
+CERT_AUDIT_COLUMNS = ["region", "postcode", "co2_emiss_curr_per_floor_area", "local_authority_label", "tenure", "property_type",
                       "construction_age_band", "current_energy_rating", "current_energy_efficiency",
                       "total_floor_area", "main_fuel", "inspection_date", "mains_gas_flag"]
 
@@ -165,7 +165,7 @@ def q_raw_cost_counts(spark, sf_dir):
 
 @register("rating_distribution")
 def q_rating_distribution(spark, sf_dir):
-    vc = (layers.certificates(spark, sf_dir).groupBy("epc_rating")
+    vc = (silver.in_scope_certificates(bronze.raw_certificates(spark, sf_dir)).groupBy("epc_rating")
           .agg(F.count(F.lit(1)).alias("count")))
     return P.share_of_total(vc).withColumn("below_c", C.below_c_flag("epc_rating"))
 

@@ -282,7 +282,7 @@ GROUP BY indicative_cost ORDER BY count DESC, value ASC NULLS LAST LIMIT 20""")
 oracle("rating_distribution", f"""
 SELECT epc_rating, count(*) AS count, round(count(*) / sum(count(*)) OVER () * 100, 1) AS pct_of_total,
        CASE WHEN epc_rating IN {inlist(fixed.BELOW_C_RATINGS)} THEN TRUE ELSE FALSE END AS below_c
-FROM cert_silver GROUP BY epc_rating""")
+FROM cert_scope GROUP BY epc_rating""")
 
 oracle("score_stats", """
 SELECT round(avg(epc_score), 1) AS mean_score, min(epc_score) AS min_score, max(epc_score) AS max_score
@@ -306,14 +306,15 @@ oracle("null_audit", " UNION ALL ".join(
     f"SELECT {q(c)} AS column_name, count(*) FILTER (WHERE {c} IS NULL"
     + (f" OR isnan({c})" if c in _FLOATS else "") + ") AS nulls FROM cert_silver" for c in _SILVER_COLS))
 
-_AUDIT = ["region", "postcode", "co2_emissions_current", "local_authority_label", "tenure", "property_type",
+_AUDIT = ["region", "postcode", "local_authority_label", "tenure", "property_type",
           "construction_age_band", "current_energy_rating", "current_energy_efficiency", "total_floor_area",
           "main_fuel", "inspection_date", "mains_gas_flag"]
 oracle("blank_audit", " UNION ALL ".join(
     f"SELECT {q(c)} AS column_name, count(*) FILTER (WHERE {c} IS NULL OR trim({c}) = '') AS blanks, "
     f"round(count(*) FILTER (WHERE {c} IS NULL OR trim({c}) = '') / count(*) * 100, 1) AS pct_blank FROM raw_cert "
     f"WHERE upper(trim(tenure)) IN {inlist(fixed.SOCIAL_TENURES)} AND trim(region) = '{fixed.TARGET_REGION}'"
-    for c in _AUDIT))
+    for c in _AUDIT)
+    + " UNION ALL SELECT 'co2_emiss_curr_per_floor_area', CAST(NULL AS BIGINT), CAST(NULL AS DOUBLE)")   # not in the raw files
 
 oracle("lettings_blank_audit", " UNION ALL ".join(
     f"SELECT {q(c)} AS column_name, count(*) FILTER (WHERE {c} IS NULL OR trim({c}) = '') AS blanks, "
