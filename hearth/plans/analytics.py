@@ -38,9 +38,9 @@ TIER_LABELS = ("Act now", "Act next", "Monitor", "Deprioritise")
 
 def area_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Priority ⟕ wall split (J4), rows with any missing feature dropped."""
-    silver, joined = retrofit.enriched(spark, sf_dir)
+    silver = layers.certificates(spark, sf_dir)
     pr = gold.composite_priority(spark, sf_dir, silver)
-    wall = retrofit.wall_split(joined).select("borough", "pct_solid_wall")
+    wall = retrofit.wall_split(layers.retrofit_rollup(spark, sf_dir)).select("borough", "pct_solid_wall")
     return pr.join(wall, "borough", "left").na.drop(subset=AREA_FEATURES)
 
 

@@ -53,6 +53,7 @@ CODE_VERSION = _code_version()
 SOURCES = {
     "certificates": ("orders", "customer", "nation"),
     "retrofit_base": ("orders", "customer", "nation", "lineitem"),
+    "retrofit_rollup": ("orders", "customer", "nation", "lineitem"),
     "lettings": ("events",),
 }
 
@@ -120,6 +121,12 @@ def retrofit_base(spark: SparkSession, sf_dir: str, tag: str = "") -> DataFrame:
     return materialise(spark, sf_dir, "retrofit_base", build, CERT_PARTITION, tag)
 
 
+def retrofit_rollup(spark: SparkSession, sf_dir: str, tag: str = "") -> DataFrame:
+    """Counts and cost sums of ``retrofit_base``, which most retrofit reports add up."""
+    from .retrofit import rollup
+    return materialise(spark, sf_dir, "retrofit_rollup", lambda: rollup(retrofit_base(spark, sf_dir, tag)), None, tag)
+
+
 def lettings(spark: SparkSession, sf_dir: str, tag: str = "") -> DataFrame:
     from .lettings import lettings_silver
     return materialise(spark, sf_dir, "lettings", lambda: lettings_silver(spark, sf_dir),

@@ -9,7 +9,7 @@ from ..functions import columns as C
 from ..functions import fixed
 from ..session import scratch_path
 from ..sources import bronze
-from ..sources.readers import _fs, column_or_null, first_present, list_files, read_drifting
+from ..sources.readers import _fs, column_or_null, first_present, list_files, read_drifting, require_rows
 from ..sources.sinks import write_tab_files
 
 # Target column -> source header names (first present wins) and type.
@@ -89,7 +89,7 @@ def lettings_silver_from_files(spark: SparkSession, paths: list[str]) -> DataFra
 
 def lettings_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = write_lettings_bronze(spark, sf_dir)
-    return lettings_silver_from_files(spark, list_files(spark, root, ".csv"))
+    return require_rows(lettings_silver_from_files(spark, list_files(spark, root, ".csv")), "lettings")
 
 
 def affordability_trend(silver: DataFrame) -> DataFrame:
@@ -120,10 +120,11 @@ def lettings_sanity(silver: DataFrame) -> DataFrame:
 
 
 def rows_by_source(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """In-scope rows per source folder (A32) from one scan, via the file name."""
+    """In-scope rows per source folder and in total (A32) from one scan, via the file name."""
     root = write_lettings_bronze(spark, sf_dir)
     files = list_files(spark, root, ".csv")
     silver = read_drifting(spark, files, "\t",
                            lambda df, present: standardise_lettings(df, present)
                            .withColumn("source", F.regexp_extract(F.input_file_name(), r"/([^/]+)/[^/]+$", 1)))
-    return silver.groupBy("source").agg(F.count(F.lit(1)).alias("rows_in_scope"))
+    return silver.rollup("source").agg(F.count(F.lit(1)).alias("rows_in_scope")).withColumn(
+        "source", F.coalesce("source", F.lit("total")))

@@ -11,23 +11,38 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..operators.quality import accepted_range, check_table, not_null, ordered, sums_to, unique
+from ..operators.quality import accepted_range, check_table, not_null, ordered, row_count, sums_to, unique
+from ..session import durable
 from ..sources import bronze
 from . import gold, layers, reach, retrofit
 
-# table -> rules, as (kind, args) so the SQL oracle can be generated from the same list
+def _key(c: str) -> list[tuple]:
+    return [("not_null", c), ("unique", c)]
+
+
+def _bounded(c: str, low=None, high=None, required: bool = False) -> list[tuple]:
+    return [("not_null", c)] * required + [("accepted_range", c, low, high)]
+
+
 RULES = {
-    "certificates": [("not_null", "certificate_id"), ("unique", "certificate_id"), ("not_null", "borough"),
-                     ("accepted_range", "epc_score", 1, 100), ("accepted_range", "floor_area_m2", 0, None)],
-    "area_deprivation": [("not_null", "la_name"), ("unique", "la_name"),
-                         ("accepted_range", "income_deprivation_rate", 0, 1), ("accepted_range", "lsoa_count", 1, None)],
-    "area_priority": [("not_null", "borough"), ("unique", "borough"), ("accepted_range", "priority_rank", 1, None),
-                      ("accepted_range", "pct_below_epc_c", 0, 100), ("accepted_range", "pct_pre_1950", 0, 100)],
-    "retrofit_scenarios": [("unique", "borough"),
+    "certificates": [*_key("certificate_id"), ("not_null", "borough"), *_bounded("epc_score", 1, 100), *_bounded("floor_area_m2", 0)],
+    "area_quality": [*_key("borough"), *_bounded("social_properties", 1, required=True),
+                     *_bounded("pct_below_epc_c", 0, 100, required=True), *_bounded("avg_epc_score", 0, 100),
+                     *_bounded("pct_pre_1950", 0, 100)],
+    "area_deprivation": [*_key("la_name"), *_bounded("imd_score", 0, required=True),
+                         *_bounded("income_deprivation_rate", 0, 1, required=True), *_bounded("lsoa_count", 1)],
+    "area_priority": [("row_count", bronze.PRIORITY_AREAS), *_key("borough"),
+                      *_bounded("priority_rank", 1, bronze.PRIORITY_AREAS, required=True),
+                      *_bounded("priority_score", 1, required=True), *_bounded("pct_below_epc_c", 0, 100, required=True),
+                      *_bounded("income_deprivation_rate", 0, 1, required=True), *_bounded("pct_pre_1950", 0, 100, required=True)],
+    "retrofit_costs": [*_key("borough"), *_bounded("total_recommendations", 1, required=True),
+                       *_bounded("avg_cost_per_recommendation", 0), *_bounded("total_indicative_cost_m", 0)],
+    "retrofit_scenarios": [*_key("borough"), *_bounded("properties_with_recs", 1, required=True),
+                           *_bounded("per_home_optimistic", 0), *_bounded("per_home_central", 0), *_bounded("per_home_pessimistic", 0),
                            ("ordered", "per_home_optimistic", "per_home_central", "per_home_pessimistic"),
                            ("ordered", "total_optimistic_m", "total_central_m", "total_pessimistic_m"),
-                           ("accepted_range", "uncertainty_pct", 0, None)],
-    "wall_split": [("unique", "borough"), ("accepted_range", "pct_solid_wall", 0, 100),
+                           *_bounded("uncertainty_pct", 0)],
+    "wall_split": [*_key("borough"), *_bounded("pct_solid_wall", 0, 100, required=True), *_bounded("pct_cavity_wall", 0, 100),
                    ("sums_to", ["pct_solid_wall", "pct_cavity_wall"], 100)],
     "reachability_shares": [("unique", "borough"),
                             ("sums_to", ["pct_already_c", "pct_can_reach", "pct_cannot_reach"], 100)],
@@ -44,20 +59,28 @@ def _rule(spec):
         return accepted_range(*args)
     if kind == "ordered":
         return ordered(*args)
+    if kind == "row_count":
+        return row_count(args[0])
     if kind == "sums_to":
         return sums_to(args[0], args[1])
     raise ValueError(kind)
 
 
 def tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The checked tables. Those read twice, a row per area each, are kept; the rest is read once."""
     silver, joined = retrofit.enriched(spark, sf_dir)
+    quality = durable(gold.area_quality(silver))
+    deprivation = durable(gold.area_deprivation(bronze.raw_deprivation(spark, sf_dir)))
+    rolled = layers.retrofit_rollup(spark, sf_dir)
     return {
         "certificates": silver,
-        "area_deprivation": gold.area_deprivation(bronze.raw_deprivation(spark, sf_dir)),
-        "area_priority": gold.composite_priority(spark, sf_dir, silver),
+        "area_quality": quality,
+        "area_deprivation": deprivation,
+        "area_priority": gold.composite_priority_from(quality, deprivation),
+        "retrofit_costs": retrofit.retrofit_costs(rolled),
         "retrofit_scenarios": retrofit.retrofit_scenarios(joined),
-        "wall_split": retrofit.wall_split(joined),
-        "reachability_shares": reach.reachability_shares(layers.certificates(spark, sf_dir)),
+        "wall_split": retrofit.wall_split(rolled),
+        "reachability_shares": reach.reachability_shares(silver),
     }
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import fixed
@@ -65,24 +66,37 @@ def _joined(fn):
     return run
 
 
-register("retrofit_costs")(_joined(R.retrofit_costs))
+def _rolled(fn):
+    def run(spark, sf_dir):
+        return fn(layers.retrofit_rollup(spark, sf_dir))
+    return run
+
+
+def _rolled_with_areas(fn):
+    def run(spark, sf_dir):
+        areas = R.priority_areas(spark, sf_dir, layers.certificates(spark, sf_dir))
+        return fn(layers.retrofit_rollup(spark, sf_dir), areas)
+    return run
+
+
+register("retrofit_costs")(_rolled(R.retrofit_costs))
 register("retrofit_scenarios")(_joined(R.retrofit_scenarios))
-register("wall_split")(_joined(R.wall_split))
-register("common_types")(_joined(R.common_types))
-register("expensive_types")(_joined(R.expensive_types))
-register("cost_range_by_type")(_joined(R.cost_range_by_type))
-register("wall_share_by_area")(_joined(R.wall_share_by_area))
+register("wall_split")(_rolled(R.wall_split))
+register("common_types")(_rolled(R.common_types))
+register("expensive_types")(_rolled(R.expensive_types))
+register("cost_range_by_type")(_rolled(R.cost_range_by_type))
+register("wall_share_by_area")(_rolled(R.wall_share_by_area))
 register("priority_scenarios")(_with_areas(R.priority_scenarios))
-register("category_costs")(_joined(R.category_costs))
-register("area_category_costs")(_with_areas(R.area_category_costs))
-register("work_tiers")(_joined(R.work_tiers))
+register("category_costs")(_rolled(R.category_costs))
+register("area_category_costs")(_rolled_with_areas(R.area_category_costs))
+register("work_tiers")(_rolled(R.work_tiers))
 register("tier_share_by_area")(_joined(R.tier_share_by_area))
-register("quick_win_detail")(_with_areas(R.quick_win_detail))
-register("first_ranked_types")(_joined(R.first_ranked_types))
-register("top3_first_ranked")(_with_areas(R.top3_first_ranked))
-register("cost_by_position")(_joined(R.cost_by_position))
-register("avg_cost_priority")(_with_areas(R.avg_cost_priority))
-register("top5_types_per_area")(_with_areas(R.top5_types_per_area))
+register("quick_win_detail")(_rolled_with_areas(R.quick_win_detail))
+register("first_ranked_types")(_rolled(R.first_ranked_types))
+register("top3_first_ranked")(_rolled_with_areas(R.top3_first_ranked))
+register("cost_by_position")(_rolled(R.cost_by_position))
+register("avg_cost_priority")(_rolled_with_areas(R.avg_cost_priority))
+register("top5_types_per_area")(_rolled_with_areas(R.top5_types_per_area))
 
 
 # ---------------------------------------------------------------- lettings
@@ -167,7 +181,11 @@ def q_raw_cost_counts(spark, sf_dir):
 def q_rating_distribution(spark, sf_dir):
     vc = (silver.in_scope_certificates(bronze.raw_certificates(spark, sf_dir)).groupBy("epc_rating")
           .agg(F.count(F.lit(1)).alias("count")))
-    return P.share_of_total(vc).withColumn("below_c", C.below_c_flag("epc_rating"))
+    every = Window.partitionBy(F.lit(0))   # one row per rating
+    below = F.sum(F.when(F.col("below_c"), F.col("count")).otherwise(0)).over(every)
+    return (P.share_of_total(vc).withColumn("below_c", C.below_c_flag("epc_rating"))
+            .withColumn("total", F.sum("count").over(every))
+            .withColumn("pct_below_c_overall", F.round(below / F.col("total") * 100, 1)))
 
 
 @register("score_stats")
@@ -361,6 +379,12 @@ def q_certificates_from_csv(spark, sf_dir):
         "inspection_year", "below_epc_c", "fuel_category", "construction_age_band")
 
 
+@register("recommendations_from_csv")
+def q_recommendations_from_csv(spark, sf_dir):
+    return IG.recommendations_from_csv(spark, sf_dir)
+
+
+register("deprivation_from_csv")(IG.deprivation_from_csv)
 register("export_roundtrip")(IG.export_roundtrip)
 register("retrofit_costs_sql")(IG.retrofit_costs_sql)
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import fixed
@@ -44,11 +44,38 @@ def per_property(joined: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
-def retrofit_costs(joined: DataFrame) -> DataFrame:
-    return joined.groupBy("borough").agg(
-        F.count("certificate_id").alias("total_recommendations"),
-        F.round(F.avg("cost_mid"), 0).alias("avg_cost_per_recommendation"),
-        F.round(F.sum("cost_mid") / M, 2).alias("total_indicative_cost_m"),
+ROLLUP_KEYS = ("borough", "improvement_type", "improvement_id", "category", "work_tier", "priority")
+COSTS = ("low", "mid", "high")
+
+
+def rollup(joined: DataFrame) -> DataFrame:
+    """One row per area, type, category, tier and position: rows, and each cost's sum and number of values.
+
+    Counts and sums add up, so every report without distinct properties is a small aggregate of this table.
+    """
+    return joined.groupBy(*ROLLUP_KEYS).agg(
+        F.count(F.lit(1)).alias("n"),
+        *[F.sum(f"cost_{c}").alias(f"s_{c}") for c in COSTS],
+        *[F.count(f"cost_{c}").alias(f"k_{c}") for c in COSTS])
+
+
+def _rows(condition: Column | None = None) -> Column:
+    return F.sum("n") if condition is None else F.sum(F.when(condition, F.col("n")).otherwise(0))
+
+
+def _mean(cost: str = "mid") -> Column:
+    return F.round(F.try_divide(F.sum(f"s_{cost}"), F.sum(f"k_{cost}")), 0)
+
+
+def _millions(cost: str, digits: int) -> Column:
+    return F.round(F.sum(f"s_{cost}") / M, digits)
+
+
+def retrofit_costs(rolled: DataFrame) -> DataFrame:
+    return rolled.groupBy("borough").agg(
+        _rows().alias("total_recommendations"),
+        _mean().alias("avg_cost_per_recommendation"),
+        _millions("mid", 2).alias("total_indicative_cost_m"),
     )
 
 
@@ -72,52 +99,41 @@ def retrofit_scenarios(joined: DataFrame) -> DataFrame:
     )
 
 
-def wall_split(joined: DataFrame) -> DataFrame:
-    agg = joined.groupBy("borough").agg(
-        F.count("certificate_id").alias("total_recs"),
-        F.sum(F.when(F.col("improvement_id") == fixed.CAVITY_WALL_ID, 1).otherwise(0)).alias("cavity_wall_recs"),
-        F.sum(F.when(F.col("improvement_id") == fixed.SOLID_WALL_ID, 1).otherwise(0)).alias("solid_wall_recs"),
+def wall_split(rolled: DataFrame) -> DataFrame:
+    walls = rolled.groupBy("borough").agg(
+        _rows().alias("total_recs"),
+        _rows(F.col("improvement_id") == fixed.CAVITY_WALL_ID).alias("cavity_wall_recs"),
+        _rows(F.col("improvement_id") == fixed.SOLID_WALL_ID).alias("solid_wall_recs"),
     ).withColumn("total_wall_recs", F.col("cavity_wall_recs") + F.col("solid_wall_recs"))
-    return (
-        agg.withColumn("pct_solid_wall",
-                       F.round(F.try_divide(F.col("solid_wall_recs"), F.col("total_wall_recs")) * 100, 1))
-        .withColumn("pct_cavity_wall",
-                    F.round(F.try_divide(F.col("cavity_wall_recs"), F.col("total_wall_recs")) * 100, 1))
-        .filter(F.col("total_wall_recs") > 0)
-    )
+    return walls.filter(F.col("total_wall_recs") > 0).select("*", *[
+        F.round(F.col(f"{kind}_wall_recs") / F.col("total_wall_recs") * 100, 1).alias(f"pct_{kind}_wall")
+        for kind in ("solid", "cavity")])
 
 
-def type_stats(joined: DataFrame, keys=("improvement_type",)) -> DataFrame:
-    return joined.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("times_recommended"),
-        F.round(F.avg("cost_mid"), 0).alias("avg_cost"),
-    )
+def type_stats(rolled: DataFrame, keys=("improvement_type",)) -> DataFrame:
+    return rolled.groupBy(*keys).agg(_rows().alias("times_recommended"), _mean().alias("avg_cost"))
 
 
-def common_types(joined: DataFrame, k: int = 20) -> DataFrame:
-    return top_k(type_stats(joined), [F.desc("times_recommended"), F.asc_nulls_last("improvement_type")], k)
+def common_types(rolled: DataFrame, k: int = 20) -> DataFrame:
+    return top_k(type_stats(rolled), [F.desc("times_recommended"), F.asc_nulls_last("improvement_type")], k)
 
 
-def expensive_types(joined: DataFrame, k: int = 15, min_count: int = 100) -> DataFrame:
-    st = type_stats(joined).filter(F.col("times_recommended") > min_count)
+def expensive_types(rolled: DataFrame, k: int = 15, min_count: int = 100) -> DataFrame:
+    st = type_stats(rolled).filter(F.col("times_recommended") > min_count)
     return top_k(st, [F.desc("avg_cost"), F.asc_nulls_last("improvement_type")], k)
 
 
-def cost_range_by_type(joined: DataFrame, k: int = 20, min_count: int = 100) -> DataFrame:
-    st = joined.groupBy("improvement_type").agg(
-        F.count(F.lit(1)).alias("times_recommended"),
-        F.round(F.avg("cost_low"), 0).alias("avg_low"),
-        F.round(F.avg("cost_mid"), 0).alias("avg_mid"),
-        F.round(F.avg("cost_high"), 0).alias("avg_high"),
+def cost_range_by_type(rolled: DataFrame, k: int = 20, min_count: int = 100) -> DataFrame:
+    st = rolled.groupBy("improvement_type").agg(
+        _rows().alias("times_recommended"), *[_mean(c).alias(f"avg_{c}") for c in COSTS],
     ).filter(F.col("times_recommended") > min_count)
     return top_k(st, [F.desc("avg_mid"), F.asc_nulls_last("improvement_type")], k)
 
 
-def wall_share_by_area(joined: DataFrame) -> DataFrame:
-    wall = F.col("improvement_type").rlike("(?i)wall insulation")
-    return joined.groupBy("borough").agg(
-        F.count("certificate_id").alias("total_recs"),
-        F.sum(F.when(wall, 1).otherwise(0)).alias("wall_insulation_recs"),
+def wall_share_by_area(rolled: DataFrame) -> DataFrame:
+    return rolled.groupBy("borough").agg(
+        _rows().alias("total_recs"),
+        _rows(F.col("improvement_type").rlike("(?i)wall insulation")).alias("wall_insulation_recs"),
     ).withColumn("pct_needing_wall_insulation",
                  F.round(F.col("wall_insulation_recs") / F.col("total_recs") * 100, 1))
 
@@ -139,29 +155,24 @@ def priority_scenarios(joined: DataFrame, areas: DataFrame) -> DataFrame:
     )
 
 
-def category_costs(joined: DataFrame) -> DataFrame:
-    return joined.groupBy("category").agg(
-        F.count(F.lit(1)).alias("recommendations"),
-        F.round(F.avg("cost_mid"), 0).alias("avg_cost_per_rec"),
-        F.round(F.sum("cost_mid") / M, 1).alias("total_cost_m"),
-        F.round(F.sum("cost_low") / M, 1).alias("total_low_m"),
-        F.round(F.sum("cost_high") / M, 1).alias("total_high_m"),
+def category_costs(rolled: DataFrame) -> DataFrame:
+    return rolled.groupBy("category").agg(
+        _rows().alias("recommendations"),
+        _mean().alias("avg_cost_per_rec"),
+        _millions("mid", 1).alias("total_cost_m"),
+        _millions("low", 1).alias("total_low_m"),
+        _millions("high", 1).alias("total_high_m"),
     )
 
 
-def area_category_costs(joined: DataFrame, areas: DataFrame) -> DataFrame:
-    return in_priority_areas(joined, areas).groupBy("borough", "category").agg(
-        F.count(F.lit(1)).alias("recs"),
-        F.round(F.sum("cost_mid") / M, 2).alias("cost_m"),
-    )
+def area_category_costs(rolled: DataFrame, areas: DataFrame) -> DataFrame:
+    return in_priority_areas(rolled, areas).groupBy("borough", "category").agg(
+        _rows().alias("recs"), _millions("mid", 2).alias("cost_m"))
 
 
-def work_tiers(joined: DataFrame) -> DataFrame:
-    return joined.groupBy("work_tier").agg(
-        F.count(F.lit(1)).alias("recommendations"),
-        F.round(F.avg("cost_mid"), 0).alias("avg_cost"),
-        F.round(F.sum("cost_mid") / M, 1).alias("total_cost_m"),
-    )
+def work_tiers(rolled: DataFrame) -> DataFrame:
+    return rolled.groupBy("work_tier").agg(
+        _rows().alias("recommendations"), _mean().alias("avg_cost"), _millions("mid", 1).alias("total_cost_m"))
 
 
 def tier_share_by_area(joined: DataFrame) -> DataFrame:
@@ -181,39 +192,35 @@ def tier_share_by_area(joined: DataFrame) -> DataFrame:
     )
 
 
-def quick_win_detail(joined: DataFrame, areas: DataFrame) -> DataFrame:
-    return (in_priority_areas(joined, areas)
+def quick_win_detail(rolled: DataFrame, areas: DataFrame) -> DataFrame:
+    return (in_priority_areas(rolled, areas)
             .filter(F.col("work_tier") == fixed.QUICK_WIN)
             .groupBy("borough", "work_tier", "improvement_type")
-            .agg(F.count(F.lit(1)).alias("recs"), F.round(F.avg("cost_mid"), 0).alias("avg_cost")))
+            .agg(_rows().alias("recs"), _mean().alias("avg_cost")))
 
 
-def first_ranked_types(joined: DataFrame, k: int = 15) -> DataFrame:
-    st = (joined.filter(F.col("priority") == 1)
+def first_ranked_types(rolled: DataFrame, k: int = 15) -> DataFrame:
+    st = (rolled.filter(F.col("priority") == 1)
           .groupBy("improvement_type", "category")
-          .agg(F.count(F.lit(1)).alias("times_top_priority"),
-               F.round(F.avg("cost_mid"), 0).alias("avg_cost")))
+          .agg(_rows().alias("times_top_priority"), _mean().alias("avg_cost")))
     return top_k(st, [F.desc("times_top_priority"), F.asc_nulls_last("improvement_type")], k)
 
 
-def top3_first_ranked(joined: DataFrame, areas: DataFrame, n: int = 3) -> DataFrame:
-    st = (in_priority_areas(joined.filter(F.col("priority") == 1), areas)
-          .groupBy("borough", "improvement_type", "category")
-          .agg(F.count(F.lit(1)).alias("times_top")))
+def top3_first_ranked(rolled: DataFrame, areas: DataFrame, n: int = 3) -> DataFrame:
+    st = (in_priority_areas(rolled.filter(F.col("priority") == 1), areas)
+          .groupBy("borough", "improvement_type", "category").agg(_rows().alias("times_top")))
     return top_n_per_group(st, ["borough"], [F.desc("times_top")], n)
 
 
-def cost_by_position(joined: DataFrame, max_position: int = 10) -> DataFrame:
-    return (joined.groupBy("priority")
-            .agg(F.count(F.lit(1)).alias("recommendations"), F.round(F.avg("cost_mid"), 0).alias("avg_cost"))
-            .filter(F.col("priority") <= max_position))
+def cost_by_position(rolled: DataFrame, max_position: int = 10) -> DataFrame:
+    return (rolled.filter(F.col("priority") <= max_position)
+            .groupBy("priority").agg(_rows().alias("recommendations"), _mean().alias("avg_cost")))
 
 
-def avg_cost_priority(joined: DataFrame, areas: DataFrame) -> DataFrame:
-    return (in_priority_areas(joined, areas).groupBy("borough")
-            .agg(F.round(F.avg("cost_mid"), 0).alias("avg_cost_per_rec")))
+def avg_cost_priority(rolled: DataFrame, areas: DataFrame) -> DataFrame:
+    return in_priority_areas(rolled, areas).groupBy("borough").agg(_mean().alias("avg_cost_per_rec"))
 
 
-def top5_types_per_area(joined: DataFrame, areas: DataFrame, n: int = 5) -> DataFrame:
-    st = type_stats(in_priority_areas(joined, areas), ("borough", "improvement_type"))
+def top5_types_per_area(rolled: DataFrame, areas: DataFrame, n: int = 5) -> DataFrame:
+    st = type_stats(in_priority_areas(rolled, areas), ("borough", "improvement_type"))
     return top_n_per_group(st, ["borough"], [F.desc("times_recommended")], n)

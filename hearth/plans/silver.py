@@ -71,8 +71,15 @@ def certificates_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def recommendations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Typed recommendations (no scope filter), cost text parsed once into low/mid/high."""
-    raw = bronze.raw_recommendations(spark, sf_dir)
+    """Typed recommendations of the driver's tables."""
+    return recommendations_from_raw(bronze.raw_recommendations(spark, sf_dir))
+
+
+REC_REQUIRED = {"certificate_number", "improvement_item", "improvement_id", "improvement_summary_text", "indicative_cost"}
+
+
+def recommendations_from_raw(raw: DataFrame) -> DataFrame:
+    """Bronze recommendations -> typed (no scope filter), cost text parsed once into low/mid/high."""
     cost = C.cost_bounds("indicative_cost")
     return raw.select(
         F.col("certificate_number").alias("certificate_id"),

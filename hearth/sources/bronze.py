@@ -171,6 +171,10 @@ IMD_HEALTH = "Health Deprivation and Disability Score"
 IMD_LIVING = "Living Environment Score"
 
 
+#: Areas in scope of the deprivation index: the 25 nations but for the five of region 4.
+PRIORITY_AREAS = 20
+
+
 def raw_deprivation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per small area (customer); nations of region 4 get a non-area code."""
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")

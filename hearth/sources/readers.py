@@ -53,6 +53,24 @@ def read_csv_typed(spark: SparkSession, paths: str | list[str], schema: T.Struct
     return spark.read.option("header", True).option("sep", sep).schema(schema).csv(paths)
 
 
+def read_csv_named(spark: SparkSession, paths: str | list[str], schema: T.StructType, sep: str = ",",
+                   name: str = "") -> DataFrame:
+    """The columns of ``schema`` out of a wider CSV, bound by header name and cast; other columns are not parsed.
+
+    Raises if one is missing; text that does not cast is NULL.
+    """
+    raw = read_csv_strings(spark, paths, sep)
+    validate_columns(raw.columns, schema.fieldNames(), name)
+    return raw.select(*[F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) for f in schema])
+
+
+def require_rows(df: DataFrame, name: str) -> DataFrame:
+    """``df``, or an error if no input file holds a row in scope."""
+    if df.isEmpty():
+        raise ValueError(f"[{name}] no input file holds a row in scope")
+    return df
+
+
 def _fs(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     hpath = jvm.org.apache.hadoop.fs.Path(path)

@@ -243,7 +243,8 @@ SELECT count(*) AS lettings, count(weekly_rent_est) AS with_rent,
 FROM lettings_silver""")
 
 oracle("rows_by_source", """
-SELECT variant AS source, count(*) AS rows_in_scope FROM let_std GROUP BY variant""")
+SELECT variant AS source, count(*) AS rows_in_scope FROM let_std GROUP BY variant
+UNION ALL SELECT 'total', count(*) FROM let_std""")
 
 _pairs = ", ".join(f"({q(v)}, {q(c)})" for v, cols in _B.LETTINGS_VARIANTS.items() for c in cols)
 _variants = sorted(_B.LETTINGS_VARIANTS)
@@ -279,9 +280,11 @@ oracle("raw_cost_counts", """
 SELECT indicative_cost AS value, count(*) AS count FROM joined
 GROUP BY indicative_cost ORDER BY count DESC, value ASC NULLS LAST LIMIT 20""")
 
-oracle("rating_distribution", f"""
+oracle("rating_distribution", """
 SELECT epc_rating, count(*) AS count, round(count(*) / sum(count(*)) OVER () * 100, 1) AS pct_of_total,
-       CASE WHEN epc_rating IN {inlist(fixed.BELOW_C_RATINGS)} THEN TRUE ELSE FALSE END AS below_c
+       CASE WHEN epc_rating IN ('D', 'E', 'F', 'G') THEN TRUE ELSE FALSE END AS below_c,
+       (SELECT count(*) FROM cert_scope) AS total,
+       (SELECT round(count(*) FILTER (WHERE epc_rating IN ('D', 'E', 'F', 'G')) / count(*) * 100, 1) FROM cert_scope) AS pct_below_c_overall
 FROM cert_scope GROUP BY epc_rating""")
 
 oracle("score_stats", """
@@ -518,43 +521,71 @@ GROUP BY age_group""")
 
 
 # ---------------------------------------------------------------- data quality
-from hearth.plans.quality_report import RULES  # noqa: E402
+# written out here, not read from the checked code: (rule, column[, bounds])
+_RULES = {
+    "certificates": ["not_null certificate_id", "unique certificate_id", "not_null borough", "accepted_range epc_score 1 100",
+                     "accepted_range floor_area_m2 0 -"],
+    "area_quality": ["not_null borough", "unique borough", "not_null social_properties", "accepted_range social_properties 1 -",
+                     "not_null pct_below_epc_c", "accepted_range pct_below_epc_c 0 100", "accepted_range avg_epc_score 0 100",
+                     "accepted_range pct_pre_1950 0 100"],
+    "area_deprivation": ["not_null la_name", "unique la_name", "not_null imd_score", "accepted_range imd_score 0 -",
+                         "not_null income_deprivation_rate", "accepted_range income_deprivation_rate 0 1", "accepted_range lsoa_count 1 -"],
+    "area_priority": ["row_count 20", "not_null borough", "unique borough", "not_null priority_rank", "accepted_range priority_rank 1 20",
+                      "not_null priority_score", "accepted_range priority_score 1 -",
+                      "not_null pct_below_epc_c", "accepted_range pct_below_epc_c 0 100",
+                      "not_null income_deprivation_rate", "accepted_range income_deprivation_rate 0 1",
+                      "not_null pct_pre_1950", "accepted_range pct_pre_1950 0 100"],
+    "retrofit_costs": ["not_null borough", "unique borough", "not_null total_recommendations", "accepted_range total_recommendations 1 -",
+                       "accepted_range avg_cost_per_recommendation 0 -", "accepted_range total_indicative_cost_m 0 -"],
+    "retrofit_scenarios": ["not_null borough", "unique borough", "not_null properties_with_recs", "accepted_range properties_with_recs 1 -",
+                           "accepted_range per_home_optimistic 0 -", "accepted_range per_home_central 0 -",
+                           "accepted_range per_home_pessimistic 0 -",
+                           "ordered per_home_optimistic per_home_central per_home_pessimistic",
+                           "ordered total_optimistic_m total_central_m total_pessimistic_m", "accepted_range uncertainty_pct 0 -"],
+    "wall_split": ["not_null borough", "unique borough", "not_null pct_solid_wall", "accepted_range pct_solid_wall 0 100",
+                   "accepted_range pct_cavity_wall 0 100", "sums_to pct_solid_wall pct_cavity_wall"],
+    "reachability_shares": ["unique borough", "sums_to pct_already_c pct_can_reach pct_cannot_reach"],
+}
 
 
-def _viol(spec) -> tuple[str, str, str]:
-    kind, *a = spec
+def _viol(rule: str) -> tuple[str, str, str]:
+    kind, *a = rule.split()
     if kind == "not_null":
         return kind, a[0], f"count(*) FILTER (WHERE {a[0]} IS NULL)"
     if kind == "unique":
         return kind, a[0], f"count({a[0]}) - count(DISTINCT {a[0]})"
     if kind == "accepted_range":
         c, lo, hi = a
-        conds = ["false"] + ([f"{c} < {lo}"] if lo is not None else []) + ([f"{c} > {hi}"] if hi is not None else [])
+        conds = ["false"] + [f"{c} < {lo}"] * (lo != "-") + [f"{c} > {hi}"] * (hi != "-")
         return kind, c, f"count(*) FILTER (WHERE coalesce({' OR '.join(conds)}, false))"
     if kind == "ordered":
         conds = " OR ".join(f"{x} > {y}" for x, y in zip(a, a[1:]))
         return kind, "<=".join(a), f"count(*) FILTER (WHERE coalesce(false OR {conds}, false))"
     if kind == "sums_to":
-        cols, total = a
-        s = " + ".join(f"coalesce({c}, 0.0)" for c in cols)
-        return kind, "+".join(cols), f"count(*) FILTER (WHERE abs({s} - {total}) > 0.15)"
+        total = " + ".join(f"coalesce({c}, 0.0)" for c in a)
+        return kind, "+".join(a), f"count(*) FILTER (WHERE abs({total} - 100) > 0.15)"
+    if kind == "row_count":
+        return kind, "*", f"abs(count(*) - {a[0]})"
     raise ValueError(kind)
 
 
 _QTABLES = {
-    "certificates": "cert_silver", "area_deprivation": "area_deprivation", "area_priority": "priority",
+    "certificates": "cert_silver", "area_quality": "area_quality", "retrofit_costs": "q_cost", "area_deprivation": "area_deprivation", "area_priority": "priority",
     "retrofit_scenarios": "q_scen", "wall_split": "q_wall", "reachability_shares": "q_reach",
 }
 _checks = []
-for _t, _rules in RULES.items():
+for _t, _rules in _RULES.items():
     for _r in _rules:
         _k, _c, _v = _viol(_r)
         _checks.append(f"SELECT {q(_t)} AS table_name, {q(_k)} AS rule, {q(_c)} AS column_name, "
                        f"count(*) AS n_rows, CAST({_v} AS BIGINT) AS n_violations, "
                        f"CAST({_v} AS BIGINT) = 0 AS passed FROM {_QTABLES[_t]}")
 oracle("quality_report", ENRICHED + PRIORITY + SCORED + """
+, q_cost AS (
+  SELECT borough, count(*) AS total_recommendations, round(avg(cost_mid), 0) AS avg_cost_per_recommendation,
+         round(sum(cost_mid) / 1e6, 2) AS total_indicative_cost_m FROM jx GROUP BY borough)
 , q_scen AS (
-  SELECT borough, round(sum(cost_low) / 1e6, 2) AS total_optimistic_m, round(sum(cost_mid) / 1e6, 2) AS total_central_m,
+  SELECT borough, count(DISTINCT certificate_id) AS properties_with_recs, round(sum(cost_low) / 1e6, 2) AS total_optimistic_m, round(sum(cost_mid) / 1e6, 2) AS total_central_m,
          round(sum(cost_high) / 1e6, 2) AS total_pessimistic_m,
          round(sum(cost_low) / count(DISTINCT certificate_id), 0) AS per_home_optimistic,
          round(sum(cost_mid) / count(DISTINCT certificate_id), 0) AS per_home_central,
@@ -611,6 +642,9 @@ oracle("certificates_from_csv", """
 SELECT certificate_id, nullif(uprn, '') AS uprn, borough, epc_rating, epc_score, inspection_date, inspection_year,
        below_epc_c, fuel_category, construction_age_band
 FROM cert_silver""")
+oracle("recommendations_from_csv", """
+SELECT certificate_id, priority, improvement_id, improvement_type, indicative_cost, cost_low, cost_mid, cost_high FROM recs""")
+ORACLE["deprivation_from_csv"] = ORACLE["area_deprivation"]
 ORACLE["export_roundtrip"] = ORACLE["retrofit_costs"]
 ORACLE["retrofit_costs_sql"] = ORACLE["retrofit_costs"]
 
