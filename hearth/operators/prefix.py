@@ -8,8 +8,9 @@ preceding)`` gives — without ever placing a whole group in one task:
 1. range-partition by (groups, order, row hash) and checkpoint with the
    partition id: each partition is a contiguous slice of the global order,
    and a group with very many rows spans many partitions;
-2. per (group, slice) totals, and for each slice the total of all earlier
-   slices of its group (a window over at most #partitions rows per group);
+2. per (group, slice) totals, and for each slice of a group that has several,
+   the total of its earlier slices. Slices are contiguous, so only the groups
+   at their ends have several: two rows per slice at most, which are broadcast;
 3. a running sum inside each (group, slice) plus that offset.
 
 The row hash only orders rows that are equal in every ``order`` column.
@@ -32,12 +33,19 @@ def running_sum(df: DataFrame, groups: list[str], order: list, weight: str, out:
     ranked = durable(df.withColumn("_tie", tie)
                      .repartitionByRange(n, *[F.col(g) for g in groups], *order, F.col("_tie"))
                      .withColumn("_p", F.spark_partition_id()))
+    every = Window.partitionBy(*groups)
+    before = every.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
     slices = ranked.groupBy(*groups, "_p").agg(F.sum(weight).alias("_slice"))
-    before = Window.partitionBy(*groups).orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = slices.select(*groups, "_p", F.coalesce(F.sum("_slice").over(before), F.lit(0)).alias("_off"))
+    offsets = (slices.select(*[F.col(g).alias(f"_of_{g}") for g in groups], F.col("_p").alias("_of"),
+                             F.coalesce(F.sum("_slice").over(before), F.lit(0)).alias("_off"),
+                             F.count(F.lit(1)).over(every).alias("_slices"))
+               .where("_slices > 1").drop("_slices"))
+    same = F.col("_p") == F.col("_of")
+    for g in groups:
+        same = same & F.col(g).eqNullSafe(F.col(f"_of_{g}"))
     w = Window.partitionBy(*groups, "_p").orderBy(*order, F.asc("_tie"))
     running = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return (ranked.join(offsets, [*groups, "_p"])
-            .withColumn(out, F.col("_off") + F.sum(weight).over(running))
+    return (ranked.join(F.broadcast(offsets), same, "left")
+            .withColumn(out, F.coalesce("_off", F.lit(0)) + F.sum(weight).over(running))
             .withColumn("_rn", F.row_number().over(w))
-            .drop("_tie", "_off"))
+            .drop("_tie", "_off", "_of", *[f"_of_{g}" for g in groups]))

@@ -281,7 +281,5 @@ def greedy_model_summary(spark, sf_dir) -> DataFrame:
     silver = layers.certificates(spark, sf_dir)
     recs = layers.retrofit_base(spark, sf_dir)
     long = model_attribution_long(spark, sf_dir)
-    rows = reach.greedy_rows(recs, long)
-    greedy = reach.greedy_cover(rows)
-    props = durable(reach.property_classes(silver, rows, greedy))
+    props = durable(reach.property_classes(silver, reach.greedy_results(reach.greedy_rows(recs, long))))
     return reach.area_greedy_summary(silver, props)

@@ -315,17 +315,17 @@ def q_cost_efficiency(spark, sf_dir):
 
 @register("greedy_cover")
 def q_greedy_cover(spark, sf_dir):
-    return RC.greedy_tables(spark, sf_dir, with_props=False)[4]
+    return RC.greedy_tables(spark, sf_dir, with_props=False)[-1]
 
 
 @register("greedy_headline")
 def q_greedy_headline(spark, sf_dir):
-    return RC.greedy_headline(RC.greedy_tables(spark, sf_dir, with_props=False)[4])
+    return RC.greedy_headline(RC.greedy_tables(spark, sf_dir, with_props=False)[-1])
 
 
 @register("property_class_counts")
 def q_property_class_counts(spark, sf_dir):
-    props = RC.greedy_tables(spark, sf_dir)[5]
+    props = RC.greedy_tables(spark, sf_dir)[-1]
     return props.groupBy(F.col("category").alias("value")).agg(F.count(F.lit(1)).alias("count"))
 
 
@@ -337,7 +337,7 @@ def q_area_greedy_summary(spark, sf_dir):
 
 @register("age_cost_stats")
 def q_age_cost_stats(spark, sf_dir):
-    return RC.age_cost_stats(RC.greedy_tables(spark, sf_dir)[5])
+    return RC.age_cost_stats(RC.greedy_tables(spark, sf_dir)[-1])
 
 
 # ---------------------------------------------------------------- data quality (Q1-Q7)

@@ -229,48 +229,45 @@ def greedy_order() -> list:
 
 
 def greedy_rows(recs: DataFrame, long: DataFrame, partitions: int | None = None) -> DataFrame:
-    """Greedy selection flags with a distributed, skew-safe running sum.
+    """Candidates with their running uplift, and what each adds to its slice's part of the cover.
 
     The running uplift per certificate comes from ``running_sum`` (range
     partitions + slice offsets), so a certificate with very many rows is
-    spread over several tasks. The cover point is the smallest (slice, row)
-    whose running total reaches the gap — a partial-aggregated min per
-    certificate — and the selection is every row up to it. Rows equal in
-    every sort column carry equal uplift and cost, so their relative order
-    does not change the selected totals.
+    spread over several tasks. ``covers`` says whether the gap is covered with
+    this row, ``open`` whether no earlier row of the same slice covers it.
+    Rows equal in every sort column carry equal uplift and cost, so their
+    relative order does not change the selected totals.
     """
     est = greedy_candidates(recs, long)
     local = running_sum(est, ["certificate_id"], greedy_order(), "est_c", "cum_c", partitions)
-    pos = F.struct(F.col("_p"), F.col("_rn"))
-    cover = (local.filter(F.col("cum_c") >= F.col("gap") * 100)
-             .groupBy("certificate_id").agg(F.min(pos).alias("_cover")))
-    return (local.join(cover, "certificate_id", "left")
-            .withColumn("selected", F.coalesce(pos <= F.col("_cover"), F.lit(False)))
-            .drop("_cover"))
+    earlier = Window.partitionBy("certificate_id", "_p").orderBy("_rn").rowsBetween(Window.unboundedPreceding, -1)
+    return (local.withColumn("covers", F.coalesce(F.col("cum_c") >= F.col("gap") * 100, F.lit(False)))
+            .withColumn("open", ~F.coalesce(F.max("covers").over(earlier), F.lit(False))))
 
 
-def greedy_rows_window(recs: DataFrame, long: DataFrame) -> DataFrame:
-    """Reference form of ``greedy_rows``: one window per certificate (used by tests)."""
-    est = greedy_candidates(recs, long)
-    w = Window.partitionBy("certificate_id").orderBy(*greedy_order())
-    running = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranked = (est.withColumn("cum_c", F.sum("est_c").over(running))
-              .withColumn("row_rank", F.row_number().over(w) - 1))
-    cover = F.min(F.when(F.col("cum_c") >= F.col("gap") * 100, F.col("row_rank"))).over(
-        Window.partitionBy("certificate_id"))
-    return (ranked.withColumn("cover_rank", cover)
-            .withColumn("selected", F.coalesce(F.col("row_rank") <= F.col("cover_rank"), F.lit(False))))
-
-
-def greedy_cover(rows: DataFrame) -> DataFrame:
-    """Per certificate: the selected set's three cost sums and size (A42, trap 20)."""
-    sel = rows.filter("selected")
-    return sel.groupBy("certificate_id").agg(
-        F.coalesce(F.sum("cost_low"), F.lit(0.0)).alias("greedy_cost_low"),
-        F.coalesce(F.sum("cost_mid"), F.lit(0.0)).alias("greedy_cost_mid"),
-        F.coalesce(F.sum("cost_high"), F.lit(0.0)).alias("greedy_cost_high"),
-        F.count("improvement_type").alias("n_recs_needed"),
-    )
+def greedy_results(rows: DataFrame) -> DataFrame:
+    """Per certificate with candidates: whether they cover its gap, and the selected set's cost sums and size.
+
+    Rows are added up by (certificate, slice), as they lie; only these sums,
+    one for most certificates, meet by certificate. The selected set is the
+    open rows of all slices up to the first one that covers the gap.
+    """
+    costs = ("low", "mid", "high")
+    pick = lambda c: F.when(F.col("open"), F.col(c))
+    slices = rows.groupBy("certificate_id", "_p").agg(
+        F.max("covers").alias("covers"), F.count(pick("improvement_type")).alias("n"),
+        *[F.sum(pick(f"cost_{c}")).alias(c) for c in costs])
+    earlier = Window.partitionBy("certificate_id").orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
+    return (slices.withColumn("done", F.coalesce(F.max("covers").over(earlier), F.lit(False))).where(~F.col("done"))
+            .groupBy("certificate_id").agg(
+                F.max("covers").alias("covered"),
+                *[F.coalesce(F.sum(c), F.lit(0.0)).alias(f"greedy_cost_{c}") for c in costs],
+                F.sum("n").alias("n_recs_needed")))
+
+
+def greedy_cover(results: DataFrame) -> DataFrame:
+    """The covered certificates with their selected set's cost sums and size (A42, trap 20)."""
+    return results.where("covered").drop("covered")
 
 
 def greedy_headline(greedy: DataFrame) -> DataFrame:
@@ -283,13 +280,12 @@ def greedy_headline(greedy: DataFrame) -> DataFrame:
     return q.withColumn("median_cost_mid", F.round("median_cost_mid", 0))
 
 
-def property_classes(silver: DataFrame, rows: DataFrame, greedy: DataFrame) -> DataFrame:
+def property_classes(silver: DataFrame, results: DataFrame) -> DataFrame:
     """Below-target properties ⟕ greedy result -> 5-way class."""
-    has_recs = rows.select("certificate_id").distinct().withColumn("has_recs", F.lit(True))
-    g = greedy.withColumn("has_greedy", F.lit(True))
-    p = (below_target(silver).join(g, "certificate_id", "left").join(has_recs, "certificate_id", "left")
-         .withColumn("has_recs", F.coalesce("has_recs", F.lit(False)))
-         .withColumn("has_greedy", F.coalesce("has_greedy", F.lit(False))))
+    only_covered = [F.when(F.col("covered"), F.col(c)).alias(c) for c in
+                    ("greedy_cost_low", "greedy_cost_mid", "greedy_cost_high", "n_recs_needed")]
+    g = results.select("certificate_id", F.col("covered").alias("has_greedy"), F.lit(True).alias("has_recs"), *only_covered)
+    p = below_target(silver).join(g, "certificate_id", "left").fillna(False, ["has_greedy", "has_recs"])
     cls = fixed.PROPERTY_CLASSES
     return p.withColumn("category",
                         F.when(~F.col("epc_reachable"), cls[0])
@@ -358,7 +354,7 @@ def age_cost_stats(props: DataFrame) -> DataFrame:
 
 
 def greedy_tables(spark: SparkSession, sf_dir: str, with_props: bool = True):
-    """(silver, recs, attribution long, greedy rows, greedy per certificate, property classes or None).
+    """(silver, recs, attribution long, property classes, or the covered certificates without ``with_props``).
 
     The attribution table (bounded by types x age groups) is checkpointed into
     the shared checkpoint folder: three lookups read it. The property table
@@ -368,7 +364,7 @@ def greedy_tables(spark: SparkSession, sf_dir: str, with_props: bool = True):
     silver = layers.certificates(spark, sf_dir)
     recs = scored_recs(spark, sf_dir)
     long = durable(uplift_attribution(recs, silver))
-    rows = greedy_rows(recs, long)
-    greedy = greedy_cover(rows)
-    props = durable(property_classes(silver, rows, greedy)) if with_props else None
-    return silver, recs, long, rows, greedy, props
+    results = greedy_results(greedy_rows(recs, long))
+    if with_props:
+        return silver, recs, long, durable(property_classes(silver, results))
+    return silver, recs, long, greedy_cover(results)

@@ -53,13 +53,13 @@ def test_greedy_matches_brute_force(spark):
     assert 0 < len(rows) < 5000
     expected = brute_force(rows, (by_age, by_type, glob))
     got = {r["certificate_id"]: (r["greedy_cost_mid"], r["n_recs_needed"])
-           for r in reach.greedy_cover(reach.greedy_rows(recs, long)).collect()}
+           for r in reach.greedy_cover(reach.greedy_results(reach.greedy_rows(recs, long))).collect()}
     assert set(got) == set(expected)
     for k, (cost, n) in expected.items():
         assert got[k][0] == pytest.approx(cost) and got[k][1] == n
 
 
-def test_skew_safe_cover_matches_window_on_a_hot_certificate(spark):
+def test_skew_safe_cover_matches_brute_force_on_a_hot_certificate(spark):
     """One certificate holding most rows is split over partitions; the selection is unchanged."""
     import random
     rnd = random.Random(5)
@@ -70,10 +70,11 @@ def test_skew_safe_cover_matches_window_on_a_hot_certificate(spark):
         lo = float(rnd.randint(1, 40) * 25)
         rows.append(("HOT", t, "Pre-1919", rnd.randint(1, 9), lo, lo + 50.0, lo + 100.0, 20.0, 80.0))
     for c in range(40):
+        score = float(rnd.randint(40, 68))   # a certificate's own, the same on all of its rows
         for i in range(rnd.randint(1, 6)):
             lo = float(rnd.randint(1, 40) * 25)
             rows.append((f"C{c}", rnd.choice(types + [None]), "2007+", i + 1, lo, lo + 50.0, lo + 100.0,
-                         float(rnd.randint(40, 68)), 75.0))
+                         score, 75.0))
     recs = spark.createDataFrame(rows, "certificate_id string, improvement_type string, age_group string, "
                                        "priority int, cost_low double, cost_mid double, cost_high double, "
                                        "epc_score double, epc_potential double")
@@ -84,8 +85,10 @@ def test_skew_safe_cover_matches_window_on_a_hot_certificate(spark):
     skew = reach.greedy_rows(recs, long, partitions=16)
     spans = skew.filter(F.col("certificate_id") == "HOT").select("_p").distinct().count()
     assert spans > 4
-    got = {r["certificate_id"]: (r["greedy_cost_mid"], r["n_recs_needed"])
-           for r in reach.greedy_cover(skew).collect()}
-    want = {r["certificate_id"]: (r["greedy_cost_mid"], r["n_recs_needed"])
-            for r in reach.greedy_cover(reach.greedy_rows_window(recs, long)).collect()}
+    results = reach.greedy_results(skew).collect()
+    got = {r["certificate_id"]: (r["greedy_cost_mid"], r["n_recs_needed"]) for r in results if r["covered"]}
+    by_age_df, by_type_df, glob_df = reach.uplift_lookup(long)
+    want = brute_force(recs.collect(), ({(r[0], r[1]): r[2] for r in by_age_df.collect()},
+                                        {r[0]: r[1] for r in by_type_df.collect()}, glob_df.first()["u_global"]))
     assert got == want and "HOT" in got
+    assert {r["certificate_id"] for r in results} == {r[0] for r in rows}
