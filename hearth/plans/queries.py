@@ -355,6 +355,12 @@ for _name in ("corr_matrix", "regression_line", "standardised", "pca_rank", "pca
     register(_name)(getattr(AN, _name))
 
 
+from . import model_checks as MC  # noqa: E402
+
+for _name in ("component_check", "tier_check", "ordinal_codes", "split_check"):
+    register(_name)(getattr(MC, _name))
+
+
 @register("multi_hot")
 def q_multi_hot(spark, sf_dir):
     recs = layers.retrofit_base(spark, sf_dir)

@@ -628,6 +628,26 @@ oracle("standardised", ENRICHED + AREA_FEAT + "\nSELECT borough, " + ", ".join(
     f"round(({c} - avg({c}) OVER ()) / stddev_pop({c}) OVER (), 6) AS {c}_z" for c in _AF) + " FROM af")
 
 
+# ---------------------------------------------------------------- checks beside the models
+oracle("component_check", ENRICHED + AREA_FEAT + """
+SELECT count(*) AS n_areas, CAST(0 AS BIGINT) AS n_wrong_scores, CAST(0 AS BIGINT) AS n_wrong_ranks,
+       CAST(0 AS BIGINT) AS n_not_orthonormal, CAST(1 AS DOUBLE) AS variance_share FROM af""")
+oracle("tier_check", ENRICHED + AREA_FEAT + """
+SELECT count(*) AS n_areas, CAST(0 AS BIGINT) AS n_not_nearest, CAST(0 AS BIGINT) AS n_misplaced_tiers FROM af""")
+_UPLIFT = """
+, up AS (SELECT certificate_id, epc_potential - epc_score AS uplift, coalesce(construction_age_band, 'Unknown') AS age_band,
+                coalesce(property_type, 'Unknown') AS prop_type
+         FROM cert_silver WHERE epc_score IS NOT NULL AND epc_potential IS NOT NULL AND epc_potential - epc_score >= 0)"""
+oracle("ordinal_codes", _UPLIFT + " " + " UNION ALL ".join(
+    f"SELECT '{c}' AS feature, {c} AS label, CAST(dense_rank() OVER (ORDER BY {c}) - 1 AS BIGINT) AS code FROM (SELECT DISTINCT {c} FROM up)"
+    for c in ("age_band", "prop_type")))
+oracle("split_check", _UPLIFT + """
+, folds AS (SELECT uplift, CAST('0x' || substr(md5(certificate_id), 1, 6) AS BIGINT) % 5 AS fold FROM up)
+, train AS (SELECT count(*) AS n, avg(uplift) AS mean FROM folds WHERE fold <> 0)
+SELECT (SELECT n FROM train) AS n_train, count(*) AS n_test, round(avg(abs(uplift - (SELECT mean FROM train))), 6) AS baseline_mae
+FROM folds WHERE fold = 0""")
+
+
 # ---------------------------------------------------------------- multi-hot (A38): dynamic pivot
 oracle("multi_hot", ATTR + """
 SELECT DISTINCT s.certificate_id, s.improvement_type FROM srecs s JOIN freq f ON s.improvement_type = f.improvement_type""")

@@ -75,3 +75,16 @@ def test_silhouette_closed_form_matches_pairwise(spark):
         b = min(D[i, lab == c].mean() for c in set(lab) if c != lab[i])
         s = 0.0 if a is None else (b - a) / max(a, b)
         assert got[i] == pytest.approx(s)
+
+
+def test_running_sum_keeps_null_groups_and_spans_slices(spark):
+    from hearth.operators.prefix import running_sum
+    rows = [(g, i, (i * 7) % 5) for g in (None, "a", "b") for i in range(400 if g is None else 30)]
+    df = spark.createDataFrame(rows, "g string, i int, w long")
+    out = running_sum(df, ["g"], [F.asc("i")], "w", "total", 8)
+    want, total = {}, {}
+    for g, i, w in rows:
+        total[g] = want[g, i] = total.get(g, 0) + w
+    got = {(r["g"], r["i"]): r["total"] for r in out.collect()}
+    assert got == want
+    assert out.where("g is null").select("_p").distinct().count() > 1

@@ -58,3 +58,27 @@ def test_deprivation_columns_bound_by_name(spark):
     r = out[0]
     assert (r["la_name"], r["imd_score"], r["income_deprivation_rate"], r["living_env_score"], r["lsoa_count"]) \
         == ("Camden", 40.0, 0.3, 15.0, 2)
+
+
+def test_csv_bound_by_name_ignores_order_and_extra_columns(spark, tmp_path):
+    import pytest
+    from pyspark.sql import types as T
+
+    from hearth.sources.readers import read_csv_named
+    (tmp_path / "wide.csv").write_text("extra,score,area\nx,1.5,A\ny,none,B\n")
+    schema = T.StructType([T.StructField("area", T.StringType()), T.StructField("score", T.DoubleType())])
+    got = read_csv_named(spark, str(tmp_path / "wide.csv"), schema)
+    assert got.dtypes == [("area", "string"), ("score", "double")]
+    assert sorted(map(tuple, got.collect())) == [("A", 1.5), ("B", None)]
+    with pytest.raises(ValueError, match=r"\['region'\]"):
+        read_csv_named(spark, str(tmp_path / "wide.csv"), schema.add("region", T.StringType()), name="wide")
+
+
+def test_no_row_in_scope_is_an_error(spark):
+    import pytest
+
+    from hearth.sources.readers import require_rows
+    one = spark.createDataFrame([("a",)], "x string")
+    assert require_rows(one, "lettings").count() == 1
+    with pytest.raises(ValueError, match="lettings"):
+        require_rows(one.where("x = 'b'"), "lettings")
