@@ -64,10 +64,10 @@ class ToxicityModel:
     def __post_init__(self):
         self._of_word: dict[str, tuple[int, ...]] = {}
 
-    def matches(self, text: str | None) -> set[int]:
-        """Indices of the terms in a text; words are looked up once per task (the table is emptied when full)."""
+    def matches(self, words: set[str]) -> set[int]:
+        """Indices of the terms in a text's words; these are looked up once per task (the table is emptied when full)."""
         known, found = self._of_word, set()
-        for w in words_of(text):
+        for w in words:
             hit = known.get(w)
             if hit is None:
                 if len(known) >= 300_000:
@@ -77,30 +77,23 @@ class ToxicityModel:
                 found.update(hit)
         return found
 
-    def votes(self, text: str | None, found: set[int]) -> np.ndarray:
-        """The voters' 0/1 votes on a text."""
+    def read(self, text: str | None) -> tuple[list[int], np.ndarray]:
+        """The terms found in a text, and the voters' 0/1 votes; each voter reads the text for itself."""
         low, out = (text or "").lower(), np.zeros(LEXICONS + 5)
-        words = words_of(low) if found else set()
+        words = words_of(low)
+        found = sorted(self.matches(words))
         for i in found:
             out[i % LEXICONS] = 1
         out[LEXICONS] = bool(words & SEED)
         out[LEXICONS + 1] = len(found) >= 2
         out[LEXICONS + 2] = len(found) >= 4
-        out[LEXICONS + 3] = bool(found) and any(words_of(m) & SEED for m in _SECOND_PERSON.findall(low))
-        out[LEXICONS + 4] = bool(found) and bool(_SHOUT.search(low))
-        return out
-
-    def row(self, text: str | None) -> np.ndarray:
-        found = self.matches(text)
-        x = np.zeros(len(self.terms))
-        x[list(found)] = 1
-        return np.concatenate([x, self.votes(text, found)])
+        out[LEXICONS + 3] = any(words_of(m) & SEED for m in _SECOND_PERSON.findall(low))
+        out[LEXICONS + 4] = "!!" in low and bool(_SHOUT.search(low))
+        return found, out
 
     def score(self, text: str | None) -> float:
-        found = self.matches(text)
-        z = self.intercept
-        if found:
-            z += self.weights[list(found)].sum() + self.weights[len(self.terms):] @ self.votes(text, found)
+        found, votes = self.read(text)
+        z = self.intercept + self.weights[found].sum() + self.weights[len(self.terms):] @ votes
         return float(1 / (1 + np.exp(-np.clip(z, -30, 30))))
 
 
@@ -192,19 +185,18 @@ def train(docs: DataFrame, labels: DataFrame, label: str, learn: Column, max_row
     sample = write_scratch(map_rows(rows, ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema) + ", sign long", signed)
                            .dropDuplicates(["sign", "y"]), "labelled")
     terms = mine_terms(sample)
-    if not terms:
-        return nothing
     model = ToxicityModel({t: i for i, t in enumerate(terms)}, np.zeros(len(terms) + LEXICONS + 5), 0.0)
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(parts: Iterator[dict]) -> Iterator[dict]:
         for p in parts:
-            found = [sent.value.matches(t) for t in p["text"]]
-            yield {"doc_id": p["doc_id"], "y": p["y"], "found": [sorted(f) for f in found],
-                   "votes": [sent.value.votes(t, f).astype(int).tolist() for t, f in zip(p["text"], found, strict=True)]}
+            found, votes = zip(*(sent.value.read(t) for t in p["text"]), strict=True)
+            yield {"doc_id": p["doc_id"], "y": p["y"], "found": list(found), "votes": [v.astype(int).tolist() for v in votes]}
     kind = docs.select("doc_id").schema[0].dataType.simpleString()
     got = sorted(map_rows(sample.select("doc_id", "text", "y"), f"doc_id {kind}, y int, found array<int>, votes array<int>", run)
                  .limit(4 * max_rows).collect())
+    if len({r["y"] for r in got}) < 2:
+        return nothing
     votes, y = np.array([r["votes"] for r in got], float), np.array([r["y"] for r in got], float)
     x = np.zeros((len(got), len(terms)), np.float32)
     for i, r in enumerate(got):

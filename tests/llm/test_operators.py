@@ -291,6 +291,21 @@ def test_classifiers(spark, odd, empty, label, modulus, remainder, module):
     assert all(0 <= r["score"] <= 1 for r in module.score(odd, nothing).collect())
 
 
+def test_toxicity_votes_without_mined_terms(spark):
+    """Seed insults and shouted abuse count in a text that holds no mined term, and where no term is mined at all."""
+    seed, calm = sorted(toxicity.SEED), PROSE.lower().replace(";", "").replace(".", "").replace(",", "").split()
+    rng = random.Random(3)
+    for marker in ("blorf", ""):
+        toxic = [f"{' '.join(rng.sample(calm, 5))} you {seed[i % len(seed)]} {rng.choice(calm)}!!! {marker} {i}" for i in range(5 * len(seed))]
+        rows = [(i, t, 1) for i, t in enumerate(toxic)] + [(1000 + i, f"{' '.join(rng.sample(calm, 7))} you {i}", 0) for i in range(300)]
+        docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+        labels = spark.createDataFrame([(r[0], r[2]) for r in rows], "doc_id long, toxic int")
+        model = toxicity.train(docs, labels, "toxic", F.lit(True))
+        abuse, plain = "what you imbecile are, pathetic!!", "the lamp was lit"
+        assert not model.read(abuse)[0]
+        assert model.score(abuse) > 5 * model.score(plain) and (marker or model.score(abuse) > 0.7)
+
+
 def test_pipeline_against_plain_python(spark):
     """The stages one by one: each result follows from its own input."""
     import corpus_pipeline
