@@ -2,16 +2,16 @@
 
 Entities are found by pattern (e-mail, IP, card, phone). A term discloses a kind
 of entity when the corpus shows that it comes with it: with N documents, n(t) of
-them holding term t, n(e) distinct entities of a kind and s(t, e) distinct ones
-with t in their window, the term carries
+them holding term t, n(e) an entity of a kind and s(t, e) an entity of that kind
+with t in its window, the term carries
 
     PMI(t; e) = log(s(t, e) * N / (n(t) * n(e)))
 
 of the entity's information IC(e) = log(N / n(e)). Where that share reaches
 ``threshold``, and the term is in at least ``support`` documents and stands by as
 many distinct entities, it is generalised to its kind wherever it stands in an entity's window. Copies of a
-text add to n(t) but not to s(t, e), so a phrase that is merely copied with an
-address is not taken for a clue.
+text with a clue add to s(t, e) as they do to n(t), so that they don't hide it; as ``support`` counts
+distinct entities, a phrase that is merely copied with an address is not taken for a clue.
 """
 
 from __future__ import annotations
@@ -87,21 +87,26 @@ def _hash(term: str) -> int:
 
 
 def _encountered(docs: DataFrame) -> DataFrame:
-    """``(term, kind, value)``: hashes of entities and the terms in their windows, once for each slice of rows."""
+    """``(term, kind, value, n)``: hashes of entities and the terms in their windows, once for each slice of rows.
+
+    Rows without a value count the slice's documents with the term in a window of the kind (term '': with the kind).
+    """
     def run(parts: Iterator[dict]) -> Iterator[dict]:
         for p in parts:
-            got = set()
+            got: Counter = Counter()
             for text in p["text"]:
-                spans = base_spans(text or "")
+                spans, here = base_spans(text or ""), set()
                 for kind, a, b in spans:
                     value = _hash(text[a:b].lower())
-                    got.add(("", kind, value))
-                    got.update((t, kind, value) for t, x, y in window_terms(text, a, b)
-                               if not any(x < e and s < y for _, s, e in spans))
+                    here.add(("", kind, value))
+                    here.update((t, kind, value) for t, x, y in window_terms(text, a, b)
+                                if not any(x < e and s < y for _, s, e in spans))
+                got.update({(t, k, None) for t, k, _ in here})
+                got.update(dict.fromkeys(here, 0))
             if got:
                 t, k, v = zip(*got, strict=True)
-                yield {"term": list(t), "kind": list(k), "value": list(v)}
-    return map_rows(docs, "term string, kind string, value long", run)
+                yield {"term": list(t), "kind": list(k), "value": list(v), "n": list(got.values())}
+    return map_rows(docs, "term string, kind string, value long, n long", run)
 
 
 def _term_counts(docs: DataFrame, sieve: np.ndarray) -> DataFrame:
@@ -141,8 +146,9 @@ def disclosing_terms(docs: DataFrame, text_col: str = "text", threshold: float =
     already added up by slice. No texts, no entities or no clues give an empty result.
     """
     texts = docs.select(F.col(text_col).alias("text"))
-    met = write_scratch(_encountered(texts).distinct().groupBy("term", "kind").agg(F.count(F.lit(1)).alias("s")), "windows")
-    clues = met.where((F.col("term") != "") & (F.col("s") >= support))
+    met = write_scratch(_encountered(texts).groupBy("term", "kind", "value").agg(F.sum("n").alias("n")).groupBy("term", "kind").agg(
+        F.sum("n").alias("s"), F.count("value").alias("entities")), "windows")
+    clues = met.where((F.col("term") != "") & (F.col("entities") >= support))
     sieve = np.zeros(SIEVE_BITS, np.uint8)
     bucket = F.expr(f"pmod(hash, {SIEVE_BITS})")
     hashed = map_rows(clues.select("term").distinct(), "hash long",

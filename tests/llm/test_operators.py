@@ -162,6 +162,17 @@ def test_pii(odd, empty, spark, monkeypatch):
     assert "@" not in clean[0] and "kontaktperson" not in clean[0] and clean[1] == rows[1][1]
 
 
+def test_pii_copies_hide_no_clue(spark):
+    """Copies of the texts that hold a clue, or of those that hold none, change neither the clues nor their share."""
+    texts = [f"write to kontaktperson person{i}@mail.example.com about it" for i in range(5)] + [f"the boats came home {i}" for i in range(95)]
+
+    def clues(n, m):
+        rows = [(t,) for i, t in enumerate(texts) for _ in range(n if i < 5 else m)] + [(None,)] * 3
+        return {r["term"]: round(r["share"], 9) for r in pii.disclosing_terms(spark.createDataFrame(rows, "text string")).collect()}
+    once = clues(1, 1)
+    assert once["kontaktperson"] == 1 and clues(10, 1) == once and clues(1, 20) == once
+
+
 def test_fingerprints(odd, empty):
     by_id = {r[0]: r[1] for r in _rows() if r[0] is not None}
     docs = odd.where("doc_id is not null").dropDuplicates(["doc_id"])
