@@ -21,7 +21,7 @@ from itertools import combinations
 
 import numpy as np
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import by_value, fresh, map_rows, write_scratch
@@ -52,14 +52,22 @@ def text_fingerprint(text: str | None, shingle: int) -> int:
     return int(np.packbits(ones * 2 > len(parts), bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3) -> DataFrame:
-    """``(doc_id, fp)`` for every row, fp as a signed long; null and empty texts get zero."""
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3,
+                 row_key: bool = False) -> DataFrame:
+    """``(doc_id, fp)`` for every row, fp as a signed long; null and empty texts get zero. ``row_key`` adds ``(digest, row)``."""
     def run(parts: Iterator[dict]) -> Iterator[dict]:
         for p in parts:
-            yield {"doc_id": p["id"], "fp": [_signed(text_fingerprint(t, shingle)) for t in p["text"]]}
+            text, p["doc_id"] = p.pop("text"), p.pop("id")
+            yield p | {"fp": [_signed(text_fingerprint(t, shingle)) for t in text]}
     kind = docs.select(id_col).schema[0].dataType.simpleString()
-    return map_rows(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")),
-                    f"doc_id {kind}, fp long", run)
+    extra = [c.alias(n) for c, n in zip(_row_key(docs, text_col), ("digest", "row"), strict=True)] if row_key else []
+    return map_rows(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), *extra),
+                    f"doc_id {kind}, fp long" + ", digest string, row long" * row_key, run)
+
+
+def _row_key(docs: DataFrame, text_col: str) -> tuple[Column, Column]:
+    """Digest of the text (empty for null) and hash of the row (maps can't be hashed): with the id, what a row is known by."""
+    return F.coalesce(F.md5(F.col(text_col)), F.lit("")), F.xxhash64(*[F.col(f"`{c}`") for c, t in docs.dtypes if "map<" not in t])
 
 
 def covering_masks(radius: int) -> list[int]:
@@ -108,6 +116,12 @@ def fingerprint_links(nodes: DataFrame, radius: int = 3) -> DataFrame:
     return pairs.unionByName(_hub_edges(many, radius))
 
 
+def _placed(nodes: DataFrame, radius: int) -> DataFrame:
+    """``nodes`` with the ``root`` fingerprint of their component."""
+    roots = connected_components(fingerprint_links(nodes.select("fp"), radius)).withColumnRenamed("node", "fp")
+    return nodes.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3,
                     radius: int = 3) -> DataFrame:
     """One row per row of ``docs``: ``(doc_id, fp, component_id)``; component_id is the least id reachable.
@@ -119,8 +133,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     prints = write_scratch(fingerprints(docs, id_col, text_col, shingle), "fingerprints")
     nodes = write_scratch(prints.groupBy("fp").agg(F.min("doc_id").alias("least_id")), "nodes")
-    roots = connected_components(fingerprint_links(nodes.select("fp"), radius)).withColumnRenamed("node", "fp")
-    placed = nodes.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    placed = _placed(nodes, radius)
     least = placed.groupBy("root").agg(F.min("least_id").alias("component_id"))
     return prints.join(placed.select("fp", "root").join(least, "root").drop("root"), "fp").select(
         "doc_id", "fp", "component_id")
@@ -132,20 +145,30 @@ def fingerprint_text(fp) -> F.Column:
 
 def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3,
                 radius: int = 3) -> DataFrame:
-    """``docs`` with one row of each component: that of the least id (one of its rows, if the id repeats).
+    """``docs`` with one row of each fingerprint component: that of the least id, then text digest, then row hash.
 
-    Rows without an id stay only where their whole component has none, one per fingerprint component.
+    A row without an id stays only where its whole component has none. An id with texts in several components
+    stays once in each of which it is the least; rows equal in all columns count once. Rows are chosen by
+    fingerprint and component with sums added up by task; only the chosen keys meet the texts again.
     """
-    found = near_duplicates(docs, id_col, text_col, shingle, radius)
-    key = fresh(docs, "_keep_id")
-    keep = found.groupBy("component_id").agg(F.count(F.lit(1)).alias("_n")).select(
-        F.col("component_id").alias(key))
-    kept = docs.join(keep, docs[id_col].eqNullSafe(F.col(key)), "left_semi")
-    again = docs.groupBy(id_col).agg(F.count(F.lit(1)).alias(key)).where(F.col(key) > 1).select(
-        F.col(id_col).alias(key))
-    same = kept[id_col].eqNullSafe(F.col(key))
-    return kept.join(again, same, "left_anti").unionByName(
-        kept.join(again, same, "left_semi").dropDuplicates([id_col]))
+    prints = write_scratch(fingerprints(docs, id_col, text_col, shingle, row_key=True), "fingerprints")
+    key = ("doc_id", "digest", "row")
+    nodes = write_scratch(prints.groupBy("fp").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), *key)).alias("least")), "nodes")
+    chosen = _placed(nodes, radius).groupBy("root").agg(F.min("least").alias("k")).select(*[F.col(f"k.{c}").alias(c) for c in key])
+    repeated = prints.groupBy(*key).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(*[F.col(c).alias(f"r_{c}") for c in key])
+    keep = write_scratch(chosen.join(repeated, (F.col("doc_id").eqNullSafe(F.col("r_doc_id"))) & (F.col("digest") == F.col("r_digest"))
+                                     & (F.col("row") == F.col("r_row")), "left")
+                         .select(*key, F.col("r_row").isNotNull().alias("again")), "kept-keys")
+    digest, row = fresh(docs, "_keep_digest"), fresh(docs, "_keep_row")
+    text_digest, row_hash = _row_key(docs, text_col)
+    keyed = docs.withColumns({digest: text_digest, row: row_hash})
+    names = [fresh(docs, f"_kept_{c}") for c in key]
+
+    def rows(again: bool) -> DataFrame:
+        known = keep.where(F.col("again") == again).select(*[F.col(c).alias(n) for c, n in zip(key, names, strict=True)])
+        return keyed.join(known, F.col(id_col).eqNullSafe(F.col(names[0])) & (F.col(digest) == F.col(names[1]))
+                          & (F.col(row) == F.col(names[2])), "left_semi")
+    return rows(False).unionByName(rows(True).dropDuplicates([id_col, digest, row])).drop(digest, row)
 
 
 by_value(__name__)

@@ -63,6 +63,17 @@ def test_simhash(odd, empty):
     assert simhash.deduplicate(odd).columns == odd.columns
 
 
+def test_deduplicate_keeps_one_row_of_each_component(spark):
+    """Unrelated texts without an id, and two texts of one id, each stay; copies go, also those without an id."""
+    other = [" ".join(random.Random(i).choices("tide stone lamp boat grey salt rope gull mast fog".split(), k=60)) for i in range(6)]
+    rows = [(None, other[0]), (None, other[1]), (None, other[1]), (None, None), (None, ""),
+            (7, other[2]), (7, other[3]), (8, other[3]), (None, other[3]), (9, other[4]), (9, other[4]), (5, other[5]), (None, other[5])]
+    assert len(brute.components(list(enumerate(map(brute.simhash, other))))) == len(set(brute.components(list(enumerate(map(brute.simhash, other)))).values()))
+    got = simhash.deduplicate(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    same([(r["doc_id"], r["text"] or "") for r in got],
+         [(None, other[0]), (None, other[1]), (None, ""), (7, other[2]), (7, other[3]), (9, other[4]), (5, other[5])])
+
+
 def test_covering_masks_miss_no_pair():
     masks = simhash.covering_masks(3)
     rng = random.Random(1)
