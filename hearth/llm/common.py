@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import sys
 import uuid
 from collections.abc import Callable, Iterator
@@ -43,11 +44,44 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+#: Bounds of an Arrow batch: rows, and bytes (a batch is closed once it holds so many).
+BATCH_ROWS, BATCH_BYTES = 1000, 8 << 20
+
+
 def small_batches(spark: SparkSession) -> None:
-    """Keep Arrow batches to 1,000 rows at most, so that very long texts don't add up in a worker."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if int(spark.conf.get(key, "10000")) > 1000 or int(spark.conf.get(key, "10000")) <= 0:
-        spark.conf.set(key, "1000")
+    """Bound Arrow batches by rows and by bytes, so that very long texts don't add up in a worker.
+
+    A batch is made when the job runs, so the session keeps the bounds; smaller ones of its own stay.
+    """
+    for key, most in (("maxRecordsPerBatch", BATCH_ROWS), ("maxBytesPerBatch", BATCH_BYTES)):
+        key = f"spark.sql.execution.arrow.{key}"
+        if not 0 < int(re.match(r"-?\d+", spark.conf.get(key))[0]) <= most:
+            spark.conf.set(key, str(most))
+
+
+#: A value counts as hot from this share of the rows (so at most ``HOT_PARTS`` values can be), and is dealt to so many parts.
+HOT_PARTS, SALTS = 1000, 64
+
+
+def hot_values(counted: DataFrame, key: str, n: str) -> list:
+    """Values of ``key`` that hold at least a thousandth of the rows, by their counts ``n``: 1,000 values at most."""
+    total = counted.agg(F.sum(n)).first()[0] or 0
+    return [r[0] for r in counted.where((F.col(n) > 1) & (F.col(n) * HOT_PARTS >= total)).select(key).collect()]
+
+
+def salted_join(rows: DataFrame, table: DataFrame, key: str, hot: list) -> DataFrame:
+    """``rows`` inner join ``table`` on ``key``, unique in ``table``: rows of a hot value are dealt over ``SALTS`` keys.
+
+    ``rows`` should be a written table: a row's part follows from its place there.
+    """
+    if not hot:
+        return rows.join(table, key)
+    salt = fresh(rows.join(table.limit(0), key), "_salt")
+    is_hot = F.col(key).isin(hot)
+    dealt = rows.withColumn(salt, F.when(is_hot, F.monotonically_increasing_id() % SALTS).otherwise(F.lit(0).cast("long")))
+    parts = F.when(is_hot, F.array(*[F.lit(i).cast("long") for i in range(SALTS)])).otherwise(F.array(F.lit(0).cast("long")))
+    every = table.withColumn(salt, F.explode(parts))
+    return dealt.join(every, [key, salt]).drop(salt)
 
 
 def map_rows(df: DataFrame, schema: str, fn: Callable[[Iterator[dict[str, list]]], Iterator[dict[str, list]]],

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import iblt, license_digest, line_rules, mixing, pii, quality_gam, sentencepiece_codec, simhash, toxicity, url_lm
+from ..session import scratch_path
+from . import (iblt, license_digest, line_rules, mixing, pca_clustering, pii, quality_gam, secret_ledger, sentencepiece_codec, simhash,
+               toxicity, url_lm)
 from .common import held_out, table
 from .oracle import ORACLE  # noqa: F401  (read by the driver's entry)
 
@@ -75,6 +78,17 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coded.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
 
+def op11_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Over a ledger of its own, so that every text is scanned."""
+    ledger = scratch_path(spark, f"llm/ledger-{uuid.uuid4().hex}")
+    return secret_ledger.scan(table(spark, sf_dir, "documents"), ledger).select(
+        "doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_added", "blob")
+
+
+def op12_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pca_clustering.cluster(table(spark, sf_dir, "embeddings"), k=16, rounds=3)
+
+
 def _scored(scores: DataFrame, modulus: int, remainder: int) -> DataFrame:
     return scores.select("doc_id", held_out(F.col("doc_id"), modulus, remainder).alias("held_out"), "score",
                          F.when(F.col("score") >= PREDICTED_FROM, 1).otherwise(0).cast("int").alias("predicted"))
@@ -82,4 +96,4 @@ def _scored(scores: DataFrame, modulus: int, remainder: int) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_simhash, op2_mixing, op3_quality, op4_fingerprints, op5_quality_rules, op6_toxicity, op7_pii,
-                            op8_url_filter, op9_license_scan, op10_sentencepiece)}
+                            op8_url_filter, op9_license_scan, op10_sentencepiece, op11_secret_scan, op12_centroid_clustering)}
