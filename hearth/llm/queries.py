@@ -9,15 +9,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import (iblt, license_digest, line_rules, mixing, pca_clustering, pii, quality_gam, secret_ledger, sentencepiece_codec, simhash,
+from . import (alignment, iblt, license_digest, line_rules, mixing, pca_clustering, pii, quality_gam, secret_ledger, sentencepiece_codec, simhash,
                toxicity, url_lm)
 from .common import held_out, table
 from .oracle import ORACLE  # noqa: F401  (read by the driver's entry)
 
 #: Score from which a document is predicted to be of class 1.
 PREDICTED_FROM = 0.7
-#: Vocabulary file of the tokenizer, by its name in the installed set.
-MODEL_NAME = "piece_bpe_32k.model"
+#: Vocabulary files of the tokenizers, by their names in the installed set.
+MODEL_NAME, BYTE_LEVEL_NAME = "piece_bpe_32k.model", "byte_bpe_50k.json"
 
 
 def model_bytes(path: str | None = None) -> bytes:
@@ -89,6 +89,12 @@ def op12_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pca_clustering.cluster(table(spark, sf_dir, "embeddings"), k=16, rounds=3)
 
 
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    files = alignment.read_tokenizers(public_tokenizers.path(BYTE_LEVEL_NAME), public_tokenizers.path(MODEL_NAME))
+    return alignment.align(table(spark, sf_dir, "documents"), *files)
+
+
 def _scored(scores: DataFrame, modulus: int, remainder: int) -> DataFrame:
     return scores.select("doc_id", held_out(F.col("doc_id"), modulus, remainder).alias("held_out"), "score",
                          F.when(F.col("score") >= PREDICTED_FROM, 1).otherwise(0).cast("int").alias("predicted"))
@@ -96,4 +102,5 @@ def _scored(scores: DataFrame, modulus: int, remainder: int) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_simhash, op2_mixing, op3_quality, op4_fingerprints, op5_quality_rules, op6_toxicity, op7_pii,
-                            op8_url_filter, op9_license_scan, op10_sentencepiece, op11_secret_scan, op12_centroid_clustering)}
+                            op8_url_filter, op9_license_scan, op10_sentencepiece, op11_secret_scan, op12_centroid_clustering,
+                            op13_alignment)}
