@@ -25,6 +25,7 @@ import re
 import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -34,7 +35,7 @@ from pyspark.sql import functions as F
 from .common import by_value, hot_values, map_rows, salted_join, write_scratch
 
 #: Characters of a text from which it is dealt out in parts of that size, and fragments multiplied by a task of the tree.
-CHUNK, FAN = 32_768, 8
+CHUNK, FAN = 65_536, 8
 #: Words kept per task (in each of two generations), and the longest of them.
 KEEP_WORDS, KEEP_CHARS = 150_000, 40
 #: Pairs of ids sent to the tasks with their counts; a larger table is joined instead (same results).
@@ -78,7 +79,7 @@ class Tokenizers:
             raise ValueError("pieces of B reach over word marks or line ends")
 
     def encode_a(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.a.encode_batch(texts, add_special_tokens=False)] if texts else []
+        return [e.ids for e in self.a.encode_batch_fast(texts, add_special_tokens=False)] if texts else []
 
     def encode_b(self, texts: list[str]) -> list[list[int]]:
         return self.b.encode(texts, num_threads=1) if texts else []
@@ -122,7 +123,7 @@ class Tokens:
         out, a, b = [], list(map(str, self.a.tolist())), list(map(str, self.b.tolist()))
         i = k = 0
         for j, m in zip(np.searchsorted(self.a_end, cuts, "right").tolist(), np.searchsorted(self.b_end, cuts, "right").tolist(), strict=True):
-            out.append(f"{a[i]}|{b[k]}" if j == i + 1 and m == k + 1 else f"{','.join(a[i:j])}|{','.join(b[k:m])}")
+            out.append(f"{a[i]}|{b[k]}" if j - i == 1 == m - k else f"{','.join(a[i:j])}|{','.join(b[k:m])}")
             i, k = j, m
         return out
 
@@ -159,20 +160,31 @@ class WordTable:
     def __init__(self, tokenizers: Tokenizers):
         self.t, self.now, self.old = tokenizers, {}, {}
 
-    def _measure(self, words: list[str]) -> Iterator[tuple | None]:
-        """(tokens of A, of B, groups, links, the groups' text, codes of the links) of each word, or None if its bytes differ."""
+    def _measure(self, words: list[str]) -> list[tuple | None]:
+        """(tokens of A, of B, groups, links, the groups' text, codes of the links) of each word, or None if its bytes differ.
+
+        The words' tokens are laid out as one run, and their groups and links found in one go: a word's end is a common end.
+        """
         t, wide = self.t, len(self.t.b_bytes)
-        for w, a, b in zip(words, t.encode_a([f" {w}" for w in words]), t.encode_b(words), strict=True):
-            want = f" {w}".encode()
-            if not t.spells(a, b, want, want):
-                yield None
-            elif len(a) == len(b) == 1:
-                yield 1, 1, 1, 1, f"{a[0]}|{b[0]}", np.array([a[0] * wide + b[0]])
-            else:
-                x, y = np.array(a, np.int64), np.array(b, np.int64)
-                run = Tokens(x, np.cumsum(t.a_size[x]), y, np.cumsum(t.b_size[y]))
-                groups, (p, q) = run.groups(run.cuts()), run.links()
-                yield len(a), len(b), len(groups), len(p), ";".join(groups), p * wide + q
+        a_ids, b_ids, want = t.encode_a([f" {w}" for w in words]), t.encode_b(words), [f" {w}".encode() for w in words]
+        good = list(range(len(words)))
+        if not t.spells(list(chain.from_iterable(a_ids)), list(chain.from_iterable(b_ids)), whole := b"".join(want), whole):
+            good = [i for i in good if t.spells(a_ids[i], b_ids[i], want[i], want[i])]
+        out: list[tuple | None] = [None] * len(words)
+        if not good:
+            return out
+        n_a, n_b = ([len(x[i]) for i in good] for x in (a_ids, b_ids))
+        a, b = (np.fromiter(chain.from_iterable([x[i] for i in good]), np.int64) for x in (a_ids, b_ids))
+        run = Tokens(a, np.cumsum(t.a_size[a]), b, np.cumsum(t.b_size[b]))
+        ends, word_ends = np.union1d(run.a_end, run.b_end), run.a_end[np.cumsum(n_a) - 1]
+        cuts, (p, q) = run.cuts(), run.links()
+        told, codes = run.groups(cuts), p * wide + q
+        g = l = 0
+        for i, x, y, h, m in zip(good, n_a, n_b, np.searchsorted(cuts, word_ends, "right").tolist(), np.searchsorted(ends, word_ends, "right").tolist(),
+                                 strict=True):
+            out[i] = x, y, h - g, m - l, told[g] if h == g + 1 else ";".join(told[g:h]), codes[l:m]
+            g, l = h, m
+        return out
 
     def texts(self, texts: list[str]) -> Iterator[list[tuple] | None]:
         """The entries of each text's words, in order; None where the bytes differ."""
@@ -185,7 +197,7 @@ class WordTable:
             self.now[w] = self.old[w]
             missing.discard(w)
         new, passing = list(missing), {}
-        for w, entry in zip(new, self._measure(new), strict=True):
+        for w, entry in zip(new, self._measure(new) if new else [], strict=True):
             (self.now if len(w) <= KEEP_CHARS else passing)[w] = entry
         for words in cut:
             got = [self.now[w] for w in words] if not passing else [self.now[w] if w in self.now else passing[w] for w in words]
