@@ -29,14 +29,16 @@ from itertools import chain
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import by_value, hot_values, map_rows, salted_join, write_scratch
+from .common import by_value, hot_values, map_batches, map_rows, once, salted_join, write_scratch
 
 #: Characters of a text from which it is dealt out in parts of that size, and fragments multiplied by a task of the tree.
 CHUNK, FAN = 65_536, 8
-#: Words kept per task (in each of two generations), and the longest of them.
+#: Words kept per worker process (in each of two generations), and the longest of them.
 KEEP_WORDS, KEEP_CHARS = 150_000, 40
 #: Pairs of ids sent to the tasks with their counts; a larger table is joined instead (same results).
 SEND_PAIRS = 2_000_000
@@ -161,7 +163,7 @@ class WordTable:
         self.t, self.now, self.old = tokenizers, {}, {}
 
     def _measure(self, words: list[str]) -> list[tuple | None]:
-        """(tokens of A, of B, groups, links, the groups' text, codes of the links) of each word, or None if its bytes differ.
+        """(tokens of A, the groups' text, codes of the links) of each word, or None if its bytes differ.
 
         The words' tokens are laid out as one run, and their groups and links found in one go: a word's end is a common end.
         """
@@ -173,16 +175,16 @@ class WordTable:
         out: list[tuple | None] = [None] * len(words)
         if not good:
             return out
-        n_a, n_b = ([len(x[i]) for i in good] for x in (a_ids, b_ids))
+        n_a = [len(a_ids[i]) for i in good]
         a, b = (np.fromiter(chain.from_iterable([x[i] for i in good]), np.int64) for x in (a_ids, b_ids))
         run = Tokens(a, np.cumsum(t.a_size[a]), b, np.cumsum(t.b_size[b]))
         ends, word_ends = np.union1d(run.a_end, run.b_end), run.a_end[np.cumsum(n_a) - 1]
         cuts, (p, q) = run.cuts(), run.links()
         told, codes = run.groups(cuts), p * wide + q
         g = l = 0
-        for i, x, y, h, m in zip(good, n_a, n_b, np.searchsorted(cuts, word_ends, "right").tolist(), np.searchsorted(ends, word_ends, "right").tolist(),
+        for i, x, h, m in zip(good, n_a, np.searchsorted(cuts, word_ends, "right").tolist(), np.searchsorted(ends, word_ends, "right").tolist(),
                                  strict=True):
-            out[i] = x, y, h - g, m - l, told[g] if h == g + 1 else ";".join(told[g:h]), codes[l:m]
+            out[i] = x, told[g] if h == g + 1 else ";".join(told[g:h]), codes[l:m]
             g, l = h, m
         return out
 
@@ -214,18 +216,25 @@ _ROW = "n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, c
 _NAMES = ("n_a", "n_b", "n_groups", "n_links", "groups_sha256", "codes", "times")
 
 
+def _tokenizers(sent) -> Tokenizers:
+    return once(sent.value, "tokenizers", lambda: Tokenizers(sent.value["a"], sent.value["b"]))
+
+
 def _short(texts: DataFrame, kind: str, sent) -> DataFrame:
     """Aligned rows of texts that one task holds as one fragment."""
     def run(parts: Iterator[dict]) -> Iterator[dict]:
-        table = WordTable(Tokenizers(*sent.value))
+        table = once(sent.value, "words", lambda: WordTable(_tokenizers(sent)))
         for p in parts:
             rows = []
             for got in table.texts([t or "" for t in p["text"]]):
                 if got is None:
                     rows.append(NOTHING)
                     continue
-                a, b, groups, links, told, codes = zip(*got, strict=True)
-                rows.append((sum(a), sum(b), sum(groups), sum(links), hashlib.sha256(";".join(told).encode()).hexdigest(), *_sums(np.concatenate(codes))))
+                a, told, codes = zip(*got, strict=True)
+                whole, every = ";".join(told), np.concatenate(codes)
+                # no ends meet within a group, so it has one link less than tokens
+                n_a, groups, links = sum(a), whole.count(";") + 1, len(every)
+                rows.append((n_a, links + groups - n_a, groups, links, hashlib.sha256(whole.encode()).hexdigest(), *_sums(every)))
             yield {"doc_id": p["id"]} | dict(zip(_NAMES, map(list, zip(*rows, strict=True)), strict=True))
     return map_rows(texts, f"doc_id {kind}, {_ROW}", run)
 
@@ -296,7 +305,7 @@ def _long(texts: DataFrame, kind: str, sent, wide: int, chunk: int, fan: int) ->
     most = dealt.agg(F.max("of")).first()[0]
 
     def begin(parts: Iterator[dict]) -> Iterator[dict]:
-        t = Tokenizers(*sent.value)
+        t = _tokenizers(sent)
         for p in parts:
             rows = []
             for row, i, a_at, a_text, b_at, b_text in zip(*(p[c] for c in ("row", "idx", "a_at", "a_text", "b_at", "b_text")), strict=True):
@@ -380,19 +389,20 @@ def _counted(aligned: DataFrame, wide: int) -> DataFrame:
 def _with_counts(aligned: DataFrame, pairs: DataFrame, kind: str) -> DataFrame:
     """``aligned`` with ``n_best`` and ``count_sum``: by a table sent to the tasks if it is small, else by a join."""
     out = ("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+    kept = [c for c in out if c not in ("n_best", "count_sum")]
     if pairs.count() <= SEND_PAIRS:
         got = pairs.toPandas().sort_values("code")   # SEND_PAIRS rows at most
         sent = aligned.sparkSession.sparkContext.broadcast(tuple(got[c].to_numpy() for c in ("code", "n", "best")))
 
-        def run(parts: Iterator[dict]) -> Iterator[dict]:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
             code, n, best = sent.value
-            for p in parts:
-                sums = []
-                for codes, times in zip(p.pop("codes"), p.pop("times"), strict=True):
-                    at, t = np.searchsorted(code, np.array(codes, np.int64)), np.array(times, np.int64)
-                    sums.append((int((best[at] * t).sum()), int((n[at] * t).sum())) if len(t) else (0, 0))
-                yield p | {"n_best": [s[0] for s in sums], "count_sum": [s[1] for s in sums]}
-        return map_rows(aligned, f"doc_id {kind}, " + ", ".join(f"{c} {'string' if c == 'groups_sha256' else 'long'}" for c in out[1:]), run).select(*out)
+            for batch in batches:
+                codes, times = batch.column("codes"), batch.column("times").flatten().to_numpy().astype(np.int64)
+                at = np.searchsorted(code, codes.flatten().to_numpy())
+                ends = np.concatenate([[0], np.cumsum(pc.list_value_length(codes).to_numpy())])
+                upto = [np.concatenate([[0], np.cumsum(x[at] * times)])[ends] for x in (best, n)]
+                yield {c: batch.column(c) for c in kept} | {"n_best": np.diff(upto[0]), "count_sum": np.diff(upto[1])}
+        return map_batches(aligned, f"doc_id {kind}, " + ", ".join(f"{c} {'string' if c == 'groups_sha256' else 'long'}" for c in out[1:]), run)
     rows = aligned.withColumn("_at", F.monotonically_increasing_id())
     links = rows.select("_at", F.inline(F.arrays_zip("codes", "times"))).withColumnRenamed("codes", "code")
     sums = salted_join(links, pairs, "code", hot_values(pairs, "code", "n")).groupBy("_at").agg(
@@ -410,7 +420,7 @@ def align(docs: DataFrame, a_json: str, b_model: bytes, id_col: str = "doc_id",
     is one part whatever its length. The files' contents travel with the tasks (about three megabytes).
     """
     spark = docs.sparkSession
-    sent = spark.sparkContext.broadcast((a_json, b_model))
+    sent = spark.sparkContext.broadcast({"a": a_json, "b": b_model})
     wide = Tokenizers(a_json, b_model).b.vocab_size()
     kind = docs.select(id_col).schema[0].dataType.simpleString()
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))

@@ -84,26 +84,34 @@ def salted_join(rows: DataFrame, table: DataFrame, key: str, hot: list) -> DataF
     return dealt.join(every, [key, salt]).drop(salt)
 
 
-def map_rows(df: DataFrame, schema: str, fn: Callable[[Iterator[dict[str, list]]], Iterator[dict[str, list]]],
-             ) -> DataFrame:
-    """``mapInArrow`` over slices of columns as Python lists: ``fn`` takes and yields dicts of lists."""
+def map_batches(df: DataFrame, schema: str, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[dict]]) -> DataFrame:
+    """``mapInArrow``: ``fn`` takes batches and yields dicts of columns, each a list or an array."""
     small_batches(df.sparkSession)
-    out = df.limit(0).sparkSession.createDataFrame([], schema).schema
+    out = df.sparkSession.createDataFrame([], schema).schema
     names = out.fieldNames()
     from pyspark.sql.pandas.types import to_arrow_schema
     arrow = to_arrow_schema(out)
-    rows = SLICE_ROWS
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for made in fn(batches):
+            yield pa.RecordBatch.from_arrays(
+                [made[n] if isinstance(made[n], pa.Array) else pa.array(made[n], type=arrow.field(n).type) for n in names], schema=arrow)
+    return df.mapInArrow(run, out)
+
+
+def map_rows(df: DataFrame, schema: str, fn: Callable[[Iterator[dict[str, list]]], Iterator[dict[str, list]]],
+             ) -> DataFrame:
+    """``map_batches`` over slices of columns as Python lists: ``fn`` takes and yields dicts of lists."""
+    rows = SLICE_ROWS
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         def slices():
             for b in batches:
                 for at in range(0, b.num_rows, rows):
                     part = b.slice(at, rows)
                     yield {n: part.column(i).to_pylist() for i, n in enumerate(part.schema.names)}
-        for made in fn(slices()):
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(made[n], type=arrow.field(n).type) for n in names], schema=arrow)
-    return df.mapInArrow(run, out)
+        return fn(slices())
+    return map_batches(df, schema, run)
 
 
 def held_out(doc_id: Column, modulus: int, remainder: int) -> Column:
@@ -116,4 +124,22 @@ def by_value(module: str) -> None:
     cloudpickle.register_pickle_by_value(sys.modules[module])
 
 
+def once(kept: dict, name: str, make: Callable[[], object]) -> object:
+    """What ``make`` gives, made once a worker process: ``kept`` is the value of a broadcast dict, which workers hold between tasks."""
+    if name not in kept:
+        kept[name] = make()
+    return kept[name]
+
+
+class Sent:
+    """An object of this package broadcast by value: a plain broadcast names its class, which workers may lack."""
+
+    def __init__(self, spark: SparkSession, value: object):
+        self._bytes = spark.sparkContext.broadcast(cloudpickle.dumps(value))
+
+    def get(self) -> object:
+        """The object, rebuilt in the task that asks for it."""
+        return cloudpickle.loads(self._bytes.value)
+
+
 by_value(__name__)

@@ -18,10 +18,11 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import by_value, map_rows, write_scratch
+from .common import by_value, map_batches, write_scratch
 
 #: Components of the integer vectors lie within this bound, so that a squared distance of 2**9 components fits a long.
 MOST = 1 << 26
@@ -44,13 +45,13 @@ def first_centroids(kept: DataFrame, k: int, salt: str = "1:") -> np.ndarray:
 
 def _moments(kept: DataFrame, dim: int) -> tuple[int, np.ndarray, np.ndarray]:
     """Count, mean and covariance: each task adds up its rows and gives one row of sums."""
-    def run(parts: Iterator[dict]) -> Iterator[dict]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         n, sums, products = 0, np.zeros(dim), np.zeros((dim, dim))
-        for p in parts:
-            x = np.array(p["v"], float).reshape(len(p["v"]), dim)
+        for batch in batches:
+            x = _matrix(batch, "v", dim, float)
             n, sums, products = n + len(x), sums + x.sum(0), products + x.T @ x
         yield {"i": [*range(dim + 1)], "n": [n] * (dim + 1), "s": [sums.tolist(), *products.tolist()]}
-    parts = map_rows(kept.select("v"), "i int, n long, s array<double>", run)
+    parts = map_batches(kept.select("v"), "i int, n long, s array<double>", run)
     got = sorted(parts.groupBy("i").agg(F.sum("n").alias("n"), F.array(*[F.sum(F.col("s")[j]) for j in range(dim)]).alias("s")).collect())
     n = got[0]["n"] if got else 0
     if not n:
@@ -103,9 +104,13 @@ def nearest(v: np.ndarray, head: np.ndarray, rest: np.ndarray, centroids: np.nda
     return cluster, best, measured
 
 
-def _arrays(p: dict, dim: int, lead: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    n = len(p["v"])
-    return np.array(p["v"], np.int64).reshape(n, dim), np.array(p["head"], float).reshape(n, lead), np.array(p["rest"], float)
+def _matrix(batch: pa.RecordBatch, name: str, width: int, kind: type) -> np.ndarray:
+    """A column of lists of equal length as rows of an array."""
+    return batch.column(name).flatten().to_numpy(zero_copy_only=False).astype(kind).reshape(batch.num_rows, width)
+
+
+def _arrays(batch: pa.RecordBatch, dim: int, lead: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    return _matrix(batch, "v", dim, np.int64), _matrix(batch, "head", lead, float), batch.column("rest").to_numpy(zero_copy_only=False)
 
 
 def _round(stored: DataFrame, centroids: np.ndarray, frame: Frame) -> np.ndarray:
@@ -113,16 +118,16 @@ def _round(stored: DataFrame, centroids: np.ndarray, frame: Frame) -> np.ndarray
     k, dim = centroids.shape
     lead = frame.axes.shape[1]
 
-    def run(parts: Iterator[dict]) -> Iterator[dict]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         counts, sums = np.zeros(k, np.int64), np.zeros((k, dim), np.int64)
-        for p in parts:
-            v, head, rest = _arrays(p, dim, lead)
+        for batch in batches:
+            v, head, rest = _arrays(batch, dim, lead)
             cluster, _, _ = nearest(v, head, rest, centroids, frame)
             np.add.at(counts, cluster, 1)
             np.add.at(sums, cluster, v)
         used = np.flatnonzero(counts)
         yield {"c": used.tolist(), "n": counts[used].tolist(), "s": sums[used].tolist()}
-    parts = map_rows(stored.select("v", "head", "rest"), "c int, n long, s array<long>", run)
+    parts = map_batches(stored.select("v", "head", "rest"), "c int, n long, s array<long>", run)
     out = centroids.copy()
     exact = [F.sum(F.col("s")[j].cast("decimal(38,0)")) for j in range(dim)]
     for r in parts.groupBy("c").agg(F.sum("n").alias("n"), F.array(*exact).alias("s")).collect():   # k rows at most
@@ -149,19 +154,19 @@ def cluster(vectors: DataFrame, k: int = 16, rounds: int = 3, dim: int = 64, sca
             ("cluster", "int"), ("distance", "long"), ("cluster_inertia", "long"), ("inertia", "long"), ("centroid_sha256", "string"))])
     frame = fit_frame(kept, dim, lead)
 
-    def rotate(parts: Iterator[dict]) -> Iterator[dict]:
-        for p in parts:
-            head, rest = frame.place(np.array(p["v"], float).reshape(len(p["v"]), dim))
-            yield p | {"head": head.tolist(), "rest": rest.tolist()}
-    stored = write_scratch(map_rows(kept, f"vec_id {kind}, v array<int>, head array<double>, rest double", rotate), "rotated")
+    def rotate(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+        for batch in batches:
+            head, rest = frame.place(_matrix(batch, "v", dim, float))
+            yield {"vec_id": batch.column("vec_id"), "v": batch.column("v"), "head": list(head), "rest": rest}
+    stored = write_scratch(map_batches(kept, f"vec_id {kind}, v array<int>, head array<double>, rest double", rotate), "rotated")
     for _ in range(rounds):
         centroids = _round(stored, centroids, frame)
 
-    def last(parts: Iterator[dict]) -> Iterator[dict]:
-        for p in parts:
-            c, d, _ = nearest(*_arrays(p, dim, lead), centroids, frame)
-            yield {"vec_id": p["vec_id"], "cluster": c.tolist(), "distance": d.tolist()}
-    assigned = write_scratch(map_rows(stored, f"vec_id {kind}, cluster int, distance long", last), "assigned")
+    def last(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+        for batch in batches:
+            c, d, _ = nearest(*_arrays(batch, dim, lead), centroids, frame)
+            yield {"vec_id": batch.column("vec_id"), "cluster": c.astype(np.int32), "distance": d}
+    assigned = write_scratch(map_batches(stored, f"vec_id {kind}, cluster int, distance long", last), "assigned")
     total = {r["cluster"]: r["d"] for r in assigned.groupBy("cluster").agg(F.sum("distance").alias("d")).collect()}   # k rows at most
     digests = [hashlib.sha256(",".join(map(str, c)).encode()).hexdigest() for c in centroids.tolist()]
     of = F.col("cluster")

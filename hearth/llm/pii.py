@@ -19,6 +19,7 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 
@@ -31,9 +32,12 @@ from .common import by_value, fresh, map_rows, write_scratch
 
 KINDS = ("email", "ip", "card", "phone")
 TERM = "term"
-_EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
-_IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
-_CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
+#: The contract's patterns in a form that takes time in proportion to the text: a run of characters is entered at its
+#: beginning only (no later place in it could match where that fails), and never given back.
+_EMAIL_NAME = re.compile(r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@")
+_EMAIL_HOST = re.compile(r"[A-Za-z0-9-]++\.[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)*+")
+_IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
+_CARD = re.compile(r"[0-9]++(?:[\x20-][0-9]++)*+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DIGIT = re.compile(r"[0-9]")
 _TERM = re.compile(r"[^\W\d_]{3,40}")
@@ -53,14 +57,25 @@ def luhn(digits: str) -> bool:
     return total % 10 == 0
 
 
+def _emails(text: str) -> Iterator[tuple[int, int]]:
+    """Spans of addresses: each has one @, so each run of name characters before one is tried once."""
+    end = 0
+    for m in _EMAIL_NAME.finditer(text):
+        start = max(m.start(), end)   # a run may begin within the last address
+        host = _EMAIL_HOST.match(text, m.end()) if start < m.end() - 1 else None
+        if host:
+            end = host.end()
+            yield start, end
+
+
 def base_spans(text: str) -> list[tuple[str, int, int]]:
     """(kind, start, end) by start, then kind as listed."""
     out = []
     if "@" in text:
-        out += [("email", *m.span()) for m in _EMAIL.finditer(text)]
+        out += [("email", a, b) for a, b in _emails(text)]
     if _DIGIT.search(text):
         out += [("ip", *m.span()) for m in _IP.finditer(text)
-                if all(len(x.lstrip("0")) <= 3 and int(x) <= 255 for x in m[0].split("."))]
+                if all(len(x) <= 3 and int(x or "0") <= 255 for x in (y.lstrip("0") for y in m[0].split(".")))]
         for m in _CARD.finditer(text):
             if m.end() - m.start() >= 12 and 12 <= len(d := "".join(_DIGIT.findall(m[0]))) <= 19 and luhn(d):
                 out.append(("card", *m.span()))
@@ -69,13 +84,32 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     return sorted(out, key=lambda s: (s[1], KINDS.index(s[0])))
 
 
+def covered(spans: list[tuple[str, int, int]]) -> tuple[list[int], list[int]]:
+    """Starts and ends of the stretches that spans, given in order, cover together."""
+    starts: list[int] = []
+    ends: list[int] = []
+    for _, a, b in spans:
+        if ends and a < ends[-1]:
+            ends[-1] = max(ends[-1], b)
+        else:
+            starts.append(a)
+            ends.append(b)
+    return starts, ends
+
+
+def overlaps(taken: tuple[list[int], list[int]], x: int, y: int) -> bool:
+    """Whether a place shares a character with a covered stretch: the last one that begins before its end."""
+    i = bisect_left(taken[0], y) - 1
+    return i >= 0 and taken[1][i] > x
+
+
 def window_terms(text: str, start: int, end: int) -> list[tuple[str, int, int]]:
     """The terms next to a span, lower-cased, with their places: up to ``WINDOW`` on either side in its line.
 
     A window reaches over at most 48 characters a term, so that it costs the same in a text of any length.
     """
     reach = 48 * WINDOW
-    left = max(text.rfind("\n", 0, start) + 1, start - reach)
+    left = max(text.rfind("\n", max(0, start - reach), start) + 1, start - reach)
     right = text.find("\n", end, end + reach)
     before = [m for m in _TERM.finditer(text, left, start) if m.start() > left or left == 0 or not text[left - 1].isalpha()]
     after = list(_TERM.finditer(text, end, right if right >= 0 else min(len(text), end + reach)))
@@ -96,11 +130,11 @@ def _encountered(docs: DataFrame) -> DataFrame:
             got: Counter = Counter()
             for text in p["text"]:
                 spans, here = base_spans(text or ""), set()
+                taken = covered(spans)
                 for kind, a, b in spans:
                     value = _hash(text[a:b].lower())
                     here.add(("", kind, value))
-                    here.update((t, kind, value) for t, x, y in window_terms(text, a, b)
-                                if not any(x < e and s < y for _, s, e in spans))
+                    here.update((t, kind, value) for t, x, y in window_terms(text, a, b) if not overlaps(taken, x, y))
                 got.update({(t, k, None) for t, k, _ in here})
                 got.update(dict.fromkeys(here, 0))
             if got:
@@ -179,8 +213,8 @@ def _span_text(spans: list[tuple[str, int, int]]) -> str:
 def term_windows(text: str) -> list[tuple[str, str, int, int]]:
     """(term, kind, start, end) of all terms in the windows of a text's entities, outside the entities."""
     base = base_spans(text)
-    return [(t, kind, x, y) for kind, a, b in base for t, x, y in window_terms(text, a, b)
-            if not any(x < e and s < y for _, s, e in base)]
+    taken = covered(base)
+    return [(t, kind, x, y) for kind, a, b in base for t, x, y in window_terms(text, a, b) if not overlaps(taken, x, y)]
 
 
 def _in_order(base: list, terms: set[tuple[int, int]]) -> list[tuple[str, int, int]]:

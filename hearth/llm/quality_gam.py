@@ -22,7 +22,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import by_value, map_rows
+from .common import Sent, by_value, map_rows
 from .labelled import base_rate, labelled_rows
 
 #: Bound on the labelled rows that the model is fitted on.
@@ -177,13 +177,14 @@ def train(docs: DataFrame, labels: DataFrame, label: str, learn: Column, max_row
 
 def score(docs: DataFrame, model: AdditiveModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: ``(doc_id, score)``. Null and empty texts score by the zero features; repeated rows score alike."""
-    sent = docs.sparkSession.sparkContext.broadcast(model)   # a few thousand numbers, whatever the input
+    sent = Sent(docs.sparkSession, model)   # a few thousand numbers, whatever the input
     kind = docs.select(id_col).schema[0].dataType.simpleString()
 
     def run(parts: Iterator[dict]) -> Iterator[dict]:
+        own = sent.get()
         for p in parts:
             x = np.array([features(t) for t in p["text"]], float).reshape(len(p["text"]), len(FEATURES))
-            yield {"doc_id": p["id"], "score": sent.value.score(x).tolist()}
+            yield {"doc_id": p["id"], "score": own.score(x).tolist()}
     return map_rows(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), f"doc_id {kind}, score double", run)
 
 

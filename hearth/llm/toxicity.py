@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import by_value, map_rows, write_scratch
+from .common import Sent, by_value, map_rows, write_scratch
 from .labelled import base_rate, labelled_rows
 
 #: Bound on the labelled rows that voters, label model and classifier are fitted on.
@@ -183,14 +183,15 @@ def train(docs: DataFrame, labels: DataFrame, label: str, learn: Column, max_row
         for p in parts:
             yield p | {"sign": [signature(t) for t in p["text"]]}
     sample = write_scratch(map_rows(rows, ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema) + ", sign long", signed)
-                           .dropDuplicates(["sign", "y"]), "labelled")
+                           .groupBy("sign", "y").agg(F.min(F.struct("doc_id", "text")).alias("one")).select("one.doc_id", "one.text", "y", "sign"), "labelled")
     terms = mine_terms(sample)
     model = ToxicityModel({t: i for i, t in enumerate(terms)}, np.zeros(len(terms) + LEXICONS + 5), 0.0)
-    sent = docs.sparkSession.sparkContext.broadcast(model)
+    sent = Sent(docs.sparkSession, model)
 
     def run(parts: Iterator[dict]) -> Iterator[dict]:
+        own = sent.get()
         for p in parts:
-            found, votes = zip(*(sent.value.read(t) for t in p["text"]), strict=True)
+            found, votes = zip(*(own.read(t) for t in p["text"]), strict=True)
             yield {"doc_id": p["doc_id"], "y": p["y"], "found": list(found), "votes": [v.astype(int).tolist() for v in votes]}
     kind = docs.select("doc_id").schema[0].dataType.simpleString()
     got = sorted(map_rows(sample.select("doc_id", "text", "y"), f"doc_id {kind}, y int, found array<int>, votes array<int>", run)
@@ -210,12 +211,13 @@ def train(docs: DataFrame, labels: DataFrame, label: str, learn: Column, max_row
 
 def score(docs: DataFrame, model: ToxicityModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: ``(doc_id, score)``. Null and empty texts score by the intercept; repeated rows score alike."""
-    sent = docs.sparkSession.sparkContext.broadcast(model)   # MAX_TERMS terms and weights at most
+    sent = Sent(docs.sparkSession, model)   # MAX_TERMS terms and weights at most
     kind = docs.select(id_col).schema[0].dataType.simpleString()
 
     def run(parts: Iterator[dict]) -> Iterator[dict]:
+        own = sent.get()
         for p in parts:
-            yield {"doc_id": p["id"], "score": [sent.value.score(t) for t in p["text"]]}
+            yield {"doc_id": p["id"], "score": [own.score(t) for t in p["text"]]}
     return map_rows(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), f"doc_id {kind}, score double", run)
 
 
