@@ -25,7 +25,6 @@ import re
 import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -39,10 +38,14 @@ from .common import by_value, hot_values, map_batches, map_rows, once, salted_jo
 #: Characters of a text from which it is dealt out in parts of that size, and fragments multiplied by a task of the tree.
 CHUNK, FAN = 65_536, 8
 #: Words kept per worker process (in each of two generations), and the longest of them.
-KEEP_WORDS, KEEP_CHARS = 150_000, 40
+KEEP_WORDS, KEEP_CHARS = 250_000, 40
+#: New words coded at a time.
+JOIN_WORDS = 2000
 #: Pairs of ids sent to the tasks with their counts; a larger table is joined instead (same results).
 SEND_PAIRS = 2_000_000
 MARK = "▁"
+#: How byte-level tokenizers split a text before their merges (fixed value).
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: A single space between other characters: a token of either tokenizer ends before it.
 _WORD_END = re.compile(r"(?<=\S) (?=\S)")
 #: Where a token of A ends for sure: before white space, or before a sign after a plain letter or digit.
@@ -58,6 +61,25 @@ def byte_of_character() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(others)}
 
 
+#: Words whose characters every library puts in the same classes: these may go through the faster one.
+_LATIN = re.compile(r"[!-~À-ɏ]{1,200}(?:\n[!-~À-ɏ]{1,200}){0,4}")
+
+
+def _as_ranks(a_json: str):
+    """The vocabulary of A for the rank library, or None if the file is not plain byte-level pairs in order of their ids."""
+    import tiktoken
+    file = json.loads(a_json)
+    model, split = file["model"], file["pre_tokenizer"] or {}
+    vocabulary, special = model["vocab"], {t["content"] for t in file["added_tokens"]}
+    merged = [vocabulary.get("".join(m) if isinstance(m, list) else m.replace(" ", "")) for m in model["merges"]]
+    if (model["type"], split.get("type"), split.get("add_prefix_space"), split.get("use_regex")) != ("BPE", "ByteLevel", False, True) \
+            or file["normalizer"] or model.get("ignore_merges") or None in merged or merged != sorted(merged):
+        return None
+    byte = byte_of_character()
+    return tiktoken.Encoding("a", pat_str=PATTERN, special_tokens={},
+                             mergeable_ranks={bytes(byte[c] for c in p): i for p, i in vocabulary.items() if p not in special})
+
+
 class Tokenizers:
     """Both tokenizers and the bytes of their ids."""
 
@@ -66,6 +88,7 @@ class Tokenizers:
         from tokenizers import Tokenizer
         self.a = Tokenizer.from_str(a_json)
         self.a.encode_special_tokens = True
+        self.ranks = _as_ranks(a_json)
         byte = byte_of_character()
         vocabulary = self.a.get_vocab(with_added_tokens=True)
         self.a_bytes = [b""] * (max(vocabulary.values()) + 1)
@@ -83,6 +106,10 @@ class Tokenizers:
     def encode_a(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.a.encode_batch_fast(texts, add_special_tokens=False)] if texts else []
 
+    def encode_latin(self, texts: list[str]) -> list[list[int]]:
+        """As ``encode_a``, for texts of words that match ``_LATIN``."""
+        return [self.ranks.encode_ordinary(t) for t in texts] if self.ranks else self.encode_a(texts)
+
     def encode_b(self, texts: list[str]) -> list[list[int]]:
         return self.b.encode(texts, num_threads=1) if texts else []
 
@@ -162,32 +189,49 @@ class WordTable:
     def __init__(self, tokenizers: Tokenizers):
         self.t, self.now, self.old = tokenizers, {}, {}
 
-    def _measure(self, words: list[str]) -> list[tuple | None]:
-        """(tokens of A, the groups' text, codes of the links) of each word, or None if its bytes differ.
+    def _entries(self, words: list[str], a_ids: list[int], b_ids: list[int]) -> list[tuple] | None:
+        """(tokens of A, the groups' text, codes of the links) of each of ``words``, out of the tokens of all, joined by spaces.
 
-        The words' tokens are laid out as one run, and their groups and links found in one go: a word's end is a common end.
+        Their groups and links are found in one go, as a word's end is a common end; None if the bytes or the ends differ.
         """
-        t, wide = self.t, len(self.t.b_bytes)
-        a_ids, b_ids, want = t.encode_a([f" {w}" for w in words]), t.encode_b(words), [f" {w}".encode() for w in words]
-        good = list(range(len(words)))
-        if not t.spells(list(chain.from_iterable(a_ids)), list(chain.from_iterable(b_ids)), whole := b"".join(want), whole):
-            good = [i for i in good if t.spells(a_ids[i], b_ids[i], want[i], want[i])]
-        out: list[tuple | None] = [None] * len(words)
-        if not good:
-            return out
-        n_a = [len(a_ids[i]) for i in good]
-        a, b = (np.fromiter(chain.from_iterable([x[i] for i in good]), np.int64) for x in (a_ids, b_ids))
+        t, want = self.t, [w.encode() for w in words]
+        whole = b" " + b" ".join(want)
+        if not t.spells(a_ids, b_ids, whole, whole):
+            return None
+        a, b = np.array(a_ids, np.int64), np.array(b_ids, np.int64)
         run = Tokens(a, np.cumsum(t.a_size[a]), b, np.cumsum(t.b_size[b]))
-        ends, word_ends = np.union1d(run.a_end, run.b_end), run.a_end[np.cumsum(n_a) - 1]
-        cuts, (p, q) = run.cuts(), run.links()
-        told, codes = run.groups(cuts), p * wide + q
-        g = l = 0
-        for i, x, h, m in zip(good, n_a, np.searchsorted(cuts, word_ends, "right").tolist(), np.searchsorted(ends, word_ends, "right").tolist(),
-                                 strict=True):
-            out[i] = x, told[g] if h == g + 1 else ";".join(told[g:h]), codes[l:m]
+        cuts, word_ends = run.cuts(), np.cumsum([len(w) + 1 for w in want])
+        upto = np.searchsorted(cuts, word_ends, "right")
+        if len(cuts) == 0 or (cuts[upto - 1] != word_ends).any():
+            return None
+        ends, (p, q) = np.union1d(run.a_end, run.b_end), run.links()
+        told, codes = run.groups(cuts), p * len(t.b_bytes) + q
+        n_a = np.diff(np.searchsorted(run.a_end, word_ends, "right"), prepend=0).tolist()
+        out, g, l = [], 0, 0
+        for x, h, m in zip(n_a, upto.tolist(), np.searchsorted(ends, word_ends, "right").tolist(), strict=True):
+            out.append((x, told[g] if h == g + 1 else ";".join(told[g:h]), codes[l:m]))
             g, l = h, m
         return out
 
+    def _measure(self, words: list[str]) -> dict[str, tuple | None]:
+        """Entries of new words, None where the bytes differ. Words without white space at their ends are coded many at a time."""
+        latin, others, alone, out = [], [], [], {}
+        for w in words:
+            (latin if _LATIN.fullmatch(w) else alone if w[:1].isspace() or w[-1:].isspace() else others).append(w)
+        for some, encode in ((latin, self.t.encode_latin), (others, self.t.encode_a)):
+            runs = [some[i:i + JOIN_WORDS] for i in range(0, len(some), JOIN_WORDS)]
+            joined = [" ".join(r) for r in runs]
+            for r, a, b in zip(runs, encode([f" {x}" for x in joined]), self.t.encode_b(joined), strict=True):
+                got = self._entries(r, a, b)
+                if got is None:
+                    alone += r
+                else:
+                    out.update(zip(r, got, strict=True))
+        for w, a, b in zip(alone, self.t.encode_a([f" {w}" for w in alone]), self.t.encode_b(alone), strict=True):
+            got = self._entries([w], a, b)
+            out[w] = got[0] if got else None
+        return out
+
     def texts(self, texts: list[str]) -> Iterator[list[tuple] | None]:
         """The entries of each text's words, in order; None where the bytes differ."""
         cut = [_WORD_END.split(t) if t and MARK not in t else [] for t in texts]
@@ -199,7 +243,7 @@ class WordTable:
             self.now[w] = self.old[w]
             missing.discard(w)
         new, passing = list(missing), {}
-        for w, entry in zip(new, self._measure(new) if new else [], strict=True):
+        for w, entry in self._measure(new).items():
             (self.now if len(w) <= KEEP_CHARS else passing)[w] = entry
         for words in cut:
             got = [self.now[w] for w in words] if not passing else [self.now[w] if w in self.now else passing[w] for w in words]
