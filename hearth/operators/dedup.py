@@ -1,21 +1,18 @@
 """Latest record per key (W1/U3) and dedup statistics.
 
-The reference ranks rows with ``row_number() over (partition by key order by
-date desc, id desc)`` and keeps rank 1. A window puts every row of a key into
-one task, so a key that holds a third of the data becomes one straggler task.
-Here the same choice is an aggregate: ``max_by(row, (date, id))`` per key.
-Spark runs it as a partial (map-side) aggregate, so each input partition
-collapses a hot key to a single row before the shuffle; the shuffle carries
-at most one row per key per partition.
-
-Ordering semantics match the window exactly: struct comparison puts a NULL
-date below every date (``desc nulls last``), and ties on date fall back to
-the larger id (``desc(id)``).
+``row_number() = 1`` per key, newest first. Spark cuts each key to one row in the
+scan's tasks before anything is shuffled (a partial group limit), so a key that
+holds a third of the data is one row a task by then, and the shuffle carries at
+most one row per key and partition. Against an aggregate of the whole row
+(``max_by`` of a struct), which is planned as two sorts of packed rows, no row is
+packed and unpacked.
+
+A NULL date is older than every date, and ties on date fall back to the larger id.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import _c
@@ -40,13 +37,8 @@ def property_key(uprn: str = "uprn", postcode: str = "postcode", address: str =
 
 def latest_per_key(df: DataFrame, key: Column | str, order_cols: list[str]) -> DataFrame:
     """Keep, per key, the row with the greatest ``order_cols`` (NULLs lowest)."""
-    cols = df.columns
-    ordering = F.struct(*[F.col(c) for c in order_cols])
-    return (
-        df.groupBy(_c(key).alias("_key"))
-        .agg(F.max_by(F.struct(*[F.col(c) for c in cols]), ordering).alias("_row"))
-        .select(*[F.col("_row")[c].alias(c) for c in cols])
-    )
+    newest_first = Window.partitionBy(_c(key)).orderBy(*[F.col(c).desc_nulls_last() for c in order_cols])
+    return df.withColumn("_newest", F.row_number().over(newest_first)).where("_newest = 1").drop("_newest")
 
 
 def dedup_stats(df: DataFrame, key: Column | str) -> DataFrame:

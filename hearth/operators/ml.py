@@ -10,13 +10,11 @@ from __future__ import annotations
 
 import sys
 import uuid
-from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.ml.clustering import BisectingKMeans, KMeans
-from pyspark.ml.evaluation import ClusteringEvaluator
+from pyspark.ml.clustering import BisectingKMeans
 from pyspark.ml.feature import PCA, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import RandomForestRegressor
@@ -63,32 +61,97 @@ def pca(df: DataFrame, cols: list[str], k: int, anchor: F.Column | None = None):
 
 # ------------------------------------------------------------------ k-means
 
-def _fit_kmeans(df: DataFrame, features: str, k: int, seed: int, max_iter: int):
-    return KMeans(k=k, seed=seed, maxIter=max_iter, featuresCol=features, predictionCol="cluster").fit(df)
+#: Rows, chosen by a hash, from which the first centres are drawn (the rounds themselves run over all rows).
+SEED_ROWS = 4096
 
 
-def kmeans_best(df: DataFrame, features: str, k: int, seeds=range(42, 52), max_iter: int = 50):
-    """Best of several seeded k-means|| fits (lowest within-cluster cost, ties -> lowest seed).
+def _first_centres(points: np.ndarray, k: int, seed: int) -> np.ndarray:
+    """k-means++ over a bounded sample: each next centre is drawn with odds of its squared distance to the nearest one."""
+    rng = np.random.default_rng(seed)
+    centres = [points[rng.integers(len(points))]]
+    near = ((points - centres[0]) ** 2).sum(1)
+    while len(centres) < min(k, len(points)):
+        total = near.sum()
+        at = rng.choice(len(points), p=near / total) if total > 0 else rng.integers(len(points))
+        centres.append(points[at])
+        near = np.minimum(near, ((points - points[at]) ** 2).sum(1))
+    return np.array(centres)
 
-    The fits are independent Spark jobs, submitted concurrently from a small
-    thread pool so the scheduler can interleave them (each fit alone is a
-    chain of small jobs that leaves most cores idle).
-    """
-    seeds = list(seeds)
-    with ThreadPoolExecutor(max_workers=min(len(seeds), 8)) as pool:
-        models = list(pool.map(lambda s: _fit_kmeans(df, features, k, s, max_iter), seeds))
-    return min(zip(models, seeds), key=lambda ms: (ms[0].summary.trainingCost, ms[1]))[0]
 
+def kmeans_models(df: DataFrame, cols: list[str], ks, seeds=range(42, 52), max_iter: int = 50) -> dict[int, tuple[float, np.ndarray]]:
+    """``{k: (inertia, centres)}``: the best of the seeded models of each k, ties to the lowest seed.
 
-def kmeans_sweep(df: DataFrame, features: str, ks=range(2, 8), seeds=range(42, 52)) -> list[tuple]:
-    """(k, inertia, silhouette) per k; silhouette is Spark's squared-Euclidean form."""
-    ev = ClusteringEvaluator(featuresCol=features, predictionCol="cluster",
-                             distanceMeasure="squaredEuclidean")
-    out = []
-    for k in ks:
-        m = kmeans_best(df, features, k, seeds)
-        out.append((k, float(m.summary.trainingCost), float(ev.evaluate(m.transform(df)))))
-    return out
+    All models advance together: one pass over the rows a round assigns each row to the nearest centre of every
+    model still moving, and adds up their sums in the task. What is shuffled and what reaches the driver is one row
+    per model and centre. A last pass gives the inertia of the final centres.
+    """
+    steady = [F.round(F.col(c).cast("double"), 6) for c in cols]   # the last bits of sums differ from run to run
+    sample = np.array(df.select(*[F.col(c).cast("double").alias(c) for c in cols]).orderBy(F.xxhash64(*steady), *steady).limit(SEED_ROWS).collect(), float)
+    if not len(sample):
+        return {}
+    models = {(k, s): _first_centres(sample, k, s) for k in ks for s in seeds}
+    names = list(models)
+    rows, d = df.select(*[F.col(c).cast("double").alias(c) for c in cols]), len(cols)
+
+    def sums(moving: list[tuple[int, int]]):
+        centres = [models[m] for m in moving]   # bounded by the models asked for
+
+        def run(batches):
+            n = [np.zeros(len(c)) for c in centres]
+            s = [np.zeros((len(c), d)) for c in centres]
+            cost = [0.0] * len(centres)
+            for pdf in batches:
+                x = pdf.to_numpy(dtype=float)
+                for i, c in enumerate(centres):
+                    distance = ((x[:, None, :] - c) ** 2).sum(2)
+                    own = distance.argmin(1)
+                    cost[i] += distance[np.arange(len(x)), own].sum()
+                    n[i] += np.bincount(own, minlength=len(c))
+                    np.add.at(s[i], own, x)
+            yield pd.DataFrame([(i, j, n[i][j], s[i][j].tolist(), cost[i] if j == 0 else 0.0) for i, c in enumerate(centres) for j in range(len(c))],
+                               columns=["model", "centre", "n", "s", "cost"])
+        parts = rows.mapInPandas(run, "model int, centre int, n double, s array<double>, cost double")
+        return parts.groupBy("model", "centre").agg(
+            F.sum("n").alias("n"), F.array(*[F.sum(F.col("s")[j]) for j in range(d)]).alias("s"), F.sum("cost").alias("cost")).collect()
+    moving = names
+    for _ in range(max_iter):
+        before = {m: models[m].copy() for m in moving}
+        for r in sums(moving):
+            if r["n"] > 0:   # an empty centre stays
+                models[moving[r["model"]]][r["centre"]] = np.array(r["s"]) / r["n"]
+        moving = [m for m in moving if np.abs(models[m] - before[m]).max() > 1e-9]
+        if not moving:
+            break
+    cost = dict.fromkeys(names, 0.0)
+    for r in sums(names):
+        cost[names[r["model"]]] += r["cost"]
+    best = {k: min((m for m in names if m[0] == k), key=lambda m: (round(cost[m], 9), m[1])) for k in ks}
+    return {k: (cost[m], models[m]) for k, m in best.items()}
+
+
+def nearest_centre(cols: list[str], centres: np.ndarray) -> tuple[F.Column, F.Column]:
+    """(number of the nearest centre, squared distance to it), as native expressions; ties go to the lower number."""
+    each = [sum(((F.col(c) - F.lit(float(v))) * (F.col(c) - F.lit(float(v))) for c, v in zip(cols, centre)), F.lit(0.0)) for centre in centres]
+    every = F.array(*each)
+    return (F.array_position(every, F.array_min(every)) - 1).cast("int"), F.array_min(every)
+
+
+def kmeans_best(df: DataFrame, cols: list[str], k: int, seeds=range(42, 52)) -> DataFrame:
+    """``df`` with the ``cluster`` of the best of several seeded models."""
+    found = kmeans_models(df, cols, [k], seeds)
+    return df.withColumn("cluster", nearest_centre(cols, found[k][1])[0] if found else F.lit(None).cast("int"))
+
+
+def kmeans_assignments(df: DataFrame, key: str, cols: list[str], ks=range(2, 8), seeds=range(42, 52)) -> tuple[DataFrame, list[tuple]]:
+    """(``key, k, cluster, distance`` of every row and k in one table, ``[(k, inertia)]``) of the best models."""
+    found = kmeans_models(df, cols, ks, seeds)
+    each = []
+    for k, (_, centres) in found.items():
+        cluster, distance = nearest_centre(cols, centres)
+        each.append(F.struct(F.lit(k).alias("k"), cluster.alias("cluster"), distance.alias("distance")))
+    long = df.select(key, *cols, F.inline(F.array(*each))) if each else df.select(key, *cols).limit(0).withColumns(
+        {"k": F.lit(0), "cluster": F.lit(0), "distance": F.lit(0.0)})
+    return long, [(k, inertia) for k, (inertia, _) in found.items()]
 
 
 def bisecting(df: DataFrame, features: str, k: int, seed: int = 42):
@@ -229,6 +292,26 @@ def path_contributions(X: np.ndarray, trees) -> tuple[np.ndarray, np.ndarray, np
     return bias / k, contrib / k, pred / k
 
 
+def leaf_members(df: DataFrame, feature_cols: list[str], key: str, trees, spark) -> DataFrame:
+    """``(key, tree, node, depth)``: the leaf of every row in every tree of the packed forest."""
+    b_trees = spark.sparkContext.broadcast(trees)
+    kind = df.select(key).schema[0].dataType.simpleString()
+
+    def run(batches):
+        for pdf in batches:
+            X = pdf[feature_cols].to_numpy(dtype=float)
+            for i, (_, left, right, feat, thr) in enumerate(b_trees.value):
+                node, depth = np.zeros(len(X), dtype=np.int64), np.zeros(len(X), dtype=np.int32)
+                rows = np.flatnonzero(left[node] >= 0)
+                while len(rows):
+                    cur = node[rows]
+                    node[rows] = np.where(X[rows, feat[cur]] <= thr[cur], left[cur], right[cur])
+                    depth[rows] += 1
+                    rows = rows[left[node[rows]] >= 0]
+                yield pd.DataFrame({key: pdf[key], "tree": i, "node": node, "depth": depth})
+    return df.select(key, *feature_cols).mapInPandas(run, f"{key} {kind}, tree int, node int, depth int")
+
+
 def attribute(df: DataFrame, feature_cols: list[str], keep_cols: list[str], trees, spark,
               out_cols: list[str] | None = None) -> DataFrame:
     """Path attribution for every row, in Arrow batches (``mapInPandas``).

@@ -8,7 +8,7 @@ unpivot is free).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -63,3 +63,14 @@ def share_of_total(counts: DataFrame, count_col: str = "count", out: str = "pct_
     """Add each row's share of the column total. Used on small frequency
     tables only: the empty window runs in one task."""
     return counts.withColumn(out, F.round(F.col(count_col) / F.sum(count_col).over(Window.partitionBy()) * 100, 1))
+
+
+def distinct_counts(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
+    """One row: the distinct non-null values of each of ``columns`` (name -> expression), exact.
+
+    Several ``count(distinct)`` in one aggregate copy every row before the shuffle. Here the (column, value) pairs are
+    added up to distinct ones in the scan's tasks, and these are counted: what is shuffled is bounded by the values.
+    """
+    pairs = F.array(*[F.struct(F.lit(i).alias("i"), c.cast("string").alias("value")) for i, c in enumerate(columns.values())])
+    distinct = df.select(F.inline(pairs)).where("value is not null").groupBy("i", "value").agg(F.lit(1).alias("one"))
+    return distinct.agg(*[F.count_if(F.col("i") == i).alias(name) for i, name in enumerate(columns)])

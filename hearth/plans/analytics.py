@@ -15,6 +15,8 @@ age group feeds the same greedy cover as the SQL-checked estimate.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.ml.feature import StringIndexer
 from pyspark.ml.regression import RandomForestRegressionModel
 from pyspark.sql import DataFrame, SparkSession
@@ -22,7 +24,7 @@ from pyspark.sql import functions as F
 
 from ..functions import columns as C
 from ..functions import fixed
-from ..operators import ml
+from ..operators import ml, ward
 from ..operators.ranking import rank_desc
 from ..operators.stats import standardise
 from ..session import durable, scratch_path
@@ -73,20 +75,27 @@ def _with_vector(scored: DataFrame) -> DataFrame:
     return ml.assemble(scored, Z, "zf")
 
 
-def kmeans_sweep(spark, sf_dir) -> DataFrame:
+def sweep_table(spark, sf_dir) -> tuple[DataFrame, list[tuple]]:
+    """(areas x k with cluster, distance and silhouette, written once; the models' own (k, inertia))."""
     scored, _, _ = area_components(spark, sf_dir)
-    res = ml.kmeans_sweep(durable(_with_vector(scored)), "zf")
-    return spark.createDataFrame(res, ["k", "inertia", "silhouette"])
+    long, costs = ml.kmeans_assignments(scored, "borough", Z)
+    long = durable(long)   # silhouettes then read the clusters as stored
+    with_rows = [ml.silhouette_rows(long.where(F.col("k") == k), Z, "cluster") for k, _ in costs]   # six k's
+    return durable(reduce(DataFrame.unionByName, with_rows) if with_rows else long.withColumn("silhouette", F.lit(0.0))), costs
+
+
+def kmeans_sweep(spark, sf_dir) -> DataFrame:
+    """(k, inertia, silhouette) of the best of ten seeded models for each k (M6)."""
+    long, _ = sweep_table(spark, sf_dir)
+    return long.groupBy("k").agg(F.sum("distance").alias("inertia"), F.avg("silhouette").alias("silhouette"))
 
 
 def kmeans_tiers(spark, sf_dir, scored: DataFrame | None = None) -> DataFrame:
-    scored = scored if scored is not None else area_components(spark, sf_dir)[0]
-    feat = durable(_with_vector(scored))
-    model = ml.kmeans_best(feat, "zf", 4)
-    labelled = ml.relabel_by(model.transform(feat), "cluster", "pc1", "kmeans_tier_id")
+    scored = durable(scored if scored is not None else area_components(spark, sf_dir)[0])
+    labelled = ml.relabel_by(durable(ml.kmeans_best(scored, Z, 4)), "cluster", "pc1", "kmeans_tier_id")
     tiers = F.create_map(*[F.lit(x) for i, t in enumerate(TIER_LABELS) for x in (i, t)])
     labelled = labelled.withColumn("kmeans_tier", tiers[F.col("kmeans_tier_id")])
-    return ml.silhouette_rows(labelled, Z, "kmeans_tier_id").drop("zf")
+    return ml.silhouette_rows(labelled, Z, "kmeans_tier_id")
 
 
 def cluster_profile(spark, sf_dir) -> DataFrame:
@@ -109,6 +118,24 @@ def bisecting_tiers(spark, sf_dir, scored: DataFrame | None = None) -> DataFrame
     return out.select("borough", "priority_rank", "pc1", "hc_3", "hc_4")
 
 
+def ward_linkage(spark, sf_dir) -> DataFrame:
+    """Ward's merges of the areas (M10): step, the two clusters, height and size; areas are leaves in order of their features."""
+    _, _, made = ward.linkage(area_scaled(spark, sf_dir), Z)
+    return spark.createDataFrame([(i + 1, a, b, height, int(n)) for i, (a, b, height, n) in enumerate(made)],
+                                 "step int, one int, other int, height double, n_areas long")
+
+
+def ward_tiers(spark, sf_dir) -> DataFrame:
+    """Areas with their Ward clusters for 3 and 4 tiers, numbered by mean PC1, highest first."""
+    scored = durable(area_components(spark, sf_dir)[0])
+    found = ward.linkage(scored, Z)
+    out = scored
+    for k in (3, 4):
+        labelled = ward.with_clusters(scored.select("borough", "pc1", *Z), Z, k, "cluster", found)
+        out = out.join(ml.relabel_by(labelled, "cluster", "pc1", f"ward_{k}").select("borough", f"ward_{k}"), "borough")
+    return out.select("borough", "priority_rank", "pc1", "ward_3", "ward_4")
+
+
 def method_agreement(spark, sf_dir) -> DataFrame:
     """Side-by-side methods and top-group agreement."""
     scored = durable(area_components(spark, sf_dir)[0])

@@ -14,30 +14,27 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import scratch_path
-from ..sources import bronze
-from ..sources.readers import _fs, read_csv_named, read_csv_strings, read_csv_typed, validate_columns
+from ..sources import bronze, snapshots
+from ..sources.readers import read_csv_named, read_csv_strings, read_csv_typed, validate_columns
 from ..sources.sinks import materialise, write_small_csv, write_verified
 from . import gold, layers, retrofit
 from .layers import _fingerprint
 from .silver import CERT_REQUIRED, REC_REQUIRED, certificates_silver_from_raw, recommendations_from_raw
 
 
-def _bronze_csv(spark: SparkSession, sf_dir: str, name: str, raw: DataFrame) -> str:
-    """``raw`` as CSV files with a header, written once per input snapshot."""
-    path = scratch_path(spark, f"bronze/{_fingerprint(spark, sf_dir, 'csv')}/{name}")
-    fs, p = _fs(spark, path)
-    if not fs.exists(p.suffix("/_SUCCESS")):
-        raw.write.mode("overwrite").option("header", True).csv(path)
-    return path
+def bronze_csv(spark: SparkSession, sf_dir: str, name: str, raw: DataFrame) -> str:
+    """``raw`` as CSV files with a header, written once per input snapshot and published through a manifest."""
+    root = scratch_path(spark, f"bronze/{_fingerprint(spark, sf_dir, 'csv')}/{name}")
+    return snapshots.folder(spark, root, lambda path: raw.write.option("header", True).csv(path))
 
 
 def bronze_certificates_csv(spark: SparkSession, sf_dir: str) -> str:
-    return _bronze_csv(spark, sf_dir, "certificates", bronze.raw_certificates(spark, sf_dir))
+    return bronze_csv(spark, sf_dir, "certificates", bronze.raw_certificates(spark, sf_dir))
 
 
 def recommendations_from_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     """CSV scan (all strings) -> required-column check -> typed recommendations."""
-    path = _bronze_csv(spark, sf_dir, "recommendations", bronze.raw_recommendations(spark, sf_dir))
+    path = bronze_csv(spark, sf_dir, "recommendations", bronze.raw_recommendations(spark, sf_dir))
     raw = read_csv_strings(spark, path)
     validate_columns(raw.columns, REC_REQUIRED, "recommendations bronze")
     return recommendations_from_raw(raw)
@@ -47,7 +44,7 @@ def deprivation_from_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The wide deprivation CSV, its columns bound by name and typed as declared (S6), to one row per area."""
     raw = bronze.raw_deprivation(spark, sf_dir)
     wide = raw.select(F.lit("E01").alias("LSOA code (2011)"), *reversed(raw.columns), F.lit("10").alias("Total population"))
-    path = _bronze_csv(spark, sf_dir, "deprivation", wide)
+    path = bronze_csv(spark, sf_dir, "deprivation", wide)
     return gold.area_deprivation(read_csv_named(spark, path, bronze.imd_schema(), name="deprivation"))
 
 

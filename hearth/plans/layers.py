@@ -8,41 +8,46 @@ silver, not a replay of the ingest, and report plans stay small.
 
 Tables live under the shared folder named by ``spark.checkpoint.dir`` (see
 ``hearth.session``), keyed by a fingerprint of the input files (path, size,
-modification time), so a changed input is rebuilt, never served stale. A
-table is written to a fresh folder and then renamed into place, so readers
-never see a half-written table.
+modification time), so a changed input is rebuilt, never served stale. Versions
+are published through a manifest (``sources.snapshots``), so readers never see
+a half-written table, two writers at once give one table, and old versions go.
 """
 
 from __future__ import annotations
 
 import hashlib
-import uuid
+from importlib import resources
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import types as T
 
 from ..functions import columns as C
 from ..session import scratch_path
+from ..sources import snapshots
 from ..sources.readers import _fs
-from ..sources.sinks import write_parquet
 from ..sources.tables import DRIVER_TABLES
 
 CERT_PARTITION = "borough"
 LETTINGS_PARTITION = "year"
 
 
+#: Packages whose code the tables depend on.
+BUILT_BY = ("functions", "operators", "plans", "sources")
+
 # Extra salt for the fingerprint; a benchmark sets it to force a fresh build.
 RUN_TAG = ""
 
 
 def _code_version() -> str:
-    """Hash of this package's source: a code change never reuses tables built by older code."""
-    import pathlib
-    root = pathlib.Path(__file__).resolve().parents[1]
-    h = hashlib.sha1()
-    for f in sorted(root.rglob("*.py")):
-        h.update(f.relative_to(root).as_posix().encode())
-        h.update(f.read_bytes())
+    """Hash of the source of the packages that build these tables: a code change never reuses tables built by older code.
+
+    Read through the import system, so that it is the same from a folder and from a zip file.
+    """
+    h, package = hashlib.sha1(), __name__.split(".")[0]
+    for part in BUILT_BY:
+        for item in sorted(resources.files(f"{package}.{part}").iterdir(), key=lambda f: f.name):
+            if item.name.endswith(".py"):
+                h.update(f"{part}/{item.name}".encode())
+                h.update(item.read_bytes())
     return h.hexdigest()[:12]
 
 
@@ -74,32 +79,10 @@ def _fingerprint(spark: SparkSession, sf_dir: str, tag: str, tables=DRIVER_TABLE
 
 def materialise(spark: SparkSession, sf_dir: str, name: str, build, partition_by: str | None = None,
                 tag: str = "") -> DataFrame:
-    root = scratch_path(spark, f"silver/{_fingerprint(spark, sf_dir, f'{name}|{tag}', SOURCES.get(name, DRIVER_TABLES))}")
-    target = f"{root}/{name}"
-    fs, tpath = _fs(spark, target)
-    if not fs.exists(fs.makeQualified(tpath).suffix("/_SUCCESS")):
-        df: DataFrame = build()
-        staging = f"{root}/_staging-{name}-{uuid.uuid4().hex[:8]}"
-        write_parquet(df, staging, partition_by)
-        _, spath = _fs(spark, staging)
-        # A concurrent writer may have published first: keep its table, drop ours.
-        # (On stores where renaming onto an existing folder nests the source in it,
-        # the nested copy is removed as well.)
-        if fs.exists(tpath) or not fs.rename(spath, tpath):
-            fs.delete(spath, True)
-        nested = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(tpath, spath.getName())
-        if fs.exists(nested):
-            fs.delete(nested, True)
-    out = spark.read.parquet(target)
-    if partition_by:
-        # Discovery infers types from folder names ("007" -> 7); read again with the built type.
-        fields = [T.StructField(f.name, T.StringType() if PARTITION_TYPES[partition_by] == "string" else T.IntegerType())
-                  if f.name == partition_by else f for f in out.schema]
-        out = spark.read.schema(T.StructType(fields)).parquet(target)
-    return out
-
-
-PARTITION_TYPES = {CERT_PARTITION: "string", LETTINGS_PARTITION: "int"}
+    """The silver table ``name`` of the present input, behind a manifest: a changed input publishes a new version."""
+    where = hashlib.sha1(f"{sf_dir}|{tag}".encode()).hexdigest()[:16]
+    inputs = _fingerprint(spark, sf_dir, f"{name}|{tag}", SOURCES.get(name, DRIVER_TABLES))
+    return snapshots.table(spark, scratch_path(spark, f"silver/{where}/{name}"), build, inputs, partition_by)
 
 
 def certificates(spark: SparkSession, sf_dir: str, tag: str = "") -> DataFrame:

@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
 from ..functions import fixed
 from ..session import scratch_path
-from ..sources import bronze
-from ..sources.readers import _fs, column_or_null, first_present, list_files, read_drifting, require_rows
+from ..sources import bronze, snapshots
+from ..sources.readers import (column_availability, column_or_null, file_catalogue, file_path, first_present, header_catalogue, list_files,
+                               read_drifting, require_rows, rows_by_file)
 from ..sources.sinks import write_tab_files
 
 # Target column -> source header names (first present wins) and type.
@@ -36,16 +37,16 @@ def bronze_dir(spark: SparkSession, sf_dir: str) -> str:
 
 
 def write_lettings_bronze(spark: SparkSession, sf_dir: str) -> str:
-    """Write the lettings as tab files, one folder per header layout, once per input snapshot.
+    """Write the lettings as tab files, one file per header layout and year, once per input snapshot.
 
     This is the binding's stand-in for the shipped raw files: each event type
     gets its own header layout (renamed, missing, extra and reordered columns).
-    A marker written last tells later calls the file set is complete.
+    A writer works in a folder of its own; the first to finish publishes it in the manifest.
     """
-    out = bronze_dir(spark, sf_dir)
-    fs, done = _fs(spark, f"{out}/_COMPLETE")
-    if fs.exists(done):
-        return out
+    return snapshots.folder(spark, bronze_dir(spark, sf_dir), lambda out: _write_layouts(spark, sf_dir, out))
+
+
+def _write_layouts(spark: SparkSession, sf_dir: str, out: str) -> None:
     raw = bronze.raw_lettings(spark, sf_dir)
     renamed = {"BED_MINUS_BEDSTANDARD2": "BED_MINUS_BEDSTANDARD",
                "WTSHORTFALL_Bands": "WTSHORTFALLHB_Bands"}
@@ -54,13 +55,11 @@ def write_lettings_bronze(spark: SparkSession, sf_dir: str) -> str:
         own = F.col("variant") == variant
         if variant == bronze.DEFAULT_VARIANT:   # also holds event types that have no layout of their own
             own = F.col("variant").isNull() | ~F.col("variant").isin(*(set(bronze.LETTINGS_VARIANTS) - {variant}))
-        write_tab_files(raw.filter(own).select(*cols), f"{out}/{variant}")
-    fs.create(done, True).close()
-    return out
+        write_tab_files(raw.filter(own).select(*cols, F.col("YEAR").alias("of_year")), f"{out}/{variant}", "of_year")
 
 
-def standardise_lettings(df: DataFrame, present: set[str]) -> DataFrame:
-    """One header layout -> the standard lettings columns, London rows only."""
+def standardise_lettings(df: DataFrame, present: set[str], *extra: Column) -> DataFrame:
+    """One header layout -> the standard lettings columns and ``extra``, London rows only."""
     gov = F.trim(F.col("GOVREG"))
     cols = [column_or_null(present, "YEAR", "int", C.safe_int).alias("year"),
             gov.alias("region_code_raw")]
@@ -68,6 +67,7 @@ def standardise_lettings(df: DataFrame, present: set[str]) -> DataFrame:
         name = first_present(present, *names)
         conv = C.safe_int if dtype == "int" else F.trim
         cols.append(column_or_null(present, name, dtype, conv).alias(target))
+    cols += extra
     return df.filter(gov.isin(*fixed.LETTINGS_REGION_CODES)).select(*cols)
 
 
@@ -119,12 +119,39 @@ def lettings_sanity(silver: DataFrame) -> DataFrame:
     )
 
 
+def _shipped(file: str | Column) -> Column:
+    """A file's name as shipped, layout/year, out of its path."""
+    return F.regexp_replace(F.regexp_extract(file, r"/([^/]+/of_year=[^/]+)/[^/]+$", 1), "of_year=", "")
+
+
+def _with_files(spark: SparkSession, sf_dir: str) -> tuple[list[str], DataFrame]:
+    """The shipped files, and the in-scope rows with the ``file`` that each comes from."""
+    files = list_files(spark, write_lettings_bronze(spark, sf_dir), ".csv")
+    return files, read_drifting(spark, files, "\t", lambda df, present: standardise_lettings(df, present, file_path().alias("file")))
+
+
 def rows_by_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     """In-scope rows per source folder and in total (A32) from one scan, via the file name."""
-    root = write_lettings_bronze(spark, sf_dir)
-    files = list_files(spark, root, ".csv")
-    silver = read_drifting(spark, files, "\t",
-                           lambda df, present: standardise_lettings(df, present)
-                           .withColumn("source", F.regexp_extract(F.input_file_name(), r"/([^/]+)/[^/]+$", 1)))
-    return silver.rollup("source").agg(F.count(F.lit(1)).alias("rows_in_scope")).withColumn(
+    rows = _with_files(spark, sf_dir)[1].withColumn("source", F.regexp_extract("file", r"/([^/]+)/of_year=[^/]+/[^/]+$", 1))
+    return rows.rollup("source").agg(F.count(F.lit(1)).alias("rows_in_scope")).withColumn(
         "source", F.coalesce("source", F.lit("total")))
+
+
+def rows_in_scope_by_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """In-scope rows of every shipped file, those without any included, and the total."""
+    files, rows = _with_files(spark, sf_dir)
+    counted = rows_by_file(file_catalogue(spark, files), rows).withColumn("file", _shipped("file"))
+    return counted.rollup("file").agg(F.sum("rows").alias("rows_in_scope")).withColumn("file", F.coalesce("file", F.lit("total")))
+
+
+def headers_by_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The header catalogue: every shipped file's columns with their positions."""
+    files = list_files(spark, write_lettings_bronze(spark, sf_dir), ".csv")
+    return header_catalogue(spark, files, "\t").select(_shipped("file").alias("file"), "position", "column_name")
+
+
+def columns_by_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Column-by-folder availability matrix."""
+    files = list_files(spark, write_lettings_bronze(spark, sf_dir), ".csv")
+    return column_availability(header_catalogue(spark, files, "\t"), F.split_part(_shipped("file"), F.lit("/"), F.lit(1)),
+                               sorted(bronze.LETTINGS_VARIANTS))

@@ -6,7 +6,10 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..operators import ml
+from ..session import durable
 from . import analytics as AN
+from . import layers, reach
 
 
 def component_check(spark, sf_dir) -> DataFrame:
@@ -58,3 +61,174 @@ def split_check(spark, sf_dir) -> DataFrame:
     n, mean = train.agg(F.count(F.lit(1)), F.avg("uplift")).first()
     return test.agg(F.lit(n).cast("long").alias("n_train"), F.count(F.lit(1)).alias("n_test"),
                     F.round(F.avg(F.abs(F.col("uplift") - F.lit(mean))), 6).alias("baseline_mae"))
+
+
+def sweep_check(spark, sf_dir) -> DataFrame:
+    """Per k: areas, clusters in use, and faults of the sweep, recounted in SQL from the stored assignments.
+
+    Faults: an inertia or silhouette that is not the recount of the members' means; an area nearer to another mean.
+    """
+    long, costs = AN.sweep_table(spark, sf_dir)
+    told = spark.createDataFrame(costs, "k int, inertia double")
+    views = {"assigned": long, "told": told, "swept": AN.kmeans_sweep(spark, sf_dir)}
+    z = AN.Z
+    off = " + ".join(f"pow(a.{c} - m.{c}, 2)" for c in z)
+    return spark.sql(f"""
+        WITH a AS (SELECT * FROM {{assigned}}),
+        m AS (SELECT k, cluster, {", ".join(f"avg({c}) AS {c}" for c in z)} FROM a GROUP BY k, cluster),
+        every AS (SELECT a.k, a.borough, a.cluster, m.cluster AS other, {off} AS d FROM a JOIN m ON a.k = m.k),
+        near AS (SELECT k, borough, min(CASE WHEN other = cluster THEN d END) AS own, min(d) AS least FROM every GROUP BY k, borough),
+        recount AS (SELECT k, sum(own) AS inertia, count_if(own > least + 1e-9) AS nearer, count(*) AS n FROM near GROUP BY k),
+        used AS (SELECT k, count(DISTINCT cluster) AS clusters FROM a GROUP BY k)
+        SELECT r.k, r.n AS n_areas, u.clusters AS n_clusters, r.nearer AS n_not_nearest,
+               CAST(abs(r.inertia - t.inertia) > 1e-6 AS BIGINT) + CAST(abs(r.inertia - s.inertia) > 1e-6 AS BIGINT) AS n_wrong_inertia
+        FROM recount r JOIN used u ON r.k = u.k JOIN {{told}} t ON r.k = t.k JOIN {{swept}} s ON r.k = s.k""", **views)
+
+
+def ward_check(spark, sf_dir) -> DataFrame:
+    """Areas and merges; heights that fall; the spread that the heights add up to; tiers that the merges don't give; areas apart from them.
+
+    Half a squared height is what a merge adds to the squares within clusters, so that all of them make up the whole.
+    Undoing the last three merges leaves four clusters, of which the three-tier cut joins two.
+    """
+    steps = AN.ward_linkage(spark, sf_dir)
+    falls = steps.withColumn("before", F.lag("height").over(Window.orderBy("step")))   # a row per area
+    sums = falls.agg(F.count(F.lit(1)).alias("n_merges"), F.count_if(F.col("height") < F.col("before") - 1e-9).alias("n_falling"),
+                     F.round(F.sum(F.col("height") * F.col("height")) / 2, 6).alias("spread"))
+    tiers = AN.ward_tiers(spark, sf_dir)
+    sizes = tiers.agg(F.count(F.lit(1)).alias("n_areas"), F.count_distinct("ward_3").alias("tiers_3"), F.count_distinct("ward_4").alias("tiers_4"),
+                      F.count_distinct("ward_3", "ward_4").alias("nested"))
+    both = sums.unionByName(sizes, allowMissingColumns=True)
+    return both.agg(*[F.max(c).alias(c) for c in both.columns])
+
+
+def forest_check(spark, sf_dir) -> DataFrame:
+    """Trees; rows put in no leaf or in several; nodes whose rows or means are not those of their children; leaves below the
+    least size; nodes beyond the depth; leaves whose members' predictions, averaged over trees, are not the forest's (M15).
+
+    The table of memberships (row, tree, leaf) is written by a walk of every property through the stored nodes, and all
+    faults are counted from it and from the nodes in SQL.
+    """
+    model, data, feats, _, _, path = AN.trained_forest(spark, sf_dir)
+    nodes = spark.read.parquet(f"{path}/data").select("treeID", "nodeData.*").select(
+        F.col("treeID").alias("tree"), F.col("id"), F.col("prediction"), F.col("leftChild").alias("l"), F.col("rightChild").alias("r"),
+        F.col("impurityStats")[0].alias("n"), F.col("impurityStats")[1].alias("total"))
+    members = durable(ml.leaf_members(data, feats, "certificate_id", ml._pack(ml.forest_nodes(model, spark, path)), spark))
+    own = model.transform(data).select("certificate_id", F.col("prediction").alias("own"))
+    return spark.sql("""
+        WITH nodes AS (SELECT * FROM {nodes}), members AS (SELECT * FROM {members}),
+        child AS (SELECT p.tree, p.id, any_value(p.n) AS n, any_value(p.total) AS total, sum(c.n) AS child_n, sum(c.total) AS child_total,
+                         any_value(p.prediction) AS mean
+                  FROM nodes p JOIN nodes c ON p.tree = c.tree AND (c.id = p.l OR c.id = p.r) GROUP BY p.tree, p.id),
+        leaf AS (SELECT m.certificate_id, m.tree, count(n.id) AS leaves, avg(n.prediction) AS prediction, max(m.depth) AS depth
+                 FROM members m LEFT JOIN nodes n ON m.tree = n.tree AND m.node = n.id AND n.l < 0 GROUP BY m.certificate_id, m.tree),
+        voted AS (SELECT certificate_id, avg(prediction) AS prediction, count_if(leaves <> 1) AS lost, max(depth) AS depth FROM leaf GROUP BY certificate_id)
+        SELECT (SELECT count(DISTINCT tree) FROM nodes) AS n_trees,
+               (SELECT count(*) FROM {own}) AS n_rows,
+               (SELECT count(*) FROM voted WHERE lost > 0) AS n_lost_rows,
+               (SELECT count(*) FROM child WHERE abs(n - child_n) > 1e-6 OR abs(total - child_total) > 1e-6 * (1 + abs(total))
+                                              OR abs(mean - total / n) > 1e-6 * (1 + abs(mean))) AS n_wrong_nodes,
+               (SELECT count(*) FROM nodes WHERE l < 0 AND n < 15) AS n_small_leaves,
+               (SELECT count(*) FROM voted WHERE depth > 12) AS n_too_deep,
+               (SELECT count(*) FROM voted v JOIN {own} o ON v.certificate_id = o.certificate_id WHERE abs(v.prediction - o.own) > 1e-6) AS n_other_prediction
+        """, nodes=nodes, members=members, own=own)
+
+
+def metrics_check(spark, sf_dir) -> DataFrame:
+    """Rows of the test fold, and which of the reported metrics differ from a recount in SQL over stored predictions."""
+    model, data, *_ = AN.trained_forest(spark, sf_dir)
+    train, test = AN.split(data)
+    stored = durable(model.transform(test).select("uplift", "prediction"))
+    return spark.sql("""
+        WITH e AS (SELECT CAST(uplift AS DOUBLE) AS y, prediction - uplift AS e FROM {stored}),
+        own AS (SELECT count(*) AS n_test, avg(abs(e)) AS mae, 1 - sum(e * e) / sum(pow(y - (SELECT avg(y) FROM e), 2)) AS r2,
+                       round(100 * avg(CASE WHEN abs(e) <= 5 THEN 1 ELSE 0 END), 1) AS within,
+                       avg(abs(y - (SELECT avg(uplift) FROM {train}))) AS baseline FROM e)
+        SELECT o.n_test, CAST(abs(o.mae - m.mae) > 1e-6 AS BIGINT) AS wrong_mae, CAST(abs(o.r2 - m.r2) > 1e-6 AS BIGINT) AS wrong_r2,
+               CAST(abs(o.within - m.pct_within_5) > 0.051 AS BIGINT) AS wrong_within, CAST(abs(o.baseline - m.baseline_mae) > 1e-6 AS BIGINT) AS wrong_baseline,
+               CAST(o.mae >= o.baseline AS BIGINT) AS worse_than_mean
+        FROM own o JOIN {metrics} m ON o.n_test = m.n_test""", stored=stored, train=train, metrics=AN.uplift_model_metrics(spark, sf_dir))
+
+
+def model_tables_check(spark, sf_dir) -> DataFrame:
+    """Types of the model's attribution, its cells that a recount in SQL over the stored contributions doesn't give, and areas
+    whose greedy summary by the model is not the one recounted from rows put in order by a plain window (A40, M18, M19)."""
+    model, data, feats, rec_cols, types, _ = AN.trained_forest(spark, sf_dir)
+    stored = durable(AN.path_attribution(spark, sf_dir))
+    long = durable(AN.model_attribution_long(spark, sf_dir))
+    recs, silver = layers.retrofit_base(spark, sf_dir), layers.certificates(spark, sf_dir)
+    each = ", ".join(f"named_struct('improvement_type', {_sql_text(t)}, 'present', {c}, 'points', c_{c})" for t, c in zip(types, rec_cols, strict=True))
+    cells = spark.sql(f"""
+        WITH e AS (SELECT age_group, inline(array({each})) FROM {{stored}}),
+        per_age AS (SELECT improvement_type, age_group, avg(points) AS points FROM e WHERE present = 1 GROUP BY improvement_type, age_group),
+        per_type AS (SELECT improvement_type, avg(points) AS points, count(*) AS n FROM e WHERE present = 1 GROUP BY improvement_type HAVING count(*) >= 30)
+        SELECT a.improvement_type, a.age_group, a.points, t.points AS every, t.n
+        FROM per_age a JOIN per_type t ON a.improvement_type = t.improvement_type""", stored=stored)
+    wrong = spark.sql("""
+        SELECT count_if(r.n IS NULL OR l.n_present IS NULL OR r.n <> l.n_present OR abs(r.points - l.avg_pts) > 0.0051
+                        OR abs(r.every - l.overall_avg_pts) > 0.0051) AS n_wrong_cells,
+               count(DISTINCT l.improvement_type) AS n_types
+        FROM {cells} r FULL JOIN {long} l ON r.improvement_type = l.improvement_type AND r.age_group <=> l.age_group""", cells=cells, long=long)
+    candidates = reach.greedy_candidates(recs, long)
+    order = "cost_per_pt, " + ", ".join(f"{c} ASC NULLS LAST" for c in ("improvement_type", "priority", "cost_low", "cost_high"))
+    chosen = spark.sql(f"""
+        WITH r AS (SELECT *, row_number() OVER (PARTITION BY certificate_id ORDER BY {order}) AS at FROM {{candidates}}),
+        s AS (SELECT *, sum(est_c) OVER (PARTITION BY certificate_id ORDER BY at) AS upto FROM r),
+        f AS (SELECT certificate_id, min(CASE WHEN upto >= gap * 100 THEN at END) AS last FROM s GROUP BY certificate_id)
+        SELECT s.certificate_id, coalesce(sum(cost_mid), 0) AS cost_mid, count(*) AS n FROM s JOIN f ON s.certificate_id = f.certificate_id
+        WHERE at <= last GROUP BY s.certificate_id""", candidates=candidates)
+    cover = reach.greedy_cover(reach.greedy_results(reach.greedy_rows(recs, long)))
+    covers = spark.sql("""
+        SELECT count_if(c.n IS NULL OR g.n_recs_needed IS NULL OR c.n <> g.n_recs_needed OR abs(c.cost_mid - g.greedy_cost_mid) > 1e-6) AS n_wrong_covers
+        FROM {chosen} c FULL JOIN {cover} g ON c.certificate_id = g.certificate_id""", chosen=chosen, cover=cover)
+    areas = AN.greedy_model_summary(spark, sf_dir).agg(F.count(F.lit(1)).alias("n_areas"), F.sum("below_c").alias("n_below"))
+    both = wrong.unionByName(covers, allowMissingColumns=True).unionByName(areas, allowMissingColumns=True)
+    return both.agg(*[F.max(c).alias(c) for c in both.columns])
+
+
+def _sql_text(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def agreement_check(spark, sf_dir) -> DataFrame:
+    """Areas; flags, agreements, profiles, silhouettes and row order that a recount over the stored scores and tiers doesn't give
+    (M5, M8, M9, M11, U4, O4)."""
+    agreed = durable(AN.method_agreement(spark, sf_dir))
+    tiers = durable(AN.kmeans_tiers(spark, sf_dir))
+    profile, shifts = AN.cluster_profile(spark, sf_dir), AN.pca_rank(spark, sf_dir)
+    scored, loadings, _ = AN.area_components(spark, sf_dir)
+    top = scored.where("priority_rank = 1").agg(F.min("pc1")).first()[0]
+    signs = sum(row[i + 1] < 0 for i in (1, 2) for row in [max(loadings, key=lambda r: abs(r[i + 1]))]) + int(top is not None and top < 0)
+    off = lambda a, b: " + ".join(f"pow({a}.{z} - {b}.{z}, 2)" for z in AN.Z)
+    means = ", ".join(f"avg({z}) AS {z}" for z in AN.Z)
+    ordered = shifts.select(F.abs("rank_shift").alias("s"), F.col("borough").alias("b"), F.monotonically_increasing_id().alias("at"))
+    return spark.sql(f"""
+        WITH t AS (SELECT * FROM {{tiers}}), g AS (SELECT * FROM {{agreed}}), p AS (SELECT * FROM {{profile}}),
+        c AS (SELECT 4 AS k, kmeans_tier_id, count(*) AS n, {means} FROM t GROUP BY kmeans_tier_id),
+        v AS (SELECT c.kmeans_tier_id, avg({off('t', 'c')}) AS spread FROM t JOIN c ON t.kmeans_tier_id = c.kmeans_tier_id GROUP BY c.kmeans_tier_id),
+        d AS (SELECT x.borough, x.kmeans_tier_id AS own, c.kmeans_tier_id AS other, c.n, c.n * ({off('x', 'c')} + v.spread) AS total
+              FROM (SELECT *, 4 AS k FROM t) x JOIN c ON x.k = c.k JOIN v ON c.kmeans_tier_id = v.kmeans_tier_id),
+        m AS (SELECT borough, max(CASE WHEN own = other AND n > 1 THEN total / (n - 1) END) AS a, min(CASE WHEN own <> other THEN total / n END) AS b
+              FROM d GROUP BY borough),
+        s AS (SELECT borough, CASE WHEN a IS NULL OR b IS NULL THEN 0 ELSE (b - a) / greatest(a, b) END AS silhouette FROM m),
+        r AS (SELECT kmeans_tier_id, count(*) AS members, round(avg(pct_below_epc_c), 4) AS x, round(avg(pct_solid_wall), 4) AS y FROM t GROUP BY kmeans_tier_id),
+        o AS (SELECT s, b, lag(s) OVER (ORDER BY at) AS before, lag(b) OVER (ORDER BY at) AS name FROM {{ordered}})
+        SELECT (SELECT count(*) FROM t) AS n_areas,
+               (SELECT count(*) FROM g WHERE top5_original <> (priority_rank <= 5) OR top5_pca <> (pca_rank <= 5) OR top_kmeans <> (kmeans_tier_id = 0)
+                  OR top_hc <> (hc_cluster = 0) OR agreed_all <> (priority_rank <= 5 AND pca_rank <= 5 AND kmeans_tier_id = 0 AND hc_cluster = 0)) AS n_wrong_flags,
+               (SELECT count(*) FROM t JOIN s ON t.borough = s.borough WHERE abs(t.silhouette - s.silhouette) > 1e-6) AS n_wrong_silhouettes,
+               (SELECT count(*) FROM p JOIN r ON p.kmeans_tier_id = r.kmeans_tier_id
+                 WHERE p.members <> r.members OR size(p.areas) <> r.members OR abs(p.avg_pct_below_epc_c - r.x) > 1e-4 OR abs(p.avg_pct_solid_wall - r.y) > 1e-4) AS n_wrong_profiles,
+               (SELECT count(*) FROM o WHERE before < s OR (before = s AND name > b)) AS n_out_of_order,
+               CAST({int(signs)} AS BIGINT) AS n_wrong_signs""",
+        tiers=tiers, agreed=agreed, profile=profile, ordered=ordered)
+
+
+def hot_fill_check(spark, sf_dir) -> DataFrame:
+    """Properties, frequent types, and the ones, zeros and nulls of the multi-hot columns after the fill."""
+    table, _, rec_cols, _ = AN.ml_table(spark, sf_dir)
+    cells = [F.sum(F.col(c).cast("long")) for c in rec_cols]
+    return table.agg(F.count(F.lit(1)).alias("n_rows"), F.lit(len(rec_cols)).cast("long").alias("n_types"),
+                     sum(cells[1:], cells[0]).alias("n_ones") if cells else F.lit(0).cast("long").alias("n_ones"),
+                     sum((F.count_if(F.col(c) == 0) for c in rec_cols), F.lit(0)).alias("n_zeros"),
+                     sum((F.count_if(F.col(c).isNull()) for c in rec_cols), F.lit(0)).alias("n_nulls"))

@@ -101,7 +101,6 @@ register("top5_types_per_area")(_rolled_with_areas(R.top5_types_per_area))
 
 # ---------------------------------------------------------------- lettings
 from . import lettings as L  # noqa: E402
-from ..sources.readers import column_availability, list_files  # noqa: E402
 
 LETTINGS_OUT = ["year", "let_type", "tenancy_type", "household_size", "bedroom_standard", "bedrooms_vs_need",
                 "previous_tenure", "reason_for_letting", "weekly_income_band", "weekly_rent_band",
@@ -129,11 +128,9 @@ def q_rows_by_source(spark, sf_dir):
     return L.rows_by_source(spark, sf_dir)
 
 
-@register("column_availability")
-def q_column_availability(spark, sf_dir):
-    root = L.write_lettings_bronze(spark, sf_dir)
-    files = list_files(spark, root, ".csv")
-    return column_availability(spark, files, "\t", lambda p: p.rsplit("/", 2)[-2])
+register("column_availability")(L.columns_by_source)
+register("headers_by_file")(L.headers_by_file)
+register("rows_in_scope_by_file")(L.rows_in_scope_by_file)
 
 
 @register("band_midpoint_table")
@@ -263,14 +260,14 @@ def q_carbon_summary(spark, sf_dir):
 def q_scope_share(spark, sf_dir):
     raw = bronze.raw_certificates(spark, sf_dir)
     scope = C.tenure_in_scope(F.trim("tenure")) & (F.trim("region") == fixed.TARGET_REGION)
-    return raw.agg(
+    rows = raw.agg(
         F.count(F.lit(1)).alias("all_rows"),
         F.count_if(scope).alias("in_scope_rows"),
-        F.round(F.try_divide(F.count_if(scope), F.count(F.lit(1))) * 100, 1).alias("pct_in_scope"),
-        F.count_distinct(F.when(scope, F.trim("uprn"))).alias("distinct_uprn"),
-        F.count_distinct(F.when(scope, F.trim("local_authority_label"))).alias("areas"),
-        F.count_distinct(F.when(scope, F.trim("property_type"))).alias("property_types"),
-    )
+        F.round(F.try_divide(F.count_if(scope), F.count(F.lit(1))) * 100, 1).alias("pct_in_scope"))
+    values = P.distinct_counts(raw.where(scope), {"distinct_uprn": F.trim("uprn"), "areas": F.trim("local_authority_label"),
+                                                  "property_types": F.trim("property_type")})
+    both = rows.unionByName(values, allowMissingColumns=True)   # one row each
+    return both.agg(*[F.max(c).alias(c) for c in both.columns])
 
 
 # ---------------------------------------------------------------- reachability and greedy cover
@@ -350,14 +347,15 @@ register("quality_report")(quality_report)
 from . import analytics as AN  # noqa: E402
 
 for _name in ("corr_matrix", "regression_line", "standardised", "pca_rank", "pca_components", "kmeans_sweep",
-              "kmeans_tiers", "cluster_profile", "bisecting_tiers", "method_agreement", "uplift_model_metrics",
+              "kmeans_tiers", "cluster_profile", "bisecting_tiers", "ward_linkage", "ward_tiers", "method_agreement", "uplift_model_metrics",
               "path_attribution", "attribution_check", "attribution_by_age_model", "greedy_model_summary"):
     register(_name)(getattr(AN, _name))
 
 
 from . import model_checks as MC  # noqa: E402
 
-for _name in ("component_check", "tier_check", "ordinal_codes", "split_check"):
+for _name in ("component_check", "tier_check", "sweep_check", "ward_check", "ordinal_codes", "split_check", "forest_check",
+              "metrics_check", "model_tables_check", "agreement_check", "hot_fill_check"):
     register(_name)(getattr(MC, _name))
 
 
@@ -394,6 +392,11 @@ register("deprivation_from_csv")(IG.deprivation_from_csv)
 register("export_roundtrip")(IG.export_roundtrip)
 register("retrofit_costs_sql")(IG.retrofit_costs_sql)
 
+from . import marts as MT  # noqa: E402
+
+register("retrofit_costs_from_views")(MT.retrofit_costs_from_views)
+register("retrofit_costs_catalog")(MT.retrofit_costs_catalog)
+
 
 # ---------------------------------------------------------------- region lookup, semi-join scope, recent periods
 @register("region_counts")

@@ -2,20 +2,21 @@
 
 Drifting file sets (many files, several header layouts, columns at different
 positions) cannot be read with one glob: Spark would bind columns by the
-first file's header. Instead the files are grouped by header signature —
-the first line of each file, read through the Hadoop FileSystem API so it
-works on any shared store — and each group is read by one scan with an
-explicit all-string schema (no inference pass). Groups are aligned by
-column *name* and unioned. There is one Spark scan per header layout, not
-one job per file, and no per-file ``head``/``count`` probes.
+first file's header. Instead a Spark job reads the first line of each file,
+which gives a catalogue of headers (file, position, column); layouts and the
+availability matrix are queries on it. Each layout is read by one scan with an
+explicit all-string schema (no inference pass), aligned by column *name* and
+unioned. There is one Spark scan per header layout, not one job per file, and
+no per-file ``head``/``count`` probes.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterable
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -96,35 +97,56 @@ def list_files(spark: SparkSession, pattern: str, suffix: str = "") -> list[str]
     return sorted(out)
 
 
-def read_header(spark: SparkSession, path: str, sep: str) -> tuple[str, ...]:
-    """First line of one file, split on ``sep`` (a few bytes read on the driver)."""
-    fs, hpath = _fs(spark, path)
-    jvm = spark.sparkContext._jvm
-    stream = fs.open(hpath)
-    try:
-        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
-        line = reader.readLine() or ""
-    finally:
-        stream.close()
-    return tuple(c.strip().strip('"') for c in line.rstrip("\r").split(sep))
+def file_path() -> Column:
+    """The file that a row is read from, as ``list_files`` names it (the metadata column is percent-encoded)."""
+    return F.regexp_replace(F.url_decode(F.regexp_replace("_metadata.file_path", r"\+", "%2B")), "^file:/+", "file:/")
+
+
+def file_catalogue(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """``(file)``: every file listed, also empty ones, which a scan would not show."""
+    return spark.createDataFrame([(re.sub("^file:/+", "file:/", p),) for p in paths], "file string")
+
+
+def header_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """``(file, header)``: the first line of every file that has one, found by Spark tasks.
+
+    Rows of a file's first block are numbered as they are read; the least number of each file is found by a hash
+    aggregate on numbers alone, and only those lines are kept. No file is opened on the driver.
+    """
+    lines = (spark.read.text(paths)
+             .select("value", file_path().alias("file"), F.col("_metadata.file_block_start").alias("block"),
+                     F.monotonically_increasing_id().alias("at")).where("block = 0"))
+    first = lines.groupBy("file").agg(F.min("at").alias("at")).select("at")
+    text = F.regexp_replace("value", r"^\uFEFF|\r$", "")
+    return lines.join(first, "at", "left_semi").select("file", text.alias("header"))
 
 
-def header_signatures(spark: SparkSession, paths: list[str], sep: str) -> dict[tuple[str, ...], list[str]]:
-    groups: dict[tuple[str, ...], list[str]] = {}
-    for p in paths:
-        groups.setdefault(read_header(spark, p, sep), []).append(p)
-    return groups
+def _names(header: str | Column, sep: str) -> Column:
+    """The column names of a header line."""
+    return F.transform(F.split(header, re.escape(sep)), lambda c: F.trim(F.regexp_replace(c, r'^\s*"+|"+\s*$', "")))
+
+
+def header_catalogue(spark: SparkSession, paths: list[str], sep: str) -> DataFrame:
+    """``(file, position, column_name)`` of every file of a drifting set (S4, S12); files without a header have no row."""
+    heads = header_lines(spark, paths).where(F.col("header") != "")
+    return heads.select("file", F.posexplode(_names("header", sep)).alias("position", "column_name"))
+
+
+def header_layouts(spark: SparkSession, paths: list[str], sep: str) -> dict[tuple[str, ...], list[str]]:
+    """The files of each layout. The driver gets a row per layout: names of columns, and of files as it has listed them."""
+    rows = (header_lines(spark, paths).where(F.col("header") != "").groupBy(_names("header", sep).alias("names"))
+            .agg(F.collect_list("file").alias("files")).collect())
+    return {tuple(r["names"]): sorted(r["files"]) for r in rows}
 
 
 def read_drifting(spark: SparkSession, paths: list[str], sep: str,
                   standardise: Callable[[DataFrame, set[str]], DataFrame]) -> DataFrame:
-    """Read a drifting file set: one scan per header layout, aligned by name, unioned.
+    """Read a drifting file set: one scan per header layout, aligned by name, unioned (S4, U1); files without a line have no rows.
 
     ``standardise(df, present_columns)`` maps one layout onto the target
     schema (typed NULLs for absent columns, first-present alternate names).
     """
-    # A file whose first line is empty (an empty part file) carries no rows.
-    groups = {h: f for h, f in header_signatures(spark, paths, sep).items() if h != ("",)}
+    groups = header_layouts(spark, paths, sep) if paths else {}
     if not groups:
         raise ValueError("no input files")
     frames = [standardise(read_csv_strings(spark, files, sep, list(header)), set(header))
@@ -145,17 +167,13 @@ def column_or_null(present: set[str], name: str | None, dtype: str = "string", e
     return expr(c) if expr is not None else c
 
 
-def column_availability(spark: SparkSession, paths: list[str], sep: str,
-                        group_of: Callable[[str], str] | None = None) -> DataFrame:
-    """Column-by-file availability matrix.
+def column_availability(catalogue: DataFrame, group: Column, groups: list[str]) -> DataFrame:
+    """Column-by-group matrix of 1 and 0 out of ``header_catalogue`` (S12), for a known, short list of groups."""
+    pairs = catalogue.select(group.alias("source"), "column_name").distinct()
+    return pairs.groupBy("column_name").pivot("source", groups).agg(F.count(F.lit(1))).na.fill(0, subset=groups)
 
-    Headers are read once per file; the (group, column) pairs form a small
-    DataFrame (bounded by files x columns) pivoted by Spark.
-    """
-    group_of = group_of or (lambda p: p.rsplit("/", 1)[-1])
-    pairs = sorted({(group_of(p), c) for p in paths for c in read_header(spark, p, sep)})
-    df = spark.createDataFrame(pairs, "source string, column_name string")
-    sources = sorted({s for s, _ in pairs})
-    return (df.groupBy("column_name").pivot("source", sources)
-            .agg(F.count(F.lit(1)))
-            .na.fill(0, subset=sources))
+
+def rows_by_file(files: DataFrame, rows: DataFrame) -> DataFrame:
+    """``(file, rows)`` of every file of ``file_catalogue``, zero where ``rows``, which carry their ``file``, has none."""
+    counts = rows.groupBy("file").agg(F.count(F.lit(1)).alias("rows"))
+    return files.select("file").join(counts, "file", "left").na.fill(0, subset=["rows"])

@@ -28,9 +28,12 @@ def write_small_csv(df: DataFrame, path: str) -> None:
     df.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
 
 
-def write_tab_files(df: DataFrame, path: str) -> None:
-    """Tab-separated text with a header, as the raw lettings files are shipped."""
-    df.write.mode("overwrite").option("header", True).option("sep", "\t").csv(path)
+def write_tab_files(df: DataFrame, path: str, file_by: str | None = None) -> None:
+    """Tab-separated text with a header, as the raw lettings files are shipped: a file for each value of ``file_by``, if given."""
+    if file_by:
+        df.repartition(file_by).write.mode("overwrite").partitionBy(file_by).option("header", True).option("sep", "\t").csv(path)
+    else:
+        df.write.mode("overwrite").option("header", True).option("sep", "\t").csv(path)
 
 
 def materialise(df: DataFrame, name: str, as_table: bool = False) -> DataFrame:

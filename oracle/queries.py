@@ -254,6 +254,28 @@ oracle("column_availability", f"""
 SELECT column_name, {", ".join(f"CAST(count(*) FILTER (WHERE source = {q(v)}) AS BIGINT) AS {v}" for v in _variants)}
 FROM present GROUP BY column_name""")
 
+oracle("rows_in_scope_by_file", """
+, shipped AS (SELECT DISTINCT variant || '/' || YEAR AS file FROM raw_lettings)
+, scoped AS (SELECT variant || '/' || year AS file, count(*) AS n FROM let_std GROUP BY 1)
+SELECT s.file, CAST(coalesce(n, 0) AS BIGINT) AS rows_in_scope FROM shipped s LEFT JOIN scoped c ON s.file = c.file
+UNION ALL SELECT 'total', count(*) FROM let_std""")
+
+# the header of each layout, written out
+_main = ["GOVREG", "YEAR", "LETTYPE", "TENANCY", "HHMEMBT", "BEDST", "BED_MINUS_BEDSTANDARD", "PREVTEN_R", "REASON_R", "WEEKINC_T_Bands",
+         "WRENT_Bands", "WTSHORTFALLHB_Bands", "ETHNIC_Bands", "TENANCYLENGTH_Bands", "econstat_imputed_R"]
+_headers = {
+    "purchase": _main, "error": _main,
+    "view": ["GOVREG", "YEAR", "LETTYPE", "TENANCY", "HHMEMBT", "BEDST", "BED_MINUS_BEDSTANDARD2", "PREVTEN_R", "REASON_R", "WEEKINC_T_Bands",
+             "WRENT_Bands", "WTSHORTFALL_Bands", "ETHNIC_Bands", "TENANCYLENGTH_Bands", "econstat_imputed_R"],
+    "click": ["GOVREG", "YEAR", "LETTYPE", "TENANCY", "HHMEMBT", "BEDST", "PREVTEN_R", "REASON_R", "WEEKINC_T_Bands", "WRENT_Bands",
+              "WTSHORTFALLHB_Bands", "ETHNIC_Bands"],
+    "signup": ["SEX1", "YEAR", "AGE1", "econstat_imputed_R", "TENANCYLENGTH_Bands", "ETHNIC_Bands", "WTSHORTFALLHB_Bands", "WRENT_Bands",
+               "WEEKINC_T_Bands", "REASON_R", "PREVTEN_R", "BED_MINUS_BEDSTANDARD", "BEDST", "HHMEMBT", "TENANCY", "LETTYPE", "GOVREG"]}
+oracle("headers_by_file", f"""
+, hdr(variant, position, column_name) AS (VALUES {", ".join(f"({q(v)}, {i}, {q(c)})" for v, cols in _headers.items() for i, c in enumerate(cols))})
+SELECT r.variant || '/' || r.YEAR AS file, CAST(h.position AS INTEGER) AS position, h.column_name
+FROM (SELECT DISTINCT variant, YEAR FROM raw_lettings) r JOIN hdr h ON r.variant = h.variant""")
+
 oracle("band_midpoint_table", """
 SELECT DISTINCT band, midpoint FROM (
   SELECT weekly_income_band AS band, weekly_income_est AS midpoint FROM lettings_silver
@@ -634,6 +656,12 @@ SELECT count(*) AS n_areas, CAST(0 AS BIGINT) AS n_wrong_scores, CAST(0 AS BIGIN
        CAST(0 AS BIGINT) AS n_not_orthonormal, CAST(1 AS DOUBLE) AS variance_share FROM af""")
 oracle("tier_check", ENRICHED + AREA_FEAT + """
 SELECT count(*) AS n_areas, CAST(0 AS BIGINT) AS n_not_nearest, CAST(0 AS BIGINT) AS n_misplaced_tiers FROM af""")
+oracle("sweep_check", ENRICHED + AREA_FEAT + """
+SELECT k, count(*) AS n_areas, CAST(k AS BIGINT) AS n_clusters, CAST(0 AS BIGINT) AS n_not_nearest, CAST(0 AS BIGINT) AS n_wrong_inertia
+FROM af, (SELECT CAST(unnest([2, 3, 4, 5, 6, 7]) AS INTEGER) AS k) GROUP BY k""")
+oracle("ward_check", ENRICHED + AREA_FEAT + """
+SELECT count(*) - 1 AS n_merges, CAST(0 AS BIGINT) AS n_falling, round(3e0 * count(*), 6) AS spread, count(*) AS n_areas,
+       CAST(3 AS BIGINT) AS tiers_3, CAST(4 AS BIGINT) AS tiers_4, CAST(4 AS BIGINT) AS nested FROM af""")
 _UPLIFT = """
 , up AS (SELECT certificate_id, epc_potential - epc_score AS uplift, coalesce(construction_age_band, 'Unknown') AS age_band,
                 coalesce(property_type, 'Unknown') AS prop_type
@@ -641,6 +669,27 @@ _UPLIFT = """
 oracle("ordinal_codes", _UPLIFT + " " + " UNION ALL ".join(
     f"SELECT '{c}' AS feature, {c} AS label, CAST(dense_rank() OVER (ORDER BY {c}) - 1 AS BIGINT) AS code FROM (SELECT DISTINCT {c} FROM up)"
     for c in ("age_band", "prop_type")))
+oracle("forest_check", _UPLIFT + """
+SELECT CAST(100 AS BIGINT) AS n_trees, count(*) AS n_rows, CAST(0 AS BIGINT) AS n_lost_rows, CAST(0 AS BIGINT) AS n_wrong_nodes,
+       CAST(0 AS BIGINT) AS n_small_leaves, CAST(0 AS BIGINT) AS n_too_deep, CAST(0 AS BIGINT) AS n_other_prediction FROM up""")
+oracle("metrics_check", _UPLIFT + """
+SELECT count(*) AS n_test, CAST(0 AS BIGINT) AS wrong_mae, CAST(0 AS BIGINT) AS wrong_r2, CAST(0 AS BIGINT) AS wrong_within,
+       CAST(0 AS BIGINT) AS wrong_baseline, CAST(0 AS BIGINT) AS worse_than_mean
+FROM up WHERE CAST('0x' || substr(md5(certificate_id), 1, 6) AS BIGINT) % 5 = 0""")
+_HOT = _UPLIFT + """
+, frequent AS (SELECT improvement_type FROM joined WHERE improvement_type IS NOT NULL GROUP BY improvement_type HAVING count(*) >= 500)
+, ones AS (SELECT DISTINCT u.certificate_id, j.improvement_type FROM up u JOIN joined j ON u.certificate_id = j.certificate_id
+           JOIN frequent f ON j.improvement_type = f.improvement_type)"""
+oracle("model_tables_check", _HOT + """
+SELECT CAST(0 AS BIGINT) AS n_wrong_cells, (SELECT count(*) FROM (SELECT improvement_type FROM ones GROUP BY 1 HAVING count(*) >= 30)) AS n_types,
+       CAST(0 AS BIGINT) AS n_wrong_covers, count(DISTINCT borough) AS n_areas, CAST(count(*) AS BIGINT) AS n_below
+FROM cert_silver WHERE epc_score < 69""")
+oracle("agreement_check", ENRICHED + AREA_FEAT + """
+SELECT count(*) AS n_areas, CAST(0 AS BIGINT) AS n_wrong_flags, CAST(0 AS BIGINT) AS n_wrong_silhouettes, CAST(0 AS BIGINT) AS n_wrong_profiles,
+       CAST(0 AS BIGINT) AS n_out_of_order, CAST(0 AS BIGINT) AS n_wrong_signs FROM af""")
+oracle("hot_fill_check", _HOT + """
+SELECT (SELECT count(*) FROM up) AS n_rows, (SELECT count(*) FROM frequent) AS n_types, (SELECT count(*) FROM ones) AS n_ones,
+       (SELECT count(*) FROM up) * (SELECT count(*) FROM frequent) - (SELECT count(*) FROM ones) AS n_zeros, CAST(0 AS BIGINT) AS n_nulls""")
 oracle("split_check", _UPLIFT + """
 , folds AS (SELECT uplift, CAST('0x' || substr(md5(certificate_id), 1, 6) AS BIGINT) % 5 AS fold FROM up)
 , train AS (SELECT count(*) AS n, avg(uplift) AS mean FROM folds WHERE fold <> 0)
@@ -666,7 +715,7 @@ oracle("recommendations_from_csv", """
 SELECT certificate_id, priority, improvement_id, improvement_type, indicative_cost, cost_low, cost_mid, cost_high FROM recs""")
 ORACLE["deprivation_from_csv"] = ORACLE["area_deprivation"]
 ORACLE["export_roundtrip"] = ORACLE["retrofit_costs"]
-ORACLE["retrofit_costs_sql"] = ORACLE["retrofit_costs"]
+ORACLE["retrofit_costs_sql"] = ORACLE["retrofit_costs_from_views"] = ORACLE["retrofit_costs_catalog"] = ORACLE["retrofit_costs"]
 
 
 # ---------------------------------------------------------------- region lookup, semi-join scope, recent periods
