@@ -284,6 +284,8 @@ def model_attribution_long(spark, sf_dir) -> DataFrame:
     fewer than 30 properties are dropped (A40, M18).
     """
     model, data, feats, rec_cols, types, _ = trained_forest(spark, sf_dir)
+    if not types:   # no type is frequent enough
+        return spark.createDataFrame([], "improvement_type string, age_group string, avg_pts double, overall_avg_pts double, n_present long")
     att = path_attribution(spark, sf_dir)
     long = att.select("certificate_id", "age_group", F.explode(F.array(*[
         F.struct(F.lit(t).alias("improvement_type"), F.col(c).alias("present"), F.col(f"c_{c}").alias("contrib"))

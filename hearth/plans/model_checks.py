@@ -158,7 +158,7 @@ def model_tables_check(spark, sf_dir) -> DataFrame:
     long = durable(AN.model_attribution_long(spark, sf_dir))
     recs, silver = layers.retrofit_base(spark, sf_dir), layers.certificates(spark, sf_dir)
     each = ", ".join(f"named_struct('improvement_type', {_sql_text(t)}, 'present', {c}, 'points', c_{c})" for t, c in zip(types, rec_cols, strict=True))
-    cells = spark.sql(f"""
+    cells = spark.createDataFrame([], "improvement_type string, age_group string, points double, every double, n long") if not types else spark.sql(f"""
         WITH e AS (SELECT age_group, inline(array({each})) FROM {{stored}}),
         per_age AS (SELECT improvement_type, age_group, avg(points) AS points FROM e WHERE present = 1 GROUP BY improvement_type, age_group),
         per_type AS (SELECT improvement_type, avg(points) AS points, count(*) AS n FROM e WHERE present = 1 GROUP BY improvement_type HAVING count(*) >= 30)
