@@ -9,7 +9,9 @@ random odds over inclusion odds (Pareto order sampling) and taken in that order
 while the source's target holds them; a last document, the one whose size fits
 best, closes the gap.
 
-The random number of a document is a digest of its id, so reruns agree. Ranks are
+The random number of a document is a digest of its id, text and source, and of its turn
+among rows that are equal in these, so reruns agree and equal rows, however many, are
+drawn one by one. Ranks are
 never laid out in one task: cell sums of the ranking variable give the cell in
 which the cut falls, that cell's finer cells the finer one, and only its few
 documents are put in order.
@@ -36,6 +38,29 @@ def random_number(doc_id: Column, seed: str = _SEED) -> Column:
     return (F.conv(digits, 16, 10).cast("double") + 0.5) / F.lit(float(1 << 52))
 
 
+def same_rows(doc_id: Column, text: Column, source: Column) -> Column:
+    """Digest of what rows must share to count as equal (null as empty)."""
+    part = lambda c: F.coalesce(c.cast("string"), F.lit(""))
+    return F.md5(F.concat(part(doc_id), F.lit("|"), F.md5(part(text)), F.lit("|"), part(source)))
+
+
+def with_turns(sized: DataFrame) -> DataFrame:
+    """``sized`` (a written table with ``same``) with ``u`` of each row's turn, 1, 2, ... among rows of one ``same``.
+
+    A turn is the row's number among the equal rows of its partition, after those of the partitions before it: so a
+    value that a third of all rows share is numbered by as many tasks as hold it.
+    """
+    rows = sized.withColumns({"part": F.spark_partition_id(), "at": F.monotonically_increasing_id()})
+    rows = rows.withColumn("rn", F.row_number().over(Window.partitionBy("same", "part").orderBy("at")))
+    many = rows.groupBy("same", "part").agg(F.max("rn").alias("n")).withColumn(
+        "before", F.coalesce(F.sum("n").over(Window.partitionBy("same").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    later = write_scratch(many.where("before > 0").select(F.col("same").alias("same_r"), F.col("part").alias("part_r"), "before"), "turns")
+    turn = F.col("rn") + F.coalesce("before", F.lit(0))
+    numbered = rows.join(later, (F.col("same") == F.col("same_r")) & (F.col("part") == F.col("part_r")), "left")
+    return numbered.withColumn("u", random_number(F.concat("same", F.lit(":"), turn.cast("string")))).drop(
+        "part", "at", "rn", "same", "same_r", "part_r", "before")
+
+
 def targets(sizes: DataFrame, weights: tuple[float, ...], cap: float) -> DataFrame:
     """``(source, source_size)``, a row for each source -> the same with ``target``.
 
@@ -153,21 +178,21 @@ def allocate(sized: DataFrame, cut: DataFrame, cap: float = 3) -> DataFrame:
 
 def sized_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
                     weight: Column | None = None) -> DataFrame:
-    """``(doc_id, source, size, weight, u)`` of every row; weights must be positive, null or less counts as 0."""
+    """``(doc_id, source, size, weight, same)`` of every row; weights must be positive, null or less counts as 0."""
     w = F.lit(1.0) if weight is None else F.greatest(F.coalesce(weight.cast("double"), F.lit(0.0)), F.lit(0.0))
     return docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"),
                        word_count(F.col(text_col)).alias("size"), w.alias("weight"),
-                       random_number(F.col(id_col)).alias("u"))
+                       same_rows(F.col(id_col), F.col(text_col), F.col(source_col)).alias("same"))
 
 
 def mix_plan(docs: DataFrame, weights: tuple[float, ...] = (1, 2, 3), cap: float = 3, **columns) -> DataFrame:
     """Per row of ``docs``: ``doc_id, source, size, source_size, target, copies, taken``.
 
     A null text has size 0; a null source is a source of its own, last in order; a source without words has
-    target 0. Rows of one id and source share their random number, so they are taken or left together. Extra
-    columns are not read. An empty table gives an empty result.
+    target 0. Rows of a repeated or null id are drawn one by one, also where they are equal. Extra columns are not
+    read. An empty table gives an empty result.
     """
-    sized = write_scratch(sized_documents(docs, **columns), "sized")
+    sized = write_scratch(with_turns(write_scratch(sized_documents(docs, **columns), "rows")), "sized")
     return allocate(sized, cuts(sized, weights, cap), cap).drop("weight", "u")
 
 
@@ -175,13 +200,17 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (1, 2, 3), cap: float = 3,
         text_col: str = "text", source_col: str = "source") -> DataFrame:
     """``docs`` as the mix holds them: each row as often as it is taken, with its own columns.
 
-    Only the table of sources is joined to the texts; no text is shuffled unless a source must be split.
+    Only the table of sources is joined to the texts; no text is shuffled unless a source must be split. Rows equal in
+    id, text and source share their random number here, so that they are taken or left together: where there may be
+    many of them, near duplicates should go first.
     """
-    cut = cuts(write_scratch(sized_documents(docs, id_col, text_col, source_col), "sized"), weights, cap)
+    first = lambda same: random_number(F.concat(same, F.lit(":1")))
+    cut = cuts(write_scratch(sized_documents(docs, id_col, text_col, source_col).withColumn("u", first(F.col("same"))).drop("same"), "sized"),
+               weights, cap)
     whole = fresh(docs, "_row")
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias(whole))
     sized = rows.select(whole, F.col(f"{whole}.`{source_col}`").alias("source"),
                         word_count(F.col(f"{whole}.`{text_col}`")).alias("size"), F.lit(1.0).alias("weight"),
-                        random_number(F.col(f"{whole}.`{id_col}`")).alias("u"))
+                        first(same_rows(*[F.col(f"{whole}.`{c}`") for c in (id_col, text_col, source_col)])).alias("u"))
     copies = allocate(sized, cut, cap).select(whole, F.explode(F.array_repeat(F.lit(1), F.col("copies").cast("int"))))
     return copies.select(f"{whole}.*")

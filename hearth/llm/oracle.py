@@ -5,7 +5,7 @@ Ids are taken to be distinct, as they are in the given tables: (doc_id, text) or
 
 from __future__ import annotations
 
-from . import license_digest, line_rules, mixing, url_lm
+from . import license_digest, line_rules, url_lm
 
 
 def _text(value: str) -> str:
@@ -17,11 +17,13 @@ _LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 
 #: Water level over sources, then the documents in order of their ranking variable while the target holds them.
 MIXING = f"""
-WITH d AS (
+WITH e AS (
   SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), {_WORD})) AS BIGINT) AS size,
-         (CAST(CAST('0x' || substr(md5('{mixing._SEED}:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 13) AS BIGINT) AS DOUBLE) + 0.5e0)
-         / 4503599627370496e0 AS u
+         md5(coalesce(CAST(doc_id AS VARCHAR), '') || '|' || md5(coalesce(text, '')) || '|' || coalesce(source, '')) AS same
   FROM documents)
+, d AS (
+  SELECT doc_id, source, size, (CAST(CAST('0x' || substr(md5('mix-1:' || same || ':' || row_number() OVER (PARTITION BY same)), 1, 13) AS BIGINT) AS DOUBLE)
+                                + 0.5e0) / 4503599627370496e0 AS u FROM e)
 , s0 AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source)
 , s1 AS (SELECT *, CAST((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS DOUBLE) AS w FROM s0)
 , s2 AS (SELECT *, source_size * 3e0 / w AS full_at FROM s1)

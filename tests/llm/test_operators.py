@@ -126,6 +126,19 @@ def test_mixing(odd, empty, spark):
     assert all(abs(r["t"] - r["want"]) <= 2 for r in taken)
 
 
+@pytest.mark.parametrize("ids", ["cast(null as long)", "if(id % 3 = 0, null, id)", "id % 20", "id", "id div 200"])
+def test_mixing_of_repeated_and_null_ids(spark, ids):
+    """Equal documents under null, repeated and distinct ids: each source's words come within a document of its target, twice alike."""
+    docs = spark.range(4000).select(F.expr(ids).alias("doc_id"), F.lit("w " * 20).alias("text"), F.expr("concat('s', id % 3)").alias("source"))
+    plan = [tuple(r) for r in mixing.mix_plan(docs.repartition(5)).collect()]
+    same(plan, [tuple(r) for r in mixing.mix_plan(docs.repartition(3)).collect()])
+    taken = {}
+    for _, source, _, _, target, _, words in plan:
+        taken[source] = (target, taken.get(source, (0, 0))[1] + words)
+    assert all(abs(target - words) <= 20 for target, words in taken.values())
+    assert [round(taken[s][0]) for s in sorted(taken)] == [13333, 26667, 40000]
+
+
 def test_mixing_by_document_weight(spark):
     """Weighted documents: the rate is found, capped documents stay at the cap, words still meet the targets."""
     docs = spark.range(2000).select(F.lit("only").alias("source"), F.lit(5).cast("long").alias("size"), F.col("id").alias("doc_id"),
