@@ -22,12 +22,14 @@ from .common import by_value, map_rows
 _SYMBOLS = re.compile(r"[#*$%&|<>]")
 _WORDS = re.compile(r"[^\x20\x09-\x0D]+")
 _SEPARATED = re.compile(r"(?:^|[\x20\x09])(?:\||›|»|·|•|/|>)(?=[\x20\x09]|$)")
-#: Lines that are notices of a site, not text (fixed values, matched as whole lower-cased lines).
-_BOILERPLATE = re.compile(
-    r"(?:click here.*|read more.*|cookie (?:policy|settings).*|accept (?:all )?cookies.*|all rights reserved.*|"
-    r"copyright (?:\(c\)|©).*|©.*|privacy policy.*|terms (?:of (?:use|service)|and conditions).*|"
-    r"sign (?:in|up)(?: .{0,30})?|log ?in|subscribe(?: .{0,40})?|share (?:on|this).*|please enable javascript.*|"
-    r".*\blorem ipsum\b.*)")
+#: Lines that are notices of a site, not text (fixed values, matched as whole lower-cased lines): openings that prose may
+#: share count in short lines only, notices in lines up to a long sentence, filler text in lines of any length.
+_BOILERPLATE = tuple((words, re.compile(pattern)) for words, pattern in (
+    (12, r"(?:click here.*|read more.*|sign (?:in|up)(?: .{0,30})?|log ?in|subscribe(?: .{0,40})?|share (?:on|this).*)"),
+    (60, r"(?:cookie (?:policy|settings).*|accept (?:all )?cookies.*|(?:this|our) (?:web ?site|site) uses cookies.*|all rights reserved.*|"
+         r"copyright (?:\(c\)|©).*|©.*|privacy policy.*|terms (?:of (?:use|service)|and conditions).*|please enable javascript.*)"),
+    (None, r".*\blorem ipsum\b.*"),
+))
 
 
 @dataclass(frozen=True)
@@ -48,15 +50,16 @@ class LineRules:
 def line_fails(line: str, words: list[str], rules: LineRules) -> str | None:
     """Name of the rule that a line with words fails, if any."""
     n = len(words)
-    if len(_SYMBOLS.findall(line)) > rules.symbols_per_word * n and not _SEPARATED.search(line):
-        return "punctuation"
     if len(_SEPARATED.findall(line)) > rules.separators_per_word * n and n >= 3:
         return "navigation"
+    if len(_SYMBOLS.findall(line)) > rules.symbols_per_word * n:
+        return "punctuation"
     if n >= rules.shouted_words and sum(map(str.isupper, words)) > rules.shouted_share * n:
         return "shouting"
     if n >= rules.stutter_words and sum(a == b for a, b in zip(words, words[1:], strict=False)) > rules.stutter_share * n:
         return "stutter"
-    if n <= 12 and _BOILERPLATE.fullmatch(line.strip().lower()):
+    low = line.strip().lower()
+    if any((most is None or n <= most) and pattern.fullmatch(low) for most, pattern in _BOILERPLATE):
         return "boilerplate"
     return None
 
