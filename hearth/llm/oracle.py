@@ -67,11 +67,14 @@ WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents)
                    len(list_filter(regexp_split_to_array(lw.line, '[ \\t]'), lambda x: x IN ('|', '›', '»', '·', '•', '/', '>'))) AS separators
             FROM counted c JOIN lw ON c.doc_id = lw.doc_id AND c.nr = lw.nr)
 , judged AS (SELECT *, (again AND n >= {_R.repeated_words})
-       OR (symbols > {_R.symbols_per_word} * n AND separators = 0)
+       OR symbols > {_R.symbols_per_word} * n
        OR (separators > {_R.separators_per_word} * n AND n >= 3)
        OR (n >= {_R.shouted_words} AND shouted > {_R.shouted_share} * n)
        OR (n >= {_R.stutter_words} AND stutter > {_R.stutter_share} * n)
-       OR (n <= 12 AND regexp_full_match(lower(regexp_replace(line, '^\\s+|\\s+$', '', 'g')), {_text(line_rules._BOILERPLATE.pattern)})) AS fails FROM lines)
+       OR (n <= 12 AND regexp_full_match(low, '(click here.*|read more.*|sign (in|up)( .{{0,30}})?|log ?in|subscribe( .{{0,40}})?|share (on|this).*)'))
+       OR (n <= 60 AND regexp_full_match(low, '(cookie (policy|settings).*|accept (all )?cookies.*|(this|our) (web ?site|site) uses cookies.*|all rights reserved.*|copyright (\\(c\\)|©).*|©.*|privacy policy.*|terms (of (use|service)|and conditions).*|please enable javascript.*)'))
+       OR regexp_matches(low, '\\blorem ipsum\\b') AS fails
+       FROM (SELECT *, lower(regexp_replace(line, '^\\s+|\\s+$', '', 'g')) AS low FROM lines))
 , sums AS (SELECT doc_id, sum(n) AS n_words, sum(chars) AS word_chars, count(*) FILTER (WHERE again) AS n_dup_lines, sum(repeats) AS n_repeat_words,
                   sum(CASE WHEN fails THEN 0 ELSE n END) AS kept_words FROM judged GROUP BY doc_id)
 , base AS (SELECT d.doc_id, CAST(coalesce(n_words, 0) AS BIGINT) AS n_words, CAST(coalesce(word_chars, 0) AS BIGINT) AS word_chars,
@@ -107,10 +110,11 @@ _GRAMS = (f"substr('{'^' * url_lm.ORDER}' || s || '$', CAST(unnest(range(1, leng
 
 #: Rules, then counts by context, one relation for each order, the score of each distinct URL, and the threshold.
 URL_FILTER = f"""
-WITH u AS (SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages)
-, hp AS (SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), {_LOWER}) AS host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM u)
+WITH u AS (SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest,
+                  CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE coalesce(url, '') END AS whole FROM pages)
+, hp AS (SELECT page_id, whole, translate(regexp_extract(rest, '^[^/?#]*'), {_LOWER}) AS host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM u)
 , parsed AS (SELECT *, {_rule_case(0)} AS rule, {_rule_case(1)} AS judged,
-                    regexp_replace(host || translate(path, {_LOWER}), '[^a-z0-9./_\\-]', '*', 'g') AS s FROM hp)
+                    regexp_replace(translate(whole, {_LOWER}), '[^a-z0-9./_\\-]', '*', 'g') AS s FROM hp)
 , urls AS (SELECT s, count(*) FILTER (WHERE judged = 'allow') AS a, count(*) FILTER (WHERE judged = 'block') AS r,
                   bool_or(rule IS NULL) AS open, substr(md5(s), 1, 1) < '4' AS held FROM parsed GROUP BY s)
 , counted AS (SELECT g, sum(a) AS a, sum(r) AS r FROM (SELECT a, r, {_GRAMS} FROM urls WHERE NOT held AND a + r > 0) GROUP BY g)

@@ -50,15 +50,20 @@ def rule_for(host: Column, path: Column, rules=RULES) -> tuple[Column, Column]:
     return name, verdict
 
 
-def _symbols(host: Column, path: Column) -> Column:
-    return F.regexp_replace(F.concat(host, F.translate(path, _UPPER, _LOWER)), r"[^a-z0-9./_\-]", "*")
+def _symbols(url: Column) -> Column:
+    """What the models read: all of a URL after its scheme, query and fragment too; without ``://`` all of it."""
+    at = F.coalesce(F.instr(url, "://"), F.lit(0))
+    rest = F.when(at > 0, F.substring(url, at + 3, F.length(url))).otherwise(F.coalesce(url, F.lit("")))
+    return F.regexp_replace(F.translate(rest, _UPPER, _LOWER), r"[^a-z0-9./_\-]", "*")
 
 
 def _grams(urls: DataFrame, *keep: str) -> DataFrame:
-    """A row for each symbol of ``s`` and its end, with the ``ORDER`` symbols before it: ``g``."""
+    """A row for each symbol of ``s`` and its end, with the ``ORDER`` symbols before it: ``g``.
+
+    All places are met in one walk over the URL (a substring by place would count from its beginning each time).
+    """
     padded = F.concat(F.lit("^" * ORDER), F.col("s"), F.lit("$"))
-    return urls.select(*keep, F.explode(F.transform(
-        F.sequence(F.lit(1), F.length("s") + 1), lambda i: F.substring(padded, i, F.lit(ORDER + 1)))).alias("g"))
+    return urls.select(*keep, F.explode(F.regexp_extract_all(padded, F.lit(f"(?=(.{{{ORDER + 1}}}))"), F.lit(1))).alias("g"))
 
 
 def _contexts(counted: DataFrame) -> DataFrame:
@@ -111,28 +116,29 @@ def _threshold(scored: DataFrame) -> float:
 def judge(pages: DataFrame, rules=RULES, id_col: str = "page_id", url_col: str = "url") -> DataFrame:
     """Per row: ``page_id, host, path, rule, verdict, score``; score is null where a rule decides.
 
-    A null URL or one without ``://`` has empty host and path, and is scored like any other. Without
+    The models read all of a URL after its scheme. A null URL or one without ``://`` has empty host and path, and is
+    scored by its own characters (null: none). The work grows in proportion to the URLs' length. Without
     rule-judged URLs every score is 0 and allowed. Repeated rows are each returned; extra columns are not
     read; an empty table gives an empty result.
     """
     host, path = host_and_path(F.col(url_col))
-    parsed = pages.select(F.col(id_col).alias("page_id"), host.alias("host"), path.alias("path"))
+    parsed = pages.select(F.col(id_col).alias("page_id"), host.alias("host"), path.alias("path"), _symbols(F.col(url_col)).alias("s"))
     rule, verdict = rule_for(F.col("host"), F.col("path"), rules)
     parsed = write_scratch(parsed.select("page_id", "host", "path", rule.alias("rule"), verdict.alias("judged"),
-                                         _symbols(F.col("host"), F.col("path")).alias("s")), "urls")
-    fold = F.substring(F.md5(F.encode("s", "UTF-8")), 1, 1) < HELD_BELOW
+                                         F.col("s")), "urls")
+    digest = F.md5(F.encode("s", "UTF-8"))   # stands for the URL in the rows of its symbols
     urls = write_scratch(parsed.groupBy("s").agg(
         F.sum(F.when(F.col("judged") == "allow", 1).otherwise(0)).alias("a"),
         F.sum(F.when(F.col("judged") == "block", 1).otherwise(0)).alias("r"),
-        F.max(F.col("rule").isNull()).alias("open")).withColumn("held", fold), "distinct-urls")
+        F.max(F.col("rule").isNull()).alias("open")).withColumn("d", digest).withColumn("held", F.substring("d", 1, 1) < HELD_BELOW), "distinct-urls")
     counted = _grams(urls.where(~F.col("held") & (F.col("a") + F.col("r") > 0)), "a", "r").groupBy("g").agg(
         F.sum("a").alias("a"), F.sum("r").alias("r"))
     contexts = write_scratch(_contexts(counted), "contexts")
     rated = urls.where(F.col("open") | (F.col("held") & (F.col("a") + F.col("r") > 0)))
-    wanted = _grams(rated, "s")
+    wanted = _grams(rated, "d")
     ratios = write_scratch(_ratios(wanted.select("g").distinct(), contexts), "ratios")
     scores = write_scratch(
-        wanted.join(ratios, "g").groupBy("s").agg(F.avg("ratio").alias("score")), "scores")
+        wanted.join(ratios, "g").groupBy("d").agg(F.avg("ratio").alias("score")).join(rated.select("d", "s"), "d").drop("d"), "scores")
     held = scores.join(urls.where("held"), "s")
     cut = _threshold(reduce(DataFrame.unionByName, [
         held.where(f"{c} > 0").select("score", F.lit(v).alias("judged")) for c, v in (("a", "allow"), ("r", "block"))]))
