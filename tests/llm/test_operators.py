@@ -277,6 +277,46 @@ def test_url_filter(spark):
     assert {r["verdict"] for r in url_lm.judge(one).collect()} == {"allow"}
 
 
+def test_url_query_is_read_and_long_urls_end(spark):
+    """What follows the path decides between URLs without a rule; a URL of a megabyte takes time in proportion."""
+    import time
+    rows = [f"https://a{i}.org/p{i}?ref=home" for i in range(150)] + [f"https://b{i}.com/de/p{i}?zzqqxx=zzqq" for i in range(150)]
+    free = ["https://c.net/page?ref=home", "https://c.net/page?zzqqxx=zzqq", "mailto ref=home", "zzqqxx=zzqqxx=zzqq"]
+    pages = spark.createDataFrame([(i, u) for i, u in enumerate(rows + free + ["https://d.net/" + "ab/" * 350_000])], "page_id long, url string")
+    begun = time.time()
+    got = {r["page_id"]: r for r in url_lm.judge(pages).collect()}
+    assert time.time() - begun < 120
+    assert [got[300 + i]["verdict"] for i in range(4)] == ["allow", "block", "allow", "block"]
+    assert len(got) == len(rows) + 5 and got[304]["path"].startswith("/ab/ab/") and got[304]["score"] is not None
+
+
+def test_lines_that_are_no_text():
+    """Filler of any length, notices in full sentences, lines of symbols with one separator; prose that shares a word stays."""
+    rules = line_rules.LineRules()
+    fails = lambda line: line_rules.line_fails(line, line.split(), rules)
+    assert fails("Lorem ipsum dolor sit amet " + "consectetur adipiscing elit sed do " * 20) == "boilerplate"
+    assert fails("This website uses cookies to make sure that you get the best experience of what we offer to you on it.") == "boilerplate"
+    assert fails("All rights reserved. No part of this page may be copied in any form without the written leave of its owner and of its makers.") == "boilerplate"
+    assert fails("### $$$ %%% &&& *** ### $$$ %%% &&& *** ### $$$ %%% &&& *** ### $$$ %%% &&& *** | ### ###") == "punctuation"
+    assert fails("Home | News | Shop | Help") == "navigation"
+    for prose in ("Read more slowly and you will find that the old man had seen the tide turn long before they did.", "She had to sign in with a name that nobody there had ever heard of until that one evening.",
+                  "The rights reserved for the crown were few.", "He ate a cookie and looked out to sea."):
+        assert fails(prose) is None
+
+
+@pytest.mark.parametrize("unit", ["a", "0", "@a", "1.", "1 ", "10.1.2.3 ", "a@", "+1 (", "x@y.z ", "0" * 30 + "."])
+def test_personal_data_in_long_texts(unit):
+    """Five megabytes of each kind end soon; on short texts of the same signs the spans are those of the contract's patterns."""
+    import time
+    rng = random.Random(len(unit))
+    for _ in range(3000):
+        text = "".join(rng.choice([unit, rng.choice("a1.@-+ ()0\n%_é9")]) for _ in range(rng.randint(0, 30)))
+        assert [f"{k}:{a}:{b}" for k, a, b in pii.base_spans(text)] == brute.base_pii(text)[1]
+    begun = time.time()
+    pii.term_windows("@" + unit * (5_000_000 // len(unit)))
+    assert time.time() - begun < 90
+
+
 def test_url_ratio_is_the_interpolated_models(spark):
     """Ratios against the recursion written out in Python."""
     import math
