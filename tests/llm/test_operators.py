@@ -352,6 +352,19 @@ def test_license_scan(odd, empty, spark):
     assert {r["doc_id"]: r["text_license"] for r in license_digest.scan(docs).collect()} == {1: "MIT", 2: None}
 
 
+def test_license_texts_in_comments(spark):
+    """Every known text is found whole behind comment marks, in other case and line breaks, below any usual copyright line."""
+    heads = ["Copyright Jane Doe 2020", " * Copyright (c) 1999-2004 The Authors. All rights reserved.", "# © 2011 Someone", "// (c) Example Ltd", "Copyright 2020 X"]
+    rows = []
+    for i, (name, text) in enumerate(license_digest.KNOWN):
+        words = text.upper().split()
+        lines = [" * " + " ".join(words[at:at + 9]) for at in range(0, len(words), 9)]
+        rows.append((i, "\n".join([heads[i % len(heads)], *lines])))
+    got = {r["doc_id"]: r["text_license"] for r in license_digest.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert {i: got[i] for i, _ in rows} == {i: name for i, (name, _) in enumerate(license_digest.KNOWN)}
+    assert {"BSD-2-Clause", "BSD-3-Clause", "Zlib", "Unlicense", "Apache-2.0"} <= set(got.values())
+
+
 @pytest.mark.parametrize(("label", "modulus", "remainder", "module"), [("quality", 4, 2, quality_gam), ("toxic", 3, 1, toxicity)])
 def test_classifiers(spark, odd, empty, label, modulus, remainder, module):
     docs = spark.read.parquet(f"{SF_SMALL.replace('0.001', '0.01')}/documents.parquet")
