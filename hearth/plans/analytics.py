@@ -77,7 +77,7 @@ def _with_vector(scored: DataFrame) -> DataFrame:
 
 def sweep_table(spark, sf_dir) -> tuple[DataFrame, list[tuple]]:
     """(areas x k with cluster, distance and silhouette, written once; the models' own (k, inertia))."""
-    scored, _, _ = area_components(spark, sf_dir)
+    scored = durable(area_components(spark, sf_dir)[0])   # read in every round
     long, costs = ml.kmeans_assignments(scored, "borough", Z)
     long = durable(long)   # silhouettes then read the clusters as stored
     with_rows = [ml.silhouette_rows(long.where(F.col("k") == k), Z, "cluster") for k, _ in costs]   # six k's
