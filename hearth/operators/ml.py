@@ -13,6 +13,7 @@ import uuid
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.ml.clustering import BisectingKMeans
 from pyspark.ml.feature import PCA, VectorAssembler
@@ -202,6 +203,19 @@ def silhouette_rows(df: DataFrame, features: list[str], cluster: str, out: str =
 
 # ------------------------------------------------------------------ forest
 
+#: Rows of a partition that a forest is fitted on, at most: a task holds their tree counts and current nodes.
+TRAIN_ROWS = 250_000
+
+
+def even_parts(df: DataFrame) -> DataFrame:
+    """``df`` in partitions of ``TRAIN_ROWS`` rows at most, a whole number of them for every core; a smaller table stays as it is.
+
+    Every level of the trees is a stage over these partitions: one that is left over would run while the other cores wait.
+    """
+    rows, cores = df.count(), df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores * -(-rows // (cores * TRAIN_ROWS))) if rows > TRAIN_ROWS else df
+
+
 def fit_forest(train: DataFrame, features: str, label: str, seed: int = 42):
     """100 trees, depth 12, >= 15 rows per leaf, sqrt features per split, seed 42.
 
@@ -261,55 +275,84 @@ def _pack(nodes: pd.DataFrame):
     return trees
 
 
+class Walk:
+    """The packed trees made ready for many rows: children by comparison, leaves that lead to themselves, and per node what
+    its path credits to each feature (the change in node mean at every split goes to the split's feature)."""
+
+    def __init__(self, trees, n_features: int):
+        self.trees, self.d = [self._ready(*t, n_features) for t in trees], n_features
+
+    @staticmethod
+    def _ready(pred, left, right, feat, thr, d):
+        inner = left >= 0
+        own = np.arange(len(pred))
+        child = np.stack([np.where(inner, right, own), np.where(inner, left, own)], 1).ravel()   # at 2 * node + (x <= threshold)
+        credit, level, depth = np.zeros((len(pred), d)), np.zeros(1, dtype=np.int64), np.zeros(len(pred), dtype=np.int32)
+        while len(level := level[inner[level]]):
+            for to in (left[level], right[level]):
+                credit[to] = credit[level]
+                credit[to, feat[level]] += pred[to] - pred[level]   # a node has one parent
+                depth[to] = depth[level] + 1
+            level = np.concatenate([left[level], right[level]])
+        return pred, child, np.where(inner, feat, 0), thr, credit, depth
+
+    def leaves(self, X: np.ndarray):
+        """Per tree: the leaf of every row, with the tree's arrays. Continuous splits go left when x <= threshold."""
+        n = len(X)
+        flat, rows = np.ascontiguousarray(X.T).ravel(), np.arange(n)   # feature by feature
+        for tree in self.trees:
+            _, child, feat, thr, _, depth = tree
+            start, node = feat * n, np.zeros(n, dtype=np.int64)
+            for _ in range(int(depth.max())):
+                node = child[2 * node + (flat[start[node] + rows] <= thr[node])]
+            yield node, tree
+
+
 def path_contributions(X: np.ndarray, trees) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Per-row bias, per-feature contributions and prediction of a regression forest.
+    """Per-row bias, per-feature contributions and prediction of a regression forest (packed trees, or a ``Walk`` of them).
 
     Walking each row down each tree, the change in node mean at every split
     is credited to the split's feature; averaging over trees gives
     bias + sum(contributions) == prediction exactly (up to float rounding).
-    Continuous splits go left when x <= threshold.
     """
     n, d = X.shape
+    walk = trees if isinstance(trees, Walk) else Walk(trees, d)
     contrib = np.zeros((n, d))
     bias = np.zeros(n)
     pred = np.zeros(n)
-    rows = np.arange(n)
-    for p, left, right, feat, thr in trees:
-        node = np.zeros(n, dtype=np.int64)
+    for node, (p, _, _, _, credit, _) in walk.leaves(X):
         bias += p[0]
-        active = left[node] >= 0
-        while active.any():
-            r = rows[active]
-            cur = node[r]
-            f = feat[cur]
-            go_left = X[r, f] <= thr[cur]
-            nxt = np.where(go_left, left[cur], right[cur])
-            contrib[r, f] += p[nxt] - p[cur]   # each row occurs once in r
-            node[r] = nxt
-            active = left[node] >= 0
         pred += p[node]
-    k = len(trees)
+        contrib += credit.take(node, 0)
+    k = len(walk.trees)
     return bias / k, contrib / k, pred / k
 
 
 def leaf_members(df: DataFrame, feature_cols: list[str], key: str, trees, spark) -> DataFrame:
-    """``(key, tree, node, depth)``: the leaf of every row in every tree of the packed forest."""
+    """``(key, leaves array<struct<tree, node, depth>>)``: the leaf of every row in every tree of the packed forest.
+
+    A row per property, so that its key is written once, not once a tree.
+    """
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
     b_trees = spark.sparkContext.broadcast(trees)
     kind = df.select(key).schema[0].dataType.simpleString()
 
     def run(batches):
-        for pdf in batches:
-            X = pdf[feature_cols].to_numpy(dtype=float)
-            for i, (_, left, right, feat, thr) in enumerate(b_trees.value):
-                node, depth = np.zeros(len(X), dtype=np.int64), np.zeros(len(X), dtype=np.int32)
-                rows = np.flatnonzero(left[node] >= 0)
-                while len(rows):
-                    cur = node[rows]
-                    node[rows] = np.where(X[rows, feat[cur]] <= thr[cur], left[cur], right[cur])
-                    depth[rows] += 1
-                    rows = rows[left[node[rows]] >= 0]
-                yield pd.DataFrame({key: pdf[key], "tree": i, "node": node, "depth": depth})
-    return df.select(key, *feature_cols).mapInPandas(run, f"{key} {kind}, tree int, node int, depth int")
+        walk = Walk(b_trees.value, len(feature_cols))
+        k = len(walk.trees)
+        for batch in batches:
+            n = batch.num_rows
+            X = np.empty((n, len(feature_cols)))
+            for j, c in enumerate(feature_cols):
+                X[:, j] = batch.column(c).to_numpy(zero_copy_only=False)
+            node, depth = np.empty((n, k), dtype=np.int32), np.empty((n, k), dtype=np.int32)
+            for i, (at, tree) in enumerate(walk.leaves(X)):
+                node[:, i], depth[:, i] = at, tree[-1][at]
+            each = pa.StructArray.from_arrays([pa.array(np.tile(np.arange(k, dtype=np.int32), n)), pa.array(node.ravel()), pa.array(depth.ravel())],
+                                              names=["tree", "node", "depth"])
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * k), each)
+            yield pa.RecordBatch.from_arrays([batch.column(key), lists], names=[key, "leaves"])
+    return df.select(key, *feature_cols).mapInArrow(run, f"{key} {kind}, leaves array<struct<tree int, node int, depth int>>")
 
 
 def attribute(df: DataFrame, feature_cols: list[str], keep_cols: list[str], trees, spark,
@@ -332,10 +375,10 @@ def attribute(df: DataFrame, feature_cols: list[str], keep_cols: list[str], tree
                           + [T.StructField(f"c_{c}", T.DoubleType()) for c in out_cols])
 
     def run(batches):
-        tr = b_trees.value
+        walk = Walk(b_trees.value, len(feature_cols))
         for pdf in batches:
             X = pdf[feature_cols].to_numpy(dtype=float)
-            bias, contrib, pred = path_contributions(X, tr)
+            bias, contrib, pred = path_contributions(X, walk)
             out = pdf[keep_cols].copy()
             out["prediction"] = pred
             out["bias"] = bias
