@@ -234,7 +234,7 @@ def trained_forest(spark: SparkSession, sf_dir: str):
         model = RandomForestRegressionModel.load(path)
     else:
         train, _ = split(data)
-        model = ml.fit_forest(train, "features", "uplift")
+        model = ml.fit_forest(ml.even_parts(train.select("features", "uplift")), "features", "uplift")
         model.write().overwrite().save(path)
     return model, data, feats, rec_cols, types, path
 
