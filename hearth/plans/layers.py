@@ -92,7 +92,10 @@ def certificates(spark: SparkSession, sf_dir: str, tag: str = "") -> DataFrame:
 
 
 def retrofit_base(spark: SparkSession, sf_dir: str, tag: str = "") -> DataFrame:
-    """Recommendations ⋈ in-scope certificates, costs parsed, category / tier / age group added."""
+    """Recommendations ⋈ in-scope certificates, costs parsed, category / tier / age group added.
+
+    Written as the join leaves it: a folder per area would deal every wide row out again and sort it before the write.
+    """
     from .silver import joined_recommendations
 
     def build():
@@ -101,7 +104,7 @@ def retrofit_base(spark: SparkSession, sf_dir: str, tag: str = "") -> DataFrame:
                 .withColumn("category", C.category("improvement_type"))
                 .withColumn("work_tier", C.work_tier("cost_mid"))
                 .withColumn("age_group", C.age_group("construction_age_band")))
-    return materialise(spark, sf_dir, "retrofit_base", build, CERT_PARTITION, tag)
+    return materialise(spark, sf_dir, "retrofit_base", build, None, tag)
 
 
 def retrofit_rollup(spark: SparkSession, sf_dir: str, tag: str = "") -> DataFrame:

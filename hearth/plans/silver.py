@@ -98,10 +98,11 @@ def joined_recommendations(spark: SparkSession, sf_dir: str, silver: DataFrame |
 
     Both sides grow with the data, so this is a shuffle join on the
     certificate id; AQE may switch to broadcast when the silver side is small
-    at run time, and splits skewed partitions.
+    at run time, and splits skewed partitions. Hash tables of the certificates
+    (a row per property) spare a sort of the wide recommendations, which spills.
     """
     certs = (silver if silver is not None else certificates_silver(spark, sf_dir)).select(
         "certificate_id", "borough", "epc_rating", "epc_score", "epc_potential",
         "construction_age_band", "property_type",
     ).filter(F.col("borough").isNotNull())
-    return recommendations(spark, sf_dir).join(certs, "certificate_id", "inner")
+    return recommendations(spark, sf_dir).join(certs.hint("shuffle_hash"), "certificate_id", "inner")
