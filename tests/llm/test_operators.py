@@ -424,3 +424,20 @@ def test_registered_queries_return_whole_tables(spark):
         want = spark.read.parquet(f"{SF_SMALL}/{table}.parquet").select(key)
         got = query(spark, SF_SMALL).select(key)
         assert json.dumps(sorted(r[0] for r in got.collect())) == json.dumps(sorted(r[0] for r in want.collect())), name
+
+
+def test_every_text_is_held_against_the_library(spark, monkeypatch):
+    """A wrong encoding of any text ends the job, not only that of a slice's first one or of a short one."""
+    from hearth.llm import sentencepiece_codec as codec
+    from hearth.llm.queries import model_bytes
+    plain = codec.WordTable
+
+    class Off(plain):
+        def texts(self, texts):
+            for t, (n, digits, back, got) in zip(texts, super().texts(texts), strict=True):
+                yield n, digits, back, got[:-1] if t and t.endswith("last") else got
+    docs = spark.createDataFrame([(0, "a first text"), (1, "word " * 5000 + "last")], "doc_id long, text string").coalesce(1)
+    assert codec.encode(docs, model_bytes()).count() == 2
+    monkeypatch.setattr(codec, "WordTable", Off)
+    with pytest.raises(Exception, match="differ from the library"):
+        codec.encode(docs, model_bytes()).select("n_tokens").collect()
