@@ -40,7 +40,7 @@ TIER_LABELS = ("Act now", "Act next", "Monitor", "Deprioritise")
 
 def area_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Priority ⟕ wall split (J4), rows with any missing feature dropped."""
-    silver = layers.certificates(spark, sf_dir)
+    silver = layers.homes(spark, sf_dir)
     pr = gold.composite_priority(spark, sf_dir, silver)
     wall = retrofit.wall_split(layers.retrofit_rollup(spark, sf_dir)).select("borough", "pct_solid_wall")
     return pr.join(wall, "borough", "left").na.drop(subset=AREA_FEATURES)
@@ -196,7 +196,7 @@ def multi_hot(recs: DataFrame, types: list[str]) -> DataFrame:
 
 def ml_table(spark: SparkSession, sf_dir: str, min_freq: int = fixed.MIN_TYPE_FREQ):
     """(feature table, property feature names, rec feature names)."""
-    silver = layers.certificates(spark, sf_dir)
+    silver = layers.homes(spark, sf_dir)
     recs = layers.retrofit_base(spark, sf_dir)
     types = frequent_type_names(recs, min_freq)
     rec_cols = [type_column(i) for i in range(len(types))]
@@ -307,7 +307,7 @@ def attribution_by_age_model(spark, sf_dir) -> DataFrame:
 
 def greedy_model_summary(spark, sf_dir) -> DataFrame:
     """The greedy cover driven by the model attribution, summarised per area (M19 -> A44)."""
-    silver = layers.certificates(spark, sf_dir)
+    silver = layers.homes(spark, sf_dir)
     recs = layers.retrofit_base(spark, sf_dir)
     long = model_attribution_long(spark, sf_dir)
     props = durable(reach.property_classes(silver, reach.greedy_results(reach.greedy_rows(recs, long))))

@@ -69,14 +69,14 @@ def composite_priority_from(quality: DataFrame, deprivation: DataFrame) -> DataF
 
 
 def composite_priority(spark: SparkSession, sf_dir: str, silver: DataFrame | None = None) -> DataFrame:
-    silver = silver if silver is not None else layers.certificates(spark, sf_dir)
+    silver = silver if silver is not None else layers.homes(spark, sf_dir)
     return composite_priority_from(area_quality(silver),
                                    area_deprivation(bronze.raw_deprivation(spark, sf_dir)))
 
 
 def unmatched_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Areas of the certificates with no deprivation match."""
-    q, d = _keyed(area_quality(layers.certificates(spark, sf_dir)),
+    q, d = _keyed(area_quality(layers.homes(spark, sf_dir)),
                   area_deprivation(bronze.raw_deprivation(spark, sf_dir)))
     return q.join(d, "area_key", "left_anti").select("borough", "social_properties")
 

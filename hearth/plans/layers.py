@@ -57,6 +57,7 @@ CODE_VERSION = _code_version()
 # Driver tables each layer is derived from (its fingerprint covers only these).
 SOURCES = {
     "certificates": ("orders", "customer", "nation"),
+    "homes": ("orders", "customer", "nation"),
     "retrofit_base": ("orders", "customer", "nation", "lineitem"),
     "retrofit_rollup": ("orders", "customer", "nation", "lineitem"),
     "lettings": ("events",),
@@ -91,6 +92,21 @@ def certificates(spark: SparkSession, sf_dir: str, tag: str = "") -> DataFrame:
                        CERT_PARTITION, tag)
 
 
+#: What the area, retrofit and reach reports read of a certificate.
+HOME_COLUMNS = ("certificate_id", "borough", "epc_rating", "epc_score", "epc_potential", "construction_age_band", "property_type",
+                "co2_emissions", "below_epc_c")
+
+
+def homes(spark: SparkSession, sf_dir: str, tag: str = "") -> DataFrame:
+    """The rows of ``certificates`` with ``HOME_COLUMNS`` only, written as the dedup leaves them.
+
+    The latest certificate is found by a sort in the scan's tasks and one behind the shuffle: narrow rows keep both in memory
+    where the wide ones of all columns spill, and no folder per area deals them out and sorts them again.
+    """
+    from .silver import certificates_silver
+    return materialise(spark, sf_dir, "homes", lambda: certificates_silver(spark, sf_dir).select(*HOME_COLUMNS), None, tag)
+
+
 def retrofit_base(spark: SparkSession, sf_dir: str, tag: str = "") -> DataFrame:
     """Recommendations ⋈ in-scope certificates, costs parsed, category / tier / age group added.
 
@@ -99,8 +115,7 @@ def retrofit_base(spark: SparkSession, sf_dir: str, tag: str = "") -> DataFrame:
     from .silver import joined_recommendations
 
     def build():
-        silver = certificates(spark, sf_dir, tag)
-        return (joined_recommendations(spark, sf_dir, silver)
+        return (joined_recommendations(spark, sf_dir, homes(spark, sf_dir, tag))
                 .withColumn("category", C.category("improvement_type"))
                 .withColumn("work_tier", C.work_tier("cost_mid"))
                 .withColumn("age_group", C.age_group("construction_age_band")))
@@ -108,9 +123,18 @@ def retrofit_base(spark: SparkSession, sf_dir: str, tag: str = "") -> DataFrame:
 
 
 def retrofit_rollup(spark: SparkSession, sf_dir: str, tag: str = "") -> DataFrame:
-    """Counts and cost sums of ``retrofit_base``, which most retrofit reports add up."""
+    """Counts and cost sums of the joined recommendations, which most retrofit reports add up.
+
+    Added up behind the join itself, so that only the columns of the sums are shuffled and no table of single rows is written.
+    """
     from .retrofit import rollup
-    return materialise(spark, sf_dir, "retrofit_rollup", lambda: rollup(retrofit_base(spark, sf_dir, tag)), None, tag)
+    from .silver import joined_recommendations
+
+    def build():
+        return rollup(joined_recommendations(spark, sf_dir, homes(spark, sf_dir, tag))
+                      .withColumn("category", C.category("improvement_type"))
+                      .withColumn("work_tier", C.work_tier("cost_mid")))
+    return materialise(spark, sf_dir, "retrofit_rollup", build, None, tag)
 
 
 def lettings(spark: SparkSession, sf_dir: str, tag: str = "") -> DataFrame:

@@ -26,7 +26,7 @@ def q_dedup_stats(spark, sf_dir):
 
 @register("area_quality")
 def q_area_quality(spark, sf_dir):
-    return gold.area_quality(layers.certificates(spark, sf_dir))
+    return gold.area_quality(layers.homes(spark, sf_dir))
 
 
 @register("area_deprivation")
@@ -55,14 +55,13 @@ from . import retrofit as R  # noqa: E402
 
 def _with_areas(fn):
     def run(spark, sf_dir):
-        silver_df, joined = R.enriched(spark, sf_dir)
-        return fn(joined, R.priority_areas(spark, sf_dir, silver_df))
+        return fn(layers.retrofit_base(spark, sf_dir), R.priority_areas(spark, sf_dir, layers.homes(spark, sf_dir)))
     return run
 
 
 def _joined(fn):
     def run(spark, sf_dir):
-        return fn(R.enriched(spark, sf_dir)[1])
+        return fn(layers.retrofit_base(spark, sf_dir))
     return run
 
 
@@ -74,7 +73,7 @@ def _rolled(fn):
 
 def _rolled_with_areas(fn):
     def run(spark, sf_dir):
-        areas = R.priority_areas(spark, sf_dir, layers.certificates(spark, sf_dir))
+        areas = R.priority_areas(spark, sf_dir, layers.homes(spark, sf_dir))
         return fn(layers.retrofit_rollup(spark, sf_dir), areas)
     return run
 
@@ -171,7 +170,7 @@ def q_silver_value_counts(spark, sf_dir):
 
 @register("raw_cost_counts")
 def q_raw_cost_counts(spark, sf_dir):
-    return P.value_counts(R.enriched(spark, sf_dir)[1], "indicative_cost", 20)
+    return P.value_counts(layers.retrofit_base(spark, sf_dir), "indicative_cost", 20)
 
 
 @register("rating_distribution")
@@ -276,7 +275,7 @@ from . import reach as RC  # noqa: E402
 
 def _scored_silver(fn):
     def run(spark, sf_dir):
-        return fn(layers.certificates(spark, sf_dir))
+        return fn(layers.homes(spark, sf_dir))
     return run
 
 
@@ -298,14 +297,14 @@ def q_type_property_counts(spark, sf_dir):
 
 @register("attribution_by_age")
 def q_attribution_by_age(spark, sf_dir):
-    s = layers.certificates(spark, sf_dir)
+    s = layers.homes(spark, sf_dir)
     recs = RC.scored_recs(spark, sf_dir)
     return RC.attribution_table(RC.uplift_attribution(recs, s), recs)
 
 
 @register("cost_efficiency")
 def q_cost_efficiency(spark, sf_dir):
-    s = layers.certificates(spark, sf_dir)
+    s = layers.homes(spark, sf_dir)
     recs = RC.scored_recs(spark, sf_dir)
     return RC.cost_efficiency(RC.attribution_table(RC.uplift_attribution(recs, s), recs), recs)
 

@@ -361,7 +361,7 @@ def greedy_tables(spark: SparkSession, sf_dir: str, with_props: bool = True):
     is built only when asked for and then checkpointed too, since the area
     summary reads it four times.
     """
-    silver = layers.certificates(spark, sf_dir)
+    silver = layers.homes(spark, sf_dir)
     recs = scored_recs(spark, sf_dir)
     long = durable(uplift_attribution(recs, silver))
     results = greedy_results(greedy_rows(recs, long))

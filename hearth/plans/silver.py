@@ -78,8 +78,8 @@ def recommendations(spark: SparkSession, sf_dir: str) -> DataFrame:
 REC_REQUIRED = {"certificate_number", "improvement_item", "improvement_id", "improvement_summary_text", "indicative_cost"}
 
 
-def recommendations_from_raw(raw: DataFrame) -> DataFrame:
-    """Bronze recommendations -> typed (no scope filter), cost text parsed once into low/mid/high."""
+def recommendations_from_raw(raw: DataFrame, *keep: str) -> DataFrame:
+    """Bronze recommendations -> typed (no scope filter), cost text parsed once into low/mid/high; columns ``keep`` stay."""
     cost = C.cost_bounds("indicative_cost")
     return raw.select(
         F.col("certificate_number").alias("certificate_id"),
@@ -90,9 +90,14 @@ def recommendations_from_raw(raw: DataFrame) -> DataFrame:
         cost["low"].alias("cost_low"),
         cost["mid"].alias("cost_mid"),
         cost["high"].alias("cost_high"),
+        *keep,
     )
 
 
+#: What a recommendation takes from its certificate.
+JOINED_COLUMNS = ("borough", "epc_rating", "epc_score", "epc_potential", "construction_age_band", "property_type")
+
+
 def joined_recommendations(spark: SparkSession, sf_dir: str, silver: DataFrame | None = None) -> DataFrame:
     """Recommendations ⋈ in-scope certificates (J1), NULL boroughs dropped (trap 5).
 
@@ -100,9 +105,11 @@ def joined_recommendations(spark: SparkSession, sf_dir: str, silver: DataFrame |
     certificate id; AQE may switch to broadcast when the silver side is small
     at run time, and splits skewed partitions. Hash tables of the certificates
     (a row per property) spare a sort of the wide recommendations, which spills.
+    Costs are parsed behind the join, so that the shuffle carries their text
+    alone and rows that meet no certificate are not parsed.
     """
     certs = (silver if silver is not None else certificates_silver(spark, sf_dir)).select(
-        "certificate_id", "borough", "epc_rating", "epc_score", "epc_potential",
-        "construction_age_band", "property_type",
+        F.col("certificate_id").alias("certificate_number"), *JOINED_COLUMNS,
     ).filter(F.col("borough").isNotNull())
-    return recommendations(spark, sf_dir).join(certs.hint("shuffle_hash"), "certificate_id", "inner")
+    raw = bronze.raw_recommendations(spark, sf_dir)
+    return recommendations_from_raw(raw.join(certs.hint("shuffle_hash"), "certificate_number", "inner"), *JOINED_COLUMNS)

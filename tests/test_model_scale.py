@@ -1,5 +1,9 @@
 """The forest's walk, its memberships and the partitions it is fitted on; the join that the retrofit layer is built with."""
 
+import datetime
+import hashlib
+import random
+
 import numpy as np
 import pytest
 from pyspark.ml.regression import RandomForestRegressor
@@ -65,3 +69,38 @@ def test_wide_recommendations_are_not_sorted_for_their_join(spark):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     assert "ShuffledHashJoin" in plan and "SortMergeJoin" not in plan
+
+
+def test_rollup_reports_read_narrow_homes_and_write_no_wide_rows(spark, tmp_path):
+    """Reports of the rollup build neither the wide certificates nor a table of single rows; what they add up is the same."""
+    import os
+
+    from hearth.plans import layers, retrofit, silver
+    from hearth.plans import queries  # noqa: F401  registers
+    from hearth.plans.catalog import all_queries
+    from hearth.session import scratch_path
+    rng = random.Random(8)
+    sf = str(tmp_path)
+    tables = {
+        "nation": ("n_nationkey long, n_name string, n_regionkey long", [(i, f"AREA {i}", i % 3) for i in range(4)]),
+        "customer": ("c_custkey long, c_nationkey long", [(i, i % 4) for i in range(60)] + [(3, 3), (None, 1), (60, None)]),
+        "orders": ("o_orderkey long, o_custkey long, o_orderstatus string, o_orderdate date",
+                   [(i % 280 if i else None, rng.randrange(61), rng.choice(["F", "P", "O", None]), datetime.date(1995, 1 + i % 12, 3)) for i in range(300)]),
+        "lineitem": ("l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int",
+                     [(rng.choice([None, *range(300)]), rng.randrange(200), rng.randrange(100), 1 + i % 4) for i in range(1500)]),
+    }
+    for name, (schema, rows) in tables.items():
+        spark.createDataFrame(rows, schema).repartition(2).write.parquet(f"{sf}/{name}.parquet")
+    for name in ("first_ranked_types", "area_category_costs"):
+        assert all_queries()[name](spark, sf).count() > 0
+    where = hashlib.sha1(f"{sf}|".encode()).hexdigest()[:16]
+    assert sorted(os.listdir(scratch_path(spark, f"silver/{where}"))) == ["homes", "retrofit_rollup"]
+    canon = lambda df: sorted(map(str, df.collect()))
+    base = layers.retrofit_base(spark, sf)
+    assert canon(layers.retrofit_rollup(spark, sf)) == canon(retrofit.rollup(base)) and base.count() > 50
+    assert base.columns[:5] == ["certificate_id", "priority", "improvement_id", "improvement_type", "indicative_cost"]
+    whole = silver.certificates_silver(spark, sf)
+    assert canon(layers.homes(spark, sf)) == canon(layers.certificates(spark, sf).select(*layers.HOME_COLUMNS))
+    # the sort of the dedup carries no column that no report reads
+    plan = whole.select(*layers.HOME_COLUMNS)._jdf.queryExecution().optimizedPlan().toString()
+    assert "energy_consumption" not in plan and "main_fuel" not in plan
