@@ -7,8 +7,8 @@ are skipped. Symbols that end up outside the vocabulary become byte pieces.
 
 No piece holds a word mark after another character, so merges never cross the
 start of a marked word (nor a line end, which is in no piece): the agenda runs per
-word, and a bounded table keeps the words met last. Every text is also encoded and decoded by the
-``sentencepiece`` library; a difference fails the task.
+word, and a bounded table keeps the words met last, from one task of a worker to the next. Every text is also
+encoded and decoded by the ``sentencepiece`` library; a difference fails the task.
 """
 
 from __future__ import annotations
@@ -16,17 +16,19 @@ from __future__ import annotations
 import hashlib
 import re
 import struct
+from array import array
 from collections.abc import Iterator
 from heapq import heappop, heappush
+from operator import itemgetter
 
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import by_value, map_rows
+from .common import by_value, map_rows, once
 
 MARK = "▁"
-#: Words kept per task (in each of two generations), with their ids.
+#: Words kept per worker (in each of two generations), with their ids.
 KEEP_WORDS = 300_000
 #: Kinds of pieces in the model format (fixed values).
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
@@ -125,6 +127,13 @@ class Vocabulary:
         marked = text.replace(" ", MARK)
         return _CUT[self.cut_lines].findall(MARK + marked if self.prefix else marked)
 
+    def spaced(self, text: str) -> list[str]:
+        """``words`` with spaces for marks, as they decode."""
+        if not text:
+            return []
+        plain = text.replace(MARK, " ")
+        return _CUT_SPACED[self.cut_lines].findall(" " + plain if self.prefix else plain)
+
     def encode(self, text: str) -> list[int]:
         return [i for w in self.words(text) for i in self.merge(w)]
 
@@ -142,6 +151,7 @@ class Vocabulary:
 
 #: Words; a line end, when no piece has one, is a word by itself.
 _CUT = {False: re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+"), True: re.compile(f"{MARK}+[^{MARK}\n]*|\n|[^{MARK}\n]+")}
+_CUT_SPACED = {lines: re.compile(cut.pattern.replace(MARK, " ")) for lines, cut in _CUT.items()}
 #: What a byte that is not part of a character decodes to (fixed value).
 _LOST = "�"
 UNKNOWN_SIGN = b"\0unknown"
@@ -295,7 +305,7 @@ class WordAgenda:
 
 
 class WordTable:
-    """Bounded table of words: count of ids, their digits, the ids, their surface. The older half goes when it is full."""
+    """Bounded table of words: their ids' digits, their surface, the ids (four bytes each). The older half goes when it is full."""
 
     def __init__(self, vocabulary: Vocabulary):
         self.v, self.surface, self.agenda = vocabulary, vocabulary.surface(), WordAgenda(vocabulary)
@@ -305,27 +315,42 @@ class WordTable:
 
     def texts(self, texts: list[str | None]) -> Iterator[tuple[int, str, str, list[tuple]]]:
         """Per text: count of ids, the ids' digits, the decoded text, the words' entries."""
-        cut = [self.v.words(t or "") for t in texts]
-        missing = set().union(*cut).difference(self.now)
-        if len(self.now) + len(missing) > KEEP_WORDS:
-            self.old, self.now = self.now, {}
-            missing = set().union(*cut)
-        for w in [w for w in missing if w in self.old]:
-            self.now[w] = self.old[w]
-            missing.discard(w)
-        new = list(missing)
+        cut = [self.v.spaced(t or "") for t in texts]
+        found = [list(map(self.now.get, words)) for words in cut]
+        missing = {w for words, got in zip(cut, found, strict=True) if None in got for w, g in zip(words, got, strict=True) if g is None}
+        if missing:
+            if len(self.now) + len(missing) > KEEP_WORDS:
+                self.old, self.now = self.now, {}
+            self._enter(missing)
+            found = [[self.now[w] if g is None else g for w, g in zip(words, got, strict=True)] if None in got else got
+                     for words, got in zip(cut, found, strict=True)]
+        for got in found:
+            text = "".join(map(_SURFACE, got))
+            text = text[1:] if self.v.prefix and text[:1] == " " else text
+            yield sum(map(len, map(_IDS, got))) // 4, ",".join(map(_DIGITS, got)), text, got
+
+    def _enter(self, missing: set[str]) -> None:
+        new = []
+        for w in missing:
+            if w in self.old:
+                self.now[w] = self.old[w]
+            else:
+                new.append(w)
         digits, surface = self.digits, self.surface
-        for w, ids in zip(new, self.agenda.merge(new), strict=True):
+        for w, ids in zip(new, self.agenda.merge([w.replace(" ", MARK) for w in new]), strict=True):
             parts = list(map(surface.__getitem__, ids))
             # a word's byte pieces spell whole characters, so its text stands alone
             whole = join_surface(parts, False) if int in map(type, parts) else b"".join(parts).decode()
-            self.now[w] = (len(ids), ",".join(map(digits.__getitem__, ids)), whole, ids)
-        get = self.now.__getitem__
-        for words in cut:
-            got = [get(w) for w in words]
-            text = "".join([g[2] for g in got])
-            text = text[1:] if self.v.prefix and text[:1] == " " else text
-            yield sum([g[0] for g in got]), ",".join([g[1] for g in got]), text, got
+            self.now[w] = (",".join(map(digits.__getitem__, ids)), w if whole == w else whole, array("i", ids).tobytes())
+
+
+#: Fields of a word's entry.
+_DIGITS, _SURFACE, _IDS = map(itemgetter, range(3))
+
+
+def entry_ids(got: list[tuple]) -> bytes:
+    """Ids of a text's words, four bytes each."""
+    return b"".join(map(_IDS, got))
 
 
 def encode(docs: DataFrame, model: bytes, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = True,
@@ -336,22 +361,24 @@ def encode(docs: DataFrame, model: bytes, id_col: str = "doc_id", text_col: str
     empty text; repeated rows are each returned; extra columns are not read; an empty table gives an empty
     result. ``model`` is the model file's content (half a megabyte: it travels with the task).
     """
-    sent = docs.sparkSession.sparkContext.broadcast(model)
+    sc = docs.sparkSession.sparkContext
+    sent, kept = sc.broadcast(model), sc.broadcast({})
 
     def run(parts: Iterator[dict]) -> Iterator[dict]:
         import sentencepiece
-        vocabulary = Vocabulary(sent.value)
-        library = sentencepiece.SentencePieceProcessor(model_proto=sent.value)
-        table, sha = WordTable(vocabulary), hashlib.sha256
+        table = once(kept.value, "words", lambda: WordTable(Vocabulary(sent.value)))
+        library = once(kept.value, "library", lambda: sentencepiece.SentencePieceProcessor(model_proto=sent.value))
+        sha = hashlib.sha256
         for p in parts:
             out: dict[str, list] = {n: [] for n in ("n_tokens", "ids", "ids_sha256", "decoded", "decoded_sha256")}
             for text, (n, digits, back, got) in zip(p["text"], table.texts(p["text"]), strict=True):
+                ids = entry_ids(got)
                 if text:
                     theirs = library.encode(text)
-                    if theirs != [i for g in got for i in g[3]] or back != library.decode(theirs):
+                    if array("i", theirs).tobytes() != ids or back != library.decode(theirs):
                         raise ValueError(f"ids or text differ from the library's: {text[:200]!r}")
                 out["n_tokens"].append(n)
-                out["ids"].append([i for g in got for i in g[3]] if with_ids else None)
+                out["ids"].append(np.frombuffer(ids, np.int32) if with_ids else None)
                 out["ids_sha256"].append(sha(digits.encode()).hexdigest())
                 out["decoded"].append(back if with_ids else None)
                 out["decoded_sha256"].append(sha(back.encode()).hexdigest())

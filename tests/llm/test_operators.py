@@ -3,6 +3,7 @@
 import json
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -419,8 +420,7 @@ def test_pipeline_against_plain_python(spark):
 
 def test_registered_queries_return_whole_tables(spark):
     for name, query in QUERIES.items():
-        key = "page_id" if name.startswith("op8_") else "doc_id"
-        table = "pages" if name.startswith("op8_") else "documents"
+        key, table = {"op8": ("page_id", "pages"), "op12": ("vec_id", "embeddings")}.get(name.split("_")[0], ("doc_id", "documents"))
         want = spark.read.parquet(f"{SF_SMALL}/{table}.parquet").select(key)
         got = query(spark, SF_SMALL).select(key)
         assert json.dumps(sorted(r[0] for r in got.collect())) == json.dumps(sorted(r[0] for r in want.collect())), name
@@ -441,3 +441,18 @@ def test_every_text_is_held_against_the_library(spark, monkeypatch):
     monkeypatch.setattr(codec, "WordTable", Off)
     with pytest.raises(Exception, match="differ from the library"):
         codec.encode(docs, model_bytes()).select("n_tokens").collect()
+
+
+def test_words_are_kept_between_the_tasks_of_a_worker(spark):
+    """A second task of one worker finds the words of the first: its texts are merged no more, and still held against the library."""
+    from hearth.llm import sentencepiece_codec as codec
+    table = codec.WordTable(codec.Vocabulary(model_bytes()))
+    texts = ["one two ▁three  \n é🙂 " * 3, "", None, " two ▁", "one"]
+    first = [(n, digits, back) for n, digits, back, _ in table.texts(texts)]
+    table.agenda.merge = lambda words: [pytest.fail(f"merged again: {words}")] if words else []
+    again = list(table.texts(texts))
+    assert [(n, digits, back) for n, digits, back, _ in again] == first
+    assert [np.frombuffer(codec.entry_ids(got), np.int32).tolist() for *_, got in again] == [
+        [int(i) for i in digits.split(",") if i] for _, digits, _ in first]
+    vocabulary = table.v
+    assert all([w.replace(" ", "▁") for w in vocabulary.spaced(t or "")] == vocabulary.words(t or "") for t in texts)
