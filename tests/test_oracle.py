@@ -44,7 +44,7 @@ def test_entry(spark):
 
 def test_every_query_has_an_oracle_or_is_a_model():
     missing = {q for q in set(queries()) - set(ORACLE) if not re.match(r"op\d+_|pipeline$", q)}   # the text operators have their own tests
-    models = {"pca_rank", "pca_components", "kmeans_sweep", "kmeans_tiers", "cluster_profile", "bisecting_tiers",
+    models = {"pca_rank", "pca_components", "kmeans_sweep", "kmeans_tiers", "cluster_profile", "bisecting_tiers", "ward_linkage", "ward_tiers",
               "method_agreement", "uplift_model_metrics", "path_attribution", "attribution_by_age_model",
               "greedy_model_summary"}
     assert missing == models
