@@ -19,17 +19,17 @@ import struct
 from array import array
 from collections.abc import Iterator
 from heapq import heappop, heappush
-from operator import itemgetter
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import by_value, map_rows, once
+from .common import by_value, map_batches, map_rows, once
 
 MARK = "▁"
 #: Words kept per worker (in each of two generations), with their ids.
-KEEP_WORDS = 300_000
+KEEP_WORDS = 600_000
 #: Kinds of pieces in the model format (fixed values).
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 BPE = 2
@@ -201,62 +201,74 @@ class WordAgenda:
     """The agenda of many words at once: a row per word, a column per symbol, the best pair of every row each round.
 
     ``rank`` orders pairs by score (equal scores share a rank, the leftmost pair wins), so each round merges in
-    every word the pair that its own agenda would give next.
+    every word the pair that its own agenda would give next. Words of one length are merged together: every row
+    that still has a pair loses one symbol a round, so the table has no empty columns. A pair is found at its left
+    symbol's ``base`` plus its right symbol; bases are dealt so that no two pairs share a place, where ``pair`` has
+    the left symbol and the rank.
     """
 
     NONE = np.int32(2**31 - 1)
-    #: Widths of the tables that words are sorted into; longer words go through ``Vocabulary.merge``.
-    WIDTHS = (8, 16, 32)
+    #: Longest words merged in tables; longer ones go through ``Vocabulary.merge``.
+    LONGEST = 32
 
     def __init__(self, v: Vocabulary):
         self.v = v
-        self.symbol = dict(v.ids)
+        symbol = dict(v.ids)
         for p in v.ids:
             for c in p:
-                self.symbol.setdefault(c, len(v.pieces) + len(self.symbol))
+                symbol.setdefault(c, len(v.pieces) + len(symbol))
+        other = max(symbol.values()) + 1   # any character of no piece: a symbol that no pair has
+        points = {ord(p): i for p, i in symbol.items() if len(p) == 1}
+        self.char = np.full(max(points) + 2, other, np.int32)   # the last place is for every higher character
+        self.char[list(points)] = list(points.values())
         ordered = sorted({-v.scores[i] for i in v.ids.values()})
         rank = dict(zip(ordered, range(len(ordered)), strict=True))
-        pairs = sorted((self.symbol[p[:k]] << 24 | self.symbol[p[k:]], rank[-v.scores[i]], i)
-                       for p, i in v.ids.items() for k in range(1, len(p)) if p[:k] in self.symbol and p[k:] in self.symbol)
-        self.keys = np.array([x[0] for x in pairs] + [2**62], np.int64)
-        self.ranks = np.array([x[1] for x in pairs] + [self.NONE], np.int32)
-        self.merged = np.array([x[2] for x in pairs] + [0], np.int32)
+        rows: dict[int, list[tuple[int, int]]] = {}
+        for p, i in v.ids.items():
+            for k in range(1, len(p)):
+                if p[:k] in symbol and p[k:] in symbol:
+                    rows.setdefault(symbol[p[:k]], []).append((symbol[p[k:]], i))
+        self._deal(rows, other, {i: rank[-v.scores[i]] for i in v.ids.values()})
+
+    def _deal(self, rows: dict[int, list[tuple[int, int]]], other: int, rank: dict[int, int]) -> None:
+        """Bases and places of all pairs, the left symbols with most pairs first; the room grows until all of a row's places are free."""
+        room = 4 * sum(map(len, rows.values())) + 1
+        draw, taken = np.random.default_rng(0), np.zeros(room + other, bool)
+        self.base = np.zeros(other + 1, np.int32)
+        for left, row in sorted(rows.items(), key=lambda x: (-len(x[1]), x[0])):
+            rights, tries = np.array([right for right, _ in row]), 0
+            while taken[(at := int(draw.integers(room)) + rights)].any():
+                tries += 1
+                if tries % 64 == 0:
+                    room, taken = 2 * room, np.concatenate([taken, np.zeros(room, bool)])
+            taken[at] = True
+            self.base[left] = at[0] - rights[0]
+        self.pair = np.full(int(self.base.max()) + other + 1, -1, np.int64)
+        self.merged = np.zeros(len(self.pair), np.int32)
+        for left, row in rows.items():
+            at = self.base[left] + np.array([right for right, _ in row])
+            self.pair[at], self.merged[at] = [left << 32 | rank[i] for _, i in row], [i for _, i in row]
 
     def _rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
-        key = left.astype(np.int64) << 24 | right
-        at = np.searchsorted(self.keys, key)
-        return np.where(self.keys[at] == key, self.ranks[at], self.NONE)
-
-    def merge(self, words: list[str]) -> list[list[int]]:
-        """Ids of every word, as ``Vocabulary.merge`` gives them."""
-        out: list[list[int]] = [[]] * len(words)
-        lengths, least = np.fromiter(map(len, words), np.int64, len(words)), 0
-        for width in self.WIDTHS:
-            rows = np.flatnonzero((lengths > least) & (lengths <= width))
-            least = width
-            if len(rows):
-                some = [words[i] for i in rows.tolist()]
-                symbols, counts = self._merge(some, width)
-                filled = np.arange(width) < counts[:, None]
-                odd = ((symbols >= self.known) & filled).any(1).tolist()
-                flat, end = symbols[filled].tolist(), np.cumsum(counts).tolist()
-                begin = 0
-                for i, w, e, o in zip(rows.tolist(), some, end, odd, strict=True):
-                    out[i] = self._spell(w, flat[begin:e]) if o else flat[begin:e]
-                    begin = e
-        for i in np.flatnonzero(lengths > least).tolist():
-            out[i] = self.v.merge(words[i])
+        pair = self.pair[self.base[left] + right]
+        return np.where(pair >> 32 == left, pair.astype(np.int32), self.NONE)
+
+    def merge(self, words: list[str]) -> list[bytes]:
+        """Ids of every word, as ``Vocabulary.merge`` gives them, four bytes each."""
+        out, lengths = [b""] * len(words), np.fromiter(map(len, words), np.int64, len(words))
+        for n in np.unique(lengths).tolist():
+            rows = np.flatnonzero(lengths == n).tolist()
+            some = [words[i] for i in rows]
+            ids = self._merge(some, n) if 0 < n <= self.LONGEST else [array("i", self.v.merge(w)).tobytes() for w in some]
+            for i, x in zip(rows, ids, strict=True):
+                out[i] = x
         return out
 
-    @property
-    def known(self) -> int:
-        return len(self.v.pieces)
-
     def _spell(self, word: str, ids: list[int]) -> list[int]:
         """Byte pieces (or the unknown piece) for symbols outside the vocabulary, found again by their place."""
         out, at = [], 0
         for i in ids:
-            if i < self.known:
+            if i < len(self.v.pieces):
                 out.append(i)
                 at += len(self.v.pieces[i])
             else:
@@ -267,90 +279,129 @@ class WordAgenda:
                     out.append(self.v.unknown)
         return out
 
-    def _merge(self, words: list[str], width: int) -> tuple[np.ndarray, np.ndarray]:
-        points = np.array(words, dtype=f"U{width}").view(np.uint32).reshape(len(words), width)
-        counts = np.array([len(w) for w in words], np.int64)
-        chars, code = np.unique(points, return_inverse=True)
-        other = (1 << 24) - 1   # any character of no piece: a symbol that no pair has
-        ids = np.array([self.symbol.get(chr(c), other) for c in chars.tolist()], np.int32)
-        s = ids[code.reshape(points.shape)]
-        column = np.arange(width)
-        s[column >= counts[:, None]] = other
-        r = np.full(s.shape, self.NONE, np.int32)
-        r[:, :-1] = self._rank(s[:, :-1], s[:, 1:])
-        done_s, where = s.copy(), np.arange(len(words))
-        while len(where):
-            j = r.argmin(1)
-            rows = np.arange(len(where))
+    def _merge(self, words: list[str], n: int) -> list[bytes]:
+        """``merge`` of words of ``n`` characters each."""
+        out = [b""] * len(words)
+
+        def put(where: np.ndarray, s: np.ndarray) -> None:
+            odd, flat, step = (s >= len(self.v.pieces)).any(1).tolist(), s.tobytes(), 4 * s.shape[1]
+            for k, (i, o) in enumerate(zip(where.tolist(), odd, strict=True)):
+                out[i] = array("i", self._spell(words[i], s[k].tolist())).tobytes() if o else flat[k * step:(k + 1) * step]
+        points = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32).reshape(len(words), n)
+        s = self.char[np.minimum(points, len(self.char) - 1)]
+        r, where = self._rank(s[:, :-1], s[:, 1:]), np.arange(len(words))
+        while r.shape[1]:
+            j, rows = r.argmin(1), np.arange(len(where))
             live = r[rows, j] < self.NONE
             if not live.all():
-                done_s[where[~live]] = s[~live]
+                put(where[~live], s[~live])
                 s, r, j, where = s[live], r[live], j[live], where[live]
                 rows = rows[:len(where)]
-                if not len(where):
-                    break
-            key = s[rows, j].astype(np.int64) << 24 | s[rows, j + 1]
-            new = self.merged[np.searchsorted(self.keys, key)]
-            counts[where] -= 1
-            later = column[:-1] > j[:, None]
-            s[:, :-1] = np.where(later, s[:, 1:], s[:, :-1])
-            s[:, -1] = other
-            r[:, :-1] = np.where(later, r[:, 1:], r[:, :-1])
-            r[:, -1] = self.NONE
+            new = self.merged[self.base[s[rows, j]] + s[rows, j + 1]]
             s[rows, j] = new
-            r[rows, j] = self._rank(new, s[rows, np.minimum(j + 1, width - 1)])
-            inner = np.flatnonzero(j > 0)
-            r[inner, j[inner] - 1] = self._rank(s[inner, j[inner] - 1], new[inner])
-        return done_s, counts
+            left, right = np.ones(s.shape, bool), np.ones(r.shape, bool)
+            left[rows, j + 1] = right[rows, j] = False
+            s, r = s[left].reshape(len(rows), s.shape[1] - 1), r[right].reshape(len(rows), r.shape[1] - 1)
+            has = np.flatnonzero(j < r.shape[1])
+            r[has, j[has]] = self._rank(new[has], s[has, j[has] + 1])
+            has = np.flatnonzero(j > 0)
+            r[has, j[has] - 1] = self._rank(s[has, j[has] - 1], new[has])
+        put(where, s)
+        return out
 
 
 class WordTable:
-    """Bounded table of words: their ids' digits, their surface, the ids (four bytes each). The older half goes when it is full."""
+    """Bounded table of words and their ids (four bytes each). The older half goes when it is full."""
 
     def __init__(self, vocabulary: Vocabulary):
         self.v, self.surface, self.agenda = vocabulary, vocabulary.surface(), WordAgenda(vocabulary)
-        self.digits = [str(i) for i in range(len(vocabulary.pieces))]
-        self.now: dict[str, tuple] = {}
-        self.old: dict[str, tuple] = {}
-
-    def texts(self, texts: list[str | None]) -> Iterator[tuple[int, str, str, list[tuple]]]:
-        """Per text: count of ids, the ids' digits, the decoded text, the words' entries."""
-        cut = [self.v.spaced(t or "") for t in texts]
-        found = [list(map(self.now.get, words)) for words in cut]
-        missing = {w for words, got in zip(cut, found, strict=True) if None in got for w, g in zip(words, got, strict=True) if g is None}
-        if missing:
-            if len(self.now) + len(missing) > KEEP_WORDS:
-                self.old, self.now = self.now, {}
-            self._enter(missing)
-            found = [[self.now[w] if g is None else g for w, g in zip(words, got, strict=True)] if None in got else got
-                     for words, got in zip(cut, found, strict=True)]
-        for got in found:
-            text = "".join(map(_SURFACE, got))
+        #: The pieces' texts; byte pieces and the like have none alone and are ``partial``.
+        self.plain = [p.decode() if isinstance(p, bytes) and not p.startswith(UNKNOWN_SIGN) else "" for p in self.surface]
+        self.lengths = np.fromiter(map(len, self.plain), np.int64, len(self.plain))
+        self.partial = self.lengths == 0
+        #: Digits of every id, with a comma.
+        self.digits = np.array([f"{i},".encode() for i in range(len(vocabulary.pieces))])
+        self.now: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+        #: What those words decode to that don't decode to themselves.
+        self.odd: dict[str, str] = {}
+
+    def texts(self, texts: list[str | None]) -> Iterator[tuple[int, str, str, np.ndarray]]:
+        """Per text: count of ids, the ids' digits, the decoded text, the ids. Every word is looked up once, however often it comes."""
+        plain = [(" " if self.v.prefix else "") + t.replace(MARK, " ") if t else "" for t in texts]
+        words, ends = self._cut(plain)
+        coded = words.dictionary_encode()
+        names = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        found = self._found(names)
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        each, begin, index = np.frombuffer(b"".join(found), np.int32), np.cumsum(sizes) - sizes, coded.indices.to_numpy()
+        upto = np.concatenate([[0], np.cumsum(sizes[index])])
+        ids = each[np.repeat(begin[index] - upto[:-1], sizes[index]) + np.arange(upto[-1])]
+        digits, odd, at = self.digits[ids], {w: self.odd[w] for w in names if w in self.odd} if self.odd else {}, 0
+        for t, p, end in zip(texts, plain, upto[ends].tolist(), strict=True):
+            text = "".join(odd.get(w, w) for w in self.v.spaced(t or "")) if odd else p
             text = text[1:] if self.v.prefix and text[:1] == " " else text
-            yield sum(map(len, map(_IDS, got))) // 4, ",".join(map(_DIGITS, got)), text, got
-
-    def _enter(self, missing: set[str]) -> None:
-        new = []
-        for w in missing:
-            if w in self.old:
-                self.now[w] = self.old[w]
+            yield end - at, digits[at:end].tobytes().translate(None, b"\0")[:-1].decode(), text, ids[at:end]
+            at = end
+
+    def _cut(self, plain: list[str]) -> tuple[pa.StringArray, np.ndarray]:
+        """Words of all texts in one array, as ``Vocabulary.spaced`` cuts them, and the number of words up to each text's end."""
+        _, ends, data = pa.array(plain, pa.string()).buffers()
+        ends = np.frombuffer(ends, np.int32)[:len(plain) + 1]
+        raw = np.frombuffer(data, np.uint8)[:ends[-1]] if ends[-1] else np.zeros(0, np.uint8)
+        start, space = np.zeros(len(raw) + 1, bool), raw == ord(" ")
+        start[:-1] = space
+        start[1:-1] &= ~space[:-1]
+        if self.v.cut_lines:
+            line = raw == ord("\n")
+            start[:-1] |= line
+            start[1:] |= line
+        start[ends] = True
+        at = np.flatnonzero(start).astype(np.int32)
+        words = pa.Array.from_buffers(pa.string(), len(at) - 1, [None, pa.py_buffer(at), pa.py_buffer(raw)])
+        return words, np.searchsorted(at, ends[1:])
+
+    def _found(self, words: list[str]) -> list[bytes]:
+        """The ids of distinct words, which are entered where they are not known."""
+        found = list(map(self.now.get, words))
+        missing = [w for w, g in zip(words, found, strict=True) if g is None]
+        if not missing:
+            return found
+        if len(self.now) + len(missing) > KEEP_WORDS:
+            self.old, self.now = self.now, {}
+            self.odd = {w: t for w, t in self.odd.items() if w in self.old}
+        entered = iter(self._enter(missing))
+        return [next(entered) if g is None else g for g in found]
+
+    def _enter(self, missing: list[str]) -> list[bytes]:
+        """The ids of words that the younger half lacks, entered there."""
+        found = list(map(self.old.get, missing))
+        new = [w for w, g in zip(missing, found, strict=True) if g is None]
+        made = self.agenda.merge([w.replace(" ", MARK) for w in new])
+        self._decode(new, made)
+        entered = iter(made)
+        found = [next(entered) if g is None else g for g in found]
+        self.now.update(zip(missing, found, strict=True))
+        return found
+
+    def _decode(self, words: list[str], made: list[bytes]) -> None:
+        """Decodes new words, all pieces in one pass, and keeps the texts that are not the words themselves."""
+        ids = np.frombuffer(b"".join(made), np.int32)
+        ends = np.cumsum(np.fromiter(map(len, made), np.int64, len(made)) // 4)
+        text = "".join(map(self.plain.__getitem__, ids.tolist()))
+        upto, parts = (np.concatenate([[0], np.cumsum(x[ids])[ends - 1]]).tolist() for x in (self.lengths, self.partial))
+        for k, w in enumerate(words):
+            if parts[k] < parts[k + 1]:   # a word's byte pieces spell whole characters, so its text stands alone
+                whole = join_surface([self.surface[i] for i in array("i", made[k])], False)
             else:
-                new.append(w)
-        digits, surface = self.digits, self.surface
-        for w, ids in zip(new, self.agenda.merge([w.replace(" ", MARK) for w in new]), strict=True):
-            parts = list(map(surface.__getitem__, ids))
-            # a word's byte pieces spell whole characters, so its text stands alone
-            whole = join_surface(parts, False) if int in map(type, parts) else b"".join(parts).decode()
-            self.now[w] = (",".join(map(digits.__getitem__, ids)), w if whole == w else whole, array("i", ids).tobytes())
+                whole = text[upto[k]:upto[k + 1]]
+            if whole != w:
+                self.odd[w] = whole
 
 
-#: Fields of a word's entry.
-_DIGITS, _SURFACE, _IDS = map(itemgetter, range(3))
-
-
-def entry_ids(got: list[tuple]) -> bytes:
-    """Ids of a text's words, four bytes each."""
-    return b"".join(map(_IDS, got))
+def entry_ids(got: np.ndarray) -> bytes:
+    """Ids of a text, four bytes each."""
+    return got.tobytes()
 
 
 def encode(docs: DataFrame, model: bytes, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = True,
@@ -364,28 +415,28 @@ def encode(docs: DataFrame, model: bytes, id_col: str = "doc_id", text_col: str
     sc = docs.sparkSession.sparkContext
     sent, kept = sc.broadcast(model), sc.broadcast({})
 
-    def run(parts: Iterator[dict]) -> Iterator[dict]:
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         import sentencepiece
         table = once(kept.value, "words", lambda: WordTable(Vocabulary(sent.value)))
         library = once(kept.value, "library", lambda: sentencepiece.SentencePieceProcessor(model_proto=sent.value))
         sha = hashlib.sha256
         for p in parts:
+            texts = p.column("text").to_pylist()
             out: dict[str, list] = {n: [] for n in ("n_tokens", "ids", "ids_sha256", "decoded", "decoded_sha256")}
-            for text, (n, digits, back, got) in zip(p["text"], table.texts(p["text"]), strict=True):
-                ids = entry_ids(got)
+            for text, (n, digits, back, got) in zip(texts, table.texts(texts), strict=True):
                 if text:
                     theirs = library.encode(text)
-                    if array("i", theirs).tobytes() != ids or back != library.decode(theirs):
+                    if array("i", theirs).tobytes() != entry_ids(got) or back != library.decode(theirs):
                         raise ValueError(f"ids or text differ from the library's: {text[:200]!r}")
                 out["n_tokens"].append(n)
-                out["ids"].append(np.frombuffer(ids, np.int32) if with_ids else None)
+                out["ids"].append(got if with_ids else None)
                 out["ids_sha256"].append(sha(digits.encode()).hexdigest())
                 out["decoded"].append(back if with_ids else None)
                 out["decoded_sha256"].append(sha(back.encode()).hexdigest())
-            yield {"doc_id": p["id"]} | out
+            yield {"doc_id": p.column("id").to_pylist()} | out
     kind = docs.select(id_col).schema[0].dataType.simpleString()
-    return map_rows(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")),
-                    f"doc_id {kind}, n_tokens long, ids array<int>, ids_sha256 string, decoded string, decoded_sha256 string", run)
+    return map_batches(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")),
+                       f"doc_id {kind}, n_tokens long, ids array<int>, ids_sha256 string, decoded string, decoded_sha256 string", run)
 
 
 def decode(rows: DataFrame, model: bytes, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:

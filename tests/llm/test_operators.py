@@ -456,3 +456,48 @@ def test_words_are_kept_between_the_tasks_of_a_worker(spark):
         [int(i) for i in digits.split(",") if i] for _, digits, _ in first]
     vocabulary = table.v
     assert all([w.replace(" ", "▁") for w in vocabulary.spaced(t or "")] == vocabulary.words(t or "") for t in texts)
+
+
+def test_distinct_words_of_a_batch_are_looked_up_once():
+    """A word that comes in many texts of a batch costs one look into the table; all texts still get their own ids and text."""
+    import sentencepiece
+    from hearth.llm import sentencepiece_codec as codec
+    library = sentencepiece.SentencePieceProcessor(model_proto=model_bytes())
+    asked = []
+
+    class Counted(dict):
+        def get(self, key, default=None):
+            asked.append(key)
+            return super().get(key, default)
+    table = codec.WordTable(codec.Vocabulary(model_bytes()))
+    table.now = Counted()
+    texts = ["one two two\none  two ▁three é🙂\n\n two", " ", None, "\n", "", "two \n two"] * 40
+    for _ in range(2):
+        asked.clear()
+        for text, (n, digits, back, got) in zip(texts, table.texts(texts), strict=True):
+            ids = library.encode(text or "")
+            assert (n, digits, back) == (len(ids), ",".join(map(str, ids)), library.decode(ids))
+            assert np.frombuffer(codec.entry_ids(got), np.int32).tolist() == ids
+        assert len(asked) == len(set(asked)) > 5
+
+
+@pytest.mark.parametrize("bytes_known", [True, False])
+def test_word_table_over_generations(monkeypatch, bytes_known):
+    """Words of every length and with unknown characters, while the table's halves change places: as the agenda of a single word."""
+    from hearth.llm import sentencepiece_codec as codec
+    monkeypatch.setattr(codec, "KEEP_WORDS", 60)
+    vocabulary = codec.Vocabulary(model_bytes())
+    if not bytes_known:
+        vocabulary.byte_ids = None
+    table, surface = codec.WordTable(vocabulary), vocabulary.surface()
+    rng = random.Random(11)
+    pool = ["".join(rng.choice("theinrsaoué🙂\U0001F9FFЖ") for _ in range(n)) for n in range(1, 45) for _ in range(4)]
+    assert [np.frombuffer(x, np.int32).tolist() for x in table.agenda.merge(pool)] == [vocabulary.merge(w) for w in pool]
+    for _ in range(30):
+        texts = [" ".join(rng.choices(pool, k=rng.randint(0, 12))) for _ in range(4)]
+        for text, (n, digits, back, got) in zip(texts, table.texts(texts), strict=True):
+            ids = vocabulary.encode(text)
+            assert got.tolist() == ids and n == len(ids) and digits == ",".join(map(str, ids))
+            assert back == codec.join_surface([surface[i] for i in ids], vocabulary.prefix)
+        assert len(table.now) <= 60 and len(table.old) <= 60
+        assert set(table.odd) <= set(table.now) | set(table.old)
