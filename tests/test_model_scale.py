@@ -104,3 +104,24 @@ def test_rollup_reports_read_narrow_homes_and_write_no_wide_rows(spark, tmp_path
     # the sort of the dedup carries no column that no report reads
     plan = whole.select(*layers.HOME_COLUMNS)._jdf.queryExecution().optimizedPlan().toString()
     assert "energy_consumption" not in plan and "main_fuel" not in plan
+
+
+def test_area_models_build_narrow_tables_only(spark, tmp_path):
+    """The features that the k sweep and its check read come of narrow homes and of the rollup; no wide table is written for them."""
+    import os
+
+    from hearth.plans import analytics
+    from hearth.session import scratch_path
+    sf = str(tmp_path)
+    tables = {
+        "nation": ("n_nationkey long, n_name string, n_regionkey long", [(i, f"AREA {i}", i % 3) for i in range(4)]),
+        "customer": ("c_custkey long, c_nationkey long", [(i, i % 4) for i in range(60)]),
+        "orders": ("o_orderkey long, o_custkey long, o_orderstatus string, o_orderdate date",
+                   [(i, i % 60, "FP"[i % 2], datetime.date(1995, 1 + i % 12, 3)) for i in range(300)]),
+        "lineitem": ("l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int", [(i % 300, i % 200, i % 97, 1 + i % 4) for i in range(1200)]),
+    }
+    for name, (schema, rows) in tables.items():
+        spark.createDataFrame(rows, schema).repartition(2).write.parquet(f"{sf}/{name}.parquet")
+    assert analytics.area_features(spark, sf).count() == 4
+    where = hashlib.sha1(f"{sf}|".encode()).hexdigest()[:16]
+    assert sorted(os.listdir(scratch_path(spark, f"silver/{where}"))) == ["homes", "retrofit_rollup"]
