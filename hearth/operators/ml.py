@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import scratch_path
+from ..session import durable, scratch_path
 
 
 def assemble(df: DataFrame, cols: list[str], out: str = "features") -> DataFrame:
@@ -62,37 +62,87 @@ def pca(df: DataFrame, cols: list[str], k: int, anchor: F.Column | None = None):
 
 # ------------------------------------------------------------------ k-means
 
-#: Rows, chosen by a hash, from which the first centres are drawn (the rounds themselves run over all rows).
-SEED_ROWS = 4096
+def _first_centres(rows: DataFrame, k: int, seeds) -> dict[int, np.ndarray]:
+    """k-means++ over all rows, at most ``k`` centres a seed: each next one is drawn with odds of its squared distance to the nearest one.
 
+    ``rows`` (the columns, and last the number of the partition) lie in one order. A pass adds up the odds by partition and
+    seed, the driver draws a place in their sum, and a second pass fetches the row there. What reaches the driver is a
+    number per partition and seed, and a row per seed. The centres of a smaller k are the first ones of the same seed.
+    """
+    seeds, cols, part = list(seeds), rows.columns[:-1], rows.columns[-1]
+    rngs, chains = [np.random.default_rng(s) for s in seeds], [np.empty((0, len(cols))) for _ in seeds]
 
-def _first_centres(points: np.ndarray, k: int, seed: int) -> np.ndarray:
-    """k-means++ over a bounded sample: each next centre is drawn with odds of its squared distance to the nearest one."""
-    rng = np.random.default_rng(seed)
-    centres = [points[rng.integers(len(points))]]
-    near = ((points - centres[0]) ** 2).sum(1)
-    while len(centres) < min(k, len(points)):
-        total = near.sum()
-        at = rng.choice(len(points), p=near / total) if total > 0 else rng.integers(len(points))
-        centres.append(points[at])
-        near = np.minimum(near, ((points - points[at]) ** 2).sum(1))
-    return np.array(centres)
-
+    def odds(x, chain, even):
+        return np.ones(len(x)) if even else ((x[:, None, :] - chain) ** 2).sum(2).min(1)
 
-def kmeans_models(df: DataFrame, cols: list[str], ks, seeds=range(42, 52), max_iter: int = 50) -> dict[int, tuple[float, np.ndarray]]:
+    def added(even: list[bool]) -> dict[int, list[float]]:
+        def run(batches):
+            total, at = np.zeros(len(chains)), None
+            for pdf in batches:
+                if len(pdf):
+                    x, at = pdf[cols].to_numpy(dtype=float), int(pdf[part].iloc[0])
+                    total += [odds(x, c, e).sum() for c, e in zip(chains, even)]
+            if at is not None:
+                yield pd.DataFrame({"at": [at], "total": [total.tolist()]})
+        return {r["at"]: r["total"] for r in rows.mapInPandas(run, "at int, total array<double>").collect()}
+
+    def fetched(places: list[tuple[int, float]], even: list[bool]) -> list[list[float]]:
+        def run(batches):
+            passed, last, open_ = [0.0] * len(places), {}, set(range(len(places)))
+            for pdf in batches:
+                if not len(pdf):
+                    continue
+                x = pdf[cols].to_numpy(dtype=float)
+                for i in [i for i in open_ if places[i][0] == pdf[part].iloc[0]]:
+                    w = odds(x, chains[i], even[i])
+                    upto = passed[i] + w.cumsum()
+                    j = int(upto.searchsorted(places[i][1], side="right"))
+                    if j < len(x):
+                        open_.discard(i)
+                        yield pd.DataFrame({"i": [i], "x": [x[j].tolist()]})
+                    elif w.any():   # the last bits of sums may put a place behind all rows
+                        last[i] = x[np.flatnonzero(w)[-1]].tolist()
+                    passed[i] = upto[-1]
+            for i in open_ & set(last):
+                yield pd.DataFrame({"i": [i], "x": [last[i]]})
+        found = {r["i"]: r["x"] for r in rows.mapInPandas(run, "i int, x array<double>").collect()}
+        return [found[i] for i in range(len(places))]
+
+    sizes = added([True] * len(seeds))
+    n = int(sum(t[0] for t in sizes.values()))
+    for step in range(min(k, n)):
+        sums = added([False] * len(seeds)) if step else sizes
+        even, places = [], []
+        for i, rng in enumerate(rngs):
+            even.append(sum(t[i] for t in sums.values()) <= 0 or not step)   # all rows lie on centres
+            parts = [(at, (sizes if even[i] else sums)[at][i]) for at in sorted(sums)]
+            place = float(rng.integers(n)) if even[i] else rng.random() * sum(t for _, t in parts)
+            whole = [(at, t) for at, t in parts if t > 0]
+            while len(whole) > 1 and place >= whole[0][1]:
+                place -= whole.pop(0)[1]
+            places.append((whole[0][0], place))
+        chains = [np.vstack([c, x]) for c, x in zip(chains, fetched(places, even))]
+    return dict(zip(seeds, chains))
+
+
+def kmeans_models(df: DataFrame, cols: list[str], ks, seeds=range(42, 52)) -> dict[int, tuple[float, np.ndarray]]:
     """``{k: (inertia, centres)}``: the best of the seeded models of each k, ties to the lowest seed.
 
     All models advance together: one pass over the rows a round assigns each row to the nearest centre of every
     model still moving, and adds up their sums in the task. What is shuffled and what reaches the driver is one row
-    per model and centre. A last pass gives the inertia of the final centres.
+    per model and centre. A model moves until its centres are the means of their rows; a centre left without rows goes
+    on from the row farthest from its own. A last pass gives the inertia of the final centres.
     """
-    steady = [F.round(F.col(c).cast("double"), 6) for c in cols]   # the last bits of sums differ from run to run
-    sample = np.array(df.select(*[F.col(c).cast("double").alias(c) for c in cols]).orderBy(F.xxhash64(*steady), *steady).limit(SEED_ROWS).collect(), float)
-    if not len(sample):
+    steady = [F.round(F.col(c), 6) for c in cols]   # the last bits of sums differ from run to run
+    stored = durable(df.select(*[F.col(c).cast("double").alias(c) for c in cols]).orderBy(F.xxhash64(*steady), *steady)
+                     .withColumn("_part", F.spark_partition_id()))
+    ks, seeds = list(ks), list(seeds)
+    first = _first_centres(stored, max(ks), seeds)
+    if not any(len(c) for c in first.values()):
         return {}
-    models = {(k, s): _first_centres(sample, k, s) for k in ks for s in seeds}
+    models = {(k, s): first[s][:k].copy() for k in ks for s in seeds}
     names = list(models)
-    rows, d = df.select(*[F.col(c).cast("double").alias(c) for c in cols]), len(cols)
+    rows, d = stored.drop("_part"), len(cols)
 
     def sums(moving: list[tuple[int, int]]):
         centres = [models[m] for m in moving]   # bounded by the models asked for
@@ -114,15 +164,25 @@ def kmeans_models(df: DataFrame, cols: list[str], ks, seeds=range(42, 52), max_i
         parts = rows.mapInPandas(run, "model int, centre int, n double, s array<double>, cost double")
         return parts.groupBy("model", "centre").agg(
             F.sum("n").alias("n"), F.array(*[F.sum(F.col("s")[j]) for j in range(d)]).alias("s"), F.sum("cost").alias("cost")).collect()
-    moving = names
-    for _ in range(max_iter):
-        before = {m: models[m].copy() for m in moving}
+
+    def farthest(centres: np.ndarray, n: int) -> list[np.ndarray]:
+        far = rows.withColumn("_far", nearest_centre(cols, centres)[1]).where("_far > 0").orderBy(F.desc(F.round("_far", 6)), *steady)
+        return [np.array(r[:d]) for r in far.limit(n).collect()]   # at most the model's centres
+    moving, last = names, dict.fromkeys(names, np.inf)
+    while moving:
+        before, cost, empty = {m: models[m].copy() for m in moving}, dict.fromkeys(moving, 0.0), {}
         for r in sums(moving):
-            if r["n"] > 0:   # an empty centre stays
-                models[moving[r["model"]]][r["centre"]] = np.array(r["s"]) / r["n"]
-        moving = [m for m in moving if np.abs(models[m] - before[m]).max() > 1e-9]
-        if not moving:
-            break
+            m = moving[r["model"]]
+            cost[m] += r["cost"]
+            if r["n"] > 0:
+                models[m][r["centre"]] = np.array(r["s"]) / r["n"]
+            else:
+                empty.setdefault(m, []).append(r["centre"])
+        for m, at in empty.items():
+            for j, x in zip(sorted(at), farthest(before[m], len(at))):
+                models[m][j] = x
+        # the cost falls in every round that moves a row; the last bits of sums move none
+        moving, last = [m for m in moving if np.abs(models[m] - before[m]).max() > 1e-9 and cost[m] < last[m]], cost
     cost = dict.fromkeys(names, 0.0)
     for r in sums(names):
         cost[names[r["model"]]] += r["cost"]
@@ -201,6 +261,30 @@ def silhouette_rows(df: DataFrame, features: list[str], cluster: str, out: str =
     return df.withColumn(out, s)
 
 
+#: Slices of the members that a row is compared with: no task meets more than one of them at once.
+PAIR_SLICES = 64
+
+
+def pairwise_silhouettes(df: DataFrame, features: list[str], cluster: str, by: str, out: str = "silhouette") -> DataFrame:
+    """Per-row silhouette with Euclidean distance among the rows equal in ``by`` (M6): every row's distance to every other one.
+
+    A mean of distances has no closed form, so all pairs are made: rows and slices of the members meet by hash, and their
+    distances are added up by row and cluster before the shuffle. A row alone in its cluster has silhouette 0.
+    """
+    rows = durable(df.withColumn("_row", F.monotonically_increasing_id()))
+    members = rows.select(F.col(by).alias("_by"), F.col(cluster).alias("_other"), *[F.col(c).alias(f"_m_{c}") for c in features],
+                          (F.col("_row") % PAIR_SLICES).alias("_of"))
+    sliced = rows.select("_row", by, F.col(cluster).alias("_own"), *features, F.explode(F.sequence(F.lit(0), F.lit(PAIR_SLICES - 1))).alias("_slice"))
+    square = [(F.col(c) - F.col(f"_m_{c}")) * (F.col(c) - F.col(f"_m_{c}")) for c in features]
+    sums = (sliced.join(members, (F.col(by) == F.col("_by")) & (F.col("_slice") == F.col("_of")))
+            .groupBy("_row", "_own", "_other").agg(F.sum(F.sqrt(sum(square[1:], square[0]))).alias("_d"), F.count(F.lit(1)).alias("_n")))
+    same, a, b = F.col("_own") == F.col("_other"), F.col("_a"), F.col("_b")
+    each = sums.groupBy("_row").agg(F.max(F.when(same & (F.col("_n") > 1), F.col("_d") / (F.col("_n") - 1))).alias("_a"),
+                                    F.min(F.when(~same, F.col("_d") / F.col("_n"))).alias("_b"))
+    value = F.when(F.greatest(a, b) > 0, F.when(a.isNotNull() & b.isNotNull(), (b - a) / F.greatest(a, b))).otherwise(F.lit(0.0))
+    return rows.join(each.select("_row", F.coalesce(value, F.lit(0.0)).alias(out)), "_row").drop("_row")
+
+
 # ------------------------------------------------------------------ forest
 
 #: Rows of a partition that a forest is fitted on, at most: a task holds their tree counts and current nodes.

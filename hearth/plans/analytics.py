@@ -15,8 +15,6 @@ age group feeds the same greedy cover as the SQL-checked estimate.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.ml.feature import StringIndexer
 from pyspark.ml.regression import RandomForestRegressionModel
 from pyspark.sql import DataFrame, SparkSession
@@ -79,13 +77,11 @@ def sweep_table(spark, sf_dir) -> tuple[DataFrame, list[tuple]]:
     """(areas x k with cluster, distance and silhouette, written once; the models' own (k, inertia))."""
     scored = durable(area_components(spark, sf_dir)[0])   # read in every round
     long, costs = ml.kmeans_assignments(scored, "borough", Z)
-    long = durable(long)   # silhouettes then read the clusters as stored
-    with_rows = [ml.silhouette_rows(long.where(F.col("k") == k), Z, "cluster") for k, _ in costs]   # six k's
-    return durable(reduce(DataFrame.unionByName, with_rows) if with_rows else long.withColumn("silhouette", F.lit(0.0))), costs
+    return durable(ml.pairwise_silhouettes(long, Z, "cluster", "k")), costs
 
 
 def kmeans_sweep(spark, sf_dir) -> DataFrame:
-    """(k, inertia, silhouette) of the best of ten seeded models for each k (M6)."""
+    """(k, inertia, silhouette) of the best of ten seeded models for each k, silhouettes by Euclidean distance (M6)."""
     long, _ = sweep_table(spark, sf_dir)
     return long.groupBy("k").agg(F.sum("distance").alias("inertia"), F.avg("silhouette").alias("silhouette"))
 

@@ -63,6 +63,62 @@ def test_batched_kmeans(spark):
     assert ml.kmeans_models(df.limit(0), ["a", "b"], [2]) == {}
 
 
+def test_first_centres_are_drawn_from_all_rows(spark):
+    """The draws are those of k-means++ over the whole table in its order, however it is cut; none is left out."""
+    rng = np.random.default_rng(5)
+    points = np.round(rng.normal(0, 1, (9000, 2)), 3)
+    df = spark.createDataFrame([tuple(map(float, p)) for p in points], "a double, b double")
+    steady = [F.round(F.col(c), 6) for c in ("a", "b")]
+    stored = df.repartition(3).orderBy(F.xxhash64(*steady), *steady).withColumn("_part", F.spark_partition_id()).localCheckpoint()
+    whole = np.array(stored.select("a", "b").collect())
+    found = ml._first_centres(stored, 4, range(6))
+    for seed, centres in found.items():
+        draw = np.random.default_rng(seed)
+        want = [whole[draw.integers(len(whole))]]
+        while len(want) < 4:
+            near = ((whole[:, None] - np.array(want)) ** 2).sum(2).min(1)
+            want.append(whole[draw.choice(len(whole), p=near / near.sum())])
+        assert centres == pytest.approx(np.array(want))
+    first = {tuple(p) for p in whole[:4096]}
+    assert any(tuple(c) not in first for centres in found.values() for c in centres)
+    alike = stored.limit(5).selectExpr("0D AS a", "0D AS b", "0 AS _part").localCheckpoint()
+    assert ml._first_centres(alike, 3, [1])[1].tolist() == [[0, 0]] * 3
+
+
+def test_kmeans_refills_empty_centres_and_runs_to_the_end(spark, monkeypatch):
+    """A centre without rows goes to the farthest row; rounds go on until no centre moves, more than fifty of them."""
+    line = spark.createDataFrame([(float(i),) for i in range(400)], "a double")
+    monkeypatch.setattr(ml, "_first_centres", lambda rows, k, seeds: {s: np.array([[0.0], [1.0], [2.0]]) for s in seeds})
+    cost, centres = ml.kmeans_models(line, ["a"], [3], [1])[3]
+    x = np.arange(400.0)
+    own = np.abs(x[:, None] - centres.ravel()).argmin(1)
+    assert centres.ravel() == pytest.approx([x[own == j].mean() for j in range(3)]) and np.bincount(own).min() > 100
+    monkeypatch.setattr(ml, "_first_centres", lambda rows, k, seeds: {s: np.array([[0.0], [1.0], [-900.0]]) for s in seeds})
+    three = spark.createDataFrame([(0.0,), (1.0,), (9.0,)], "a double")
+    cost, centres = ml.kmeans_models(three, ["a"], [3], [1])[3]
+    assert cost == 0 and sorted(centres.ravel()) == [0, 1, 9]
+
+
+def test_sweep_silhouettes_are_euclidean_over_all_pairs(spark):
+    rng = np.random.default_rng(2)
+    rows = [(f"b{i}", k, int(c), *map(float, rng.normal(c, 1.5, 2))) for k in (2, 3) for i, c in enumerate(rng.integers(0, k, 90))]
+    rows += [("alone", 3, 7, 50.0, 50.0), ("t0", 4, 0, 1.0, 1.0), ("t1", 4, 0, 1.0, 1.0), ("t2", 4, 1, 1.0, 1.0), ("t3", 4, 1, 1.0, 1.0), ("one", 5, 0, 2.0, 2.0)]
+    df = spark.createDataFrame(rows, "id string, k int, c int, x double, y double").repartition(5)
+    out = ml.pairwise_silhouettes(df, ["x", "y"], "c", "k")
+    assert out.columns == [*df.columns, "silhouette"]
+    got = {(r["k"], r["id"]): r["silhouette"] for r in out.collect()}
+    assert len(got) == len(rows)
+    for k in (2, 3, 4, 5):
+        mine = [r for r in rows if r[1] == k]
+        X, lab = np.array([r[3:] for r in mine]), np.array([r[2] for r in mine])
+        D = np.sqrt(((X[:, None] - X) ** 2).sum(2))
+        for i, r in enumerate(mine):
+            own = lab == lab[i]
+            b = min((D[i, lab == c].mean() for c in set(lab) - {lab[i]}), default=0)
+            a = D[i, own].sum() / max(own.sum() - 1, 1)
+            assert got[k, r[0]] == pytest.approx((b - a) / max(a, b) if own.sum() > 1 and max(a, b) > 0 else 0, abs=1e-12)
+
+
 def brute_ward(points):
     """Ward's merges by trying every pair in every step."""
     live, out = {i: (np.array(p, float), 1) for i, p in enumerate(points)}, []
