@@ -412,14 +412,19 @@ def path_contributions(X: np.ndarray, trees) -> tuple[np.ndarray, np.ndarray, np
     return bias / k, contrib / k, pred / k
 
 
-def leaf_members(df: DataFrame, feature_cols: list[str], key: str, trees, spark) -> DataFrame:
-    """``(key, leaves array<struct<tree, node, depth>>)``: the leaf of every row in every tree of the packed forest.
+#: Columns of the leaves of a row where they are plain arrays: an array of structs costs the JVM ten times as much to take over.
+LEAF_ARRAYS = ("trees", "nodes", "depths")
 
-    A row per property, so that its key is written once, not once a tree.
+
+def leaf_members(df: DataFrame, feature_cols: list[str], key: str, trees, spark, keep: list[str] | None = None, arrays: bool = False) -> DataFrame:
+    """``(key, *keep, leaves array<struct<tree, node, depth>>)``: the leaf of every row in every tree of the packed forest.
+
+    A row per property, so that its key is written once, not once a tree. With ``arrays``, the leaves are the ``LEAF_ARRAYS``.
     """
+    kept = [key, *(keep or [])]
     cloudpickle.register_pickle_by_value(sys.modules[__name__])
     b_trees = spark.sparkContext.broadcast(trees)
-    kind = df.select(key).schema[0].dataType.simpleString()
+    kinds = "".join(f"{f.name} {f.dataType.simpleString()}, " for f in df.select(*kept).schema)
 
     def run(batches):
         walk = Walk(b_trees.value, len(feature_cols))
@@ -432,11 +437,59 @@ def leaf_members(df: DataFrame, feature_cols: list[str], key: str, trees, spark)
             node, depth = np.empty((n, k), dtype=np.int32), np.empty((n, k), dtype=np.int32)
             for i, (at, tree) in enumerate(walk.leaves(X)):
                 node[:, i], depth[:, i] = at, tree[-1][at]
-            each = pa.StructArray.from_arrays([pa.array(np.tile(np.arange(k, dtype=np.int32), n)), pa.array(node.ravel()), pa.array(depth.ravel())],
-                                              names=["tree", "node", "depth"])
-            lists = pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * k), each)
-            yield pa.RecordBatch.from_arrays([batch.column(key), lists], names=[key, "leaves"])
-    return df.select(key, *feature_cols).mapInArrow(run, f"{key} {kind}, leaves array<struct<tree int, node int, depth int>>")
+            parts = [pa.array(np.tile(np.arange(k, dtype=np.int32), n)), pa.array(node.ravel()), pa.array(depth.ravel())]
+            if not arrays:
+                parts = [pa.StructArray.from_arrays(parts, names=["tree", "node", "depth"])]
+            at = pa.array(np.arange(n + 1, dtype=np.int32) * k)
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in kept], *[pa.ListArray.from_arrays(at, p) for p in parts]], names=[*kept, *names])
+    names = LEAF_ARRAYS if arrays else ("leaves",)
+    return df.select(*kept, *[c for c in feature_cols if c not in kept]).mapInArrow(run, kinds + (
+        ", ".join(f"{c} array<int>" for c in names) if arrays else "leaves array<struct<tree int, node int, depth int>>"))
+
+
+def leaf_votes(members: DataFrame, keep: list[str], nodes: pd.DataFrame, spark) -> DataFrame:
+    """``(*keep, listed, found, prediction, depth)`` of rows with ``LEAF_ARRAYS``, by a look at every leaf in the table of ``forest_nodes``.
+
+    ``listed`` counts the leaves of a row, ``found`` those that the table has as a leaf, of a tree not met before in the row;
+    ``prediction`` is the mean of the found leaves' predictions, ``depth`` the greatest one. The table is bounded by the
+    forest and broadcast as one array; a look is an index, where a join would make a row of every property and tree.
+    """
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
+    sizes = nodes.groupby("treeID")["id"].max() + 1   # in the order of the trees, as they are packed
+    starts = np.concatenate([[0], np.cumsum(sizes.to_numpy())]).astype(np.int64)
+    means = np.full(starts[-1], np.nan)
+    leaf = nodes[nodes["left"] < 0]
+    means[starts[sizes.index.get_indexer(leaf["treeID"])] + leaf["id"].to_numpy()] = leaf["prediction"].to_numpy()
+    b_table = spark.sparkContext.broadcast((starts, means))
+    kinds = "".join(f"{f.name} {f.dataType.simpleString()}, " for f in members.select(*keep).schema)
+
+    def run(batches):
+        starts, means = b_table.value
+        for batch in batches:
+            lists = [batch.column(c) for c in LEAF_ARRAYS]
+            listed = np.nan_to_num(lists[0].value_lengths().to_numpy(zero_copy_only=False)).astype(np.int64)
+            some = listed > 0
+            at = (np.cumsum(listed) - listed)[some]
+            tree, node, depth = (c.flatten().to_numpy(zero_copy_only=False) for c in lists)
+            known = (tree >= 0) & (tree < len(starts) - 1) & (node >= 0)
+            place = np.where(known, starts.take(tree, mode="clip") + node, 0)
+            known &= place < starts.take(tree + 1, mode="clip")
+            mean = np.where(known, means.take(place, mode="clip"), np.nan)
+            later = np.ones(len(tree), dtype=bool)
+            later[1:] = tree[1:] > tree[:-1]
+            later[at] = True
+            found = later & ~np.isnan(mean)
+
+            def per_row(how, values):
+                out = np.zeros(len(listed), dtype=values.dtype)
+                if len(at):
+                    out[some] = how.reduceat(values, at)
+                return out
+            n, total = per_row(np.add, found.astype(np.int64)), per_row(np.add, np.where(found, mean, 0.0))
+            prediction = pa.array(total / np.maximum(n, 1), mask=n == 0)
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in keep], pa.array(listed), pa.array(n), prediction,
+                                              pa.array(per_row(np.maximum, depth.astype(np.int32)))], names=[*keep, "listed", "found", "prediction", "depth"])
+    return members.select(*keep, *LEAF_ARRAYS).mapInArrow(run, f"{kinds}listed long, found long, prediction double, depth int")
 
 
 def attribute(df: DataFrame, feature_cols: list[str], keep_cols: list[str], trees, spark,

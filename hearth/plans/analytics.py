@@ -193,7 +193,7 @@ def multi_hot(recs: DataFrame, types: list[str]) -> DataFrame:
 def ml_table(spark: SparkSession, sf_dir: str, min_freq: int = fixed.MIN_TYPE_FREQ):
     """(feature table, property feature names, rec feature names)."""
     silver = layers.homes(spark, sf_dir)
-    recs = layers.retrofit_base(spark, sf_dir)
+    recs = layers.recommended(spark, sf_dir)
     types = frequent_type_names(recs, min_freq)
     rec_cols = [type_column(i) for i in range(len(types))]
     certs = (silver.filter(F.col("epc_score").isNotNull() & F.col("epc_potential").isNotNull())

@@ -59,6 +59,7 @@ SOURCES = {
     "certificates": ("orders", "customer", "nation"),
     "homes": ("orders", "customer", "nation"),
     "retrofit_base": ("orders", "customer", "nation", "lineitem"),
+    "recommended": ("orders", "customer", "nation", "lineitem"),
     "retrofit_rollup": ("orders", "customer", "nation", "lineitem"),
     "lettings": ("events",),
 }
@@ -78,12 +79,17 @@ def _fingerprint(spark: SparkSession, sf_dir: str, tag: str, tables=DRIVER_TABLE
     return h.hexdigest()[:16]
 
 
+def _place(spark: SparkSession, sf_dir: str, name: str, tag: str) -> tuple[str, str]:
+    """(folder, fingerprint of the present input) of the silver table ``name``."""
+    where = hashlib.sha1(f"{sf_dir}|{tag}".encode()).hexdigest()[:16]
+    return scratch_path(spark, f"silver/{where}/{name}"), _fingerprint(spark, sf_dir, f"{name}|{tag}", SOURCES.get(name, DRIVER_TABLES))
+
+
 def materialise(spark: SparkSession, sf_dir: str, name: str, build, partition_by: str | None = None,
                 tag: str = "") -> DataFrame:
     """The silver table ``name`` of the present input, behind a manifest: a changed input publishes a new version."""
-    where = hashlib.sha1(f"{sf_dir}|{tag}".encode()).hexdigest()[:16]
-    inputs = _fingerprint(spark, sf_dir, f"{name}|{tag}", SOURCES.get(name, DRIVER_TABLES))
-    return snapshots.table(spark, scratch_path(spark, f"silver/{where}/{name}"), build, inputs, partition_by)
+    where, inputs = _place(spark, sf_dir, name, tag)
+    return snapshots.table(spark, where, build, inputs, partition_by)
 
 
 def certificates(spark: SparkSession, sf_dir: str, tag: str = "") -> DataFrame:
@@ -122,6 +128,21 @@ def retrofit_base(spark: SparkSession, sf_dir: str, tag: str = "") -> DataFrame:
     return materialise(spark, sf_dir, "retrofit_base", build, None, tag)
 
 
+def recommended(spark: SparkSession, sf_dir: str, tag: str = "") -> DataFrame:
+    """(certificate_id, improvement_type) of the rows of ``retrofit_base``, for readers of no other column.
+
+    Read from that table if it is there; else the join is written with these two columns, and no cost is moved or parsed.
+    """
+    from .silver import joined_recommendations
+    columns = ("certificate_id", "improvement_type")
+    where, inputs = _place(spark, sf_dir, "retrofit_base", tag)
+    there = snapshots.Snapshots(spark, where).newest()
+    if there is not None and there["inputs"] == inputs:
+        return retrofit_base(spark, sf_dir, tag).select(*columns)
+    return materialise(spark, sf_dir, "recommended",
+                       lambda: joined_recommendations(spark, sf_dir, homes(spark, sf_dir, tag)).select(*columns), None, tag)
+
+
 def retrofit_rollup(spark: SparkSession, sf_dir: str, tag: str = "") -> DataFrame:
     """Counts and cost sums of the joined recommendations, which most retrofit reports add up.
 

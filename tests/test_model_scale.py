@@ -5,6 +5,7 @@ import hashlib
 import random
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import functions as F
@@ -39,6 +40,97 @@ def test_members_are_a_row_per_property_with_every_tree(spark, forest):
         assert [tuple(x) for x in r["leaves"]] == [(i, *_plain((r["a"], r["b"]), t)[:2]) for i, t in enumerate(trees)]
 
 
+def test_members_as_arrays_are_the_same(spark, forest):
+    data, trees = forest
+    whole = {r["id"]: [tuple(x) for x in r["leaves"]] for r in ml.leaf_members(data, ["a", "b"], "id", trees, spark).collect()}
+    rows = ml.leaf_members(data, ["a", "b"], "id", trees, spark, ["y", "a"], arrays=True)
+    assert rows.columns == ["id", "y", "a", *ml.LEAF_ARRAYS]
+    given = {r["id"]: r for r in data.collect()}
+    for r in rows.collect():
+        assert [*zip(r["trees"], r["nodes"], r["depths"])] == whole.pop(r["id"]) and (r["y"], r["a"]) == (given[r["id"]]["y"], given[r["id"]]["a"])
+    assert not whole
+
+
+def test_votes_look_every_leaf_up_in_the_stored_nodes(spark, forest):
+    """Mean prediction and depth of a row's leaves; nodes that are no leaf, of no tree or of a tree met before are not found."""
+    data, trees = forest
+    rng = np.random.default_rng(1)
+    leaves = [[int(x) for x in np.flatnonzero(t[1] < 0)] for t in trees]
+    inner = int(np.flatnonzero(trees[0][1] >= 0)[0])
+    whole = [[(i, int(rng.choice(at)), int(rng.integers(0, 5))) for i, at in enumerate(leaves)] for _ in range(50)]
+    odd = [[], [(0, inner, 1)], [(0, leaves[0][0], 2), (0, leaves[0][-1], 3)], [(7, 1, 1), (-1, 0, 1), (1, 10**6, 1), (2, -1, 4)], None]
+    members = spark.createDataFrame([(i, *([t[j] for t in x] if x is not None else None for j in range(3))) for i, x in enumerate(whole + odd)],
+                                    "id int, trees array<int>, nodes array<int>, depths array<int>")
+    nodes = pd.concat([pd.DataFrame({"treeID": i, "id": range(len(t[0])), "prediction": t[0], "left": t[1]}) for i, t in enumerate(trees)])
+    out = {r["id"]: tuple(r)[1:] for r in ml.leaf_votes(members, ["id"], nodes.sample(frac=1, random_state=1), spark).collect()}
+    for i, x in enumerate(whole):
+        assert out[i][:2] == (7, 7) and out[i][3] == max(d for *_, d in x)
+        assert out[i][2] == pytest.approx(np.mean([trees[t][0][n] for t, n, _ in x]), abs=1e-12)
+    first = pytest.approx(trees[0][0][leaves[0][0]])
+    assert [out[50 + i] for i in range(5)] == [(0, 0, None, 0), (1, 0, None, 1), (2, 1, first, 3), (4, 0, None, 4), (0, 0, None, 0)]
+
+
+def _small_tables(spark, sf):
+    """Tables of four areas, with orders enough for a forest."""
+    rng = random.Random(4)
+    tables = {
+        "nation": ("n_nationkey long, n_name string, n_regionkey long", [(i, f"AREA {i}", i % 3) for i in range(4)]),
+        "customer": ("c_custkey long, c_nationkey long", [(i, i % 4) for i in range(300)]),
+        "orders": ("o_orderkey long, o_custkey long, o_orderstatus string, o_orderdate date",
+                   [(i, rng.randrange(300), "FP"[i % 2], datetime.date(1995, 1 + i % 12, 3)) for i in range(1500)]),
+        "lineitem": ("l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int",
+                     [(rng.randrange(1500), rng.choice([0, *range(3, 100)]), rng.randrange(100), 1 + i % 4) for i in range(18000)]),
+    }
+    for name, (schema, rows) in tables.items():
+        spark.createDataFrame(rows, schema).repartition(2).write.parquet(f"{sf}/{name}.parquet")
+    return sf
+
+
+def test_forest_check_reads_memberships_once_and_sees_faults(spark, tmp_path, monkeypatch):
+    """One pass over memberships that are not exploded, and no table of parsed recommendations; each kind of fault is counted."""
+    import os
+
+    from hearth.plans import model_checks
+    from hearth.session import scratch_path
+    sf = _small_tables(spark, str(tmp_path))
+    out = model_checks.forest_check(spark, sf)
+    good = out.first().asDict()
+    assert good["n_trees"] == 100 and good["n_rows"] > 500 and sum(v for k, v in good.items() if k not in ("n_trees", "n_rows")) == 0
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("MapInArrow") == 2 and "inline" not in plan   # the walk, and the look at its leaves
+    where = hashlib.sha1(f"{sf}|".encode()).hexdigest()[:16]
+    assert sorted(os.listdir(scratch_path(spark, f"silver/{where}"))) == ["homes", "recommended"]
+
+    walk = ml.leaf_members
+    spoilt = {"n_lost_rows": ("nodes", "transform(nodes, x -> 0)"), "n_too_deep": ("depths", "transform(depths, x -> x + 12)"),
+              "n_other_prediction": ("nodes", "first")}
+    for fault, (column, how) in spoilt.items():
+        def members(*args, **kw):
+            rows = walk(*args, **kw)
+            return rows.crossJoin(rows.limit(1).selectExpr("nodes AS first")).withColumn(column, F.expr(how)).drop("first")
+        monkeypatch.setattr(ml, "leaf_members", members)
+        bad = model_checks.forest_check(spark, sf).first().asDict()
+        assert bad[fault] > 400 and bad["n_rows"] == good["n_rows"]
+
+
+def test_recommended_is_a_part_of_the_base(spark, tmp_path):
+    """The narrow table has the rows that the base has, and is read from the base where that is there."""
+    import os
+
+    from hearth.plans import layers
+    from hearth.session import scratch_path
+    sf = _small_tables(spark, str(tmp_path))
+    canon = lambda df: sorted(map(str, df.collect()))
+    narrow = canon(layers.recommended(spark, sf))
+    base = layers.retrofit_base(spark, sf)
+    assert narrow == canon(base.select("certificate_id", "improvement_type")) == canon(layers.recommended(spark, sf)) and len(narrow) > 5000
+    layers.recommended(spark, sf, "tagged")
+    layers.retrofit_base(spark, sf, "again")
+    layers.recommended(spark, sf, "again")
+    there = lambda tag: sorted(os.listdir(scratch_path(spark, f"silver/{hashlib.sha1(f'{sf}|{tag}'.encode()).hexdigest()[:16]}")))
+    assert there("tagged") == ["homes", "recommended"] and there("again") == ["homes", "retrofit_base"]
+
+
 def test_contributions_are_those_of_a_plain_walk(forest):
     _, trees = forest
     X = np.array([[0, 0], [4, 8], [8, 1], [np.nan, 3]], float)
