@@ -252,9 +252,9 @@ def uplift_model_metrics(spark, sf_dir) -> DataFrame:
     )
 
 
-def path_attribution(spark, sf_dir) -> DataFrame:
-    """Per-property path attribution of the forest's prediction, all properties."""
-    model, data, feats, rec_cols, _, path = trained_forest(spark, sf_dir)
+def path_attribution(spark, sf_dir, forest: tuple | None = None) -> DataFrame:
+    """Per-property path attribution of the forest's prediction, all properties (M17); ``forest`` is a ``trained_forest`` at hand."""
+    model, data, feats, rec_cols, _, path = forest or trained_forest(spark, sf_dir)
     trees = ml._pack(ml.forest_nodes(model, spark, path))
     return ml.attribute(data, feats, ["certificate_id", "borough", "age_group", *rec_cols], trees, spark,
                         out_cols=rec_cols)
@@ -272,17 +272,18 @@ def attribution_check(spark, sf_dir) -> DataFrame:
                    wrong(F.col("own"), F.col("prediction")).alias("n_not_the_forest"))
 
 
-def model_attribution_long(spark, sf_dir) -> DataFrame:
+def model_attribution_long(spark, sf_dir, forest: tuple | None = None, att: DataFrame | None = None) -> DataFrame:
     """(improvement_type, age_group, avg_pts, overall_avg_pts, n_present) from the forest attribution.
 
     For each frequent type: mean contribution over properties where it is
     present, by age group and overall, rounded to 2 dp; types present on
-    fewer than 30 properties are dropped (A40, M18).
+    fewer than 30 properties are dropped (A40, M18). ``forest`` and ``att`` are a ``trained_forest`` and its ``path_attribution`` at hand.
     """
-    model, data, feats, rec_cols, types, _ = trained_forest(spark, sf_dir)
+    forest = forest or trained_forest(spark, sf_dir)
+    model, data, feats, rec_cols, types, _ = forest
     if not types:   # no type is frequent enough
         return spark.createDataFrame([], "improvement_type string, age_group string, avg_pts double, overall_avg_pts double, n_present long")
-    att = path_attribution(spark, sf_dir)
+    att = path_attribution(spark, sf_dir, forest) if att is None else att
     long = att.select("certificate_id", "age_group", F.explode(F.array(*[
         F.struct(F.lit(t).alias("improvement_type"), F.col(c).alias("present"), F.col(f"c_{c}").alias("contrib"))
         for t, c in zip(types, rec_cols)])).alias("e")).select("age_group", "e.*").filter(F.col("present") == 1)
@@ -301,10 +302,11 @@ def attribution_by_age_model(spark, sf_dir) -> DataFrame:
     return reach.attribution_table(model_attribution_long(spark, sf_dir), recs)
 
 
-def greedy_model_summary(spark, sf_dir) -> DataFrame:
-    """The greedy cover driven by the model attribution, summarised per area (M19 -> A44)."""
+def greedy_model_summary(spark, sf_dir, results: DataFrame | None = None) -> DataFrame:
+    """The greedy cover driven by the model attribution, summarised per area (M19 -> A44); ``results`` are its ``greedy_results`` at hand."""
     silver = layers.homes(spark, sf_dir)
-    recs = layers.retrofit_base(spark, sf_dir)
-    long = model_attribution_long(spark, sf_dir)
-    props = durable(reach.property_classes(silver, reach.greedy_results(reach.greedy_rows(recs, long))))
+    if results is None:
+        recs = layers.retrofit_base(spark, sf_dir)
+        results = reach.greedy_results(reach.greedy_rows(recs, model_attribution_long(spark, sf_dir)))
+    props = durable(reach.property_classes(silver, results))
     return reach.area_greedy_summary(silver, props)

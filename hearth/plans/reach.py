@@ -236,9 +236,11 @@ def greedy_rows(recs: DataFrame, long: DataFrame, partitions: int | None = None)
     spread over several tasks. ``covers`` says whether the gap is covered with
     this row, ``open`` whether no earlier row of the same slice covers it.
     Rows equal in every sort column carry equal uplift and cost, so their
-    relative order does not change the selected totals.
+    relative order does not change the selected totals. Only the columns that
+    the cover reads are moved.
     """
-    est = greedy_candidates(recs, long)
+    est = greedy_candidates(recs, long).select("certificate_id", "improvement_type", "priority", "cost_low", "cost_mid", "cost_high",
+                                               "gap", "est_c", "cost_per_pt")
     local = running_sum(est, ["certificate_id"], greedy_order(), "est_c", "cum_c", partitions)
     earlier = Window.partitionBy("certificate_id", "_p").orderBy("_rn").rowsBetween(Window.unboundedPreceding, -1)
     return (local.withColumn("covers", F.coalesce(F.col("cum_c") >= F.col("gap") * 100, F.lit(False)))

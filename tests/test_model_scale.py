@@ -113,6 +113,27 @@ def test_forest_check_reads_memberships_once_and_sees_faults(spark, tmp_path, mo
         assert bad[fault] > 400 and bad["n_rows"] == good["n_rows"]
 
 
+def test_model_tables_check_makes_each_table_once_and_sees_faults(spark, tmp_path, monkeypatch):
+    """Features, contributions and the greedy rows are made once; a wrong cell or cover is still counted."""
+    from hearth.plans import analytics, model_checks, reach
+    sf = _small_tables(spark, str(tmp_path))
+    made = []
+    for module, name in ((analytics, "ml_table"), (ml, "attribute"), (reach, "greedy_rows")):
+        def counted(*args, _does=getattr(module, name), _name=name, **kw):
+            made.append(_name)
+            return _does(*args, **kw)
+        monkeypatch.setattr(module, name, counted)
+    good = model_checks.model_tables_check(spark, sf).first().asDict()
+    assert sorted(made) == ["attribute", "greedy_rows", "ml_table"]
+    assert good["n_types"] > 5 and good["n_wrong_cells"] == good["n_wrong_covers"] == 0 and good["n_areas"] == 4 and good["n_below"] > 100
+    long, cover = analytics.model_attribution_long, reach.greedy_cover
+    with monkeypatch.context() as m:
+        m.setattr(analytics, "model_attribution_long", lambda *a: long(*a).withColumn("overall_avg_pts", F.col("overall_avg_pts") + 0.1))
+        assert model_checks.model_tables_check(spark, sf).first()["n_wrong_cells"] > 5
+    monkeypatch.setattr(reach, "greedy_cover", lambda results: cover(results).withColumn("n_recs_needed", F.col("n_recs_needed") + 1))
+    assert model_checks.model_tables_check(spark, sf).first()["n_wrong_covers"] > 50
+
+
 def test_recommended_is_a_part_of_the_base(spark, tmp_path):
     """The narrow table has the rows that the base has, and is read from the base where that is there."""
     import os
